@@ -3,11 +3,13 @@
 Filter directions are a random product code: the coordinates are cut into two parts, each part has its
 own random codebook, and every pair of codewords is a direction. A vector belongs to all filters whose
 inner product with it exceeds a threshold; these are listed without visiting the others, since the
-product's score is the sum of two part scores. Vectors that share a filter are compared exactly.
+product's score is the sum of two part scores. For the join, filters with one first codeword and adjacent
+second codewords form a cell; vectors that share a cell, and so all that share a filter, are compared
+exactly, and a pair counts in the first cell that it shares.
 
-The codebook's size follows the number of distinct vectors, so filters stay small at any scale. The list
+The codebook's size follows the number of distinct vectors, so cells stay small at any scale. The list
 length is chosen by simulation on random pairs at the similarity threshold (no data involved), such that
-RECALL of such pairs share a filter; closer pairs share one more often.
+RECALL of such pairs share a cell; closer pairs share one more often.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ from tickloom.llm.blocks import Forest, pieces
 from tickloom.llm.common import stage
 from tickloom.llm.components import connected_components
 
-RECALL = 0.995
+RECALL = 0.96
 SEED = 11
+#: Second codewords in a cell.
+CELL = 64
 
 
 class Caps:
@@ -43,18 +47,20 @@ class Caps:
             norm = np.linalg.norm(book, axis=1, keepdims=True)
             self.books.append(book / np.where(norm > 0, norm, 1) / math.sqrt(2 if min(parts) else 1))
 
+        self.cells = size * -(-size // CELL)
+
     def scores(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return x[:, : self.cut] @ self.books[0].T, x[:, self.cut :] @ self.books[1].T
 
     def lists(self, x: np.ndarray) -> list[np.ndarray]:
-        """For each unit vector the sorted numbers of all filters that it exceeds."""
-        out = []
+        """For each unit vector the sorted cells of all filters that it exceeds."""
+        out, across = [], -(-self.size // CELL)
         left, right = self.scores(x)
         for a, b in zip(left, right):
             first = np.flatnonzero(a >= self.threshold - b.max())
             second = np.flatnonzero(b >= self.threshold - a.max())
             i, j = np.nonzero(a[first][:, None] + b[second][None, :] >= self.threshold)
-            out.append(np.sort(first[i].astype(np.int64) * self.size + second[j]))
+            out.append(np.unique(first[i].astype(np.int64) * across + second[j] // CELL))
         return out
 
 
@@ -80,17 +86,22 @@ def fit_caps(dim: int, n: int, cosine: float) -> Caps:
         length *= 1.3
 
 
+def units(vectors) -> np.ndarray:
+    """The vectors in double precision, scaled to length 1."""
+    x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    # scaled by the largest component first: squares of very large or small ones leave the range of doubles
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _lister(caps: dict[int, Caps]):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for dim, part in frame.groupby("dim"):
                 for at in range(0, len(part), 512):
                     some = part.iloc[at : at + 512]
-                    x = np.stack([np.asarray(v, dtype=np.float64) for v in some["vector"]])
-                    # scale first: squares of very large or small components leave the range of doubles
-                    x = x / np.abs(x).max(axis=1, keepdims=True)
-                    x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                    yield pd.DataFrame({"rep": some["rep"].to_numpy(), "copies": some["copies"].to_numpy(), "dim": dim, "unit": list(x), "filters": caps[int(dim)].lists(x)})
+                    x = units(some["vector"])
+                    yield pd.DataFrame({"rep": some["rep"].to_numpy(), "copies": some["copies"].to_numpy(), "dim": dim, "vector": some["vector"], "cells": caps[int(dim)].lists(x)})
 
     return run
 
@@ -99,8 +110,8 @@ def _verifier(cosine: float):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             us, vs, ws = [], [], []
-            for key, lo, hi, members in zip(frame["filter"], frame["lo"], frame["hi"], frame["members"]):
-                x = np.stack([np.asarray(m["unit"]) for m in members])
+            for key, lo, hi, members in zip(frame["cell"], frame["lo"], frame["hi"], frame["members"]):
+                x = units([m["vector"] for m in members])
                 block = np.array([m["own"] for m in members])
                 near = np.triu(x @ x.T >= cosine, 1)
                 if lo != hi:  # pairs inside one block are met where lo = hi
@@ -108,8 +119,8 @@ def _verifier(cosine: float):
                 links = np.zeros(len(members), dtype=np.int64)
                 forest = Forest(len(members))
                 for i, j in zip(*(k.tolist() for k in np.nonzero(near))):
-                    common = np.intersect1d(members[i]["filters"], members[j]["filters"], assume_unique=True)
-                    if common[0] == key:  # a pair counts once, in the first filter that it shares
+                    common = np.intersect1d(members[i]["cells"], members[j]["cells"], assume_unique=True)
+                    if common[0] == key:
                         links[i] += members[j]["copies"]
                         links[j] += members[i]["copies"]
                         forest.link(i, j)
@@ -126,7 +137,7 @@ def _verifier(cosine: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", cosine: float = 0.95, block: int = 256) -> DataFrame:
+def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", cosine: float = 0.95, block: int = 512) -> DataFrame:
     """One row per vector row: id, n_links, component_id, kept.
 
     A vector that is null, zero, empty, or holds a null or non-finite component links with nothing, nor do
@@ -135,7 +146,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
     carry null ids and their component's.
     """
     big = F.col("vector")
-    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector")).withColumn(
+    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("vector")).withColumn(
         "usable",
         F.coalesce(
             (F.size(big) > 0)
@@ -151,11 +162,11 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
         "vectors",
     )
     caps = {r["dim"]: fit_caps(r["dim"], r["n"], cosine) for r in groups.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    listed = stage(groups.select("rep", "copies", "dim", "vector").mapInPandas(_lister(caps), "rep long, copies long, dim int, unit array<double>, filters array<long>"), "filters")
-    rows_of = listed.select("rep", "dim", F.explode("filters").alias("filter"))
-    work = pieces(rows_of, ["dim", "filter"], "rep", block).join(listed.drop("dim"), "rep")
-    work = work.groupBy("dim", "filter", "lo", "hi").agg(F.collect_list(F.struct("rep", "copies", "own", "unit", "filters")).alias("members")).where(F.size("members") > 1)
-    found = stage(work.select("filter", "lo", "hi", "members").mapInPandas(_verifier(cosine), T.StructType.fromDDL("u long, v long, w long")), "links")
+    listed = stage(groups.select("rep", "copies", "dim", "vector").mapInPandas(_lister(caps), T.StructType([*T.StructType.fromDDL("rep long, copies long, dim int").fields, T.StructField("vector", rows.schema["vector"].dataType), *T.StructType.fromDDL("cells array<int>" if all(c.cells < 2**31 for c in caps.values()) else "cells array<long>").fields])), "cells")
+    rows_of = listed.select("rep", "dim", F.explode("cells").alias("cell"))
+    work = pieces(rows_of, ["dim", "cell"], "rep", block).join(listed.drop("dim"), "rep")
+    work = work.groupBy("dim", "cell", "lo", "hi").agg(F.collect_list(F.struct("rep", "copies", "own", "vector", "cells")).alias("members")).where(F.size("members") > 1)
+    found = stage(work.select("cell", "lo", "hi", "members").mapInPandas(_verifier(cosine), T.StructType.fromDDL("u long, v long, w long")), "links")
     links = found.where("v is null").groupBy(F.col("u").alias("rep")).agg(F.sum("w").alias("others"))
     roots = connected_components(found.where("v is not null").select("u", "v")).withColumnRenamed("node", "rep")
     joined = groups.select("vector", "rep", "least", "copies").join(links, "rep", "left").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
