@@ -115,3 +115,20 @@ def test_vectors_equal_brute_force(spark):
 
 def test_no_vectors(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_words_of_slices():
+    import pyarrow as pa
+
+    from tickloom.llm.tokens import word_bytes, words_of
+
+    rng = random.Random(9)
+    texts = [None if rng.random() < 0.1 else "".join(rng.choice("aBé« \t\n\x0b\x1c\x85\u00a0ñ!") for _ in range(rng.randint(0, 40))) for _ in range(500)]
+    whole = pa.array(texts, pa.string())
+    for at, n in ((0, 500), (17, 300), (250, 250), (499, 1)):
+        words, counts = words_of(whole.slice(at, n))
+        want = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")) for t in texts[at : at + n]]
+        assert words.to_pylist() == [w for some in want for w in some]
+        assert counts.tolist() == [len(some) for some in want]
+        offsets, data = word_bytes(words)
+        assert [bytes(data[a:b]).decode() for a, b in zip(offsets, offsets[1:])] == words.to_pylist()

@@ -25,8 +25,54 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.packing import pack
+
+    return pack(_read(spark, sf_dir, "documents"))
+
+
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.pii import replace_pii
+
+    return replace_pii(_read(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
+def op5_weighted_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.mixing import schedule
+
+    plan = schedule(_read(spark, sf_dir, "documents"))
+    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"), "source", "finish")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.language import identify
+
+    return identify(_read(spark, sf_dir, "documents"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.quality import judge
+
+    return judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.common import remainder
+    from tickloom.llm.toxicity import toxicity
+
+    scored = toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_pii_surrogates": op2_pii_surrogates,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op5_weighted_fair_mixing": op5_weighted_fair_mixing,
+    "op6_language_id": op6_language_id,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_toxicity": op8_toxicity,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 

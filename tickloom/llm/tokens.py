@@ -7,12 +7,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
+def plain_texts(texts: pa.Array) -> pa.Array:
+    """Texts without nulls. Their type is kept: a cast of a sliced array loses track of its offsets."""
+    return pc.fill_null(texts if texts.type in (pa.string(), pa.large_string()) else texts.cast(pa.string()), "")
+
+
 def words_of(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     """All words of some texts one after another, and how many each text has (null text: none).
 
     Arrow's ASCII whitespace is exactly space and the controls 9 to 13; lower-casing touches A-Z only.
     """
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    texts = plain_texts(texts)
     if lower:
         texts = pc.ascii_lower(texts)
     texts = pc.ascii_trim_whitespace(texts)
@@ -27,10 +32,12 @@ def words_of(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]
 
 
 def word_bytes(words: pa.Array) -> tuple[np.ndarray, memoryview]:
-    """Start offsets (one more than words) and the bytes of a large_string array."""
-    words = words.cast(pa.large_string())
-    offsets = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset : words.offset + len(words) + 1]
-    return offsets, memoryview(words.buffers()[2] or b"")
+    """Start offsets (one more than strings) and the bytes that they point into."""
+    kind = np.int64 if words.type == pa.large_string() else np.int32
+    if not len(words):
+        return np.zeros(1, dtype=np.int64), memoryview(b"")
+    offsets = np.frombuffer(words.buffers()[1], dtype=kind)[words.offset : words.offset + len(words) + 1]
+    return offsets.astype(np.int64), memoryview(words.buffers()[2] or b"")
 
 
 def in_slices(batches, size: int):
