@@ -18,6 +18,14 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_read(spark, sf_dir, "embeddings"))
 
 
+def op9_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.chat import format_chats, read_back, with_tricky
+    from tickloom.llm.common import stage
+
+    packed = stage(format_chats(with_tricky(_read(spark, sf_dir, "conversations"))), "chats")
+    return read_back(packed)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickloom.llm.simhash import hex_of, near_duplicates
 
@@ -37,6 +45,12 @@ def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_pii(_read(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
 
 
+def op4_ngram_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.ngrams import score
+
+    return score(_read(spark, sf_dir, "documents"))
+
+
 def op5_weighted_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickloom.llm.mixing import schedule
 
@@ -69,10 +83,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pii_surrogates": op2_pii_surrogates,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_ngram_scoring": op4_ngram_scoring,
     "op5_weighted_fair_mixing": op5_weighted_fair_mixing,
     "op6_language_id": op6_language_id,
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
+    "op9_chat_prefix_tree": op9_chat_prefix_tree,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
