@@ -127,3 +127,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def hex_of(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
+    """docs without near duplicates: of each group of linked documents the one with the smallest id stays.
+
+    A group of null ids only keeps one row too; of rows equal in id and text one stays. Columns are kept.
+    """
+    known = F.coalesce(F.col("_id").cast("long"), F.lit(2**63 - 1))
+    keyed = docs.select(F.struct(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_h")).alias("key"), F.col(text).alias("_text"))
+    prints = stage(fingerprints(keyed, "_text", shingle).select("key._id", "key._h", "fp"), "prints")
+    distinct = prints.groupBy("fp").agg(F.min(F.struct(known.alias("_known"), F.col("_h"))).alias("least"))
+    roots = connected_components(links(distinct.select("fp"), radius))
+    root = F.coalesce("root", "fp")
+    stay = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(root.alias("root")).agg(F.min("least").alias("least"))
+    stay = stage(stay.select(F.col("least._known").alias("_known"), F.col("least._h").alias("_h")), "stay")
+    marked = docs.withColumn("_h", F.xxhash64(text)).withColumn("_known", F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)))
+    kept = marked.join(stay, ["_known", "_h"], "left_semi")
+    repeated = prints.groupBy(known.alias("_known"), "_h").count().where("count > 1").join(stay, ["_known", "_h"], "left_semi").select("_known", "_h")
+    repeated = stage(repeated, "repeated")
+    if not repeated.isEmpty():
+        again = kept.join(repeated, ["_known", "_h"], "left_semi").dropDuplicates(["_known", "_h"])
+        kept = kept.join(repeated, ["_known", "_h"], "left_anti").unionByName(again)
+    return kept.select(*docs.columns)
