@@ -161,7 +161,9 @@ def test_surrogates_keep_format_type_and_references():
     assert len(pii.detect("9807915762804490 4845168114407329")) == 2
 
 
-def test_surrogates_are_distinct_over_the_corpus(spark, monkeypatch):
+@pytest.mark.parametrize("most_sent", [0, 100_000])
+def test_surrogates_are_distinct_over_the_corpus(spark, monkeypatch, most_sent):
+    monkeypatch.setattr(pii, "MOST_SENT", most_sent)
     rows = [(i, f"ping 1.2.3.{i % 10} and 1.2.{i % 7}.4", "en", "s", 0) for i in range(90)] + [(None, None, None, None, None), (3, "", "en", "s", 0)]
     docs = spark.createDataFrame(rows, DOCS).withColumn("n_entities", F.lit("clash"))
     out = pii.replace_pii(docs).collect()

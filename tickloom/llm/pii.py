@@ -19,13 +19,18 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.llm.common import stage, unstage
+from tickloom.llm.tokens import in_slices
 
 ROUNDS = 40
+#: Redrawn entities up to which they are sent along with every task (about 10 MB); beyond it they are joined.
+MOST_SENT = 100_000
 
 EMAIL_LOCAL = re.compile(r"[\w.+%-]{1,64}$")
 EMAIL_DOMAIN = re.compile(r"[A-Za-z0-9](?:[\w-]*\w)?(?:\.[A-Za-z0-9](?:[\w-]*\w)?)*\.[A-Za-z]{2,24}")
@@ -290,29 +295,29 @@ def replace_pii(docs: DataFrame, text: str = "text", key: bytes = b"tickloom", c
     redrawn = stage(assign(entities, key).where("attempt > 0").select("kind", "entity", "attempt"), "redrawn")
     unstage(entities)
     rest = [c for c in docs.columns if c not in (text, count)]
-    if redrawn.isEmpty():
-        source = docs.select(*rest, F.col(text).alias("_text"), F.lit(None).cast("array<struct<kind:string,entity:string,attempt:int>>").alias("_again"))
+    plain = F.lit(None).cast("array<struct<kind:string,entity:string,attempt:int>>").alias("_again")
+    everywhere: dict[tuple[str, str], int] = {}
+    if redrawn.count() <= MOST_SENT:
+        # few entities draw again: their attempts go along with the task
+        everywhere = {(r["kind"], r["entity"]): r["attempt"] for r in redrawn.collect()}
+        source = docs.select(*rest, F.col(text).alias("_text"), plain)
     else:
         # by text, so that null and repeated ids do no harm; documents without such an entity find no partner
         again = seen.join(redrawn, ["kind", "entity"]).groupBy("h").agg(F.collect_set(F.struct("kind", "entity", "attempt")).alias("_again"))
         source = docs.withColumn("_h", hashed).join(again.withColumnRenamed("h", "_h"), "_h", "left").select(*rest, F.col(text).alias("_text"), "_again")
     out_schema = docs.select(*rest, F.col(text), F.lit(0).cast("long").alias("_n")).schema
 
-    out = _narrow(source, rest, text, out_schema, key)
+    out = _rewritten(source, rest, text, out_schema, key, everywhere)
     ordered = [F.col(c) for c in docs.columns if c != count]
     return out.select(*ordered) if count is None else out.select(*ordered, F.col("_n").alias(count))
 
 
-def _narrow(source: DataFrame, rest: list[str], text: str, schema, key: bytes) -> DataFrame:
+def _rewritten(source: DataFrame, rest: list[str], text: str, schema: StructType, key: bytes, everywhere: dict[tuple[str, str], int]) -> DataFrame:
     """The rewriting pass on Arrow batches: other columns go through untouched, whatever their types."""
-    import pyarrow as pa
-
-    from tickloom.llm.tokens import in_slices
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, 2048):
-            again_of = batch.column(len(rest) + 1).to_pylist()
-            done = [rewrite(t, {(a["kind"], a["entity"]): a["attempt"] for a in again or ()}, key) for t, again in zip(batch.column(len(rest)).to_pylist(), again_of)]
+            again_of = ({(a["kind"], a["entity"]): a["attempt"] for a in again} if again else everywhere for again in batch.column(len(rest) + 1).to_pylist())
+            done = [rewrite(t, attempts, key) for t, attempts in zip(batch.column(len(rest)).to_pylist(), again_of)]
             columns = [*batch.columns[: len(rest)], pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*rest, text, "_n"])
 
