@@ -14,16 +14,14 @@ A trie shard holds whole hinges: a hinge is the middle word v of a trigram, with
 frequent (one class per 1/HOT of all tokens; its second level then is conditioned on that class), so that
 no shard has to hold all that follows a frequent word. Below a hinge are its successors w, and its
 contexts u with their successors, kept as ranks among the hinge's. Every level is one monotone sequence,
-Elias-Fano coded in a memory-mapped file; pointers are monotone sequences too. Queries come in sorted
+Elias-Fano coded in one memory map per shard; pointers are monotone sequences too. Queries come in sorted
 batches and are answered by successor search inside the range that their context points to.
 """
 
 from __future__ import annotations
 
 import math
-import os
-import shutil
-import tempfile
+import mmap
 from collections.abc import Iterator
 
 import numpy as np
@@ -96,29 +94,27 @@ def probability(code: np.ndarray) -> np.ndarray:
 
 
 class EliasFano:
-    """A monotone sequence: low bits packed side by side, high bits in unary; both in one mapped file."""
-
-    def __init__(self, path: str, values: np.ndarray):
-        n, top = len(values), int(values[-1]) + 1 if len(values) else 1
-        self.path, self.n = path, n
-        self.low_bits = low = max(0, int(math.log2(top / n))) if n else 0
-        with open(path, "wb") as out:
-            if n:
-                bits = (values[:, None] >> np.arange(low)) & 1
-                self.split = out.write(np.packbits(bits.astype(np.uint8)).tobytes())
-                high = np.zeros(int(values[-1] >> low) + n + 1, dtype=np.uint8)
-                high[(values >> low) + np.arange(n)] = 1
-                out.write(np.packbits(high).tobytes())
+    """A monotone sequence: low bits packed side by side, high bits in unary."""
+
+    def __init__(self, values: np.ndarray):
+        self.n = n = len(values)
+        self.low_bits = low = max(0, int(math.log2((int(values[-1]) + 1) / n))) if n else 0
+        self.low, self.high = np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=np.uint8)
+        if n:
+            bits = (values[:, None] >> np.arange(low)) & 1
+            self.low = np.packbits(bits.astype(np.uint8))
+            high = np.zeros(int(values[-1] >> low) + n + 1, dtype=np.uint8)
+            high[(values >> low) + np.arange(n)] = 1
+            self.high = np.packbits(high)
 
     def values(self) -> np.ndarray:
-        """The sequence, read from the map."""
+        """The sequence, decoded from its bits."""
         if not self.n:
             return np.zeros(0, dtype=np.int64)
-        raw = np.memmap(self.path, dtype=np.uint8, mode="r")
-        high = np.flatnonzero(np.unpackbits(raw[self.split :])) - np.arange(self.n)
+        high = np.flatnonzero(np.unpackbits(self.high)) - np.arange(self.n)
         if not self.low_bits:
             return high
-        bits = np.unpackbits(raw[: self.split], count=self.n * self.low_bits).reshape(self.n, self.low_bits)
+        bits = np.unpackbits(self.low, count=self.n * self.low_bits).reshape(self.n, self.low_bits)
         low = np.zeros(self.n, dtype=np.int64)
         for i in range(self.low_bits):
             low |= bits[:, i].astype(np.int64) << i
@@ -143,10 +139,9 @@ def _starts(*keys: np.ndarray) -> np.ndarray:
 
 
 class Trie:
-    """Four levels for trigrams sorted by (hinge, u, w), each with a count above 0."""
+    """Four levels for trigrams sorted by (hinge, u, w), each with a count above 0, in one memory map."""
 
-    def __init__(self, folder: str, hinge: np.ndarray, u: np.ndarray, w: np.ndarray, count: np.ndarray):
-        file = lambda name: os.path.join(folder, name)
+    def __init__(self, hinge: np.ndarray, u: np.ndarray, w: np.ndarray, count: np.ndarray):
         count = count.astype(np.float64)
         tops = _starts(hinge)
         at_hinge = np.repeat(np.arange(len(tops)), np.diff(np.append(tops, len(hinge))))
@@ -168,24 +163,35 @@ class Trie:
         pair_key = pair_hinge * self.words + pair_word
         rank = np.searchsorted(pair_key, at_hinge * self.words + w) - pointer[at_hinge]
         self.ranks = int(hinge_kinds.max(initial=0)) + 1
-        self.hinges = EliasFano(file("hinges"), hinge[tops])
-        self.pointers = EliasFano(file("pointers"), pointer)
-        self.pairs = EliasFano(file("pairs"), pair_key)
-        self.contexts = EliasFano(file("contexts"), at_hinge[contexts] * self.words + u[contexts])
-        self.triples = EliasFano(file("triples"), at_context * self.ranks + rank)
-        codes = {
-            "pair": (pair_count - DISCOUNT) / hinge_total[pair_hinge], "hinge": DISCOUNT * hinge_kinds / np.maximum(hinge_total, 1),
-            "triple": (count - DISCOUNT) / context_total[at_context], "context": DISCOUNT * context_kinds / np.maximum(context_total, 1),
+        self.hinges, self.pointers, self.pairs = EliasFano(hinge[tops]), EliasFano(pointer), EliasFano(pair_key)
+        self.contexts = EliasFano(at_hinge[contexts] * self.words + u[contexts])
+        self.triples = EliasFano(at_context * self.ranks + rank)
+        self.codes = {
+            "pair": quantised((pair_count - DISCOUNT) / hinge_total[pair_hinge]), "hinge": quantised(DISCOUNT * hinge_kinds / np.maximum(hinge_total, 1)),
+            "triple": quantised((count - DISCOUNT) / context_total[at_context]), "context": quantised(DISCOUNT * context_kinds / np.maximum(context_total, 1)),
         }
-        self.codes = {}
-        for name, p in codes.items():
-            quantised(p).tofile(file(name + ".codes"))
-            self.codes[name] = file(name + ".codes")
+        self._map()
+
+    def _map(self) -> None:
+        """Move all bits and codes into one memory map, which the system may page; nothing is left in a folder."""
+        levels = (self.hinges, self.pointers, self.pairs, self.contexts, self.triples)
+        arrays = [(x, name, getattr(x, name)) for x in levels for name in ("low", "high")]
+        places = np.cumsum([0] + [a.nbytes + a.nbytes % 2 for *_, a in arrays] + [c.nbytes for c in self.codes.values()])
+        self.memory = mmap.mmap(-1, max(int(places[-1]), 1))
+
+        def moved(a: np.ndarray, at: int) -> np.ndarray:
+            view = np.frombuffer(self.memory, dtype=a.dtype, count=len(a), offset=at)
+            view[:] = a
+            return view
+
+        for (x, name, a), at in zip(arrays, places.tolist()):
+            setattr(x, name, moved(a, at))
+        self.codes = {name: moved(c, at) for (name, c), at in zip(self.codes.items(), places[len(arrays) :].tolist())}
 
     def _of(self, name: str, at: np.ndarray, found: np.ndarray, otherwise: float) -> np.ndarray:
         out = np.full(len(at), otherwise)
         if found.any():
-            out[found] = probability(np.memmap(self.codes[name], dtype=np.uint16, mode="r")[at[found]])
+            out[found] = probability(self.codes[name][at[found]])
         return out
 
     def query(self, hinge: np.ndarray, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -380,13 +386,8 @@ def _answer_trigrams(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     starts = _starts(hinge, u, w)
     total = np.add.reduceat(count[order], starts)
     hinge, u, w = hinge[starts], u[starts], w[starts]
-    folder = tempfile.mkdtemp(prefix="trie-")
-    try:
-        seen = total > 0
-        trie = Trie(folder, hinge[seen], u[seen], w[seen], total[seen])
-        above, left = trie.query(hinge, u, w)
-    finally:
-        shutil.rmtree(folder, ignore_errors=True)
+    seen = total > 0
+    above, left = Trie(hinge[seen], u[seen], w[seen], total[seen]).query(hinge, u, w)
     runs = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
     a, b = np.empty(len(order), dtype=np.uint16), np.empty(len(order), dtype=np.uint16)
     a[order], b[order] = quantised(above)[runs], quantised(left)[runs]

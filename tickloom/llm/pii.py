@@ -53,7 +53,14 @@ TITLES = {
     "Monsieur": "m", "Mme": "f", "Madame": "f", "Mlle": "f", "Sr": "m", "Sra": "f", "Señor": "m", "Señora": "f", "Dr": "u", "Prof": "u",
     "г-н": "m", "г-жа": "f", "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f",
 }
+#: Common given names, for the gender of a name whose title does not tell it.
+GIVEN = {
+    "f": "anna maria mary emma olivia sophie sophia julia laura sarah jane linda susan karen lisa elena marie claire camille lucia carmen sofia ana isabel petra monika sabine anke olga natalia анна мария елена ольга наталья татьяна μαρία ελένη",
+    "m": "john james robert michael william david thomas peter paul mark george daniel martin hans karl stefan jürgen pierre jean louis luc antoine carlos juan josé luis miguel ivan dmitri иван дмитрий сергей алексей михаил γιώργος νίκος",
+}
 _PART = r"[A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω][a-zà-öø-ÿа-яёά-ώA-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω'’-]+"
+#: Words after which a name stands without a title.
+CUE = re.compile(rf"(?<!\w)(?:[Mm]y name is|[Nn]ame:|[Nn]ame is|[Cc]ontact:|[Aa]uthor:|[Pp]atient:|[Cc]ustomer:|[Ss]igned,|[Ss]incerely,|[Rr]egards,)\s+({_PART}) ({_PART})(?!\w)")
 NAME = re.compile(rf"(?<!\w)({'|'.join(sorted(map(re.escape, TITLES), key=len, reverse=True))})(\.? )({_PART})(?: ({_PART}))?(?!\w)")
 
 LATIN, CYRILLIC, GREEK = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω"
@@ -110,15 +117,22 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
         if 15 <= len(compact) <= 34 and iban_check(compact) == 1:
             found.append((1, m.start(), m.end(), "iban", compact))
     for m in NAME.finditer(text):
-        gender = TITLES[m[1]]
-        given, last = (3, 4) if m[4] else (None, 3)
-        if given:
-            found.append((3, m.start(3), m.end(3), f"given_{gender}_{script_of(m[3])}", m[3].lower()))
-        script = script_of(m[last])
-        found.append((3, m.start(last), m.end(last), f"surname_{gender if script == 'cyrillic' else 'u'}_{script}", m[last].lower()))
+        found += _name(m, 3 if m[4] else None, 4 if m[4] else 3, TITLES[m[1]])
+    for m in CUE.finditer(text):
+        found += _name(m, 1, 2, "u")
     return _resolved(found)
 
 
+def _name(m: re.Match, given: int | None, last: int, gender: str) -> Iterator[tuple[int, int, int, str, str]]:
+    """The parts of a name; each is an entity of its own, so that short forms refer to the same person."""
+    if given:
+        if gender == "u":
+            gender = next((g for g, names in GIVEN.items() if m[given].lower() in names.split()), "u")
+        yield 3, m.start(given), m.end(given), f"given_{gender}_{script_of(m[given])}", m[given].lower()
+    script = script_of(m[last])
+    yield 3, m.start(last), m.end(last), f"surname_{gender if script == 'cyrillic' else 'u'}_{script}", m[last].lower()
+
+
 def _numbers(text: str, at: int, end: int) -> Iterator[tuple[int, int, int, str, str]]:
     """The numbers of a known kind in a run of digits and marks, tried at the start of each group."""
     while end - at >= 7:
