@@ -155,6 +155,8 @@ def test_surrogates_keep_format_type_and_references():
     assert first == second
     third, fourth = re.findall(r"г-жа (\w+)", text)
     assert third.upper() == fourth and re.fullmatch("[А-Яа-я]+", third) and third.endswith("а")
+    assert [k for _, _, k, _ in pii.detect("Name: Maria Weber, contact: none")] == ["given_f_latin", "surname_u_latin"]
+    assert [k for _, _, k, _ in pii.detect("Dr. Peter Weber")] == ["given_m_latin", "surname_u_latin"]
     clean = "On 2024-01-01 at 10:20:30 version 4.0, 12345 rows; a=b, x: y; price 1.234.567,89"
     assert pii.rewrite(clean, {}, key) == (clean, 0)
     assert pii.detect(None) == [] and pii.detect("") == []
