@@ -1,4 +1,4 @@
-"""Bars, facts, sequence checks and envelopes on the reference scenarios."""
+"""Bars, facts, sequence checks and envelopes on small fixtures."""
 
 import json
 import random

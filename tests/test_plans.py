@@ -198,3 +198,24 @@ def test_research_pages(spark):
     declared = spark.createDataFrame([("QQQ", 3, "2026-01-05", "2026-01-06")], "symbol string, n long, first string, last string")
     assert research.coverage_mismatch(bars, declared).first().declared_n == 3
     assert research.out_of_order(bars.withColumn("o", -F.dayofmonth(F.to_date("event_ts_utc"))), "o").count() == 1
+
+
+def test_request_checks_and_routes(spark, week):
+    days, instances = week
+    sessions.check_request(sessions.Request("QQQ", 0, 1))
+    for bad in (sessions.Request("qqq", 0, 1), sessions.Request("SPY261218C00600000", 0, 1), sessions.Request("QQQ", 1, 1), sessions.Request("QQQ", 0, 1, resolution="2m")):
+        with pytest.raises(errors.Contract):
+            sessions.check_request(bad)
+    more = caps(spark, ("futu", None, "over", "1m", True, True, 1), ("alpaca", "boats", "over", "1m", True, False, 1))
+    routes = spark.createDataFrame([("alpaca", "boats")], "provider string, feed string")
+    assert {r.provider for r in sessions.overnight_capabilities(more, routes).where("phase = 'over'").collect()} == {"alpaca"}
+    night = calendar.overnight_instances(days).withColumn("issued", F.lit(0).cast("long")).withColumn("lease_end", F.when(F.col("trade_date") == "2026-01-06", 5).otherwise(50).cast("long"))
+    assert sessions.overlay(days, instances, night, 10).where("phase = 'over'").count() == 4
+
+
+def test_evidence_and_completeness(spark):
+    rows = spark.createDataFrame([("a", 0, 5), ("a", 5, 9), ("b", 3, 6)], "session string, start long, end long")
+    segments = spark.createDataFrame([("a", 0, 9, "complete"), ("b", 0, 5, "complete"), ("b", 5, 9, "complete")], "session string, start long, end long, status string")
+    evidence = reconcile.coverage_evidence(rows, segments, "session")
+    assert {(r.session, r.start): (r.n_rows, r.n_straddling) for r in evidence.collect()} == {("a", 0): (2, 0), ("b", 0): (0, 1), ("b", 5): (0, 1)}
+    assert {r.session: r.complete for r in reconcile.is_complete(evidence, "session", 1, 8).collect()} == {"a": True, "b": False}

@@ -124,3 +124,29 @@ def broken_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
     first = F.row_number().over(order) == 1
     ok = F.when(first, F.col("token").isNull()).otherwise(due.isNotNull() & (due == F.col("token")) & (F.col("received_ns") > before))
     return pages.withColumn("_ok", F.coalesce(ok, F.lit(False))).where("not _ok").drop("_ok")
+
+
+def coverage_evidence(rows: DataFrame, segments: DataFrame, session: str) -> DataFrame:
+    """Per segment (session, start, end, status): its rows and their digest, and rows that cross its bounds.
+
+    Rows meet segments by session. The digest adds up hashes of rows, so nothing is sorted or gathered.
+    """
+    columns = [F.col(c) for c in rows.columns]
+    hashed = rows.select(session, F.col("start").alias("_s"), F.col("end").alias("_e"), F.xxhash64(*columns).alias("_h"))
+    s = segments.select(session, "start", "end", "status")
+    met = s.join(hashed, session, "left").where("_s is null or (_s < end and start < _e)")
+    inside = (F.col("_s") >= F.col("start")) & (F.col("_e") <= F.col("end"))
+    found = met.groupBy(session, "start", "end", "status").agg(
+        F.count_if(inside).alias("n_rows"), F.count_if(F.col("_s").isNotNull() & ~inside).alias("n_straddling"), F.coalesce(F.sum(F.when(inside, F.col("_h").cast("decimal(38,0)"))), F.lit(0)).cast("string").alias("digest")
+    )
+    lost = s.join(found.select(session, "start", "end"), [session, "start", "end"], "left_anti")
+    zero = lost.select(session, "start", "end", "status", F.lit(0).cast("long").alias("n_rows"), F.lit(0).cast("long").alias("n_straddling"), F.lit("0").alias("digest"))
+    return found.unionByName(zero)
+
+
+def is_complete(evidence: DataFrame, session: str, start: int, end: int) -> DataFrame:
+    """Per session whether its evidence covers [start, end) with complete segments that no row crosses."""
+    order = W.partitionBy(session).orderBy("start")
+    joined = evidence.where((F.col("end") > start) & (F.col("start") < end)).withColumn("_joins", F.coalesce(F.lag("end").over(order) == F.col("start"), F.lit(True)))
+    whole = F.bool_and((F.col("status") == "complete") & (F.col("n_straddling") == 0) & F.col("_joins"))
+    return joined.groupBy(session).agg((whole & (F.min("start") <= start) & (F.max("end") >= end)).alias("complete"))

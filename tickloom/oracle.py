@@ -182,4 +182,17 @@ SELECT o AS o_orderkey, CASE WHEN o % 2 = 0 AND (o // 2) % 3 IN (0, 2) AND o % 5
 SELECT key AS session, max(s) AS "start", min(e) AS "end" FROM b GROUP BY key HAVING count(*) = 2 AND max(s) < min(e)""",
     "chunk_rollup": """WITH r AS (SELECT DISTINCT l_orderkey % 50 AS chunk, l_orderkey, l_partkey, l_suppkey FROM lineitem WHERE l_linenumber = 1) SELECT chunk, count(*) AS n_rows FROM r GROUP BY ALL""",
     "calendar_integrity": """SELECT * FROM (VALUES ('2024-05-06', 'dates_not_contiguous'), ('2024-07-03', 'days_not_adjacent'), ('XNYS:2024-02-05:pre', 'instances_overlap'), ('XNYS:2024-02-05', 'phases'), ('XNYS:2024-02-05:pre', 'id_not_unique')) AS t(subject, rule)""",
+    "sessions_in_window": f"""WITH {_CALENDAR}, w AS (SELECT 1704985200000000000 - 20 * {HOUR} AS a, 1704985200000000000 + 15 * {HOUR} AS b), m AS (SELECT inst.* FROM inst, w WHERE s < b AND e > a),
+d AS (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS d)
+SELECT session_instance_id AS subject, 'instance' AS kind FROM m
+UNION ALL SELECT strftime(d, '%Y-%m-%d'), 'day' FROM d, w WHERE (epoch_ns(CAST(d AS TIMESTAMP)) + 5 * {HOUR} < b AND epoch_ns(CAST(d AS TIMESTAMP)) + 29 * {HOUR} > a) OR strftime(d, '%Y-%m-%d') IN (SELECT trade_date FROM m)""",
+    "edge_windows": f"""WITH {_CALENDAR}, p AS (SELECT trade_date, min(s) AS a, max(e) AS b, epoch_ns(CAST(trade_date AS TIMESTAMP)) + 5 * {HOUR} AS d FROM inst GROUP BY trade_date)
+SELECT trade_date, 'before' AS edge, d AS "start", a AS "end" FROM p UNION ALL SELECT trade_date, 'after', b, d + {DAY} FROM p""",
+    "overnight_bands": f"""WITH {_CALENDAR} SELECT 'XNYS:' || strftime(d, '%Y-%m-%d') || ':over' AS session_instance_id, epoch_ns(CAST(d AS TIMESTAMP)) + 1 * {HOUR} AS "start", epoch_ns(CAST(d AS TIMESTAMP)) + 9 * {HOUR} AS "end" FROM days""",
+    "closed_nights": f"""WITH {_CALENDAR}, c AS (SELECT d, epoch_ns(CAST(d AS TIMESTAMP)) + 5 * {HOUR} AS s FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS d) WHERE d NOT IN (SELECT d FROM days))
+SELECT strftime(d, '%Y-%m-%d') AS trade_date, s AS "start", s + 4 * {HOUR} AS "end" FROM c UNION ALL SELECT strftime(d, '%Y-%m-%d'), s + 20 * {HOUR}, s + 24 * {HOUR} FROM c""",
+    "coverage_evidence": f"""WITH {_bars(HOUR)}, seg AS (SELECT c_custkey AS session, 1704067200000000000 + i * (7 * {DAY} + {HOUR // 2}) AS s FROM customer, range(4) t(i) WHERE c_custkey < 200)
+SELECT session, s AS "start", s + 7 * {DAY} AS "end", count(symbol) FILTER (bar_start >= s AND bar_start + {HOUR} <= s + 7 * {DAY}) AS n_rows,
+  count(symbol) FILTER (NOT (bar_start >= s AND bar_start + {HOUR} <= s + 7 * {DAY})) AS n_straddling
+FROM seg LEFT JOIN bars ON symbol = session AND bar_start < s + 7 * {DAY} AND bar_start + {HOUR} > s GROUP BY session, s""",
 }

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.functions.market import MAPPING_PRIORITY, in_scope
+from tickloom import errors
+from tickloom.functions.market import MAPPING_PRIORITY, RESOLUTIONS, SCOPES, in_scope
 from tickloom.functions.time import parse_rfc3339
 from tickloom.operators.intervals import normalize_gaps, overlaps, uncovered
-from tickloom.sources.calendar import closed_night_bands
+from tickloom.sources.calendar import closed_night_bands, overnight_instances
 
 CUTOFF_DATE, CUTOFF = "2016-01-01", "2016-01-01T05:00:00Z"
 RESEARCH = ("yfinance", "daily")
+MODES = ("auto", "alpaca_only", "futu_only", "research")
 
 
 @dataclass(frozen=True)
@@ -122,6 +125,48 @@ def plan_sessions(request: Request, as_of: int, days: DataFrame, instances: Data
     return slices.orderBy("start", "trade_date", "phase")
 
 
+def check_request(request: Request) -> None:
+    """Fails unless the request is well formed: ticker, window, resolution, scope, mode."""
+    if not re.fullmatch(r"[A-Z0-9.\-]{1,32}", request.symbol) or re.fullmatch(r"[A-Z]{1,6}\d{6}[CP]\d{8}", request.symbol):
+        raise errors.Contract("symbol")
+    if request.start >= request.end:
+        raise errors.Contract("window")
+    if request.resolution not in RESOLUTIONS or request.scope not in SCOPES or request.mode not in MODES:
+        raise errors.Contract("resolution, scope or mode")
+
+
+def sessions_in_window(days: DataFrame, instances: DataFrame, start: int, end: int) -> tuple[DataFrame, DataFrame]:
+    """(days, instances) of a window: instances that meet it; days that meet it or own such an instance."""
+    met = instances.where(overlaps(F.col("start"), F.col("end"), F.lit(start), F.lit(end)))
+    owners = met.select("trade_date").distinct().withColumn("_owns", F.lit(True))
+    kept = days.join(owners, "trade_date", "left").where(F.col("_owns") | overlaps(F.col("start"), F.col("end"), F.lit(start), F.lit(end)))
+    return kept.drop("_owns"), met
+
+
+def overnight_capabilities(capabilities: DataFrame, routes: DataFrame) -> DataFrame:
+    """Capabilities whose overnight phase has a signed route (provider, feed); other phases stay."""
+    keys = ["provider", "feed"]
+    c, r = capabilities.alias("c"), routes.select(*keys).distinct().alias("r")
+    on = F.col("c.provider").eqNullSafe(F.col("r.provider")) & F.col("c.feed").eqNullSafe(F.col("r.feed"))
+    return capabilities.where("phase <> 'over'").unionByName(c.where("phase = 'over'").join(r, on, "left_semi"))
+
+
+def edge_windows(instances: DataFrame, days: DataFrame) -> DataFrame:
+    """Per trade date what lies between the day's bounds and its first and last instance."""
+    per = instances.groupBy("trade_date").agg(F.min("start").alias("first"), F.max("end").alias("last"))
+    both = days.select("trade_date", "start", "end").join(per, "trade_date")
+    edges = F.array(F.struct(F.lit("before").alias("edge"), F.col("start").alias("a"), F.col("first").alias("b")), F.struct(F.lit("after").alias("edge"), F.col("last").alias("a"), F.col("end").alias("b")))
+    return both.select("trade_date", F.explode(edges).alias("e")).select("trade_date", "e.edge", F.col("e.a").alias("start"), F.col("e.b").alias("end")).where("start < end")
+
+
+def overlay(days: DataFrame, instances: DataFrame, signed: DataFrame, now: int) -> DataFrame:
+    """Instances with the signed overnight ones (with issued, lease_end) that are trusted now and lie where the
+    calendar's own band lies; others are left out."""
+    band = overnight_instances(days).select("trade_date", F.col("start").alias("_bs"), F.col("end").alias("_be"))
+    trusted = signed.where((F.col("issued") <= now) & (F.lit(now) < F.col("lease_end"))).join(band, "trade_date").where("start >= _bs and end <= _be")
+    return instances.unionByName(trusted.select(*instances.columns))
+
+
 def runs(slices: DataFrame, keys: list[str], order: str, source: str, fetchable: Column) -> DataFrame:
     """Runs of consecutive fetchable slices with one source; slices that cannot be fetched do not break a run."""
     along = W.partitionBy(*keys).orderBy(order)

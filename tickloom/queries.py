@@ -329,12 +329,41 @@ def calendar_integrity(spark: SparkSession, sf: str) -> DataFrame:
     return calendar.calendar_violations(bent, twice)
 
 
+def sessions_in_window(spark: SparkSession, sf: str) -> DataFrame:
+    days, instances = _calendar(spark)
+    kept, met = sessions.sessions_in_window(days, instances, AS_OF["open"] - 20 * HOUR, AS_OF["open"] + 15 * HOUR)
+    return kept.select(F.col("trade_date").alias("subject"), F.lit("day").alias("kind")).union(met.select("session_instance_id", F.lit("instance")))
+
+
+def edge_windows(spark: SparkSession, sf: str) -> DataFrame:
+    days, instances = _calendar(spark)
+    return sessions.edge_windows(instances, days)
+
+
+def overnight_bands(spark: SparkSession, sf: str) -> DataFrame:
+    days, _ = _calendar(spark)
+    return calendar.overnight_instances(days).select("session_instance_id", "start", "end")
+
+
+def closed_nights(spark: SparkSession, sf: str) -> DataFrame:
+    days, _ = _calendar(spark)
+    return calendar.closed_night_bands(days)
+
+
+def coverage_evidence(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _bars(spark, sf).select(F.col("symbol").alias("session"), F.col("bar_start").alias("start"), (F.col("bar_start") + HOUR).alias("end"))
+    segments = _t(spark, sf, "customer").where("c_custkey < 200").select(F.col("c_custkey").alias("session"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("i"))
+    first = F.lit(1_704_067_200 * time.SECOND) + F.col("i") * (7 * DAY + HOUR // 2)
+    segments = segments.select("session", first.alias("start"), (first + 7 * DAY).alias("end"), F.lit("complete").alias("status"))
+    return reconcile.coverage_evidence(rows, segments, "session").select("session", "start", "end", "n_rows", "n_straddling")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         bars_ohlcv, bars_with_quote_counts, bars_sparse_grid, bar_rule_violations, dataset_facts, source_label_summary, sequence_gaps, sequence_classes, phase_assignment, session_rank, asof_session,
         provider_runs, route_choice, gap_normalize_map, gap_normalize_response, gap_merge, uncovered_windows, segment_minus_gap, coverage_status, tiling_complete, overlap_conflicts, bars_outside_gaps,
         gaps_on_slices, boundary_bars, reconcile_compare, reconcile_verdict, dedupe_conflicts, dedupe_min_encoding, lineage_orphans, pair_completeness, turn_contiguity, keyset_page, session_set_digest,
-        json_shape_violations, token_checks, rfc3339_round_trip, decimal_normal_form, digests, month_shards, symbol_partition, authority, coverage_intersection, chunk_rollup, calendar_integrity,
+        json_shape_violations, token_checks, rfc3339_round_trip, decimal_normal_form, digests, month_shards, symbol_partition, authority, coverage_intersection, chunk_rollup, calendar_integrity, sessions_in_window, edge_windows, overnight_bands, closed_nights, coverage_evidence,
     )
 }

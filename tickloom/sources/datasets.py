@@ -74,6 +74,14 @@ def read(spark: SparkSession, path: str, name: str, foreign_nanos: bool = False)
     return found
 
 
+def check_budget(spark: SparkSession, path: str, most_files: int = 1024, most_bytes: int = 512 << 20) -> None:
+    """Fails before a dataset is decoded if it has more files or bytes than allowed."""
+    folder, fs = _hadoop(spark, path)
+    sizes = [s.getLen() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".parquet")]
+    if len(sizes) > most_files or sum(sizes) > most_bytes:
+        raise errors.InputLimit(f"{len(sizes)} files of {sum(sizes)} bytes")
+
+
 def manifest_of(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(f"{path}.manifest").first()["value"])
 
