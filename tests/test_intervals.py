@@ -74,7 +74,7 @@ def test_containment_and_as_of(spark):
     h = DAY // 24
     slices = spark.createDataFrame([("a", 0, 30 * h), ("b", 30 * h, 40 * h), ("c", 35 * h, 50 * h)], "name string, start long, end long")
     rows = spark.createDataFrame([(1, 0, h), (2, 29 * h, 31 * h), (3, 36 * h, 37 * h), (4, 25 * h, 30 * h), (5, 41 * h, 50 * h)], "id int, start long, end long")
-    assert {r.id: r.name for r in I.contained_in_one(rows, slices, "id", ["name"]).collect()} == {1: "a", 2: None, 3: None, 4: "a", 5: "c"}
+    assert {r.id: r.name for r in I.contained_in_one(rows, slices, ["name"]).collect()} == {1: "a", 2: None, 3: None, 4: "a", 5: "c"}
     at = spark.createDataFrame([(1, -1), (2, 0), (3, 29 * h), (4, 30 * h), (5, 400 * h)], "id int, at long")
     got = {r.id: r.name for r in I.latest_before(at, slices.select("start", "name"), "at", ["name"]).collect()}
     assert got == {1: None, 2: "a", 3: "a", 4: "b", 5: "c"}

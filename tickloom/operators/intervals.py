@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.functions.time import day_number
+from tickloom.functions.time import DAY, day_number
+
+#: Stretch of time by which overlap joins are cut.
+GRAIN = 32 * DAY
 
 
 def _window(keys: list[str], *order) -> W:
@@ -56,12 +59,24 @@ def normalize_gaps(gaps: DataFrame, keys: list[str], order: tuple[str, ...]) ->
     return runs.groupBy(*keys, "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("reason").alias("reason")).drop("_run")
 
 
+def overlapping(windows: DataFrame, others: DataFrame, keys: list[str], grain: int = GRAIN) -> DataFrame:
+    """Pairs of a window and another interval (_cs, _ce) of its keys that overlap.
+
+    An equi-join on keys and on stretches of grain, so that a key with a long history is many small joins;
+    a pair that shares several stretches counts in the one where the later of the two begins.
+    """
+    stretch = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / grain), F.floor((F.col(b) - 1) / grain)))
+    w = windows.where("start < end").withColumn("_b", stretch("start", "end"))
+    o = others.where("_cs < _ce").withColumn("_b", stretch("_cs", "_ce"))
+    both = w.join(o, [*keys, "_b"]).where(overlaps(F.col("start"), F.col("end"), F.col("_cs"), F.col("_ce")))
+    return both.where(F.floor(F.greatest("start", "_cs") / grain) == F.col("_b")).drop("_b")
+
+
 def uncovered(windows: DataFrame, covers: DataFrame, keys: list[str], ids: list[str]) -> DataFrame:
     """The parts of each window (keys, ids, start, end) that no cover of its keys (keys, start, end) touches."""
-    w, c = windows.alias("w"), covers.select(*keys, F.col("start").alias("_cs"), F.col("end").alias("_ce")).where("_cs < _ce")
-    clipped = (
-        w.join(c, keys).where(overlaps(F.col("start"), F.col("end"), F.col("_cs"), F.col("_ce")))
-        .select(*keys, *ids, F.col("start").alias("ws"), F.col("end").alias("we"), F.greatest("start", "_cs").alias("s"), F.least("end", "_ce").alias("e"))
+    c = covers.select(*keys, F.col("start").alias("_cs"), F.col("end").alias("_ce"))
+    clipped = overlapping(windows, c, keys).select(
+        *keys, *ids, F.col("start").alias("ws"), F.col("end").alias("we"), F.greatest("start", "_cs").alias("s"), F.least("end", "_ce").alias("e")
     )
     tail = windows.select(*keys, *ids, F.col("start").alias("ws"), F.col("end").alias("we"), F.col("end").alias("s"), F.col("end").alias("e"))
     order = _window([*keys, *ids, "ws", "we"], "s", "e").rowsBetween(W.unboundedPreceding, -1)
@@ -82,15 +97,17 @@ def by_day(intervals: DataFrame, start: str = "start", end: str = "end") -> Data
     return intervals.withColumn("_day", F.explode(F.sequence(day_number(F.col(start)), day_number(F.col(end) - 1))))
 
 
-def contained_in_one(rows: DataFrame, slices: DataFrame, row_id: str, keep: list[str]) -> DataFrame:
-    """rows (row_id, start, end) with the keep columns of the slice that holds them, null unless exactly one does.
+def contained_in_one(rows: DataFrame, slices: DataFrame, keep: list[str]) -> DataFrame:
+    """rows (start, end) with the keep columns of the slice that holds them, null unless exactly one does.
 
-    Slices are broadcast by Spark if its own size estimate allows, else both sides are shuffled by day.
+    Slices are gathered per UTC day, and each row looks among those of its day: rows are joined once, by day,
+    and never shuffled by themselves where Spark finds the slices small enough to broadcast.
     """
-    s = by_day(slices).select("_day", F.col("start").alias("_ss"), F.col("end").alias("_se"), *keep)
-    held = rows.withColumn("_day", day_number(F.col("start"))).join(s, "_day").where("start >= _ss and end <= _se")
-    one = held.groupBy(row_id).agg(F.count("*").alias("n_slices"), *[F.min(k).alias(k) for k in keep]).where("n_slices = 1").drop("n_slices")
-    return rows.join(one, row_id, "left")
+    of_day = by_day(slices).groupBy("_day").agg(F.collect_list(F.struct(F.col("start").alias("_ss"), F.col("end").alias("_se"), *keep)).alias("_slices"))
+    held = rows.withColumn("_day", day_number(F.col("start"))).join(of_day, "_day", "left")
+    fits = F.filter("_slices", lambda x: (F.col("start") >= x["_ss"]) & (F.col("end") <= x["_se"]))
+    one = held.withColumn("_fit", fits).withColumn("_one", F.when(F.size("_fit") == 1, F.col("_fit")[0]))
+    return one.select(*rows.columns, *[F.col(f"_one.{k}").alias(k) for k in keep])
 
 
 def latest_before(rows: DataFrame, instances: DataFrame, at: str, keep: list[str]) -> DataFrame:
@@ -117,10 +134,9 @@ def outside(bars: DataFrame, gaps: DataFrame, keys: list[str], ids: list[str]) -
 
 def clip_to(gaps: DataFrame, slices: DataFrame, keys: list[str]) -> DataFrame:
     """Gaps cut to the slices of their keys that they overlap."""
-    s = slices.select(*keys, F.col("start").alias("_ss"), F.col("end").alias("_se"))
-    both = gaps.join(s, keys).where(overlaps(F.col("start"), F.col("end"), F.col("_ss"), F.col("_se")))
+    both = overlapping(gaps, slices.select(*keys, F.col("start").alias("_cs"), F.col("end").alias("_ce")), keys)
     rest = [c for c in gaps.columns if c not in ("start", "end", *keys)]
-    return both.select(*keys, F.greatest("start", "_ss").alias("start"), F.least("end", "_se").alias("end"), *rest)
+    return both.select(*keys, F.greatest("start", "_cs").alias("start"), F.least("end", "_ce").alias("end"), *rest)
 
 
 def tiling(bars: DataFrame, phases: DataFrame, keys: list[str], step: int) -> DataFrame:

@@ -38,7 +38,7 @@ def map_page(rows: DataFrame, provenance: DataFrame, slices: DataFrame, expected
     """
     source = provenance.select("provenance_id", F.col("provider").alias("p_provider"), F.col("feed").alias("p_feed"), "entitlement")
     joined = rows.join(source, "provenance_id", "left")
-    held = contained_in_one(joined.drop("session_instance_id"), slices, "row_id", ["session_instance_id", "slice_provisional"])
+    held = contained_in_one(joined.drop("session_instance_id"), slices, ["session_instance_id", "slice_provisional"])
     reason = F.coalesce(row_reason(expected, F.lit(request_start), F.lit(request_end)), F.when(F.col("session_instance_id").isNull(), "unknown"))
     judged = held.withColumn("reason", reason)
     good = judged.where("reason is null").drop("reason")

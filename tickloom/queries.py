@@ -99,7 +99,7 @@ def _calendar(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
 def phase_assignment(spark: SparkSession, sf: str) -> DataFrame:
     _, instances = _calendar(spark)
     rows = _events(spark, sf).select("event_id", F.col("source_ns").alias("start"), (F.col("source_ns") + 60 * time.SECOND).alias("end"))
-    return I.contained_in_one(rows, instances, "event_id", ["session_instance_id"]).select("event_id", "session_instance_id")
+    return I.contained_in_one(rows, instances, ["session_instance_id"]).select("event_id", "session_instance_id")
 
 
 AS_OF = {"open": 1_704_985_200 * time.SECOND, "closed": 1_705_190_400 * time.SECOND}
