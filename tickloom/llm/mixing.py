@@ -11,6 +11,8 @@ construction), bucket totals are summed first, and only rows of one bucket are o
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -59,7 +61,7 @@ def _with_running(rows: DataFrame, flow: list[str], bucket: str, order: list, va
     return joined.withColumn(out, F.col("_before") + F.sum(value).over(inside)).drop("_before")
 
 
-def schedule(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17, rows_per_bucket: int = 4096) -> DataFrame:
+def schedule(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17, rows_per_bucket: int | None = None) -> DataFrame:
     """One row per document row: id, size, source, source_size, target, finish (of the first pass), lap
     (virtual time of a whole pass of its source) and passes, how often the mix takes it.
 
@@ -71,7 +73,9 @@ def schedule(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     rows = stage(
         docs.select(F.col(doc_id).alias("id"), word_count(text).alias("size"), F.col(source).cast("string").alias("source")).withColumn("key", key), "sizes"
     )
-    n = max(1, rows.count() // rows_per_bucket)
+    # buckets of about the root of the rows: ordering one, and adding up all, take tasks of like size
+    total = rows.count()
+    n = max(1, total // (rows_per_bucket or max(512, math.isqrt(total))))
     sizes = targets(rows.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")))
     # shuffle keys are uniform over the longs; a document's bucket is the part its key falls in
     part = F.least(F.floor((F.col("key") / F.lit(2.0**64) + F.lit(0.5)) * n), F.lit(n - 1)).cast("int")
@@ -108,7 +112,7 @@ def _cut(queued: DataFrame, budget: float):
         return queued.agg(F.max(F.struct("at", "key", "source", "id", "size")).alias("m")).first()["m"]
     before = ends["total"] - ends["tokens"]
     order = W.orderBy("at", "key", F.coalesce("source", F.lit("")), F.col("id").asc_nulls_first(), "size").rowsBetween(W.unboundedPreceding, 0)
-    # one slot of virtual time: about rows_per_bucket rows, whatever the size of the input
+    # one slot of virtual time: about as many rows as a bucket
     inside = queued.where(F.col("slot") == ends["slot"]).withColumn("total", F.sum("size").over(order) + before)
     last = inside.where(F.col("total") <= budget).orderBy(F.col("total").desc(), F.col("at").desc(), F.col("key").desc()).limit(1).first()
     if last is not None:
