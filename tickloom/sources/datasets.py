@@ -5,11 +5,11 @@ from __future__ import annotations
 import json
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import errors
-from tickloom.operators.bars import bar_rules, broken_rules, grid_violations, null_counts, require
+from tickloom.operators.bars import bar_rules, grid_violations, require
 from tickloom.sources.envelopes import event_rules
 from tickloom.sources.schemas import SCHEMAS, check_schema, fingerprint, required
 
@@ -21,23 +21,40 @@ def _hadoop(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def content_digest(rows: DataFrame) -> dict:
-    """Row count and an order-independent digest of all rows: sums of two 64-bit hashes, one pass, no sort.
-
-    Spark's files differ from run to run, so datasets are compared by content, not by bytes.
-    """
+def _digest_columns(rows: DataFrame) -> list[Column]:
     columns = [F.col(c) for c in rows.columns]
-    one, two = F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)
-    found = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(one.cast("decimal(38,0)")), F.lit(0)).cast("string").alias("a"), F.coalesce(F.sum(two.cast("decimal(38,0)")), F.lit(0)).cast("string").alias("b")).first()
-    return {"rows": found["rows"], "digest": f"{found['a']}/{found['b']}"}
+    sums = [F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)]
+    return [F.count("*").alias("_rows"), *[F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("string").alias(f"_{i}") for i, h in enumerate(sums)]]
 
 
-def check_nulls(rows: DataFrame, name: str) -> None:
-    needed = required(name)
-    found = null_counts(rows, needed).first()
+def content_digest(rows: DataFrame, name: str | None = None) -> dict:
+    """Row count and an order-independent digest of all rows: sums of two 64-bit hashes, one pass, no sort.
+
+    Spark's files differ from run to run, so datasets are compared by content, not by bytes. With a schema's
+    name the same pass counts nulls, and fails if a required column has one.
+    """
+    needed = required(name) if name else []
+    found = rows.agg(*_digest_columns(rows), *[F.count_if(F.col(c).isNull()).alias(c) for c in needed]).first()
     bad = [c for c in needed if found[c]]
     if bad:
         raise errors.Contract(f"{name}: null in {', '.join(bad)}")
+    return {"rows": found["_rows"], "digest": f"{found['_0']}/{found['_1']}"}
+
+
+def check_rules(rows: DataFrame, rules: dict[str, Column]) -> None:
+    """Fails, naming the rule, if any row breaks one; one pass counts all."""
+    found = rows.agg(*[F.count_if(~F.coalesce(ok, F.lit(False))).alias(name) for name, ok in rules.items()]).first()
+    for name in sorted(rules):
+        if found[name]:
+            raise errors.Contract(f"{found[name]} rows break {name}")
+
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file."""
+    target, fs = _hadoop(spark, path)
+    out = fs.create(target, False)
+    out.write(bytearray(text.encode()))
+    out.close()
 
 
 def write(rows: DataFrame, path: str, name: str, codec: str = "zstd") -> dict:
@@ -49,18 +66,15 @@ def write(rows: DataFrame, path: str, name: str, codec: str = "zstd") -> dict:
     ordered = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
     rules = {"trade_bar": bar_rules, "event_v1": event_rules}.get(name)
     if rules:
-        broken = broken_rules(ordered, rules()).groupBy("rule").count().orderBy("rule").first()
-        if broken:
-            raise errors.Contract(f"{broken['count']} rows break {broken['rule']}")
+        check_rules(ordered, rules())
     ordered.write.mode("errorifexists").options(**{**WRITER, "compression": codec}).parquet(path)
     back = rows.sparkSession.read.schema(SCHEMAS[name]).parquet(path)
-    manifest = {"schema": name, "fingerprint": fingerprint(name), **content_digest(back), "published_at": int(time.time())}
+    manifest = {"schema": name, "fingerprint": fingerprint(name), **content_digest(back, name), "published_at": int(time.time())}
     if not manifest["rows"]:
         raise errors.Contract("empty dataset")
-    check_nulls(back, name)
     if name == "trade_bar":
         require(grid_violations(back))
-    rows.sparkSession.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.text(f"{path}.manifest")
+    _put(rows.sparkSession, f"{path}.manifest", json.dumps(manifest))
     return manifest
 
 
@@ -91,10 +105,9 @@ def verify(spark: SparkSession, path: str, name: str) -> dict:
     manifest, rows = manifest_of(spark, path), read(spark, path, name)
     if (manifest["schema"], manifest["fingerprint"]) != (name, fingerprint(name)):
         raise errors.Contract("fingerprint")
-    found = content_digest(rows)
+    found = content_digest(rows, name)
     if {k: manifest[k] for k in found} != found:
         raise errors.Contract("content differs from the manifest")
-    check_nulls(rows, name)
     return manifest
 
 
@@ -130,10 +143,9 @@ def publish_version(rows: DataFrame, root: str, key: str, version: str, expires:
 
 
 def _point(spark: SparkSession, root: str, key: str, pointer: dict) -> None:
-    fresh, fs = _hadoop(spark, f"{root}/{key}/current.{time.time_ns()}")
-    out = fs.create(fresh, False)
-    out.write(bytearray(json.dumps(pointer).encode()))
-    out.close()
+    name = f"{root}/{key}/current.{time.time_ns()}"
+    _put(spark, name, json.dumps(pointer))
+    fresh, fs = _hadoop(spark, name)
     # pointers are never overwritten: the newest name is current
     target, _ = _hadoop(spark, f"{root}/{key}/pointer-{time.time_ns():020d}.json")
     if not fs.rename(fresh, target):
