@@ -63,7 +63,7 @@ def test_mixing_against_brute_force(spark):
         assert 0 <= r.passes <= 2
         taken[r.source] += r.size * r.passes
     for s, t in want.items():
-        assert abs(taken[s] - t) <= 400
+        assert abs(taken[s] - t) <= 300  # with buckets of 16 documents of up to 400 words
     assert sum(taken.values()) <= 1.5 * sum(sizes.values())
     assert sum(taken.values()) > 1.5 * sum(sizes.values()) - 400
     mixed = mix(docs)

@@ -3,7 +3,8 @@
 Each source is a flow. Its documents are shuffled by a keyed hash and queued once per pass; a document's
 virtual finish time is the source's tokens up to and including it, divided by the source's target. All
 flows then advance at the rates of their targets, so sorting every document globally by finish time and
-truncating at the total budget takes each source to its target.
+truncating at the total budget takes each source to its target. Where a source reaches its target, documents
+that would cross it wait for smaller ones behind them, so that whole documents come close to it.
 
 Running totals never put a source into one task: rows fall into buckets by their shuffle key (uniform by
 construction), bucket totals are summed first, and only rows of one bucket are ordered together.
@@ -13,6 +14,9 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -44,21 +48,49 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     )
     # the level at which a source would not be full, taken at the first such source
     first = levels.withColumn("common", F.min(F.when(F.col("level") < F.col("full_at"), F.struct("full_at", "level"))).over(W.partitionBy())["level"])
-    return first.select("source", "source_size", "weight", F.when(F.col("common").isNull(), cap).otherwise(F.least(cap, F.col("common") * F.col("weight"))).alias("target"))
-
-
-
-def _with_running(rows: DataFrame, flow: list[str], bucket: str, order: list, value: str, out: str) -> DataFrame:
-    """Running total of value per flow in the order of (bucket, order), own row included."""
-    totals = rows.groupBy(*flow, bucket).agg(F.sum(value).alias("_in"))
-    before = totals.withColumn("_before", F.coalesce(F.sum("_in").over(W.partitionBy(*flow).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_in")
-    keys = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*flow, bucket]]
-    on = keys[0]
-    for k in keys[1:]:
-        on = on & k
-    joined = rows.alias("a").join(before.alias("b"), on).select("a.*", "_before")
-    inside = W.partitionBy(*flow, bucket).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    return joined.withColumn(out, F.col("_before") + F.sum(value).over(inside)).drop("_before")
+    return first.select(*sizes.columns, "weight", F.when(F.col("common").isNull(), cap).otherwise(F.least(cap, F.col("common") * F.col("weight"))).alias("target"))
+
+
+def _fill(bucket: pa.Table) -> pa.Table:
+    """The bucket in which a flow reaches its target: documents that would cross it wait until smaller ones
+    behind them have passed. Adds the running total."""
+    bucket = bucket.take(pc.sort_indices(bucket, sort_keys=[("key", "ascending"), ("id", "ascending"), ("size", "ascending")], null_placement="at_start"))
+    sizes, before = bucket["size"].to_pylist(), bucket["before"][0].as_py()
+    room, first, later = bucket["edge"][0].as_py() - before, [], []
+    for i, size in enumerate(sizes):
+        if size <= room:
+            room -= size
+            first.append(i)
+        else:
+            later.append(i)
+    bucket = bucket.take(pa.array([*first, *later], pa.int64()))
+    total = before + np.cumsum(bucket["size"].to_numpy())
+    return bucket.append_column("total", pa.array(total, pa.int64()))
+
+
+def _queues(rows: DataFrame, sizes: DataFrame, per_bucket: int) -> DataFrame:
+    """rows (id, size, source, key) with their source's size and target, and total: the source's tokens up to
+    and including the document."""
+    r, s = rows.alias("r"), sizes.alias("s")
+    # shuffle keys are uniform over the longs; a document's bucket is the part of its source that its key falls in
+    of = F.greatest(F.lit(1), F.floor(F.col("n_docs") / per_bucket))
+    part = F.least(F.floor((F.col("key") / F.lit(2.0**64) + F.lit(0.5)) * of), of - 1)
+    rows = r.join(s, F.col("r.source").eqNullSafe(F.col("s.source"))).select("r.*", part.cast("long").alias("part"))
+    parts = rows.groupBy("source", "part").agg(F.sum("size").alias("inside"))
+    earlier = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.withColumn("before", F.coalesce(F.sum("inside").over(earlier), F.lit(0)).cast("long"))
+    p = parts.alias("p")
+    # where in its queue, in the first pass or a later one, a source reaches its target
+    edge = F.col("target") - F.col("source_size") * F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)))
+    known = p.join(s, F.col("p.source").eqNullSafe(F.col("s.source"))).select("p.source", "part", "before", "inside", "source_size", "target", F.coalesce(edge, F.lit(0.0)).alias("edge")).alias("k")
+    r = rows.alias("r")
+    on = F.col("r.source").eqNullSafe(F.col("k.source")) & (F.col("r.part") == F.col("k.part"))
+    joined = r.join(known, on).select("r.*", "before", "inside", "source_size", "target", "edge")
+    reached = (F.col("before") < F.col("edge")) & (F.col("edge") < F.col("before") + F.col("inside"))
+    inside = W.partitionBy("source", "part").orderBy("key", F.col("id").asc_nulls_first(), "size").rowsBetween(W.unboundedPreceding, 0)
+    plain = joined.where(~reached).withColumn("total", (F.col("before") + F.sum("size").over(inside)).cast("long"))
+    # at most one bucket of each source
+    return plain.union(joined.where(reached).groupBy("source", "part").applyInArrow(_fill, plain.schema))
 
 
 def schedule(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17, rows_per_bucket: int | None = None) -> DataFrame:
@@ -75,14 +107,11 @@ def schedule(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     )
     # buckets of about the root of the rows: ordering one, and adding up all, take tasks of like size
     total = rows.count()
-    n = max(1, total // (rows_per_bucket or max(512, math.isqrt(total))))
-    sizes = targets(rows.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")))
-    # shuffle keys are uniform over the longs; a document's bucket is the part its key falls in
-    part = F.least(F.floor((F.col("key") / F.lit(2.0**64) + F.lit(0.5)) * n), F.lit(n - 1)).cast("int")
-    running = _with_running(rows.withColumn("part", part), ["source"], "part", ["key", F.col("id").asc_nulls_first(), "size"], "size", "total")
-    on = F.col("r.source").eqNullSafe(F.col("s.source"))
+    per_bucket = rows_per_bucket or max(512, math.isqrt(total))
+    n = max(1, total // per_bucket)
+    sizes = targets(rows.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"), F.count("*").alias("n_docs")))
     timed = stage(
-        running.alias("r").join(sizes.alias("s"), on).select("id", "size", "r.source", "source_size", "target", "key", (F.col("total") / F.nullif(F.col("target"), F.lit(0.0))).alias("finish"), (F.col("source_size") / F.nullif(F.col("target"), F.lit(0.0))).alias("lap")),
+        _queues(rows, sizes, per_bucket).select("id", "size", "source", "source_size", "target", "key", (F.col("total") / F.nullif(F.col("target"), F.lit(0.0))).alias("finish"), (F.col("source_size") / F.nullif(F.col("target"), F.lit(0.0))).alias("lap")),
         "timed",
     )
     queued = (
