@@ -67,6 +67,7 @@ def test_mixing_against_brute_force(spark):
     assert sum(taken.values()) <= 1.5 * sum(sizes.values())
     assert sum(taken.values()) > 1.5 * sum(sizes.values()) - 400
     mixed = mix(docs)
+    plan = schedule(docs).collect()
     assert mixed.columns == docs.columns
     assert Counter(r.doc_id for r in mixed.collect() if r.doc_id is not None and r.doc_id not in (5, 7)) == Counter({r.id: r.passes for r in plan if r.passes and r.id is not None and r.id not in (5, 7)})
 

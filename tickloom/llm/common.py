@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A word of a text: a run of anything but space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -27,12 +29,25 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{own}"
 
 
+@contextlib.contextmanager
+def _freed_shuffles(spark: SparkSession):
+    """While a table is staged, Spark deletes its shuffle files as soon as it is written, not at some later
+    garbage collection: nothing reads them again."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: the lineage ends there, and a lost
     executor costs no more than the tasks it ran."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _freed_shuffles(spark):
+        df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._staged_at = path
     return back
