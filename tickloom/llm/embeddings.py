@@ -49,6 +49,10 @@ class Caps:
 
         self.cells = size * -(-size // CELL)
 
+    def __reduce__(self):
+        """Tasks draw the codebooks again from their seed: nothing that grows with the data is sent."""
+        return Caps, (self.dim, self.size, self.threshold)
+
     def scores(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return x[:, : self.cut] @ self.books[0].T, x[:, self.cut :] @ self.books[1].T
 
