@@ -94,3 +94,14 @@ def test_stream_bars_equal_batch(spark, tmp_path):
     order = F.struct("t", "arrival")
     bars = rows.groupBy(F.window("t", "1 minute")["start"].alias("b")).agg(F.min_by("price", order), F.max("price"), F.min("price"), F.max_by("price", order), F.sum("size"), F.count("*")).collect()
     assert got == {r[0]: tuple(r[1:]) for r in bars} and len(got) == 10
+
+
+def test_stream_keeps_messages_once_and_its_ledger(spark, tmp_path):
+    schema = "provider string, feed string, generation long, sequence long, arrival long"
+    for part, numbers in enumerate(([1, 2, 5], [5, 6, 9])):
+        spark.createDataFrame([("p", "f", 1, n, part * 10 + i) for i, n in enumerate(numbers)], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = ingest.classify_stream(ingest.read_events(spark, f"{tmp_path}/in", schema, files_per_trigger=100))
+    ingest.persist(stream, f"{tmp_path}/out", f"{tmp_path}/ck")
+    assert sorted(r.sequence for r in spark.read.parquet(f"{tmp_path}/out/messages").collect()) == [1, 2, 5, 6, 9]
+    ledger = spark.read.parquet(f"{tmp_path}/out/ledger").orderBy("arrival").collect()
+    assert [(r.reason, r.missing_start, r.missing_end) for r in ledger] == [("gap", 3, 4), ("duplicate_or_reordered", None, None), ("gap", 7, 8)]

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tickloom.operators.sequence import gap_ledger
+
 CHECKED = "provider string, feed string, generation long, sequence long, arrival long, decision string, missing_first long, missing_last long"
 CURSOR = "generation long, sequence long"
 
@@ -75,6 +77,22 @@ def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
         raise query.exception()
 
 
+def persist(checked: DataFrame, root: str, checkpoint: str) -> None:
+    """Write a classified stream's batches, ledger first, each under its own epoch.
+
+    A batch that is repeated after a failure overwrites its own folder, so every message is kept exactly once.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        gap_ledger(batch).write.mode("overwrite").parquet(f"{root}/ledger/epoch={epoch}")
+        batch.where("decision in ('accept', 'gap')").write.mode("overwrite").parquet(f"{root}/messages/epoch={epoch}")
+
+    query = checked.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
 def newest(log: DataFrame, order: str, most: int = 128) -> DataFrame:
     """The last entries of an append-only log."""
     return log.orderBy(F.col(order).desc()).limit(most)
