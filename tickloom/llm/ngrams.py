@@ -37,7 +37,7 @@ from tickloom.llm.features import word_hashes
 from tickloom.llm.tokens import in_slices, words_of
 
 DISCOUNT, PRIOR = 0.75, 0.1
-BLOCK_TOKENS, SHARD_TOKENS = 2_000_000, 1_000_000
+BLOCK_TOKENS, SHARD_TOKENS = 1_500_000, 1_000_000
 HOT = 1024
 #: Stands for the end of a text among words; no word holds a space.
 END = " "
