@@ -110,6 +110,24 @@ def _lister(caps: dict[int, Caps]):
     return run
 
 
+def share_a_cell_before(key: int, cells: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of pairs of members (i, j), whether they share a cell below key, where they have been met already."""
+    rows, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+    below = [(c := np.asarray(cells[r]))[: np.searchsorted(c, key)] for r in rows.tolist()]
+    owner = np.repeat(np.arange(len(rows)), [len(c) for c in below])
+    _, column, often = np.unique(np.concatenate(below), return_inverse=True, return_counts=True)
+    common = often[column] > 1
+    owner, column = owner[common], np.unique(column[common], return_inverse=True)[1]
+    shared = np.zeros((len(rows), len(rows)), dtype=np.float32)
+    for start in range(0, int(column.max(initial=-1)) + 1, 4096):
+        here = (column >= start) & (column < start + 4096)
+        member = np.zeros((len(rows), 4096), dtype=np.float32)
+        member[owner[here], column[here] - start] = 1
+        width = int(column[here].max(initial=start)) - start + 1
+        shared += member[:, :width] @ member[:, :width].T
+    return shared[at[: len(i)], at[len(i) :]] > 0
+
+
 def _verifier(cosine: float):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -120,14 +138,18 @@ def _verifier(cosine: float):
                 near = np.triu(x @ x.T >= cosine, 1)
                 if lo != hi:  # pairs inside one block are met where lo = hi
                     near &= block[:, None] != block[None, :]
+                i, j = np.nonzero(near)
+                if not len(i):
+                    continue
+                first = ~share_a_cell_before(key, [m["cells"] for m in members], i, j)
+                i, j = i[first], j[first]
+                copies = np.array([m["copies"] for m in members], dtype=np.int64)
                 links = np.zeros(len(members), dtype=np.int64)
+                np.add.at(links, i, copies[j])
+                np.add.at(links, j, copies[i])
                 forest = Forest(len(members))
-                for i, j in zip(*(k.tolist() for k in np.nonzero(near))):
-                    common = np.intersect1d(members[i]["cells"], members[j]["cells"], assume_unique=True)
-                    if common[0] == key:
-                        links[i] += members[j]["copies"]
-                        links[j] += members[i]["copies"]
-                        forest.link(i, j)
+                for x, y in zip(i.tolist(), j.tolist()):
+                    forest.link(x, y)
                 for i in np.flatnonzero(links).tolist():
                     us.append(members[i]["rep"])
                     vs.append(None)
