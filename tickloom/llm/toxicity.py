@@ -82,9 +82,9 @@ def sketches(texts: pa.Array) -> np.ndarray:
 
 
 def style_votes(text: str) -> tuple[bool, bool]:
-    """Mostly capitals; many exclamation marks."""
-    letters = sum(map(str.isalpha, text[: 1 << 16]))
-    return sum(map(str.isupper, text[: 1 << 16])) * 2 > letters > 20, text.count("!") * 20 > len(text) > 0
+    """Mostly capitals; many exclamation marks. Both are counted over the whole text."""
+    letters = sum(map(str.isalpha, text))
+    return sum(map(str.isupper, text)) * 2 > letters > 20, text.count("!") * 20 > len(text) > 0
 
 
 class Voters:
