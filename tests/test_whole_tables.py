@@ -1,5 +1,6 @@
 """Queries without SQL read whole tables: brute force."""
 
+import hashlib
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -31,3 +32,19 @@ def test_every_user_has_evidence_with_a_digest(spark, tmp_path):
     assert len(at_least_one) == bars > 0
     assert {k: v for k, v in got.items() if v[0] or v[1]} == want
     assert {k[0] for k in got} == set(range(260)) | {7000} and {k[1] for k in got} == {BASE + i * STEP for i in range(5)}
+
+
+def test_chunks_digest_all_lines_in_order(spark, sf):
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    ns = lines.withColumn("l_shipdate", (F.unix_micros(F.col("l_shipdate").cast("timestamp")) * 1000))
+    order = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    chunks, sha = defaultdict(list), lambda text: hashlib.sha256(text.encode()).hexdigest()
+    for r in ns.select(*order, F.to_json(F.struct(*ns.columns)).alias("j")).collect():
+        chunks[r.l_orderkey // 1000].append((*[r[c] for c in order], sha(r.j)))
+    want, fold = {}, ""
+    for c in sorted(chunks):
+        want[c] = len(chunks[c]), sha("\n".join(x[-1] for x in sorted(chunks[c])))
+        fold = sha(fold + want[c][1])
+    got = WITHOUT_SQL["chunk_rollup_all"](spark, sf).collect()
+    assert {r.chunk: (r.n_rows, r.digest) for r in got} == want
+    assert sum(r.n_rows for r in got) == lines.count() and {(r.rollup, r.n_chunks) for r in got} == {(fold, len(want))}
