@@ -1,0 +1,24 @@
+"""Formats with little room, and numbers and secrets beside other text."""
+
+import re
+
+import pytest
+
+from tickloom.llm import pii
+
+
+def test_a_used_up_format_gets_more_room(spark):
+    lan = [f"192.168.{a}.{b}" for a in range(10) for b in range(10)]
+    docs = spark.createDataFrame([(i, f"host {x} up") for i, x in enumerate(lan)], "doc_id long, text string")
+    new = [re.search(r"host (\S+) up", r.text)[1] for r in pii.replace_pii(docs).collect()]
+    assert len(set(new)) == 100 and not set(new) & set(lan)
+    assert all(x.startswith("192.168.") for x in new)
+
+
+@pytest.mark.parametrize("kind, entity", [("ip", "192.168.1.1"), ("ip", "10.1.1.1"), ("ip", "1.1.1.1"), ("email", "a@b.co"), ("phone", "+12345")])
+def test_room_grows_with_attempts(kind, entity):
+    drawn = [len({pii.surrogate(kind, entity, a, bytes([k // 256, k % 256])) for k in range(2000) for a in (8 * step,)}) for step in (0, 2)]
+    assert drawn[1] > 1900 and (drawn[0] < 1900)
+    for attempt in range(0, 40, 4):
+        new = pii.written(entity, kind, pii.surrogate(kind, entity, attempt, b"k"))
+        assert kind != "ip" or pii.IPV4.fullmatch(new)

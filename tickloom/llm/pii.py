@@ -29,6 +29,8 @@ from tickloom.llm.common import stage, unstage
 from tickloom.llm.tokens import in_slices
 
 ROUNDS = 40
+#: Draws after which a format gets more room, by one step each time: it may be used up.
+WIDER = 8
 #: Redrawn entities up to which they are sent along with every task (about 10 MB); beyond it they are joined.
 MOST_SENT = 100_000
 
@@ -199,18 +201,21 @@ class Draw:
 
 def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
     """The entity's surrogate in the same written form as the entity."""
-    draw = Draw(key, kind, entity, attempt)
+    draw, wider = Draw(key, kind, entity, attempt), attempt // WIDER
     if kind == "email":
         local, domain = entity.rsplit("@", 1)
         name, top = domain.rsplit(".", 1)
-        return f"{draw.like(local)}@{draw.like(name)}.{top}"
+        return f"{draw.like(local + 2 * wider * 'x')}@{draw.like(name)}.{top}"
     if kind == "ip":
         parts = entity.split(".")
         spans = {1: (0, 9), 2: (10, 99), 3: (100, 255)}
         private = 2 if entity.startswith("192.168.") else 1 if parts[0] in ("10", "127") else 0
+        # wider: other lengths in the same block, then the largest private block, then any address
+        if wider >= 2:
+            parts, private = (["10", *parts[1:]], 1) if private and wider == 2 else (parts, 0)
         out = parts[:private]
         for i in range(private, 4):
-            low, high = spans[len(parts[i])]
+            low, high = (int(i == 0), 255) if wider else spans[len(parts[i])]
             out.append(str(low + draw.below(min(high, 223 if i == 0 else 255) - low + 1)))
         return ".".join(out)
     if kind == "card":
@@ -221,7 +226,7 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
         return draw.digits(len(entity))
     if kind == "phone":
         keep = 2 if entity.startswith("+") else 0  # the country code's first digit
-        return entity[:keep] + draw.digits(len(entity) - keep)
+        return entity[:keep] + draw.digits(len(entity) - keep + 2 * wider)
     if kind == "iban":
         body = draw.like(entity[4:])
         return f"{entity[:2]}{98 - iban_check(entity[:2] + '00' + body):02d}{body}"
@@ -240,13 +245,13 @@ def written(original: str, kind: str, new: str) -> str:
     """The surrogate in the layout and case of the original."""
     if kind in ("card", "ssn", "phone", "iban"):
         symbols = iter(new.replace("+", ""))
-        return "".join(next(symbols) if c.isalnum() else c for c in original)
+        return "".join(next(symbols) if c.isalnum() else c for c in original) + "".join(symbols)
     if original.isupper() and any(c.isalpha() for c in original):
         return new.upper()
     if kind.startswith(("given", "surname")):
         return new[:1].upper() + new[1:]
     if kind == "email":
-        return "".join(c.upper() if o.isupper() else c for o, c in zip(original, new))
+        return "".join(c.upper() if o.isupper() else c for o, c in zip(original.ljust(len(new)), new))
     return new
 
 
