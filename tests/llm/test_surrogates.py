@@ -22,3 +22,26 @@ def test_room_grows_with_attempts(kind, entity):
     for attempt in range(0, 40, 4):
         new = pii.written(entity, kind, pii.surrogate(kind, entity, attempt, b"k"))
         assert kind != "ip" or pii.IPV4.fullmatch(new)
+
+
+def test_a_phone_ends_before_its_neighbours():
+    phone = "+1 (826) 555-4081"
+    kinds = lambda text: [(k, text[a:b]) for a, b, k, _ in pii.detect(text)]
+    assert kinds(f"{phone} 7536784127813050") == [("phone", phone), ("card", "7536784127813050")]
+    assert kinds(f"{phone} 190.137.223.204") == [("phone", phone), ("ip", "190.137.223.204")]
+    assert kinds(f"{phone} 2024") == kinds(f"{phone} 1234567") == kinds(phone) == [("phone", phone)]
+    assert kinds("+44 20 7946 0958 7536784127813050") == [("phone", "+44 20 7946 0958"), ("card", "7536784127813050")]
+    assert kinds("+44 20 7946 0958 190.137.223.204") == [("phone", "+44 20 7946 0958"), ("ip", "190.137.223.204")]
+    assert kinds("+44 20 7946 0958 123456789") == kinds("+44 20 7946 0958 2024") == [("phone", "+44 20 7946 0958")]
+    assert kinds("(826) 555-4081 2024") == [("phone", "(826) 555-4081")]
+    for whole in ("+49 30 1234 5678", "+33 12.23.45.67.89", "+49.30.12.34.56", "(030) 1234 5678"):
+        assert kinds(whole) == [("phone", whole)]
+
+
+def test_a_secret_is_taken_to_its_end():
+    secret = lambda text: [text[a:b] for a, b, k, _ in pii.detect(text) if k == "secret"]
+    assert secret('password = "Tr0ub4dor!xyz99"') == ["Tr0ub4dor!xyz99"]
+    assert secret("pwd: 'p@ss(w0rd)&more'") == ["p@ss(w0rd)&more"]
+    assert secret('token="longsecret with a space"') == ["longsecret with a space"]
+    assert secret("password=Tr0ub4dor!xyz99&user=me") == ["Tr0ub4dor!xyz99"]
+    assert secret('the secret: "be kind to all"') == []

@@ -42,11 +42,16 @@ IPV4 = re.compile(r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?:25[0-5]|2[0-4]\d|
 CARD = re.compile(r"\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}|3[47]\d{2}([ -]?)\d{6}\2\d{5}")
 SSN = re.compile(r"\d{3}-\d{2}-\d{4}")
 PHONE = re.compile(r"\+ ?\d{1,3}(?:[ ./-]?\(?\d{2,5}\)?)(?:[ ./-]?\d{2,5}){1,4}|\(\d{2,5}\)[ ./-]?\d{2,5}(?:[ ./-]?\d{2,5}){1,3}|\d{3}[ .-]\d{3}[ .-]\d{4}")
+#: The fixed length of numbers of country code 1; no number has more than MOST_DIGITS digits (E.164).
+NANP = re.compile(r"(?:\+ ?1[ ./-]?)?\(?\d{3}\)?[ ./-]?\d{3}[ ./-]?\d{4}(?![./-]?\d)")
+MOST_DIGITS = 15
 NUMBERS = (("ip", IPV4), ("card", CARD), ("ssn", SSN), ("phone", PHONE))
 GROUP, MARKS = re.compile(r"[+(]? ?\d*"), re.compile(r"[ ./)-]*")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])")
-#: An assigned value; what stands before it decides whether it is a secret.
-ASSIGNED = re.compile(r"[=:]\s{0,4}[\"'`]?([A-Za-z0-9_+/.\-]{8,}={0,2})")
+#: An assigned value, quoted or not; what stands before it decides whether it is a secret. A quoted one with spaces starts with a long word.
+ASSIGNED = re.compile(
+    r"[=:]\s{0,4}(?:([\"'`])((?:\\.|(?!\1)[^\\\s]){8,256}|(?=[A-Za-z0-9_+/.\-]{8})(?:\\.|(?!\1)[^\\\n]){8,256})\1|[\"'`]?([A-Za-z0-9_+/.\-][A-Za-z0-9_+/.\-!@#$%^*~]{7,}={0,2}))"
+)
 SECRET_NAME = re.compile(r"(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|access[_ -]?key|private[_ -]?key|client[_ -]?secret|credential)s?[\"'`]?\s{0,4}$", re.IGNORECASE)
 KNOWN_SECRET = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,})")
 #: Titles of address with the gender they tell.
@@ -107,8 +112,9 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
     if "=" in text or ":" in text:
         for m in ASSIGNED.finditer(text):
             if SECRET_NAME.search(text, max(0, m.start() - 24), m.start()):
-                value = m[1].rstrip(".")
-                found.append((1, m.start(1), m.start(1) + len(value), "secret", value.lower() if _hex(value) else value))
+                group = 2 if m[2] else 3
+                value = m[2] or m[3].rstrip(".!")
+                found.append((1, m.start(group), m.start(group) + len(value), "secret", value.lower() if _hex(value) else value))
     if "AKIA" in text or "gh" in text or "sk-" in text or "xox" in text or "eyJ" in text:
         found += [(1, m.start(), m.end(), "secret", m[0]) for m in KNOWN_SECRET.finditer(text)]
     for run in NUMBER.finditer(text):
@@ -140,6 +146,8 @@ def _numbers(text: str, at: int, end: int) -> Iterator[tuple[int, int, int, str,
     while end - at >= 7:
         for kind, pattern in NUMBERS:
             m = pattern.match(text, at, end)
+            if m and kind == "phone":
+                m = _phone(text, m, end)
             if m and _alone(text, m):
                 digits = m[0] if kind == "ip" else "+" * (kind == "phone" and m[0][0] == "+") + re.sub(r"\D", "", m[0])
                 yield 2, m.start(), m.end(), kind, digits
@@ -150,6 +158,23 @@ def _numbers(text: str, at: int, end: int) -> Iterator[tuple[int, int, int, str,
         at = MARKS.match(text, at, end).end()
 
 
+def _phone(text: str, m: re.Match, end: int) -> re.Match | None:
+    """The phone that starts where m does, without what follows it: the longest that ends with its group of digits."""
+    fixed = NANP.match(text, m.start(), end) if m[0].startswith(("(", "+1", "+ 1")) else None
+    if fixed and _alone(text, fixed):
+        return fixed
+    last = m.end()
+    for at in range(m.start() + 3, m.end()):
+        if text[at - 1] == " " and text[at].isdigit() and any((other := p.match(text, at, end)) and _alone(text, other) and not re.match(r"\.?\d", text[other.end() : other.end() + 2]) for p in (IPV4, CARD)):
+            last = at
+            break
+    for stop in range(last, m.start() + 6, -1):
+        short = PHONE.fullmatch(text, m.start(), stop)
+        if short and _alone(text, short) and sum(map(str.isdigit, short[0])) <= MOST_DIGITS:
+            return short
+    return None
+
+
 def _resolved(found: list[tuple[int, int, int, str, str]]) -> list[tuple[int, int, str, str]]:
     """By position, without any that overlaps one of a lower rank."""
     kept: list[tuple[int, int, str, str]] = []
