@@ -1,5 +1,6 @@
 """Findings on cuts: what lies beyond them counts."""
 
+from tickloom.llm.packing import pack
 from tickloom.llm.toxicity import style_votes
 
 
@@ -8,3 +9,9 @@ def test_capitals_are_counted_over_the_whole_text():
     assert len(calm) > 1 << 16 and not style_votes(calm)[0]
     assert style_votes(calm + "LOUDER WORDS " * 9000)[0]
     assert not style_votes("LOUDER WORDS " * 6000 + "quiet words " * 9000)[0]
+
+
+def test_white_space_at_the_ends_makes_no_other_cluster(spark):
+    rows = [(i, t, f"s{i}") for i, t in enumerate(["Foo bar", "foo bar\n", "\tfoo bar", "\r\n foo  bar \n", "foo\nbar"])]
+    placed = pack(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len({r.bin_id for r in placed}) == len(placed) == 5

@@ -90,7 +90,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     """
     spark = docs.sparkSession
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    group = F.xxhash64(F.regexp_replace(F.trim(low), r"[\x20\x09-\x0D]+", " ")) if cluster is None else F.xxhash64(F.col(cluster))
+    group = F.xxhash64(F.trim(F.regexp_replace(low, r"[\x20\x09-\x0D]+", " "))) if cluster is None else F.xxhash64(F.col(cluster))
     lone = F.xxhash64(F.lit("lone"), F.monotonically_increasing_id())
     rows = stage(
         docs.select(
