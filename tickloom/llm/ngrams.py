@@ -15,7 +15,8 @@ frequent (one class per 1/HOT of all tokens; its second level then is conditione
 no shard has to hold all that follows a frequent word. Below a hinge are its successors w, and its
 contexts u with their successors, kept as ranks among the hinge's. Every level is one monotone sequence,
 Elias-Fano coded in one memory map per shard; pointers are monotone sequences too. Queries come in sorted
-batches and are answered by successor search inside the range that their context points to.
+batches; for each, a task decodes its shard's levels to arrays and answers by successor search over them, a
+pointer turning the position found into a rank.
 """
 
 from __future__ import annotations
