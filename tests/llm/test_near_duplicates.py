@@ -5,11 +5,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 
 from tickloom.llm.blocks import Forest
 from tickloom.llm.components import connected_components
-from tickloom.llm.embeddings import near_vectors
+from tickloom.llm.embeddings import Caps, most_differing, near_vectors, units
 from tickloom.llm.simhash import covering_masks, near_duplicates
 
 
@@ -84,7 +85,8 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {**{i: 100 for i in range(100, 161)}, **{1000 + i: 7 for i in range(50)}, 7: 7}
 
 
-def test_vectors_equal_brute_force(spark):
+@pytest.mark.parametrize("chain", [4096, 50])
+def test_vectors_equal_brute_force(spark, chain):
     rng = np.random.default_rng(2)
     rows, n = [], 0
     for _ in range(40):
@@ -100,7 +102,7 @@ def test_vectors_equal_brute_force(spark):
     n += 30
     bad = [None, [], [0.0] * 16, [float("nan")] * 16, [float("inf")] + [1.0] * 15, [None] + [1.0] * 15]
     rows += [(n + i, v) for i, v in enumerate(bad)]
-    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), block=64).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), block=64, chain=chain).collect()}
     x = np.array([v for i, v in rows[:n]])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     near = x @ x.T >= 0.95
@@ -113,6 +115,24 @@ def test_vectors_equal_brute_force(spark):
     assert all(got[n + i] == (0, n + i, True) for i in range(len(bad)))
 
 
+def test_vectors_of_null_and_repeated_ids_and_lengths(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [1.0, 0.001, 0.0]
+    rows = [(5, a), (5, a), (None, c), (7, b), (None, [2.0, 0.0]), (3, [-0.0, 2.0, 0.0]), (None, None)]
+    frame = spark.createDataFrame([(i, v, 1, "clash", 0) for i, v in rows], "vec_id long, embedding array<double>, rep int, vector string, dim int")
+    got = Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in near_vectors(frame).collect())
+    assert got == Counter({(5, 2, 5, True): 2, (None, 2, 5, False): 1, (7, 1, 3, False): 1, (3, 1, 3, True): 1, (None, 0, None, False): 2})
+
+
+def test_sketches_of_near_vectors_are_near():
+    rng = np.random.default_rng(4)
+    x = units(rng.standard_normal((4000, 24)))
+    z = rng.standard_normal((4000, 24))
+    z = units(z - (z * x).sum(1, keepdims=True) * x)
+    caps = Caps(24, 8, 0.0)
+    differing = np.bitwise_count((caps.sketches(x) ^ caps.sketches(0.95 * x + np.sqrt(1 - 0.95**2) * z)).view(np.uint64)).sum(axis=1)
+    assert differing.max() <= most_differing(0.95) and np.median(np.bitwise_count((caps.sketches(x) ^ caps.sketches(z)).view(np.uint64)).sum(axis=1)) > 2 * most_differing(0.95)
+
+
 def test_no_vectors(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 

@@ -6,6 +6,7 @@ piece, so no task ever holds a whole hot bucket, and rows are repeated once per
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,11 +28,10 @@ def pieces(rows: DataFrame, keys: list[str], item: str, size: int) -> DataFrame:
 
 
 class Forest:
-    """Union-find over positions; keeps only the links that joined two trees."""
+    """Union-find over positions; the root of a tree is its first position."""
 
     def __init__(self, n: int):
         self.parent = list(range(n))
-        self.links: list[tuple[int, int]] = []
 
     def find(self, x: int) -> int:
         parent = self.parent
@@ -44,4 +44,15 @@ class Forest:
         x, y = self.find(a), self.find(b)
         if x != y:
             self.parent[max(x, y)] = min(x, y)
-            self.links.append((a, b))
+
+    def roots(self) -> np.ndarray:
+        root = np.array(self.parent, dtype=np.int64)
+        while len(root) and (root != root[root]).any():
+            root = root[root]
+        return root
+
+    def stars(self) -> tuple[np.ndarray, np.ndarray]:
+        """The trees as links of every position with its root: few rounds join such stars."""
+        root = self.roots()
+        leaf = np.flatnonzero(root != np.arange(len(root)))
+        return leaf, root[leaf]

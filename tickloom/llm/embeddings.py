@@ -3,13 +3,17 @@
 Filter directions are a random product code: the coordinates are cut into two parts, each part has its
 own random codebook, and every pair of codewords is a direction. A vector belongs to all filters whose
 inner product with it exceeds a threshold; these are listed without visiting the others, since the
-product's score is the sum of two part scores. For the join, filters with one first codeword and adjacent
-second codewords form a cell; vectors that share a cell, and so all that share a filter, are compared
-exactly, and a pair counts in the first cell that it shares.
+product's score is the sum of two part scores. Vectors are joined on the filters that they share.
 
-The codebook's size follows the number of distinct vectors, so cells stay small at any scale. The list
-length is chosen by simulation on random pairs at the similarity threshold (no data involved), such that
-RECALL of such pairs share a cell; closer pairs share one more often.
+The codebook's size follows the number of distinct vectors, so that a filter holds OCCUPANCY vectors at any
+scale. The list length is chosen by simulation on random pairs at the similarity threshold (no data
+involved), such that RECALL of such pairs share a filter; closer pairs share one more often.
+
+Verification ships each vector a few times, not once a filter. The join carries ids and sketches of BITS sign
+bits only; pairs in a filter whose sketches are near make groups, by connected components. Every link lies
+inside a group, so the pairs of a group are compared exactly, in double precision, each once. A group too
+large for that (CHAIN, as when loosely similar vectors form a chain) is joined on filters with its vectors
+instead, and a pair counts in the first filter that it shares.
 """
 
 from __future__ import annotations
@@ -19,22 +23,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm.blocks import Forest, pieces
-from tickloom.llm.common import stage
+from tickloom.llm.common import stage, unstage
 from tickloom.llm.components import connected_components
 
-RECALL = 0.96
+RECALL = 0.97
 SEED = 11
-#: Second codewords in a cell.
-CELL = 64
+#: Vectors in a filter, on average.
+OCCUPANCY = 16
+#: Sign bits of a sketch, and how many standard deviations beyond the expectation at the threshold two may differ.
+BITS, SLACK = 256, 5.0
+#: Members of a group up to which all its pairs are compared.
+CHAIN = 4096
+#: Scores held at once while filters are listed.
+SCORES = 1 << 22
 
 
 class Caps:
-    """The filters for one dimension."""
+    """The filters for one dimension, and the sketch's directions."""
 
     def __init__(self, dim: int, size: int, threshold: float):
         self.dim, self.size, self.threshold = dim, size, threshold
@@ -46,8 +57,7 @@ class Caps:
             book = rng.standard_normal((size, width))
             norm = np.linalg.norm(book, axis=1, keepdims=True)
             self.books.append(book / np.where(norm > 0, norm, 1) / math.sqrt(2 if min(parts) else 1))
-
-        self.cells = size * -(-size // CELL)
+        self.signs = np.random.default_rng([SEED, dim, 1]).standard_normal((dim, BITS))
 
     def __reduce__(self):
         """Tasks draw the codebooks again from their seed: nothing that grows with the data is sent."""
@@ -57,29 +67,40 @@ class Caps:
         return x[:, : self.cut] @ self.books[0].T, x[:, self.cut :] @ self.books[1].T
 
     def lists(self, x: np.ndarray) -> list[np.ndarray]:
-        """For each unit vector the sorted cells of all filters that it exceeds."""
-        out, across = [], -(-self.size // CELL)
-        left, right = self.scores(x)
-        for a, b in zip(left, right):
-            first = np.flatnonzero(a >= self.threshold - b.max())
-            second = np.flatnonzero(b >= self.threshold - a.max())
-            i, j = np.nonzero(a[first][:, None] + b[second][None, :] >= self.threshold)
-            out.append(np.unique(first[i].astype(np.int64) * across + second[j] // CELL))
+        """For each unit vector the sorted filters that it exceeds."""
+        out, rows = [], max(1, SCORES // self.size)
+        for at in range(0, len(x), rows):
+            left, right = self.scores(x[at : at + rows])
+            for a, b in zip(left, right):
+                first = np.flatnonzero(a >= self.threshold - b.max())
+                second = np.flatnonzero(b >= self.threshold - a.max())
+                i, j = np.nonzero(a[first][:, None] + b[second][None, :] >= self.threshold)
+                out.append(first[i].astype(np.int64) * self.size + second[j])
         return out
 
+    def sketches(self, x: np.ndarray) -> np.ndarray:
+        """BITS sign bits of each vector, in whole 64-bit numbers."""
+        return np.packbits(x @ self.signs > 0, axis=1).view(np.int64)
+
+
+def most_differing(cosine: float) -> int:
+    """Sketch bits in which two vectors at the threshold differ at most, but for one pair in millions."""
+    p = math.acos(max(-1.0, min(1.0, cosine))) / math.pi
+    return math.ceil(BITS * p + SLACK * math.sqrt(BITS * p * (1 - p)))
+
 
 def fit_caps(dim: int, n: int, cosine: float) -> Caps:
-    """Filters for n vectors: lists as short as RECALL at the threshold allows, about two vectors a filter."""
+    """Filters for n vectors: lists as short as RECALL at the threshold allows."""
     rng = np.random.default_rng([SEED, dim])
-    x = rng.standard_normal((400, dim))
+    x = rng.standard_normal((1000, dim))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    z = rng.standard_normal((400, dim))
+    z = rng.standard_normal((1000, dim))
     z -= (z * x).sum(1, keepdims=True) * x
     norm = np.linalg.norm(z, axis=1, keepdims=True)
     y = cosine * x + math.sqrt(1 - cosine * cosine) * z / np.where(norm > 0, norm, 1)
     length = 8.0
     while True:
-        size = max(4, math.ceil(math.sqrt(max(n, 1) * length / 2)))
+        size = max(4, math.ceil(math.sqrt(max(n, 1) * length / OCCUPANCY)))
         caps = Caps(dim, size, 0.0)
         a, b = caps.scores(x[:60])
         part = (a[:, :, None] + b[:, None, :]).ravel() if size <= 400 else (a[:, rng.permutation(size)[:400], None] + b[:, None, rng.permutation(size)[:400]]).ravel()
@@ -87,7 +108,7 @@ def fit_caps(dim: int, n: int, cosine: float) -> Caps:
         shared = np.mean([bool(np.intersect1d(p, q, assume_unique=True).size) for p, q in zip(caps.lists(x), caps.lists(y))])
         if shared >= RECALL or length >= size**2:
             return caps
-        length *= 1.3
+        length *= 1.15
 
 
 def units(vectors) -> np.ndarray:
@@ -105,15 +126,46 @@ def _lister(caps: dict[int, Caps]):
                 for at in range(0, len(part), 512):
                     some = part.iloc[at : at + 512]
                     x = units(some["vector"])
-                    yield pd.DataFrame({"rep": some["rep"].to_numpy(), "copies": some["copies"].to_numpy(), "dim": dim, "vector": some["vector"], "cells": caps[int(dim)].lists(x)})
+                    yield pd.DataFrame({"rep": some["rep"].to_numpy(), "dim": dim, "sketch": list(caps[int(dim)].sketches(x)), "filters": caps[int(dim)].lists(x)})
+
+    return run
+
+
+def _linker(most: int):
+    """Of each bucket (members with rep, own and sketch; lo, hi) the pairs with near sketches that connect the
+    members of a batch; groups that are connected already give no more pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("members")
+            members = lists.flatten()
+            lengths = np.diff(lists.offsets.to_numpy())
+            rep, node = np.unique(members.field("rep").to_numpy(), return_inverse=True)
+            own, width = members.field("own").to_numpy(), BITS // 64
+            sketch = members.field("sketch").flatten().to_numpy().reshape(-1, width).view(np.uint64)
+            ends = np.repeat(np.cumsum(lengths), lengths)
+            across = np.repeat((batch.column("lo").to_numpy() != batch.column("hi").to_numpy()), lengths)
+            forest, at = Forest(len(rep)), np.arange(len(node))
+            root = forest.roots()
+            for shift in range(1, int(lengths.max(initial=1))):
+                at = at[at + shift < ends[at]]
+                i, j = at, at + shift
+                apart = (root[node[i]] != root[node[j]]) & ~(across[i] & (own[i] == own[j]))
+                i, j = i[apart], j[apart]
+                near = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1) <= most
+                if near.any():
+                    for a, b in zip(node[i[near]].tolist(), node[j[near]].tolist()):
+                        forest.link(a, b)
+                    root = forest.roots()
+            yield pa.RecordBatch.from_arrays([pa.array(rep[side], pa.int64()) for side in forest.stars()], names=["u", "v"])
 
     return run
 
 
-def share_a_cell_before(key: int, cells: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Of pairs of members (i, j), whether they share a cell below key, where they have been met already."""
+def share_a_filter_before(key: int, filters: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of pairs of members (i, j), whether they share a filter below key, where they have been met already."""
     rows, at = np.unique(np.concatenate([i, j]), return_inverse=True)
-    below = [(c := np.asarray(cells[r]))[: np.searchsorted(c, key)] for r in rows.tolist()]
+    below = [(c := np.asarray(filters[r]))[: np.searchsorted(c, key)] for r in rows.tolist()]
     owner = np.repeat(np.arange(len(rows)), [len(c) for c in below])
     _, column, often = np.unique(np.concatenate(below), return_inverse=True, return_counts=True)
     common = often[column] > 1
@@ -129,50 +181,55 @@ def share_a_cell_before(key: int, cells: list[np.ndarray], i: np.ndarray, j: np.
 
 
 def _verifier(cosine: float):
+    """Exact links of the pairs of a piece: per member how many, and a spanning forest. Pieces of a filter
+    (bucket not null) leave out pairs that share an earlier one."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             us, vs, ws = [], [], []
-            for key, lo, hi, members in zip(frame["cell"], frame["lo"], frame["hi"], frame["members"]):
+            for key, lo, hi, members in zip(frame["bucket"], frame["lo"], frame["hi"], frame["members"]):
                 x = units([m["vector"] for m in members])
                 block = np.array([m["own"] for m in members])
                 near = np.triu(x @ x.T >= cosine, 1)
                 if lo != hi:  # pairs inside one block are met where lo = hi
                     near &= block[:, None] != block[None, :]
                 i, j = np.nonzero(near)
-                if not len(i):
-                    continue
-                first = ~share_a_cell_before(key, [m["cells"] for m in members], i, j)
-                i, j = i[first], j[first]
+                if len(i) and not pd.isna(key):
+                    first = ~share_a_filter_before(int(key), [m["filters"] for m in members], i, j)
+                    i, j = i[first], j[first]
                 copies = np.array([m["copies"] for m in members], dtype=np.int64)
                 links = np.zeros(len(members), dtype=np.int64)
                 np.add.at(links, i, copies[j])
                 np.add.at(links, j, copies[i])
                 forest = Forest(len(members))
-                for x, y in zip(i.tolist(), j.tolist()):
-                    forest.link(x, y)
-                for i in np.flatnonzero(links).tolist():
-                    us.append(members[i]["rep"])
+                for a, b in zip(i.tolist(), j.tolist()):
+                    forest.link(a, b)
+                for a in np.flatnonzero(links).tolist():
+                    us.append(members[a]["rep"])
                     vs.append(None)
-                    ws.append(int(links[i]))
-                for i, j in forest.links:
-                    us.append(members[i]["rep"])
-                    vs.append(members[j]["rep"])
+                    ws.append(int(links[a]))
+                for a, b in zip(*[side.tolist() for side in forest.stars()]):
+                    us.append(members[a]["rep"])
+                    vs.append(members[b]["rep"])
                     ws.append(0)
             yield pd.DataFrame({"u": pd.Series(us, dtype="Int64"), "v": pd.Series(vs, dtype="Int64"), "w": pd.Series(ws, dtype="Int64")})
 
     return run
 
 
-def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", cosine: float = 0.95, block: int = 512) -> DataFrame:
+def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", cosine: float = 0.95, block: int = 512, chain: int = CHAIN) -> DataFrame:
     """One row per vector row: id, n_links, component_id, kept.
 
     A vector that is null, zero, empty, or holds a null or non-finite component links with nothing, nor do
     vectors of different lengths. Equal vectors are one representative with a number of copies, which all
     link with one another; a repeated id counts as another vector. Null ids take part, and their own rows
-    carry null ids and their component's.
+    carry null ids and their component's. An empty table has an empty result; other columns are ignored.
+    Vectors are told apart by two 64-bit hashes.
     """
+    plain = F.transform(F.col(vector), lambda e: e + F.lit(0).cast(vectors.schema[vector].dataType.elementType))  # -0.0 and 0.0 are one value
     big = F.col("vector")
-    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("vector")).withColumn(
+    hashes = (F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(SEED), "vector").alias("h2"))
+    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), plain.alias("vector")).withColumn(
         "usable",
         F.coalesce(
             (F.size(big) > 0)
@@ -181,27 +238,41 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
             F.lit(False),
         ),
     )
-    # groups of equal vectors; -0.0 and 0.0 are one value
-    groups = stage(
-        rows.where("usable").groupBy("vector").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
-        .withColumn("rep", F.xxhash64("vector")).withColumn("dim", F.size("vector")),
-        "vectors",
-    )
+    groups = rows.where("usable").groupBy("vector").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    groups = stage(groups.select(F.monotonically_increasing_id().alias("rep"), *hashes, F.size("vector").alias("dim"), "vector", "least", "copies"), "vectors")
     caps = {r["dim"]: fit_caps(r["dim"], r["n"], cosine) for r in groups.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    listed = stage(groups.select("rep", "copies", "dim", "vector").mapInPandas(_lister(caps), T.StructType([*T.StructType.fromDDL("rep long, copies long, dim int").fields, T.StructField("vector", rows.schema["vector"].dataType), *T.StructType.fromDDL("cells array<int>" if all(c.cells < 2**31 for c in caps.values()) else "cells array<long>").fields])), "cells")
-    rows_of = listed.select("rep", "dim", F.explode("cells").alias("cell"))
-    work = pieces(rows_of, ["dim", "cell"], "rep", block).join(listed.drop("dim"), "rep")
-    work = work.groupBy("dim", "cell", "lo", "hi").agg(F.collect_list(F.struct("rep", "copies", "own", "vector", "cells")).alias("members")).where(F.size("members") > 1)
-    found = stage(work.select("cell", "lo", "hi", "members").mapInPandas(_verifier(cosine), T.StructType.fromDDL("u long, v long, w long")), "links")
+    listed = stage(groups.select("rep", "dim", "vector").mapInPandas(_lister(caps), "rep long, dim int, sketch array<long>, filters array<long>"), "filters")
+
+    met = pieces(listed.select("rep", "dim", "sketch", F.explode("filters").alias("filter")), ["dim", "filter"], "rep", 2 * block)
+    met = met.groupBy("dim", "filter", "lo", "hi").agg(F.collect_list(F.struct("rep", "own", "sketch")).alias("members")).where(F.size("members") > 1)
+    edges = stage(met.select("lo", "hi", "members").mapInArrow(_linker(most_differing(cosine)), "u long, v long"), "candidates")
+    grouped = stage(connected_components(edges), "groups")
+    large = stage(grouped.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > chain).select("root"), "chains")
+
+    member = groups.select("rep", "dim", "vector", "copies")
+    chained = not large.isEmpty()
+    small = grouped.join(large, "root", "left_anti") if chained else grouped
+    inside = pieces(small.select("root", F.col("node").alias("rep")), ["root"], "rep", block).join(member, "rep")
+    packed = [F.struct("rep", "copies", "own", "vector", *more) for more in ([], ["filters"])]
+    work = inside.groupBy("root", "lo", "hi").agg(F.collect_list(packed[0]).alias("members")).where(F.size("members") > 1)
+    verify, out = _verifier(cosine), "u long, v long, w long"
+    found = stage(work.select(F.lit(None).cast("long").alias("bucket"), "lo", "hi", "members").mapInPandas(verify, out), "links")
+    if chained:
+        lists = grouped.join(large, "root", "left_semi").select(F.col("node").alias("rep")).join(listed.select("rep", "filters"), "rep").join(member, "rep")
+        lists = stage(lists, "chained")
+        routes = pieces(lists.select("rep", "dim", F.explode("filters").alias("bucket")), ["dim", "bucket"], "rep", block)
+        work = routes.join(lists.drop("dim"), "rep").groupBy("dim", "bucket", "lo", "hi").agg(F.collect_list(packed[1]).alias("members")).where(F.size("members") > 1)
+        found = found.union(stage(work.select("bucket", "lo", "hi", "members").mapInPandas(verify, out), "links"))
+        unstage(lists)
+    unstage(listed, edges)
+
     links = found.where("v is null").groupBy(F.col("u").alias("rep")).agg(F.sum("w").alias("others"))
     roots = connected_components(found.where("v is not null").select("u", "v")).withColumnRenamed("node", "rep")
-    joined = groups.select("vector", "rep", "least", "copies").join(links, "rep", "left").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    joined = groups.select("h1", "h2", "rep", "least", "copies").join(links, "rep", "left").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     component = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = joined.join(component, "root").select(F.col("rep"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"), "component_id")
-    keyed = rows.select("id", F.when(F.col("usable"), F.xxhash64("vector")).alias("rep"))
-    return keyed.join(of, "rep", "left").select(
-        F.col("id").alias(vec_id),
-        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("rep").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce(F.col("id") == F.when(F.col("rep").isNull(), F.col("id")).otherwise(F.col("component_id")), F.lit(False)).alias("kept"),
+    of = joined.join(component, "root").select("h1", "h2", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"), "component_id")
+    keyed = rows.select("id", "usable", *[F.when(F.col("usable"), h).alias(n) for h, n in zip(hashes, ("h1", "h2"))])
+    lone = F.when(F.col("usable"), F.col("component_id")).otherwise(F.col("id"))
+    return keyed.join(of, ["h1", "h2"], "left").select(
+        F.col("id").alias(vec_id), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), lone.alias("component_id"), F.coalesce(F.col("id") == lone, F.lit(False)).alias("kept")
     )

@@ -103,8 +103,9 @@ def links(prints: DataFrame, radius: int = 3, block: int = 1024) -> DataFrame:
                 for i in range(len(x) - 1):
                     for j in np.flatnonzero(np.bitwise_count(y[i + 1 :] ^ y[i]) <= radius).tolist():
                         forest.link(i, i + 1 + j)
-                us += [int(x[a]) for a, _ in forest.links]
-                vs += [int(x[b]) for _, b in forest.links]
+                leaf, root = forest.stars()
+                us += x[leaf].tolist()
+                vs += x[root].tolist()
             yield pd.DataFrame({"u": pd.Series(us, dtype="int64"), "v": pd.Series(vs, dtype="int64")})
 
     return work.mapInPandas(verify, "u long, v long")
