@@ -75,5 +75,13 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name like base that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -2,12 +2,18 @@
 
 A surrogate is drawn from a keyed hash of (kind, entity, attempt) and has the entity's kind, script,
 gender and format: digits of a phone or card number are poured into the layout in which it was written,
-a card or IBAN that passes its checksum gets one that does, name parts keep gender, script and case. An
-entity has one surrogate wherever it occurs, so references stay together across documents and layouts.
+numbers with a check sum keep it, secrets keep the prefix that tells whose they are, name parts keep gender,
+script and case. An entity has one surrogate wherever it occurs, so references stay together across documents
+and layouts. Given and family names are entities of their own; the gender of a given name is the one that
+most titles before it tell, over the corpus, and a family name's is in its form. A name that is found once in a
+text is replaced wherever it stands there.
 
 Distinctness is checked over the whole corpus, in Spark: a surrogate may equal neither an entity that
-occurs nor another entity's surrogate. Losers of a collision draw again (attempt + 1) until none is left.
-Attempt 0 is a pure function, so only documents that hold a redrawn entity need a join.
+occurs nor another entity's surrogate. Losers of a collision draw again (attempt + 1) until none is left; every
+WIDER draws a format gets more room, so a small format that is used up ends this too. What is not a pure
+function of the entity (later draws, genders that titles tell) is sent along or joined by text.
+
+Texts are searched twice, before and after surrogates are settled: that costs less than a table of them.
 """
 
 from __future__ import annotations
@@ -15,30 +21,33 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import secrets
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tickloom.llm.common import stage, unstage
+from tickloom.llm.common import free_name, stage, unstage
 from tickloom.llm.tokens import in_slices
 
-ROUNDS = 40
+#: The session's setting that holds the surrogates' key.
+KEY = "spark.tickloom.surrogates.key"
 #: Draws after which a format gets more room, by one step each time: it may be used up.
 WIDER = 8
 #: Redrawn entities up to which they are sent along with every task (about 10 MB); beyond it they are joined.
 MOST_SENT = 100_000
 
-EMAIL_LOCAL = re.compile(r"[\w.+%-]{1,64}$")
+LOCAL_MARKS = "_.+%-"
 EMAIL_DOMAIN = re.compile(r"[A-Za-z0-9](?:[\w-]*\w)?(?:\.[A-Za-z0-9](?:[\w-]*\w)?)*\.[A-Za-z]{2,24}")
 #: A run of digits and the marks that occur in numbers.
-NUMBER = re.compile(r"(?:\+ ?|\()?\d(?:[\d.]|[ ()/-]{1,2}(?=[\d(]))*")
+NUMBER = re.compile(r"\d(?:[\d.]|[ ()/-]{1,2}(?=[\d(]))*")
 IPV4 = re.compile(r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}")
+#: A payment card's number starts with 2 to 6 and passes the check sum; other long numbers are none.
 CARD = re.compile(r"\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}|3[47]\d{2}([ -]?)\d{6}\2\d{5}")
 SSN = re.compile(r"\d{3}-\d{2}-\d{4}")
 PHONE = re.compile(r"\+ ?\d{1,3}(?:[ ./-]?\(?\d{2,5}\)?)(?:[ ./-]?\d{2,5}){1,4}|\(\d{2,5}\)[ ./-]?\d{2,5}(?:[ ./-]?\d{2,5}){1,3}|\d{3}[ .-]\d{3}[ .-]\d{4}")
@@ -47,12 +56,14 @@ NANP = re.compile(r"(?:\+ ?1[ ./-]?)?\(?\d{3}\)?[ ./-]?\d{3}[ ./-]?\d{4}(?![./-]
 MOST_DIGITS = 15
 NUMBERS = (("ip", IPV4), ("card", CARD), ("ssn", SSN), ("phone", PHONE))
 GROUP, MARKS = re.compile(r"[+(]? ?\d*"), re.compile(r"[ ./)-]*")
+IBAN_START = re.compile(r"[A-Z]{2}\d{2}")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])")
 #: An assigned value, quoted or not; what stands before it decides whether it is a secret. A quoted one with spaces starts with a long word.
 ASSIGNED = re.compile(
-    r"[=:]\s{0,4}(?:([\"'`])((?:\\.|(?!\1)[^\\\s]){8,256}|(?=[A-Za-z0-9_+/.\-]{8})(?:\\.|(?!\1)[^\\\n]){8,256})\1|[\"'`]?([A-Za-z0-9_+/.\-][A-Za-z0-9_+/.\-!@#$%^*~]{7,}={0,2}))"
+    r"[=:]\s{0,4}(?:([\"'`])((?:\\.|(?!\1)[^\\\s]){8,}|(?=[A-Za-z0-9_+/.\-]{8})(?:\\.|(?!\1)[^\\\n]){8,})\1|[\"'`]?([A-Za-z0-9_+/.\-][A-Za-z0-9_+/.\-!@#$%^*~]{7,}={0,2}))"
 )
 SECRET_NAME = re.compile(r"(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|access[_ -]?key|private[_ -]?key|client[_ -]?secret|credential)s?[\"'`]?\s{0,4}$", re.IGNORECASE)
+SECRET_PREFIX = re.compile(r"AKIA|gh[pousr]_|sk-(?:proj-|ant-)?|xox[abprs]-|eyJ")
 KNOWN_SECRET = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,})")
 #: Titles of address with the gender they tell.
 TITLES = {
@@ -65,10 +76,19 @@ GIVEN = {
     "f": "anna maria mary emma olivia sophie sophia julia laura sarah jane linda susan karen lisa elena marie claire camille lucia carmen sofia ana isabel petra monika sabine anke olga natalia анна мария елена ольга наталья татьяна μαρία ελένη",
     "m": "john james robert michael william david thomas peter paul mark george daniel martin hans karl stefan jürgen pierre jean louis luc antoine carlos juan josé luis miguel ivan dmitri иван дмитрий сергей алексей михаил γιώργος νίκος",
 }
+GENDER_OF = {name: gender for gender, names in GIVEN.items() for name in names.split()}
 _PART = r"[A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω][a-zà-öø-ÿа-яёά-ώA-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω'’-]+"
 #: Words after which a name stands without a title.
 CUE = re.compile(rf"(?<!\w)(?:[Mm]y name is|[Nn]ame:|[Nn]ame is|[Cc]ontact:|[Aa]uthor:|[Pp]atient:|[Cc]ustomer:|[Ss]igned,|[Ss]incerely,|[Rr]egards,)\s+({_PART}) ({_PART})(?!\w)")
-NAME = re.compile(rf"(?<!\w)({'|'.join(sorted(map(re.escape, TITLES), key=len, reverse=True))})(\.? )({_PART})(?: ({_PART}))?(?!\w)")
+CUE_ENDS = ("ame is", "ame:", "ontact:", "uthor:", "atient:", "ustomer:", "igned,", "incerely,", "egards,")
+_TITLE = "|".join(sorted(map(re.escape, TITLES), key=len, reverse=True))
+NAME = re.compile(rf"(?<!\w)({_TITLE})(\.? )({_PART})(?: ({_PART}))?(?!\w)")
+#: Where a name may start after a title, and the title that ends there.
+BEFORE_NAME = re.compile(rf"[{''.join(sorted({t[-1] for t in TITLES}))}]\.? (?={_PART[: _PART.index(']') + 1]})")
+TITLE_END = re.compile(rf"(?<!\w)(?:{_TITLE})$")
+LONGEST_TITLE = max(map(len, TITLES))
+MENTION = re.compile(rf"(?<!\w){_PART}(?!\w)")
+POSSESSIVE = re.compile(r"['’][sS]?$")
 
 LATIN, CYRILLIC, GREEK = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω"
 #: Syllables and gendered endings from which names of each script are made.
@@ -98,59 +118,98 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
 
     Entities are written in one form, whatever their layout: digits only, or lower case.
     """
+    return [f[:4] for f in found(text)]
+
+
+def found(text: str | None) -> list[tuple[int, int, str, str, str]]:
+    """What detect finds, each with the gender that a title tells of it, or an empty text."""
     if not text:
         return []
-    found: list[tuple[int, int, int, str, str]] = []
+    out: list[tuple[int, int, int, str, str, str]] = []
     at = text.find("@")
     while at >= 0:
-        local, domain = EMAIL_LOCAL.search(text, max(0, at - 64), at), EMAIL_DOMAIN.match(text, at + 1)
-        if local and domain:
-            start = local.start() + len(local[0]) - len(local[0].lstrip("."))
+        domain, start = EMAIL_DOMAIN.match(text, at + 1), at
+        if domain:
+            while start and (text[start - 1].isalnum() or text[start - 1] in LOCAL_MARKS):
+                start -= 1
+            start += len(text[start:at]) - len(text[start:at].lstrip("."))
             if start < at:
-                found.append((0, start, domain.end(), "email", text[start : domain.end()].lower()))
+                out.append((0, start, domain.end(), "email", text[start : domain.end()].lower(), ""))
         at = text.find("@", at + 1)
     if "=" in text or ":" in text:
         for m in ASSIGNED.finditer(text):
+            # the longest name of a secret, with quotes and spaces, has 19 characters
             if SECRET_NAME.search(text, max(0, m.start() - 24), m.start()):
                 group = 2 if m[2] else 3
                 value = m[2] or m[3].rstrip(".!")
-                found.append((1, m.start(group), m.start(group) + len(value), "secret", value.lower() if _hex(value) else value))
-    if "AKIA" in text or "gh" in text or "sk-" in text or "xox" in text or "eyJ" in text:
-        found += [(1, m.start(), m.end(), "secret", m[0]) for m in KNOWN_SECRET.finditer(text)]
+                out.append((1, m.start(group), m.start(group) + len(value), "secret", value.lower() if _hex(value) else value, ""))
+    if SECRET_PREFIX.search(text):
+        out += [(1, m.start(), m.end(), "secret", m[0], "") for m in KNOWN_SECRET.finditer(text)]
     for run in NUMBER.finditer(text):
-        if run.end() - run.start() >= 7:
-            found += _numbers(text, run.start(), run.end())
-    for m in IBAN.finditer(text):
-        compact = m[0].replace(" ", "")
-        if 15 <= len(compact) <= 34 and iban_check(compact) == 1:
-            found.append((1, m.start(), m.end(), "iban", compact))
-    for m in NAME.finditer(text):
-        found += _name(m, 3 if m[4] else None, 4 if m[4] else 3, TITLES[m[1]])
-    for m in CUE.finditer(text):
-        found += _name(m, 1, 2, "u")
-    return _resolved(found)
-
-
-def _name(m: re.Match, given: int | None, last: int, gender: str) -> Iterator[tuple[int, int, int, str, str]]:
+        at, end = run.span()
+        if end - at >= 5:
+            before = text[max(0, at - 2) : at]
+            at -= 2 if before == "+ " else 1 if before[-1:] in ("+", "(") else 0
+            if text[max(0, at - 1) : at] == "+":  # "+(44) .."
+                at -= 1
+            if end - at >= 7:
+                out += _numbers(text, at, end)
+    if IBAN_START.search(text):
+        for m in IBAN.finditer(text):
+            compact = m[0].replace(" ", "")
+            if 15 <= len(compact) <= 34 and iban_check(compact) == 1:
+                out.append((1, m.start(), m.end(), "iban", compact, ""))
+    out += _names(text)
+    return _resolved(out)
+
+
+def _names(text: str) -> list[tuple[int, int, int, str, str, str]]:
+    """Names after titles and cues, and every other mention of their parts."""
+    out: list[tuple[int, int, int, str, str, str]] = []
+    for before in BEFORE_NAME.finditer(text):
+        title = TITLE_END.search(text, max(0, before.start() + 1 - LONGEST_TITLE), before.start() + 1)
+        m = NAME.match(text, title.start()) if title else None
+        if m:
+            out += _name(m, 3 if m[4] else None, 4 if m[4] else 3, TITLES[m[1]])
+    if any(end in text for end in CUE_ENDS):
+        for m in CUE.finditer(text):
+            out += _name(m, 1, 2, "u")
+    if out:
+        known: dict[str, str] = {}
+        for _, _, _, kind, entity, _ in sorted(out, key=lambda f: (f[3].startswith("given"), f[1])):
+            known.setdefault(entity, kind)
+        for m in MENTION.finditer(text):
+            word = POSSESSIVE.sub("", m[0])
+            if word.lower() in known:
+                out.append((4, m.start(), m.start() + len(word), known[word.lower()], word.lower(), ""))
+    return out
+
+
+def _name(m: re.Match, given: int | None, last: int, gender: str) -> Iterator[tuple[int, int, int, str, str, str]]:
     """The parts of a name; each is an entity of its own, so that short forms refer to the same person."""
-    if given:
-        if gender == "u":
-            gender = next((g for g, names in GIVEN.items() if m[given].lower() in names.split()), "u")
-        yield 3, m.start(given), m.end(given), f"given_{gender}_{script_of(m[given])}", m[given].lower()
-    script = script_of(m[last])
-    yield 3, m.start(last), m.end(last), f"surname_{gender if script == 'cyrillic' else 'u'}_{script}", m[last].lower()
+    for group, part in ((given, "given"), (last, "surname")):
+        if group:
+            word = POSSESSIVE.sub("", m[group])
+            yield 3, m.start(group), m.start(group) + len(word), f"{part}_{script_of(word)}", word.lower(), gender if part == "given" and gender != "u" else ""
 
 
-def _numbers(text: str, at: int, end: int) -> Iterator[tuple[int, int, int, str, str]]:
+def default_gender(kind: str, entity: str) -> str:
+    """A name's gender where no title tells it: a family name's by its form, a common given name's by a list."""
+    if kind.startswith("given"):
+        return GENDER_OF.get(entity, "u")
+    return "f" if kind == "surname_cyrillic" and entity.endswith(("а", "я")) else "u"
+
+
+def _numbers(text: str, at: int, end: int) -> Iterator[tuple[int, int, int, str, str, str]]:
     """The numbers of a known kind in a run of digits and marks, tried at the start of each group."""
     while end - at >= 7:
         for kind, pattern in NUMBERS:
             m = pattern.match(text, at, end)
             if m and kind == "phone":
                 m = _phone(text, m, end)
-            if m and _alone(text, m):
+            if m and _alone(text, m) and _valid(kind, m[0]):
                 digits = m[0] if kind == "ip" else "+" * (kind == "phone" and m[0][0] == "+") + re.sub(r"\D", "", m[0])
-                yield 2, m.start(), m.end(), kind, digits
+                yield 2, m.start(), m.end(), kind, digits, ""
                 at = m.end()
                 break
         else:
@@ -158,6 +217,15 @@ def _numbers(text: str, at: int, end: int) -> Iterator[tuple[int, int, int, str,
         at = MARKS.match(text, at, end).end()
 
 
+def _valid(kind: str, number: str) -> bool:
+    digits = re.sub(r"\D", "", number)
+    if kind == "card":
+        return digits[0] in "23456" and luhn(digits) == 0
+    if kind == "ssn":
+        return digits[:3] not in ("000", "666") and digits[0] != "9" and digits[3:5] != "00" and digits[5:] != "0000"
+    return True
+
+
 def _phone(text: str, m: re.Match, end: int) -> re.Match | None:
     """The phone that starts where m does, without what follows it: the longest that ends with its group of digits."""
     fixed = NANP.match(text, m.start(), end) if m[0].startswith(("(", "+1", "+ 1")) else None
@@ -175,13 +243,13 @@ def _phone(text: str, m: re.Match, end: int) -> re.Match | None:
     return None
 
 
-def _resolved(found: list[tuple[int, int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+def _resolved(found: list[tuple[int, int, int, str, str, str]]) -> list[tuple[int, int, str, str, str]]:
     """By position, without any that overlaps one of a lower rank."""
-    kept: list[tuple[int, int, str, str]] = []
-    for _, start, end, kind, entity in sorted(found):
+    kept: list[tuple[int, int, str, str, str]] = []
+    for _, start, end, *rest in sorted(found):
         at = bisect_left(kept, (start,))
         if not (at < len(kept) and kept[at][0] < end or at and kept[at - 1][1] > start):
-            kept.insert(at, (start, end, kind, entity))
+            kept.insert(at, (start, end, *rest))
     return kept
 
 
@@ -224,8 +292,8 @@ class Draw:
         return "".join(out)
 
 
-def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
-    """The entity's surrogate in the same written form as the entity."""
+def surrogate(kind: str, entity: str, attempt: int, key: bytes, gender: str | None = None) -> str:
+    """The entity's surrogate in the same written form as the entity; gender None: the default one."""
     draw, wider = Draw(key, kind, entity, attempt), attempt // WIDER
     if kind == "email":
         local, domain = entity.rsplit("@", 1)
@@ -244,20 +312,23 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
             out.append(str(low + draw.below(min(high, 223 if i == 0 else 255) - low + 1)))
         return ".".join(out)
     if kind == "card":
-        body = entity[0] + draw.digits(len(entity) - 2)
-        last = draw.digits(1) if luhn(entity) else str(-luhn(body + "0") % 10)
-        return body + last
+        body = entity[0] + draw.digits(len(entity) - 2 + wider)
+        return body + str(-luhn(body + "0") % 10)
     if kind == "ssn":
-        return draw.digits(len(entity))
+        return f"{1 + draw.below(665):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}" + draw.digits(wider)
     if kind == "phone":
         keep = 2 if entity.startswith("+") else 0  # the country code's first digit
         return entity[:keep] + draw.digits(len(entity) - keep + 2 * wider)
     if kind == "iban":
-        body = draw.like(entity[4:])
+        body = draw.like(entity[4:]) + draw.digits(wider)
         return f"{entity[:2]}{98 - iban_check(entity[:2] + '00' + body):02d}{body}"
     if kind == "secret":
-        return "".join("0123456789abcdef"[draw.below(16)] for _ in entity) if _hex(entity) else draw.like(entity)
-    part, gender, script = kind.split("_")
+        known = SECRET_PREFIX.match(entity)
+        prefix = known[0] if known else ""
+        rest = entity[len(prefix) :]
+        return prefix + ("".join("0123456789abcdef"[draw.below(16)] for _ in rest) if _hex(rest) else draw.like(rest)) + draw.digits(2 * wider)
+    part, script = kind.split("_")
+    gender = gender or default_gender(kind, entity)
     syllables, endings, families = NAMES[script]
     stem = "".join(syllables[draw.below(len(syllables))] for _ in range(2 + attempt // 4 + (part == "surname")))
     if part == "given":
@@ -280,31 +351,35 @@ def written(original: str, kind: str, new: str) -> str:
     return new
 
 
-def rewrite(text: str | None, attempts: dict[tuple[str, str], int], key: bytes) -> tuple[str | None, int]:
-    found = detect(text)
-    if not found:
+def rewrite(text: str | None, known: dict[tuple[str, str], tuple[int, str]], key: bytes) -> tuple[str | None, int]:
+    """The text with surrogates, and how many there are. known: (attempt, gender) of entities that do not have
+    the first draw and the default gender."""
+    spans = detect(text)
+    if not spans:
         return text, 0
     out, at = [], 0
-    for start, end, kind, entity in found:
-        out += [text[at:start], written(text[start:end], kind, surrogate(kind, entity, attempts.get((kind, entity), 0), key))]
+    for start, end, kind, entity in spans:
+        attempt, gender = known.get((kind, entity), (0, None))
+        out += [text[at:start], written(text[start:end], kind, surrogate(kind, entity, attempt, key, gender))]
         at = end
-    return "".join(out) + text[at:], len(found)
+    return "".join(out) + text[at:], len(spans)
 
 
 def _draw_all(key: bytes):
     @F.pandas_udf("string")
-    def draw(kind: pd.Series, entity: pd.Series, attempt: pd.Series) -> pd.Series:
-        return pd.Series([surrogate(k, e, int(a), key) for k, e, a in zip(kind, entity, attempt)], dtype=object)
+    def draw(kind: pd.Series, entity: pd.Series, attempt: pd.Series, gender: pd.Series) -> pd.Series:
+        return pd.Series([surrogate(k, e, int(a), key, g) for k, e, a, g in zip(kind, entity, attempt, gender)], dtype=object)
 
     return draw
 
 
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
-    """Distinct (kind, entity) -> with attempt and surrogate; surrogates are distinct and none is an entity."""
+    """Distinct (kind, entity) with gender -> with attempt and surrogate; surrogates are distinct and none is an
+    entity. Ends for any entities: draws get more room as they go on."""
     draw, settled = _draw_all(key), None
-    todo = entities.select("kind", "entity", F.lit(0).alias("attempt"))
-    for _ in range(ROUNDS):
-        drawn = todo.withColumn("surrogate", draw("kind", "entity", "attempt"))
+    todo = entities.select("kind", "entity", "gender", F.lit(0).alias("attempt"))
+    while True:
+        drawn = todo.withColumn("surrogate", draw("kind", "entity", "attempt", "gender"))
         taken = entities.select("kind", F.col("entity").alias("surrogate"))
         if settled is not None:
             taken = taken.union(settled.select("kind", "surrogate"))
@@ -312,57 +387,77 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
         tried = stage(
             drawn.withColumn("first", first).join(taken.distinct().withColumn("used", F.lit(True)), ["kind", "surrogate"], "left").withColumn("ok", F.col("first") & F.col("used").isNull()), "surrogates"
         )
-        won = tried.where("ok").select("kind", "entity", "attempt", "surrogate")
+        won = tried.where("ok").select("kind", "entity", "gender", "attempt", "surrogate")
         settled = won if settled is None else settled.union(won)
-        todo = tried.where("not ok").select("kind", "entity", (F.col("attempt") + 1).alias("attempt"))
+        todo = tried.where("not ok").select("kind", "entity", "gender", (F.col("attempt") + 1).alias("attempt"))
         if todo.isEmpty():
             return settled
-    raise ValueError(f"no free surrogate after {ROUNDS} draws; a format's space is used up")
 
 
-def replace_pii(docs: DataFrame, text: str = "text", key: bytes = b"tickloom", count: str | None = "n_entities") -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The key in the session's setting KEY. Without one a random key is drawn, which is gone with the session:
+    then nobody can repeat the surrogates, not even the caller."""
+    if spark.conf.get(KEY, None) is None:
+        spark.conf.set(KEY, secrets.token_hex(32))
+    return spark.conf.get(KEY).encode()
+
+
+def replace_pii(docs: DataFrame, key: bytes, text: str = "text", count: str | None = "n_entities") -> DataFrame:
     """docs with entities in text replaced, and their number in column count (None: no such column).
 
     Null and empty texts stay as they are; rows, order of columns and all other values are kept; repeated
-    rows are rewritten alike. A column named as count is replaced.
+    rows are rewritten alike; texts of any length are searched whole. A column named as count is replaced.
+    An empty table stays empty. key is a secret: whoever has it can recompute the surrogate of a guess.
     """
     key = bytes(key)
 
     def entities_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = {(h, kind, entity) for h, t in zip(frame["h"], frame["t"]) for _, _, kind, entity in detect(t)}
-            yield pd.DataFrame(list(rows), columns=["h", "kind", "entity"])
+            rows: dict[tuple, list[int]] = {}
+            for h, t in zip(frame["h"], frame["t"]):
+                for _, _, kind, entity, told in found(t):
+                    votes = rows.setdefault((h, kind, entity), [0, 0])
+                    if told:
+                        votes[told == "f"] += 1
+            yield pd.DataFrame([(*k, default_gender(k[1], k[2]) if "_" in k[1] else "u", *v) for k, v in rows.items()], columns=["h", "kind", "entity", "plain", "m", "f"])
 
     hashed = F.xxhash64(F.col(text))
-    seen = stage(docs.select(hashed.alias("h"), F.col(text).alias("t")).where("t is not null").mapInPandas(entities_of, "h long, kind string, entity string"), "entities")
-    entities = stage(seen.select("kind", "entity").distinct(), "entities")
-    redrawn = stage(assign(entities, key).where("attempt > 0").select("kind", "entity", "attempt"), "redrawn")
+    seen = docs.select(hashed.alias("h"), F.col(text).alias("t")).where("t is not null").mapInPandas(entities_of, "h long, kind string, entity string, plain string, m long, f long")
+    seen = stage(seen, "entities")
+    told = F.when(F.sum("m") > F.sum("f"), "m").when(F.sum("m") < F.sum("f"), "f").otherwise(F.min("plain"))
+    entities = stage(seen.groupBy("kind", "entity").agg(told.alias("gender"), F.min("plain").alias("plain")), "entities")
+    settled = assign(entities.select("kind", "entity", "gender"), key).join(entities.select("kind", "entity", "plain"), ["kind", "entity"])
+    redrawn = stage(settled.where("attempt > 0 or gender <> plain").select("kind", "entity", "attempt", "gender"), "redrawn")
     unstage(entities)
+    body, again_, hash_, number = (free_name(docs, f"_{n}") for n in ("text", "again", "hash", "number"))
     rest = [c for c in docs.columns if c not in (text, count)]
-    plain = F.lit(None).cast("array<struct<kind:string,entity:string,attempt:int>>").alias("_again")
-    everywhere: dict[tuple[str, str], int] = {}
+    entry = "struct<kind:string,entity:string,attempt:int,gender:string>"
+    everywhere: dict[tuple[str, str], tuple[int, str]] = {}
     if redrawn.count() <= MOST_SENT:
-        # few entities draw again: their attempts go along with the task
-        everywhere = {(r["kind"], r["entity"]): r["attempt"] for r in redrawn.collect()}
-        source = docs.select(*rest, F.col(text).alias("_text"), plain)
+        # few entities differ from their first draw: theirs go along with the task
+        everywhere = {(r["kind"], r["entity"]): (r["attempt"], r["gender"]) for r in redrawn.collect()}
+        source = docs.select(*rest, F.col(text).alias(body), F.lit(None).cast(f"array<{entry}>").alias(again_))
     else:
         # by text, so that null and repeated ids do no harm; documents without such an entity find no partner
-        again = seen.join(redrawn, ["kind", "entity"]).groupBy("h").agg(F.collect_set(F.struct("kind", "entity", "attempt")).alias("_again"))
-        source = docs.withColumn("_h", hashed).join(again.withColumnRenamed("h", "_h"), "_h", "left").select(*rest, F.col(text).alias("_text"), "_again")
-    out_schema = docs.select(*rest, F.col(text), F.lit(0).cast("long").alias("_n")).schema
+        again = seen.join(redrawn, ["kind", "entity"]).groupBy(F.col("h").alias(hash_)).agg(F.collect_set(F.struct("kind", "entity", "attempt", "gender")).alias(again_))
+        source = docs.withColumn(hash_, hashed).join(again, hash_, "left").select(*rest, F.col(text).alias(body), again_)
+    out_schema = docs.select(*rest, F.col(text), F.lit(0).cast("long").alias(number)).schema
 
-    out = _rewritten(source, rest, text, out_schema, key, everywhere)
+    out = _rewritten(source, len(rest), out_schema, key, everywhere)
     ordered = [F.col(c) for c in docs.columns if c != count]
-    return out.select(*ordered) if count is None else out.select(*ordered, F.col("_n").alias(count))
+    return out.select(*ordered) if count is None else out.select(*ordered, F.col(number).alias(count))
+
 
+def _rewritten(source: DataFrame, at: int, schema: StructType, key: bytes, everywhere: dict[tuple[str, str], tuple[int, str]]) -> DataFrame:
+    """The rewriting pass on Arrow batches: other columns go through untouched, whatever their types. The text
+    is column number at, what is known of its entities the next."""
+    names = schema.names
 
-def _rewritten(source: DataFrame, rest: list[str], text: str, schema: StructType, key: bytes, everywhere: dict[tuple[str, str], int]) -> DataFrame:
-    """The rewriting pass on Arrow batches: other columns go through untouched, whatever their types."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, 2048):
-            again_of = ({(a["kind"], a["entity"]): a["attempt"] for a in again} if again else everywhere for again in batch.column(len(rest) + 1).to_pylist())
-            done = [rewrite(t, attempts, key) for t, attempts in zip(batch.column(len(rest)).to_pylist(), again_of)]
-            columns = [*batch.columns[: len(rest)], pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*rest, text, "_n"])
+            known = ({(a["kind"], a["entity"]): (a["attempt"], a["gender"]) for a in again} if again else everywhere for again in batch.column(at + 1).to_pylist())
+            done = [rewrite(t, k, key) for t, k in zip(batch.column(at).to_pylist(), known)]
+            columns = [*batch.columns[:at], pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return source.mapInArrow(run, schema)

@@ -40,9 +40,9 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickloom.llm.pii import replace_pii
+    from tickloom.llm.pii import replace_pii, session_key
 
-    return replace_pii(_read(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+    return replace_pii(_read(spark, sf_dir, "documents"), session_key(spark)).select("doc_id", "text", "n_entities")
 
 
 def op4_ngram_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
