@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import stage, unstage
+from tickloom.llm.common import free_name, stage, unstage
 from tickloom.llm.mixing import mix
 from tickloom.llm.packing import pack
-from tickloom.llm.pii import replace_pii
+from tickloom.llm.pii import replace_pii, session_key
 from tickloom.llm.simhash import one_of_each
 from tickloom.llm.toxicity import toxicity
 
@@ -22,8 +22,9 @@ TOXIC = 0.7
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised classifier does not call toxic."""
-    scored = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), score="_toxicity")
-    return scored.where(F.col("_toxicity") < TOXIC).select(*docs.columns)
+    score = free_name(docs, "toxicity")
+    scored = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), score=score)
+    return scored.where(F.col(score) < TOXIC).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +34,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, entities replaced by surrogates; n_chars follows the text."""
-    out = replace_pii(docs, count=None)
+    out = replace_pii(docs, session_key(spark), count=None)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
