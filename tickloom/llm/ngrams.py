@@ -15,8 +15,9 @@ frequent (one class per 1/HOT of all tokens; its second level then is conditione
 no shard has to hold all that follows a frequent word. Below a hinge are its successors w, and its
 contexts u with their successors, kept as ranks among the hinge's. Every level is one monotone sequence,
 Elias-Fano coded in one memory map per shard; pointers are monotone sequences too. Queries come in sorted
-batches; for each, a task decodes its shard's levels to arrays and answers by successor search over them, a
-pointer turning the position found into a rank.
+batches and are answered on the coded levels, none of which is decoded: pointers give the range in which a
+context's successors lie, the high bits (by a directory of their ones) the bucket of the wanted word in it, and
+the low bits of the few positions that are probed tell its place.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ from tickloom.llm.tokens import in_slices, words_of
 
 DISCOUNT, PRIOR = 0.75, 0.1
 BLOCK_TOKENS, SHARD_TOKENS = 1_500_000, 1_000_000
+#: Entries (a block's distinct words) of a word shard.
+SHARD_WORDS = 1_000_000
 HOT = 1024
 #: Stands for the end of a text among words; no word holds a space.
 END = " "
@@ -94,40 +97,95 @@ def probability(code: np.ndarray) -> np.ndarray:
 # --- the trie ------------------------------------------------------------------------------------------
 
 
+def _merged(words: np.ndarray, bits: np.ndarray, size: int) -> np.ndarray:
+    """size 64-bit words, with bits set in the words numbered (in ascending order)."""
+    out = np.zeros(size, dtype=np.uint64)
+    if len(words):
+        firsts = _starts(words)
+        out[words[firsts]] = np.bitwise_or.reduceat(bits, firsts)
+    return out
+
+
+def _nth_one(word: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The place of the n-th (from 0) one in each 64-bit word."""
+    place = np.zeros(len(word), dtype=np.int64)
+    for width in (32, 16, 8, 4, 2, 1):
+        below = np.bitwise_count(word & np.uint64((1 << width) - 1)).astype(np.int64)
+        beyond = n >= below
+        n = n - below * beyond
+        word = np.where(beyond, word >> np.uint64(width), word)
+        place += width * beyond
+    return place
+
+
 class EliasFano:
-    """A monotone sequence: low bits packed side by side, high bits in unary."""
+    """A monotone sequence: low bits side by side, high bits in unary with a directory of the ones before each word."""
 
     def __init__(self, values: np.ndarray):
         self.n = n = len(values)
         self.low_bits = low = max(0, int(math.log2((int(values[-1]) + 1) / n))) if n else 0
-        self.low, self.high = np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=np.uint8)
-        if n:
-            bits = (values[:, None] >> np.arange(low)) & 1
-            self.low = np.packbits(bits.astype(np.uint8))
-            high = np.zeros(int(values[-1] >> low) + n + 1, dtype=np.uint8)
-            high[(values >> low) + np.arange(n)] = 1
-            self.high = np.packbits(high)
+        at = np.arange(n) * low
+        rest = (values & ((1 << low) - 1)).astype(np.uint64)
+        shift = (at & 63).astype(np.uint64)
+        size = (n * low >> 6) + 2
+        # a value's bits begin in one word and may end in the next
+        self.low = _merged(at >> 6, rest << shift, size) | _merged((at >> 6) + 1, (rest >> np.uint64(1)) >> (np.uint64(63) - shift), size)
+        place = (values >> low) + np.arange(n)
+        self.top = int(values[-1] >> low) if n else -1
+        self.high = _merged(place >> 6, np.uint64(1) << (place & 63).astype(np.uint64), (self.top + n + 1 >> 6) + 1)
+        self.ones = np.concatenate([[0], np.cumsum(np.bitwise_count(self.high).astype(np.int64))[:-1]]).astype(np.int64)
+
+    def _low(self, at: np.ndarray) -> np.ndarray:
+        bit = at * self.low_bits
+        word, shift = bit >> 6, (bit & 63).astype(np.uint64)
+        found = (self.low[word] >> shift) | ((self.low[word + 1] << np.uint64(1)) << (np.uint64(63) - shift))
+        return (found & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
+
+    def _zero(self, n: np.ndarray) -> np.ndarray:
+        """The place of the n-th (from 0) zero among the high bits."""
+        before = np.arange(len(self.ones)) * 64 - self.ones
+        word = np.searchsorted(before, n, side="right") - 1
+        return word * 64 + _nth_one(~self.high[word], n - before[word])
+
+    def access(self, at: np.ndarray) -> np.ndarray:
+        """The values at some positions."""
+        word = np.searchsorted(self.ones, at, side="right") - 1
+        high = word * 64 + _nth_one(self.high[word], at - self.ones[word]) - at
+        return (high << self.low_bits) | self._low(at)
 
     def values(self) -> np.ndarray:
-        """The sequence, decoded from its bits."""
-        if not self.n:
-            return np.zeros(0, dtype=np.int64)
-        high = np.flatnonzero(np.unpackbits(self.high)) - np.arange(self.n)
-        if not self.low_bits:
-            return high
-        bits = np.unpackbits(self.low, count=self.n * self.low_bits).reshape(self.n, self.low_bits)
-        low = np.zeros(self.n, dtype=np.int64)
-        for i in range(self.low_bits):
-            low |= bits[:, i].astype(np.int64) << i
-        return (high << self.low_bits) | low
-
-
-def successor(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For sorted-by-range queries, the position of the first value not below each, and whether it is equal."""
-    if not len(values):
-        return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
-    at = np.searchsorted(values, wanted)
-    return at, values[np.minimum(at, len(values) - 1)] == wanted
+        return self.access(np.arange(self.n))
+
+    def successor(self, wanted: np.ndarray, begin: np.ndarray | int, end: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+        """In [begin, end) the position of the first value not below each wanted one (end: none), and whether it is equal."""
+        begin, end = np.broadcast_to(begin, wanted.shape), np.broadcast_to(end, wanted.shape)
+        if not self.n or not len(wanted):
+            return begin.astype(np.int64), np.zeros(len(wanted), dtype=bool)
+        bucket, rest = wanted >> self.low_bits, wanted & ((1 << self.low_bits) - 1)
+        inside = np.minimum(bucket, self.top)
+        # ones before a bucket's closing zero are the values up to it; a run of wanted values in one bucket asks once
+        runs = _starts(inside)
+        asked = inside[runs]
+        often = np.diff(np.append(runs, len(inside)))
+        last = np.repeat(self._zero(asked) - asked, often)
+        first = np.repeat(np.where(asked > 0, self._zero(np.maximum(asked - 1, 0)) - (asked - 1), 0), often)
+        first = np.where(bucket > self.top, self.n, first)
+        at = np.clip(first, begin, end)
+        limit = np.maximum(at, np.clip(last, begin, end))
+        # only what is still open goes on to the next step of the search
+        open_ = np.flatnonzero(at < limit)
+        low, high, sought = at[open_], limit[open_], rest[open_]
+        while len(open_):
+            middle = (low + high) >> 1
+            less = self._low(middle) < sought
+            low, high = np.where(less, middle + 1, low), np.where(less, high, middle)
+            done = low == high
+            at[open_[done]] = low[done]
+            go = ~done
+            open_, low, high, sought = open_[go], low[go], high[go], sought[go]
+        equal = at < limit
+        equal[equal] = self._low(at[equal]) == rest[equal]
+        return at, equal
 
 
 def _starts(*keys: np.ndarray) -> np.ndarray:
@@ -164,9 +222,11 @@ class Trie:
         pair_key = pair_hinge * self.words + pair_word
         rank = np.searchsorted(pair_key, at_hinge * self.words + w) - pointer[at_hinge]
         self.ranks = int(hinge_kinds.max(initial=0)) + 1
-        self.hinges, self.pointers, self.pairs = EliasFano(hinge[tops]), EliasFano(pointer), EliasFano(pair_key)
+        self.hinges, self.pairs = EliasFano(hinge[tops]), EliasFano(pair_key)
         self.contexts = EliasFano(at_hinge[contexts] * self.words + u[contexts])
         self.triples = EliasFano(at_context * self.ranks + rank)
+        ends = lambda of, n: EliasFano(np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n))]).astype(np.int64))
+        self.pair_ends, self.context_ends, self.triple_ends = EliasFano(pointer), ends(at_hinge[contexts], len(tops)), ends(at_context, len(contexts))
         self.codes = {
             "pair": quantised((pair_count - DISCOUNT) / hinge_total[pair_hinge]), "hinge": quantised(DISCOUNT * hinge_kinds / np.maximum(hinge_total, 1)),
             "triple": quantised((count - DISCOUNT) / context_total[at_context]), "context": quantised(DISCOUNT * context_kinds / np.maximum(context_total, 1)),
@@ -175,9 +235,9 @@ class Trie:
 
     def _map(self) -> None:
         """Move all bits and codes into one memory map, which the system may page; nothing is left in a folder."""
-        levels = (self.hinges, self.pointers, self.pairs, self.contexts, self.triples)
-        arrays = [(x, name, getattr(x, name)) for x in levels for name in ("low", "high")]
-        places = np.cumsum([0] + [a.nbytes + a.nbytes % 2 for *_, a in arrays] + [c.nbytes for c in self.codes.values()])
+        levels = (self.hinges, self.pairs, self.contexts, self.triples, self.pair_ends, self.context_ends, self.triple_ends)
+        arrays = [(x, name, getattr(x, name)) for x in levels for name in ("low", "high", "ones")]
+        places = np.cumsum([0] + [a.nbytes for *_, a in arrays] + [c.nbytes for c in self.codes.values()])
         self.memory = mmap.mmap(-1, max(int(places[-1]), 1))
 
         def moved(a: np.ndarray, at: int) -> np.ndarray:
@@ -196,25 +256,42 @@ class Trie:
         return out
 
     def query(self, hinge: np.ndarray, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of sorted trigrams, the share known above the words themselves, and the mass left to those."""
-        h, known = successor(self.hinges.values(), hinge)
+        """Of trigrams sorted by (hinge, u, w), the share known above the words themselves, and the mass left to those."""
+        runs = lambda starts: np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(hinge))))
+        tops, contexts = _starts(hinge), _starts(hinge, u)
+        top, of = runs(tops), runs(contexts)
+        # each hinge once, then each of its contexts once, then every successor
+        h, known = self.hinges.successor(hinge[tops], 0, self.hinges.n)
         h = np.where(known, h, 0)
-        pair, seen = successor(self.pairs.values(), h * self.words + np.minimum(w, self.words - 1))
-        seen &= known & (w < self.words)
-        context, met = successor(self.contexts.values(), h * self.words + np.minimum(u, self.words - 1))
-        met &= known & (u < self.words)
+        far = np.where(known, h + 1, h)
+        reach = lambda ends, a, b: (ends.access(a), ends.access(b))
+        pairs_from, pairs_to = reach(self.pair_ends, h, far)
+        contexts_from, contexts_to = reach(self.context_ends, h, far)
+        key, at = np.unique(top * self.words + np.minimum(w, self.words - 1), return_inverse=True)
+        t = key // self.words
+        pair, seen = self.pairs.successor(h[t] * self.words + key % self.words, pairs_from[t], pairs_to[t])
+        pair, seen = pair[at], seen[at] & (w < self.words)
+        above = top[contexts]
+        own = np.minimum(u[contexts], self.words - 1)
+        context, met = self.contexts.successor(h[above] * self.words + own, contexts_from[above], contexts_to[above])
+        met &= u[contexts] < self.words
+        context = np.where(met, context, 0)
+        triples_from, triples_to = reach(self.triple_ends, context, np.where(met, context + 1, context))
         # a successor of a context is a successor of its hinge: it is found by its rank there
-        rank = pair - self.pointers.values()[h] if self.hinges.n else pair
-        triple, exact = successor(self.triples.values(), np.where(met & seen, context * self.ranks + rank, 0))
-        exact &= met & seen
-        a2, b2 = self._of("pair", pair, seen, 0.0), self._of("hinge", h, known, 1.0)
-        a3, b3 = self._of("triple", triple, exact, 0.0), self._of("context", context, met, 1.0)
+        rank = pair - pairs_from[top]
+        both = np.flatnonzero(seen & met[of])
+        c = of[both]
+        triple, exact = self.triples.successor(context[c] * self.ranks + rank[both], triples_from[c], triples_to[c])
+        a3 = np.zeros(len(hinge))
+        a3[both] = self._of("triple", triple, exact, 0.0)
+        a2, b2 = self._of("pair", pair, seen, 0.0), self._of("hinge", h, known, 1.0)[top]
+        b3 = self._of("context", context, met, 1.0)[of]
         return a3 + b3 * a2, b3 * b2
 
 
 # --- blocks --------------------------------------------------------------------------------------------
 
-BLOCK = "block string, ids array<long>, learned array<boolean>, lengths binary, codes binary, words binary"
+BLOCK = "block string, ids array<long>, learned array<boolean>, lengths binary, codes binary, words binary, n_words long"
 
 
 def _blocks(size: int):
@@ -239,10 +316,10 @@ def _blocks(size: int):
             text = "\n".join(names.to_pylist()).encode()
             row = [
                 f"{context.partitionId()}-{number}", [i for k in kept for i in k[0]], [bool(t) for k in kept for t in k[1]], packed(lengths), packed(place[codes]),
-                len(text).to_bytes(8, "little") + pa.compress(text, codec="zstd", asbytes=True),
+                len(text).to_bytes(8, "little") + pa.compress(text, codec="zstd", asbytes=True), len(names),
             ]
-            kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names=["block", "ids", "learned", "lengths", "codes", "words"])
+            kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names=["block", "ids", "learned", "lengths", "codes", "words", "n_words"])
 
         for batch in in_slices(batches, 1024):
             words, counts = words_of(batch.column(2))
@@ -270,8 +347,9 @@ def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(shard[order[a]]), order[a:b]
 
 
-def _word_shards(names: pa.Array, shards: int) -> np.ndarray:
-    return word_hashes(names, 40) % shards
+def hash_of(names: pa.Array) -> np.ndarray:
+    """Words' own hashes, by which they are dealt out: to shards, and as preceding words to classes."""
+    return word_hashes(names, 40)
 
 
 def _word_parts(shards: int):
@@ -282,7 +360,7 @@ def _word_parts(shards: int):
                 train = np.repeat(np.asarray(learned, dtype=bool), unpacked(lengths))
                 counts = np.bincount(codes[train], minlength=len(names))
                 rows = []
-                for shard, at in _by_shard(_word_shards(names, shards)):
+                for shard, at in _by_shard(hash_of(names) % shards):
                     text = "\n".join(names.take(pa.array(at)).to_pylist()).encode()
                     rows.append((shard, block, len(text).to_bytes(8, "little") + pa.compress(text, codec="zstd", asbytes=True), packed(counts[at])))
                 yield pd.DataFrame(rows, columns=["shard", "block", "words", "counts"])
@@ -311,6 +389,15 @@ def _number_words(shards: int):
     return run
 
 
+def classes_of(total: np.ndarray, tokens: int, hot: int) -> np.ndarray:
+    """Into how many classes the words before a middle word fall, by how often that occurs."""
+    return np.maximum(1, total * hot // max(tokens, 1))
+
+
+def class_of(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    return mixed(hashes + 1) % classes
+
+
 class Block:
     """A block with its words' numbers and totals: its tokens, and its distinct trigrams in order."""
 
@@ -320,14 +407,17 @@ class Block:
         self.ids, self.learned = list(row["ids"]), np.asarray(row["learned"], dtype=bool)
         number, total = np.zeros(len(names), dtype=np.int64), np.zeros(len(names), dtype=np.int64)
         mine = {s: (n, t) for s, n, t in zip(answers["shard"], answers["numbers"], answers["totals"])}
-        for shard, at in _by_shard(_word_shards(names, shards)):
+        hashes = hash_of(names)
+        for shard, at in _by_shard(hashes % shards):
             number[at], total[at] = unpacked(mine[shard][0]), unpacked(mine[shard][1])
         del names
         self.count = total[local]
         order = np.argsort(number)
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(1, len(order) + 1)
+        # first stands the beginning of a text
         self.numbers, self.totals = np.concatenate([[0], number[order]]), np.concatenate([[stats["texts"]], total[order]])
+        self.hashes = np.concatenate([[0], hashes[order]])
         w = rank[local]
         begins = np.cumsum(self.lengths) - self.lengths
         v = np.concatenate([[0], w[:-1]])
@@ -344,9 +434,8 @@ class Block:
             pair, self.w = np.divmod(key, size)
             pair = pairs[pair]
         self.v, self.u = np.divmod(pair, size)
-        classes = np.maximum(1, self.totals[self.v] * stats["hot"] // max(stats["tokens"], 1))
         self.kinds = stats["hot"] + 1
-        self.kind = mixed(self.numbers[self.u] + 1) % classes
+        self.kind = class_of(self.hashes[self.u], classes_of(self.totals[self.v], stats["tokens"], stats["hot"]))
         self.shard = mixed(self.hinge(slice(None))) % trie_shards
 
     def hinge(self, at: np.ndarray | slice) -> np.ndarray:
@@ -427,7 +516,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: in
     fold = remainder(F.col(doc_id), folds)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(fold != 0, F.lit(False)).alias("learned"), F.col(text).alias("text"))
     blocks = stage(rows.mapInArrow(_blocks(block_tokens), BLOCK), "blocks")
-    shards = partitions(spark)
+    # as many word shards as words ask for: a shard holds every block's entries for its words
+    entries = blocks.agg(F.sum("n_words")).first()[0] or 0
+    shards = max(partitions(spark), math.ceil(entries / SHARD_WORDS))
     parts = blocks.mapInPandas(_word_parts(shards), "shard int, block string, words binary, counts binary")
     answered = "block string, shard int, numbers binary, totals binary"
     words = stage(parts.groupBy("shard").applyInPandas(_number_words(shards), answered + ", tokens long, known long, texts long"), "words")
