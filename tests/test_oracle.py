@@ -6,8 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from tickloom.oracle import ORACLES
-from tickloom.queries import QUERIES
+from tickloom import oracle, oracle_contracts, queries, queries_contracts
+
+ORACLES, QUERIES = oracle.ORACLES | oracle_contracts.ORACLES, queries.QUERIES | queries_contracts.QUERIES
 
 SF = "/root/testdata/sf0.01"
 TABLES = "region nation customer supplier part orders lineitem events documents conversations".split()

@@ -97,7 +97,7 @@ def test_rows_are_mapped_or_leave_gaps(spark):
     slices = spark.createDataFrame([(t[0], t[30], "s1", False), (t[30], t[39], "s2", True)], "start long, end long, session_instance_id string, slice_provisional boolean")
     provenance = spark.createDataFrame([("p1", "Alpaca", "SIP", "authorized"), ("p2", "futu", "sip", "authorized"), ("p3", "alpaca", "sip", "unauthorized")], "provenance_id string, provider string, feed string, entitlement string")
     spans = [(t[0], t[1]), (t[1], t[2]), (t[2], t[3]), (t[3], t[4]), (t[4], t[5]), (t[29], t[31]), (t[6], t[8]), (t[7], t[9]), (t[31], t[32])]
-    rows = page(spark, spans, **{}) if False else page(spark, spans).withColumn("provenance_id", F.when(F.col("row_id") == 1, "none").when(F.col("row_id") == 2, "p2").when(F.col("row_id") == 3, "p3").otherwise(F.col("provenance_id"))).withColumn("symbol", F.when(F.col("row_id") == 4, "SPY").otherwise(F.col("symbol")))
+    rows = page(spark, spans).withColumn("provenance_id", F.when(F.col("row_id") == 1, "none").when(F.col("row_id") == 2, "p2").when(F.col("row_id") == 3, "p3").otherwise(F.col("provenance_id"))).withColumn("symbol", F.when(F.col("row_id") == 4, "SPY").otherwise(F.col("symbol")))
     expected = {"provider": F.lit("alpaca"), "feed": F.lit("sip"), "symbol": F.lit("QQQ"), "asset_class": F.lit("equity"), "resolution": F.lit("1m"), "adjustment": F.lit("unadjusted")}
     out = mapping.map_page(rows, provenance, slices, expected, t[0], t[39])
     good = {r.row_id: (r.session_instance_id, r.validation_state) for r in out["rows"].collect()}

@@ -6,6 +6,7 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 from tickloom.functions.time import DAY, HOUR
+from tickloom.functions.values import row_hash
 from tickloom.queries import WITHOUT_SQL, _bars
 
 BASE, STEP = 1_704_067_200 * 10**9, 7 * DAY + HOUR // 2
@@ -18,7 +19,7 @@ def test_every_user_has_evidence_with_a_digest(spark, tmp_path):
     spark.range(0, 260).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
     want, at_least_one, bars = defaultdict(lambda: [0, 0, 0]), set(), 0
     made = _bars(spark, str(tmp_path)).select(F.col("symbol").alias("session"), F.col("bar_start").alias("start"), (F.col("bar_start") + HOUR).alias("end"), "open", "high", "low", "close", "volume", "trade_count")
-    for r in made.withColumn("h", F.xxhash64(*made.columns)).collect():
+    for r in made.withColumn("h", row_hash([F.col(c) for c in made.columns])).collect():
         bars += 1
         for i in range(-1, 6):
             s = BASE + i * STEP
@@ -41,10 +42,11 @@ def test_chunks_digest_all_lines_in_order(spark, sf):
     chunks, sha = defaultdict(list), lambda text: hashlib.sha256(text.encode()).hexdigest()
     for r in ns.select(*order, F.to_json(F.struct(*ns.columns)).alias("j")).collect():
         chunks[r.l_orderkey // 1000].append((*[r[c] for c in order], sha(r.j)))
-    want, fold = {}, ""
-    for c in sorted(chunks):
-        want[c] = len(chunks[c]), sha("\n".join(x[-1] for x in sorted(chunks[c])))
-        fold = sha(fold + want[c][1])
+    want = {c: (len(chunks[c]), sha("\n".join(x[-1] for x in sorted(chunks[c])))) for c in sorted(chunks)}
+    tree = {c: w[1] for c, w in want.items()}
+    for _ in range(3):
+        tree = {n: sha("\n".join(tree[c] for c in sorted(tree) if c // 1024 == n)) for n in {c // 1024 for c in tree}}
+    (fold,) = tree.values()
     got = WITHOUT_SQL["chunk_rollup_all"](spark, sf).collect()
     assert {r.chunk: (r.n_rows, r.digest) for r in got} == want
     assert sum(r.n_rows for r in got) == lines.count() and {(r.rollup, r.n_chunks) for r in got} == {(fold, len(want))}

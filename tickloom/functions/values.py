@@ -59,6 +59,11 @@ def digest(domain: str, *parts: Column) -> Column:
     return F.sha2(F.concat(*pieces), 256)
 
 
+def row_hash(columns: list[Column], seed: int = 0) -> Column:
+    """A 64-bit hash of a row; a null is told apart from a value that moved to its neighbour."""
+    return F.xxhash64(F.lit(seed), *columns, F.array(*[c.isNull() for c in columns]))
+
+
 def set_digest(items: Column) -> Column:
     """One id for a set of labels: itself if it has one member, else a hash of the sorted members."""
     ordered = F.array_sort(F.array_distinct(items))

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom import errors
-from tickloom.functions.time import MINUTE, bucket_start
+from tickloom.functions.market import RESOLUTIONS
+from tickloom.functions.time import MINUTE, bucket_start, is_canonical_date
 from tickloom.functions.values import exact, is_label, is_sha256, normal_form
 
 TRADE, QUOTE = "stock_trade", "stock_quote"
@@ -179,11 +180,26 @@ def bar_rules() -> dict[str, Column]:
         "counters": (c("source_timestamp_missing_rows") == 0) & (c("sequence_gap_count") == 0) & (c("late_event_count") == 0),
         "minutes": (c("window_expected_minutes") * MINUTE == c("window_end_exclusive_utc") - c("window_start_utc")) & (c("window_empty_trade_minutes") >= 0) & (c("window_empty_trade_minutes") < c("window_expected_minutes")),
         "completion": mode & c("window_input_eof"),
+        "trade_date": (c("trade_date") == "") | is_canonical_date(c("trade_date")),
         "quotes_excluded": c("nbbo_input_status") == "excluded",
         "labels": is_label(c("source_provider")) & is_label(c("source_feed")) & is_label(c("session_id"), 128) & is_sha256(c("session_policy_sha256")),
     }
 
 
+def market_bar_rules() -> dict[str, Column]:
+    """What every bar of a provider must fulfil, by name: unlike a trade bar it may have no volume."""
+    c, number = F.col, lambda n: exact(F.col(n))
+    return {
+        "schema_version": c("schema_version") == 1,
+        "positive_price": F.least(number("open"), number("high"), number("low"), number("close")) > 0,
+        "volume": number("volume") >= 0,
+        "high_low": (number("low") <= F.least(number("open"), number("close"))) & (F.greatest(number("open"), number("close"), number("low")) <= number("high")),
+        "start_before_end": c("bar_start_utc") < c("bar_end_exclusive_utc"),
+        "ids": (F.trim("provenance_id") != "") & (F.trim("session_instance_id") != ""),
+        "resolution": c("resolution").isin(*RESOLUTIONS),
+    }
+
+
 def broken_rules(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """One row per row and rule it breaks, in a column rule; a rule that is null is broken."""
     broken = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]))
@@ -220,10 +236,12 @@ def grid_violations(bars: DataFrame) -> DataFrame:
     per = bars.groupBy("symbol").agg(
         F.count("*").alias("n"), F.count_distinct("bar_start_utc").alias("starts"), F.min("window_expected_minutes").alias("expected"),
         F.min("window_empty_trade_minutes").alias("empty"), F.max("window_empty_trade_minutes").alias("empty_most"),
+        F.count_distinct(F.struct("session_id", "session_start_utc", "session_end_exclusive_utc", "window_start_utc", "window_end_exclusive_utc", "available_at_utc")).alias("windows"),
     )
     rule = (
         F.when(F.col("n") != F.col("starts"), "duplicate_bar")
         .when(F.col("empty") != F.col("empty_most"), "inconsistent_empty_minutes")
         .when(F.col("n") + F.col("empty") != F.col("expected"), "undeclared_gap")
+        .when(F.col("windows") > 1, "several_windows")
     )
     return per.withColumn("rule", rule).where("rule is not null").select("symbol", "rule")

@@ -160,9 +160,14 @@ def tiling(bars: DataFrame, phases: DataFrame, keys: list[str], step: int) -> Da
 
 
 def coverage_status(slices: DataFrame, segments: DataFrame, keys: list[str]) -> DataFrame:
-    """Per slice: complete, partial or empty, by how much of it the segments of its keys cover."""
-    bare = uncovered(slices, segments, keys, []).groupBy(*keys).agg(F.sum(F.col("end") - F.col("start")).alias("bare"))
+    """Per slice (keys, start, end): complete, partial or empty, by how much of it the segments of its keys cover.
+
+    A key may have several slices; each is measured by itself.
+    """
+    marked = slices.select(*keys, "start", "end", F.col("start").alias("_from"), F.col("end").alias("_to")).distinct()
+    bare = uncovered(marked, segments, keys, ["_from", "_to"]).groupBy(*keys, "_from", "_to").agg(F.sum(F.col("end") - F.col("start")).alias("bare"))
+    bare = bare.select(*keys, F.col("_from").alias("start"), F.col("_to").alias("end"), "bare")
     size = F.col("end") - F.col("start")
-    return slices.join(bare, keys, "left").withColumn("bare", F.coalesce("bare", F.lit(0))).withColumn("status", F.when(F.col("bare") == 0, "complete").when(F.col("bare") >= size, "empty").otherwise("partial"))
+    return slices.join(bare, [*keys, "start", "end"], "left").withColumn("bare", F.coalesce("bare", F.lit(0))).withColumn("status", F.when(F.col("bare") == 0, "complete").when(F.col("bare") >= size, "empty").otherwise("partial"))
 
 

@@ -40,10 +40,22 @@ def chunk_digests(rows: DataFrame, chunk: list[str], order: list[str], payload:
     return rows.groupBy(*chunk).agg(F.count("*").alias("n_rows"), F.sha2(F.array_join(hashes, "\n"), 256).alias("digest"))
 
 
+def rollup_tree(digests: DataFrame, number: str, fan: int = 1024, levels: int = 3) -> DataFrame:
+    """One digest over all chunks, numbered from 0: each level hashes the digests of fan neighbours in order.
+
+    No task gathers more than fan digests; levels of fan must reach the last number.
+    """
+    now = digests.select(F.col(number).cast("long").alias("_n"), "digest", F.lit(1).cast("long").alias("n_chunks"))
+    for _ in range(levels):
+        ordered = F.transform(F.sort_array(F.collect_list(F.struct("_n", "digest"))), lambda x: x["digest"])
+        now = now.groupBy(F.floor(F.col("_n") / fan).cast("long").alias("_n")).agg(F.sha2(F.array_join(ordered, "\n"), 256).alias("digest"), F.sum("n_chunks").alias("n_chunks"))
+    return now.drop("_n")
+
+
 def rollup_digest(digests: DataFrame, order: list[str]) -> DataFrame:
     """One digest over all chunks' digests in order: a fold, as each step hashes the result before it.
 
-    One short row per chunk is gathered; chunks, not rows, bound its size.
+    One short row per chunk is gathered: for the chunks of one capture. rollup_tree takes any number of them.
     """
     ordered = F.transform(F.sort_array(F.collect_list(F.struct(*order, "digest"))), lambda x: x["digest"])
     return digests.agg(F.aggregate(ordered, F.lit("").cast("string"), lambda acc, x: F.sha2(F.concat(acc, x), 256)).alias("digest"), F.count("*").alias("n_chunks"))

@@ -7,11 +7,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom import errors
+from tickloom.functions.values import row_hash
+from tickloom.operators.intervals import overlapping
 
 
 def duplicates(rows: DataFrame, identity: list[str]) -> DataFrame:
-    """Per identity: rows and different payloads; more than one payload is a conflict."""
-    payload = F.xxhash64(*[c for c in rows.columns if c not in identity])
+    """Per identity: rows and different payloads; more than one payload is a conflict. Nulls are values like others."""
+    payload = F.struct(*[c for c in rows.columns if c not in identity])
     return rows.groupBy(*identity).agg(F.count("*").alias("n_rows"), F.count_distinct(payload).alias("n_payloads"))
 
 
@@ -97,13 +99,51 @@ def downgraded(segments: DataFrame, partial: Column) -> DataFrame:
     return segments.withColumn("status", F.when(partial & (F.col("status") == "complete"), "partial").otherwise(F.col("status")))
 
 
+def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows that two tables do not hold equally often, with how often each does: one shuffle of partial counts."""
+    columns = left.columns
+    both = left.select(*columns, F.lit(1).alias("_a"), F.lit(0).alias("_b")).union(right.select(*columns, F.lit(0), F.lit(1)))
+    return both.groupBy(*columns).agg(F.sum("_a").alias("n_left"), F.sum("_b").alias("n_right")).where("n_left <> n_right")
+
+
 def same_bag(left: DataFrame, right: DataFrame) -> bool:
     """Whether two tables hold the same rows equally often."""
-    columns = left.columns
-    a = left.groupBy(*columns).agg(F.count("*").alias("_a"))
-    b = right.select(*columns).groupBy(*columns).agg(F.count("*").alias("_b"))
-    on = [a[c].eqNullSafe(b[c]) for c in columns]
-    return a.join(b, on, "full_outer").where("not (_a <=> _b)").isEmpty()
+    return bag_difference(left, right).isEmpty()
+
+
+def with_verified_at(rows: DataFrame, cached: DataFrame, verified_at: int) -> DataFrame:
+    """rows with verified_at, if every row consumes one equal cached row; null otherwise, for all."""
+    covered = bag_difference(rows, cached.select(*rows.columns)).where("n_left > n_right").isEmpty()
+    return rows.withColumn("verified_at", F.lit(verified_at if covered else None).cast("bigint"))
+
+
+def compared_inside(old: DataFrame, new: DataFrame, session: str, identity: list[str], decimals: dict[str, str], exact_fields: list[str]) -> DataFrame:
+    """compared, of the rows (start, end) that lie in the stretch of their session that both versions cover."""
+    shared = coverage_overlap(old, new, session).select(session, F.col("start").alias("_from"), F.col("end").alias("_to"))
+    inside = lambda rows: rows.join(shared, session).where("start >= _from and end <= _to").drop("_from", "_to")
+    return compared(inside(old), inside(new), identity, decimals, exact_fields)
+
+
+def sub_window(rows: DataFrame, segments: DataFrame, session: str, start: int, end: int) -> DataFrame:
+    """Rows of [start, end) of the sessions whose complete segments cover it; other sessions serve nothing."""
+    whole = session_bounds(segments, session).where((F.col("start") <= start) & (F.col("end") >= end)).select(session)
+    return rows.join(whole, session, "left_semi").where((F.col("start") >= start) & (F.col("end") <= end))
+
+
+#: Sessions of a shard, and bytes of one.
+SHARD_SESSIONS, SHARD_BYTES = 64, 256 * 1024
+
+
+def month_shards(sessions: DataFrame, month: str, session: str, size: Column, most: int = SHARD_SESSIONS, most_bytes: int = SHARD_BYTES) -> DataFrame:
+    """sessions with shard_id (month and number, in order of session), and rule where a shard has too many bytes.
+
+    Months are independent; a month's sessions are ordered together.
+    """
+    order = W.partitionBy(month).orderBy(session)
+    numbered = sessions.withColumn("_n", F.floor((F.row_number().over(order) - 1) / most).cast("int")).withColumn("_size", size)
+    total = F.sum("_size").over(W.partitionBy(month, "_n"))
+    shard = F.concat(F.col(month), F.lit("-"), F.lpad(F.col("_n").cast("string"), 4, "0"))
+    return numbered.withColumn("shard_id", shard).withColumn("rule", F.when(total > most_bytes, "InputLimit")).drop("_n", "_size")
 
 
 def key_fingerprint(request: dict[str, Column]) -> Column:
@@ -126,15 +166,16 @@ def broken_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
     return pages.withColumn("_ok", F.coalesce(ok, F.lit(False))).where("not _ok").drop("_ok")
 
 
-def coverage_evidence(rows: DataFrame, segments: DataFrame, session: str) -> DataFrame:
+def coverage_evidence(rows: DataFrame, segments: DataFrame, session: str, hashed: Column | None = None) -> DataFrame:
     """Per segment (session, start, end, status): its rows and their digest, and rows that cross its bounds.
 
-    Rows meet segments by session. The digest adds up hashes of rows, so nothing is sorted or gathered.
+    Rows meet segments by session and stretch of time, so a busy session is many small joins. The digest adds up
+    hashes of rows (hashed: the hash of one, by default of all its columns), so nothing is sorted or gathered.
     """
-    columns = [F.col(c) for c in rows.columns]
-    hashed = rows.select(session, F.col("start").alias("_s"), F.col("end").alias("_e"), F.xxhash64(*columns).alias("_h"))
+    of = row_hash([F.col(c) for c in rows.columns]) if hashed is None else hashed
+    others = rows.select(session, F.col("start").alias("_cs"), F.col("end").alias("_ce"), of.alias("_h"))
     s = segments.select(session, "start", "end", "status")
-    met = s.join(hashed, session, "left").where("_s is null or (_s < end and start < _e)")
+    met = overlapping(s, others, [session]).withColumnsRenamed({"_cs": "_s", "_ce": "_e"})
     inside = (F.col("_s") >= F.col("start")) & (F.col("_e") <= F.col("end"))
     found = met.groupBy(session, "start", "end", "status").agg(
         F.count_if(inside).alias("n_rows"), F.count_if(F.col("_s").isNotNull() & ~inside).alias("n_straddling"), F.coalesce(F.sum(F.when(inside, F.col("_h").cast("decimal(38,0)"))), F.lit(0)).cast("string").alias("digest")

@@ -22,12 +22,20 @@ def state_before(rows: DataFrame, keys: list[str], arrival: str, state: Column,
     return joined.withColumn("before", F.greatest("_carried", F.max("_state").over(inside))).drop("_part", "_state", "_carried")
 
 
-def classify(rows: DataFrame, keys: list[str], arrival: str, width: int = 100_000) -> DataFrame:
+def stretch(rows: DataFrame, arrival: str, part_rows: int = 20_000) -> int:
+    """The width of arrival numbers that holds about part_rows rows, from their range and count."""
+    found = rows.agg(F.min(arrival).alias("a"), F.max(arrival).alias("b"), F.count(arrival).alias("n")).first()
+    return max(1, -(-(int(found["b"]) - int(found["a"]) + 1) // max(1, found["n"] // part_rows))) if found["n"] else 1
+
+
+def classify(rows: DataFrame, keys: list[str], arrival: str, width: int | None = None) -> DataFrame:
     """rows (keys, generation, sequence, arrival) with decision, missing_first and missing_last.
 
     The first message of a source, and of each new generation, is accepted at any number; a gap's message
-    is still accepted. Accepted states only grow, so the state before a row is the running maximum.
+    is still accepted. Accepted states only grow, so the state before a row is the running maximum. width None:
+    one pass over the arrival numbers chooses it.
     """
+    width = width or stretch(rows, arrival)
     state = F.struct(F.col("generation").alias("generation"), F.col("sequence").alias("sequence"))
     out = state_before(rows, keys, arrival, state, width)
     g, s = F.col("before.generation"), F.col("before.sequence")

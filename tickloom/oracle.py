@@ -112,7 +112,7 @@ SELECT c AS "case", session_instance_id, CAST(position AS INTEGER) AS position,
     "asof_session": """WITH i AS (SELECT m, strftime(m, '%Y-%m') AS instance FROM (SELECT unnest(generate_series(DATE '1995-02-01', DATE '2001-06-01', INTERVAL 1 MONTH)) AS m))
 SELECT o_orderkey, instance FROM orders ASOF LEFT JOIN i ON o_orderdate >= m""",
     "provider_runs": """WITH k AS (SELECT user_id AS symbol, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS g
-  FROM events WHERE event_type IN ('view', 'click')),
+  FROM events WHERE event_type <> 'error'),
 r AS (SELECT symbol, event_type, min(event_id) AS first_id, max(event_id) AS last_id, count(*) AS n_slices FROM k GROUP BY symbol, event_type, g)
 SELECT symbol, CAST(row_number() OVER (PARTITION BY symbol ORDER BY first_id) AS BIGINT) AS run, event_type, first_id, last_id, n_slices FROM r""",
     "route_choice": f"""WITH {_CALENDAR}, p AS (SELECT trade_date, phase, row_number() OVER (ORDER BY s) AS i, CASE WHEN s <= 1704985200000000000 AND e > 1704985200000000000 THEN row_number() OVER (ORDER BY s) END AS act FROM inst),
@@ -134,9 +134,9 @@ SELECT key, min(s) AS "start", max(e) AS "end", CASE WHEN count(*) > 1 THEN 'unk
     "uncovered_windows": f'WITH {_GAPS}, {_YEARS}, {_uncovered("years", "gaps", "key year")} SELECT key, CAST(year AS INTEGER) AS year, a AS "start", b AS "end" FROM bare WHERE a < b',
     "segment_minus_gap": f"""WITH {_GAPS}, seg AS (SELECT id AS key, s, e FROM gaps), ship AS (SELECT l_orderkey AS key, epoch_ns(l_shipdate) AS s, epoch_ns(l_shipdate) + 3 * {DAY} AS e FROM lineitem),
 {_uncovered("seg", "ship", "key")} SELECT key, a AS "start", b AS "end" FROM bare WHERE a < b""",
-    "coverage_status": f"""WITH {_GAPS}, {_YEARS}, y AS (SELECT key, s, e FROM years WHERE year = 1996), {_uncovered("y", "gaps", "key")},
-b AS (SELECT y.key, y.e - y.s AS size, CAST(coalesce(sum(b - a) FILTER (a < b), 0) AS BIGINT) AS bare FROM y LEFT JOIN bare ON bare.key = y.key GROUP BY ALL)
-SELECT key, bare, CASE WHEN bare = 0 THEN 'complete' WHEN bare >= size THEN 'empty' ELSE 'partial' END AS status FROM b""",
+    "coverage_status": f"""WITH {_GAPS}, {_YEARS}, {_uncovered("years", "gaps", "key year")},
+b AS (SELECT y.key, y.year, y.e - y.s AS size, CAST(coalesce(sum(b - a) FILTER (a < b), 0) AS BIGINT) AS bare FROM years y LEFT JOIN bare ON bare.key = y.key AND bare.year = y.year GROUP BY ALL)
+SELECT key, CAST(year AS INTEGER) AS year, bare, CASE WHEN bare = 0 THEN 'complete' WHEN bare >= size THEN 'empty' ELSE 'partial' END AS status FROM b""",
     "tiling_complete": f"""WITH b AS (SELECT DISTINCT user_id % 8 AS grp, event_type, epoch_ns(ts) // {6 * HOUR} AS q FROM events)
 SELECT grp, event_type, q // 4 * {DAY} AS day, count(*) AS n_bars, count(*) = 4 AS complete FROM b GROUP BY grp, event_type, q // 4""",
     "overlap_conflicts": f"WITH {_GAPS} SELECT DISTINCT a.key, a.id FROM gaps a JOIN gaps b ON a.key = b.key AND a.id <> b.id AND a.s < b.e AND b.s < a.e",
@@ -149,15 +149,18 @@ SELECT greatest(bar_start, a) AS "start", least(bar_start + {HOUR}, b) AS "end",
     "reconcile_verdict": f"""WITH {_PARTS}, n AS (SELECT count(*) FILTER (status = 'added') AS added, count(*) FILTER (status = 'removed') AS removed, count(*) FILTER (status = 'conflict') AS conflict,
   count(*) FILTER (status = 'tolerated') AS tolerated, count(*) FILTER (status = 'equal') AS equal, CAST(sum(changed_fields) AS BIGINT) AS changed_fields FROM cmp)
 SELECT *, conflict = 0 AND added <= 1000 AND tolerated <= 100000 AS accepted FROM n""",
-    "dedupe_conflicts": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows, count(DISTINCT (l_partkey, l_suppkey, l_returnflag)) AS n_payloads FROM lineitem GROUP BY ALL HAVING count(DISTINCT (l_partkey, l_suppkey, l_returnflag)) > 1""",
+    "dedupe_conflicts": """WITH r AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 3 <> 0 THEN l_partkey % 5 END AS a, CASE WHEN l_partkey % 3 = 0 THEN l_partkey % 5 END AS b, l_returnflag FROM lineitem)
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows, count(DISTINCT coalesce(CAST(a AS VARCHAR), '-') || '/' || coalesce(CAST(b AS VARCHAR), '-') || '/' || l_returnflag) AS n_payloads FROM r GROUP BY l_orderkey, l_linenumber HAVING n_payloads > 1""",
     "dedupe_min_encoding": """WITH d AS (SELECT sha256(text) AS identity, doc_id, source || '|' || lang || '|' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS encoding FROM documents)
 SELECT identity, doc_id, encoding FROM d QUALIFY row_number() OVER (PARTITION BY identity ORDER BY encoding) = 1""",
-    "lineage_orphans": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderkey % 7 <> 0)",
+    "lineage_orphans": """WITH l AS (SELECT CASE WHEN l_orderkey % 7 = 0 THEN -l_orderkey - 1 ELSE l_orderkey END AS l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem)
+SELECT * FROM l WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)""",
     "pair_completeness": """WITH e AS (SELECT l_orderkey AS frame, count(*) AS n_events, count(DISTINCT l_linenumber) AS n_ordinals FROM lineitem GROUP BY ALL)
 SELECT coalesce(o_orderkey, frame) AS frame, o_orderkey % 6 AS declared, coalesce(n_events, 0) AS n_events, coalesce(n_ordinals, 0) AS n_ordinals,
   coalesce(coalesce(n_events, 0) = o_orderkey % 6 AND coalesce(n_ordinals, 0) = o_orderkey % 6, false) AS complete FROM orders FULL JOIN e ON o_orderkey = frame""",
-    "turn_contiguity": """WITH c AS (SELECT conv_id, turn, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS after FROM conversations WHERE turn % 5 <> 3)
-SELECT conv_id, min(turn) AS first_turn, max(turn) AS last_turn, count(*) AS n_rows, count(*) FILTER (after <> turn + 1) = 0 AS contiguous FROM c GROUP BY conv_id""",
+    "turn_contiguity": """WITH b AS (SELECT conv_id, CASE WHEN conv_id % 5 = 0 AND turn >= 3 THEN turn + 1 WHEN conv_id % 7 = 0 AND turn = 3 THEN turn - 1 ELSE turn END AS turn FROM conversations),
+c AS (SELECT conv_id, turn, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS after FROM b)
+SELECT conv_id, CAST(min(turn) AS BIGINT) AS first_turn, CAST(max(turn) AS BIGINT) AS last_turn, count(*) AS n_rows, count(*) FILTER (after <> turn + 1) = 0 AS contiguous FROM c GROUP BY conv_id""",
     "keyset_page": """SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey, o_totalprice FROM orders WHERE (strftime(o_orderdate, '%Y-%m-%d'), o_orderkey) < ('2000-06-15', 500) ORDER BY 1 DESC, 2 DESC LIMIT 100""",
     "session_set_digest": f"""WITH g AS (SELECT user_id AS symbol, epoch_ns(ts) // {DAY} AS day, list_sort(list(DISTINCT event_type)) AS l FROM events GROUP BY ALL)
 SELECT symbol, day, CASE WHEN len(l) = 1 THEN l[1] ELSE sha256(array_to_string(l, chr(10))) END AS digest FROM g""",
@@ -171,16 +174,26 @@ SELECT event_id, head || CASE WHEN frac = '' THEN '' ELSE '.' || frac END || 'Z'
     "decimal_normal_form": "SELECT p_partkey, regexp_replace(regexp_replace(CAST(CAST(p_retailprice AS DECIMAL(18,4)) AS VARCHAR), '0+$', ''), '\\.$', '') AS price FROM part",
     "digests": """WITH p AS (SELECT c_custkey, unnest(['customer-v1', c_name, c_mktsegment]) AS x, unnest([1, 2, 3]) AS i FROM customer),
 h AS (SELECT c_custkey, string_agg(lpad(lower(hex(strlen(x))), 16, '0') || lower(hex(x)), '' ORDER BY i) AS h FROM p GROUP BY c_custkey) SELECT c_custkey, sha256(unhex(h)) AS digest FROM h""",
-    "month_shards": """WITH g AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_custkey % 10 AS grp, count(*) AS n_orders FROM orders GROUP BY ALL)
-SELECT month, grp, n_orders, (row_number() OVER (PARTITION BY month ORDER BY grp) - 1) // 4 AS shard FROM g""",
-    "symbol_partition": """WITH r AS (SELECT c_mktsegment, count(DISTINCT c_nationkey) AS n FROM customer WHERE c_custkey % 37 < 5 GROUP BY ALL)
-SELECT c_mktsegment, n AS n_returned, (SELECT count(*) FROM nation) - n AS n_missing, true AS holds FROM r""",
+    "month_shards": """WITH g AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS session, count(*) AS n_orders FROM orders GROUP BY ALL),
+n AS (SELECT *, (row_number() OVER (PARTITION BY month ORDER BY session) - 1) // 64 AS k FROM g)
+SELECT month, session, n_orders, month || '-' || lpad(CAST(k AS VARCHAR), 4, '0') AS shard_id, CASE WHEN sum(n_orders * 4000) OVER (PARTITION BY month, k) > 262144 THEN 'InputLimit' END AS rule FROM n""",
+    "symbol_partition": """WITH c AS (SELECT c_custkey AS k, [CAST(c_custkey % 5 AS VARCHAR), CAST(c_custkey % 7 + 10 AS VARCHAR), '20'] AS asked FROM customer),
+p AS (SELECT k, asked, CASE WHEN k % 4 = 0 THEN asked ELSE asked[1:2] END AS given, CASE WHEN k % 6 = 0 THEN ['20', '21'] WHEN k % 4 = 0 THEN [] ELSE ['20'] END AS lost FROM c)
+SELECT k AS c_custkey, len(given) AS n_returned, len(lost) AS n_missing, len(list_intersect(given, lost)) = 0 AND list_sort(list_distinct(list_concat(given, lost))) = list_sort(asked) AS holds FROM p""",
     "authority": """WITH k AS (SELECT o_orderkey AS o FROM orders)
 SELECT o AS o_orderkey, CASE WHEN o % 2 = 0 AND (o // 2) % 3 IN (0, 2) AND o % 5 <> 0 AND o % 11 > 0 AND o % 13 <> 0 AND
   (((o // 3) % 2 = 0 AND (o // 4) % 2 = 0) OR ((o // 3) % 2 = 1 AND (o // 4) % 2 = 1 AND (o // 5) % 2 = 0)) THEN 'authoritative' ELSE 'provisional' END AS authority FROM k""",
     "coverage_intersection": f"""WITH {_GAPS}, b AS (SELECT key, id % 2 AS half, min(s) AS s, max(e) AS e FROM gaps GROUP BY ALL)
 SELECT key AS session, max(s) AS "start", min(e) AS "end" FROM b GROUP BY key HAVING count(*) = 2 AND max(s) < min(e)""",
-    "chunk_rollup": """WITH r AS (SELECT DISTINCT l_orderkey % 50 AS chunk, l_orderkey, l_partkey, l_suppkey FROM lineitem WHERE l_linenumber = 1) SELECT chunk, count(*) AS n_rows FROM r GROUP BY ALL""",
+    "chunk_rollup": """WITH r AS (SELECT l_orderkey // 100 AS chunk, l_orderkey AS o, l_linenumber AS n, l_partkey AS p, l_suppkey AS s,
+  sha256('{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey || ',"l_suppkey":' || l_suppkey || '}') AS h FROM lineitem),
+c AS (SELECT chunk, count(*) AS n_rows, sha256(string_agg(h, chr(10) ORDER BY o, n, p, s)) AS digest FROM r GROUP BY chunk),
+l1 AS (SELECT chunk // 64 AS k, sha256(string_agg(digest, chr(10) ORDER BY chunk)) AS d FROM c GROUP BY ALL),
+l2 AS (SELECT k // 64 AS k2, sha256(string_agg(d, chr(10) ORDER BY k)) AS d FROM l1 GROUP BY ALL),
+l3 AS (SELECT k2 // 64 AS k3, sha256(string_agg(d, chr(10) ORDER BY k2)) AS d FROM l2 GROUP BY ALL),
+l4 AS (SELECT k3 // 64 AS k4, sha256(string_agg(d, chr(10) ORDER BY k3)) AS d FROM l3 GROUP BY ALL),
+l5 AS (SELECT sha256(string_agg(d, chr(10) ORDER BY k4)) AS d FROM l4)
+SELECT chunk, n_rows, digest, l5.d AS rollup, (SELECT count(*) FROM c) AS n_chunks FROM c, l5""",
     "calendar_integrity": """SELECT * FROM (VALUES ('2024-05-06', 'dates_not_contiguous'), ('2024-07-03', 'days_not_adjacent'), ('XNYS:2024-02-05:pre', 'instances_overlap'), ('XNYS:2024-02-05', 'phases'), ('XNYS:2024-02-05:pre', 'id_not_unique')) AS t(subject, rule)""",
     "sessions_in_window": f"""WITH {_CALENDAR}, w AS (SELECT 1704985200000000000 - 20 * {HOUR} AS a, 1704985200000000000 + 15 * {HOUR} AS b), m AS (SELECT inst.* FROM inst, w WHERE s < b AND e > a),
 d AS (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS d)
@@ -191,8 +204,13 @@ SELECT trade_date, 'before' AS edge, d AS "start", a AS "end" FROM p UNION ALL S
     "overnight_bands": f"""WITH {_CALENDAR} SELECT 'XNYS:' || strftime(d, '%Y-%m-%d') || ':over' AS session_instance_id, epoch_ns(CAST(d AS TIMESTAMP)) + 1 * {HOUR} AS "start", epoch_ns(CAST(d AS TIMESTAMP)) + 9 * {HOUR} AS "end" FROM days""",
     "closed_nights": f"""WITH {_CALENDAR}, c AS (SELECT d, epoch_ns(CAST(d AS TIMESTAMP)) + 5 * {HOUR} AS s FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS d) WHERE d NOT IN (SELECT d FROM days))
 SELECT strftime(d, '%Y-%m-%d') AS trade_date, s AS "start", s + 4 * {HOUR} AS "end" FROM c UNION ALL SELECT strftime(d, '%Y-%m-%d'), s + 20 * {HOUR}, s + 24 * {HOUR} FROM c""",
-    "coverage_evidence": f"""WITH {_bars(HOUR)}, seg AS (SELECT c_custkey AS session, 1704067200000000000 + i * (7 * {DAY} + {HOUR // 2}) AS s FROM customer, range(4) t(i) WHERE c_custkey < 200)
+    "coverage_evidence": f"""WITH {_bars(HOUR)}, ses AS (SELECT c_custkey AS session FROM customer UNION SELECT user_id FROM events WHERE user_id IS NOT NULL),
+w AS (SELECT 1704067200000000000 AS base, 7 * {DAY} + {HOUR // 2} AS step),
+sp AS (SELECT CAST(floor((min(bar_start) - base) / step) AS BIGINT) AS a, CAST(floor((max(bar_start) + {HOUR} - 1 - base) / step) AS BIGINT) AS b FROM bars, w GROUP BY base, step),
+seg AS (SELECT session, base + i * step AS s FROM ses, w, (SELECT unnest(range(a, b + 1)) AS i FROM sp)),
+h AS (SELECT symbol, bar_start, CAST(('0x' || substr(md5(symbol || '/' || bar_start || '/' || (bar_start + {HOUR})), 1, 15)) AS BIGINT) AS h FROM bars)
 SELECT session, s AS "start", s + 7 * {DAY} AS "end", count(symbol) FILTER (bar_start >= s AND bar_start + {HOUR} <= s + 7 * {DAY}) AS n_rows,
-  count(symbol) FILTER (NOT (bar_start >= s AND bar_start + {HOUR} <= s + 7 * {DAY})) AS n_straddling
-FROM seg LEFT JOIN bars ON symbol = session AND bar_start < s + 7 * {DAY} AND bar_start + {HOUR} > s GROUP BY session, s""",
+  count(symbol) FILTER (NOT (bar_start >= s AND bar_start + {HOUR} <= s + 7 * {DAY})) AS n_straddling,
+  CAST(coalesce(sum(h) FILTER (bar_start >= s AND bar_start + {HOUR} <= s + 7 * {DAY}), 0) AS VARCHAR) AS digest
+FROM seg LEFT JOIN h ON symbol = session AND bar_start < s + 7 * {DAY} AND bar_start + {HOUR} > s GROUP BY session, s""",
 }

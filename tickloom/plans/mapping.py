@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.market import RESPONSE_PRIORITY, summary_label
+from tickloom.functions.market import RESOLUTIONS, RESPONSE_PRIORITY, summary_label
 from tickloom.functions.values import same_provider
 from tickloom.operators.intervals import by_day, conflicts, contained_in_one, normalize_gaps, outside, overlaps, uncovered
 
@@ -94,7 +94,13 @@ def clipped_rows(rows: DataFrame, start: int, end: int) -> dict[str, DataFrame]:
     return {"rows": rows.where(inside), "gaps": cut.select(F.greatest("start", F.lit(start)).alias("start"), F.least("end", F.lit(end)).alias("end"), F.lit("unknown").alias("reason"))}
 
 
+def null_volume_rows(rows: DataFrame, start: int, end: int) -> dict[str, DataFrame]:
+    """A page's rows with a volume, and unknown gaps, clipped to the request, where bars have none."""
+    lost = rows.where("volume is null").where(overlaps(F.col("start"), F.col("end"), F.lit(start), F.lit(end)))
+    return {"rows": rows.where("volume is not null"), "gaps": lost.select(F.greatest("start", F.lit(start)).alias("start"), F.least("end", F.lit(end)).alias("end"), F.lit("unknown").alias("reason"))}
+
+
 def permitted(slices: DataFrame) -> DataFrame:
-    """(phase, interval) of provider B that all of its slices permit: new or buffer, and historical."""
-    fine = F.col("rank").isin("new", "buffer") & F.col("historical")
+    """(phase, interval) of provider B that all of its slices permit: new or buffer, historical, in an interval that it has."""
+    fine = F.col("rank").isin("new", "buffer") & F.col("historical") & F.col("interval").isin(*RESOLUTIONS)
     return slices.groupBy("phase", "interval").agg(F.bool_and(F.coalesce(fine, F.lit(False))).alias("ok")).where("ok").drop("ok")

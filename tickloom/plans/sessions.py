@@ -176,8 +176,43 @@ def runs(slices: DataFrame, keys: list[str], order: str, source: str, fetchable:
     return numbered.groupBy(*keys, "run", source).agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n_slices"))
 
 
-def plan_market_bars(request: Request, as_of: int, days: DataFrame, instances: DataFrame, capabilities: DataFrame) -> dict[str, DataFrame]:
-    """slices (newest first), groups per source and normalised gaps of a request."""
+def attempt_capabilities(request: Request, as_of: int, days: DataFrame, instances: DataFrame, capabilities: DataFrame, candidates: DataFrame) -> DataFrame:
+    """capabilities and those candidates of provider B that its policy permits for this request: all slices that a
+    candidate would serve have to be permitted, else it is left out."""
+    from tickloom.plans.mapping import permitted
+
+    trial = plan_sessions(request, as_of, days, instances, capabilities.where("provider <> 'futu'").unionByName(candidates))
+    if request.resolution != "1d":
+        trial = trial.where(in_scope(F.col("phase"), F.lit(request.scope)))
+    served = trial.where("provider = 'futu'").withColumn("historical", F.col("historical") & ~F.col("realtime") & F.col("gap").isNull())
+    allowed = permitted(served)
+    c, a = candidates.alias("c"), allowed.alias("a")
+    on = F.col("c.phase").eqNullSafe(F.col("a.phase")) & F.col("c.interval").eqNullSafe(F.col("a.interval"))
+    return capabilities.where("provider <> 'futu'").unionByName(c.join(a, on, "left_semi"))
+
+
+def runs_of_plan(slices: DataFrame) -> DataFrame:
+    """A plan's slices in runs of one source (newest first): a page serves one run."""
+    source = F.struct("provider", "feed", "interval")
+    numbered = slices.withColumn("k", F.lit(1)).withColumn("at", -F.col("start")).withColumn("source", source)
+    found = runs(numbered, ["k"], "at", "source", F.col("gap").isNull())
+    return found.select("run", "source.*", (-F.col("last")).alias("oldest_start"), (-F.col("first")).alias("newest_start"), "n_slices")
+
+
+def next_run(plan_runs: DataFrame, served: int | None) -> dict | None:
+    """The cursor of the run after the one just served (None: of the first), whether that succeeded or failed;
+    None after the last. It selects the next planned run and authorizes nothing else."""
+    found = plan_runs.where(F.col("run") > (served or 0)).orderBy("run").first()
+    return found.asDict() if found else None
+
+
+def plan_market_bars(request: Request, as_of: int, days: DataFrame, instances: DataFrame, capabilities: DataFrame, candidates: DataFrame | None = None) -> dict[str, DataFrame]:
+    """slices (newest first), groups per source, runs and normalised gaps of a request.
+
+    candidates: capabilities of provider B, of which only those that its policy permits take part.
+    """
+    if candidates is not None:
+        capabilities = attempt_capabilities(request, as_of, days, instances, capabilities, candidates)
     spark = days.sparkSession
     cutoff = spark.range(1).select(parse_rfc3339(F.lit(CUTOFF))).first()[0]
     intraday, research = request.resolution != "1d", request.mode == "research"
@@ -219,4 +254,4 @@ def plan_market_bars(request: Request, as_of: int, days: DataFrame, instances: D
     served = slices.where("gap is null").withColumn("adjustment", F.lit(request.adjustment))
     groups = served.groupBy("provider", "feed", "interval", "adjustment").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_slices")).orderBy(F.col("end").desc(), "provider")
     normal = normalize_gaps(every.withColumn("k", F.lit(1)), ["k"], MAPPING_PRIORITY).drop("k").orderBy("start")
-    return {"slices": slices.orderBy(F.col("start").desc()), "groups": groups, "gaps": normal}
+    return {"slices": slices.orderBy(F.col("start").desc()), "groups": groups, "runs": runs_of_plan(slices), "gaps": normal}

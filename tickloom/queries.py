@@ -119,7 +119,8 @@ def asof_session(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def provider_runs(spark: SparkSession, sf: str) -> DataFrame:
-    out = sessions.runs(_events(spark, sf).where("event_type in ('view', 'click', 'error')"), ["symbol"], "event_id", "event_type", F.col("event_type") != "error")
+    """Runs of one event type per user; errors cannot be fetched, and break no run."""
+    out = sessions.runs(_events(spark, sf), ["symbol"], "event_id", "event_type", F.col("event_type") != "error")
     return out.select("symbol", "run", "event_type", F.col("first").alias("first_id"), F.col("last").alias("last_id"), "n_slices")
 
 
@@ -175,7 +176,7 @@ def segment_minus_gap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def coverage_status(spark: SparkSession, sf: str) -> DataFrame:
-    return I.coverage_status(_years(spark, sf).where("year = 1996").drop("year"), _order_gaps(spark, sf), ["key"]).select("key", "bare", "status")
+    return I.coverage_status(_years(spark, sf), _order_gaps(spark, sf), ["key"]).select("key", "year", "bare", "status")
 
 
 def tiling_complete(spark: SparkSession, sf: str) -> DataFrame:
@@ -223,7 +224,10 @@ def reconcile_verdict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedupe_conflicts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+    # payloads with nulls, which move from one column to the next
+    part = F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey") % 5)
+    supp = F.when(F.col("l_partkey") % 3 == 0, F.col("l_partkey") % 5)
+    rows = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", part.alias("a"), supp.alias("b"), "l_returnflag")
     return reconcile.duplicates(rows, ["l_orderkey", "l_linenumber"]).where("n_payloads > 1")
 
 
@@ -233,8 +237,10 @@ def dedupe_min_encoding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lineage_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    kept = _t(spark, sf, "orders").where("o_orderkey % 7 <> 0").select("o_orderkey")
-    return reconcile.orphans(_t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), kept, ["l_orderkey"], ["o_orderkey"])
+    """Every seventh line names a parent that is not there."""
+    k = F.col("l_orderkey")
+    rows = _t(spark, sf, "lineitem").withColumn("l_orderkey", F.when(k % 7 == 0, -k - 1).otherwise(k)).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return reconcile.orphans(rows, _t(spark, sf, "orders").select("o_orderkey"), ["l_orderkey"], ["o_orderkey"])
 
 
 def pair_completeness(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,7 +250,10 @@ def pair_completeness(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def turn_contiguity(spark: SparkSession, sf: str) -> DataFrame:
-    out = sequence.contiguity(_t(spark, sf, "conversations").where("turn % 5 <> 3"), ["conv_id"], "turn")
+    """Turns of every fifth conversation run with a gap after the third, of every seventh twice through the second."""
+    c, t = F.col("conv_id"), F.col("turn")
+    turn = F.when((c % 5 == 0) & (t >= 3), t + 1).when((c % 7 == 0) & (t == 3), t - 1).otherwise(t)
+    out = sequence.contiguity(_t(spark, sf, "conversations").select("conv_id", turn.cast("long").alias("turn")), ["conv_id"], "turn")
     return out.select("conv_id", F.col("first").alias("first_turn"), F.col("last").alias("last_turn"), "n_rows", "contiguous")
 
 
@@ -288,18 +297,20 @@ def digests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def month_shards(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window as W
-
-    day = _t(spark, sf, "orders").groupBy(time.month_key(time.ns_of(F.col("o_orderdate"))).alias("month"), (F.col("o_custkey") % 10).alias("grp")).agg(F.count("*").alias("n_orders"))
-    return day.withColumn("shard", F.floor((F.row_number().over(W.partitionBy("month").orderBy("grp")) - 1) / 4).cast("long"))
+    """Customers' months as sessions, in shards of 64; some shards weigh too much."""
+    month = time.month_key(time.ns_of(F.col("o_orderdate")))
+    rows = _t(spark, sf, "orders").groupBy(month.alias("month"), F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("session")).agg(F.count("*").alias("n_orders"))
+    return reconcile.month_shards(rows, "month", "session", F.col("n_orders") * 4000).select("month", "session", "n_orders", "shard_id", "rule")
 
 
 def symbol_partition(spark: SparkSession, sf: str) -> DataFrame:
-    nations = _t(spark, sf, "nation").select(F.col("n_name").alias("symbol"), "n_nationkey")
-    back = _t(spark, sf, "customer").where("c_custkey % 37 < 5").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("c_mktsegment").agg(F.collect_set("symbol").alias("returned"))
-    every = nations.agg(F.collect_set("symbol").alias("requested"))
-    both = back.join(F.broadcast(every)).withColumn("missing", F.array_except("requested", "returned"))
-    return both.select("c_mktsegment", F.size("returned").cast("long").alias("n_returned"), F.size("missing").cast("long").alias("n_missing"), research.partition_holds(F.col("requested"), F.col("returned"), F.col("missing")).alias("holds"))
+    """Per customer the nations asked for, given and missing; some customers miss one too many or have one twice."""
+    k = F.col("c_custkey")
+    asked = F.array((k % 5).cast("string"), (k % 7 + 10).cast("string"), F.lit("20"))
+    given = F.when(k % 4 == 0, asked).otherwise(F.slice(asked, 1, 2))
+    lost = F.when(k % 6 == 0, F.array(F.lit("20"), F.lit("21"))).when(k % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("20")))
+    rows = _t(spark, sf, "customer").select("c_custkey", asked.alias("asked"), given.alias("given"), lost.alias("lost"))
+    return rows.select("c_custkey", F.size("given").cast("long").alias("n_returned"), F.size("lost").cast("long").alias("n_missing"), research.partition_holds(F.col("asked"), F.col("given"), F.col("lost")).alias("holds"))
 
 
 def authority(spark: SparkSession, sf: str) -> DataFrame:
@@ -316,8 +327,12 @@ def coverage_intersection(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chunk_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _t(spark, sf, "lineitem").where("l_linenumber = 1").select((F.col("l_orderkey") % 50).alias("chunk"), "l_orderkey", "l_partkey", "l_suppkey").distinct()
-    return pairs.chunk_digests(rows, ["chunk"], ["l_orderkey", "l_partkey", "l_suppkey"], ["l_partkey"]).select("chunk", "n_rows")
+    """Chunks of a hundred order keys of lineitem with their digests, and the digest of all."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    rows = _t(spark, sf, "lineitem").select(F.floor(F.col("l_orderkey") / 100).cast("long").alias("chunk"), *keys)
+    made = pairs.chunk_digests(rows, ["chunk"], keys, keys)
+    rollup = pairs.rollup_tree(made, "chunk", 64, 5).select(F.col("digest").alias("rollup"), "n_chunks")
+    return made.join(F.broadcast(rollup)).select("chunk", "n_rows", "digest", "rollup", "n_chunks")
 
 
 def calendar_integrity(spark: SparkSession, sf: str) -> DataFrame:
@@ -352,26 +367,27 @@ def closed_nights(spark: SparkSession, sf: str) -> DataFrame:
 
 def coverage_evidence(spark: SparkSession, sf: str) -> DataFrame:
     rows = _bars(spark, sf).select(F.col("symbol").alias("session"), F.col("bar_start").alias("start"), (F.col("bar_start") + HOUR).alias("end"))
-    segments = _t(spark, sf, "customer").where("c_custkey < 200").select(F.col("c_custkey").alias("session"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("i"))
-    first = F.lit(1_704_067_200 * time.SECOND) + F.col("i") * (7 * DAY + HOUR // 2)
-    segments = segments.select("session", first.alias("start"), (first + 7 * DAY).alias("end"), F.lit("complete").alias("status"))
-    return reconcile.coverage_evidence(rows, segments, "session").select("session", "start", "end", "n_rows", "n_straddling")
+    # a hash that other engines have: the first 60 bits of MD5
+    of = F.conv(F.substring(F.md5(F.concat_ws("/", "session", "start", "end").cast("binary")), 1, 15), 16, 10)
+    return reconcile.coverage_evidence(rows, _evidence_segments(spark, sf, rows), "session", of).select("session", "start", "end", "n_rows", "n_straddling", "digest")
 
 
 def coverage_evidence_all(spark: SparkSession, sf: str) -> DataFrame:
-    """Evidence with digests for every customer and every user of events, in segments from the first bar to the last.
-
-    coverage_evidence keeps the ids and the four segments that its SQL names; here no bar is left without a segment.
+    """Evidence with digests of all columns for every customer and every user of events, in segments from the first bar to
+    the last. coverage_evidence does the same with a digest of the bars' times that SQL has too.
     """
     rows = _bars(spark, sf).select(F.col("symbol").alias("session"), F.col("bar_start").alias("start"), (F.col("bar_start") + HOUR).alias("end"), "open", "high", "low", "close", "volume", "trade_count")
+    return reconcile.coverage_evidence(rows, _evidence_segments(spark, sf, rows), "session").select("session", "start", "end", "n_rows", "n_straddling", "digest")
+
+
+def _evidence_segments(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
     sessions_ = _t(spark, sf, "customer").select(F.col("c_custkey").alias("session")).union(_t(spark, sf, "events").select("user_id")).where("session is not null").distinct()
     base, step = 1_704_067_200 * time.SECOND, 7 * DAY + HOUR // 2
     number = lambda at: F.floor((at - F.lit(base)) / F.lit(step)).cast("long")
     span = rows.agg(number(F.min("start")).alias("a"), number(F.max("end") - 1).alias("b"))
     segments = sessions_.join(F.broadcast(span)).select("session", F.explode(F.sequence("a", "b")).alias("i"))
     first = F.lit(base) + F.col("i") * step
-    segments = segments.select("session", first.alias("start"), (first + 7 * DAY).alias("end"), F.lit("complete").alias("status"))
-    return reconcile.coverage_evidence(rows, segments, "session").select("session", "start", "end", "n_rows", "n_straddling", "digest")
+    return segments.select("session", first.alias("start"), (first + 7 * DAY).alias("end"), F.lit("complete").alias("status"))
 
 
 #: Order keys to a chunk; an order has few lines, so a chunk's rows do not grow with the table.
@@ -379,15 +395,15 @@ CHUNK_KEYS = 1000
 
 
 def chunk_rollup_all(spark: SparkSession, sf: str) -> DataFrame:
-    """Each chunk's digest over all rows and columns of lineitem, and the digest folded over all chunks.
+    """Each chunk's digest over all rows and columns of lineitem, and the digest of all chunks.
 
-    Rows of equal order are told apart by their payload's hash. chunk_rollup counts the rows that its SQL names.
+    Rows of equal order are told apart by their payload's hash. chunk_rollup does the same for the keys, with SQL.
     """
     rows = _t(spark, sf, "lineitem").withColumn("l_shipdate", time.ns_of(F.col("l_shipdate")))
     payload = rows.columns
     rows = rows.withColumn("chunk", F.floor(F.col("l_orderkey") / CHUNK_KEYS).cast("long"))
     made = pairs.chunk_digests(rows, ["chunk"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], payload)
-    rollup = pairs.rollup_digest(made, ["chunk"]).select(F.col("digest").alias("rollup"), "n_chunks")
+    rollup = pairs.rollup_tree(made, "chunk").select(F.col("digest").alias("rollup"), "n_chunks")
     return made.join(F.broadcast(rollup)).select("chunk", "n_rows", "digest", "rollup", "n_chunks")
 
 

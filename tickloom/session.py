@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +36,19 @@ def local_session(cores: int | None = None, partitions: int | None = None) -> Sp
     return spark
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a temporary one only for a local session without that setting."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if configured:
+        return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    own = tempfile.mkdtemp(prefix="tickloom-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(f"file://{own}")
+    return f"file://{own}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One table of a data directory."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -6,9 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.functions.values import DECIMAL_TOKEN, is_non_negative, is_positive
+from tickloom.functions.time import DAY, parse_rfc3339
+from tickloom.functions.values import DECIMAL_TOKEN, has_exact_keys, is_non_negative, is_positive
 
 SYMBOLS, DAYS, ROWS = 8, 3650, 24_000
+#: A page's keys, and what some of them must hold.
+PAGE_KEYS = (
+    "schema_version", "status", "provider", "source", "asset_class", "classification_source", "resolution", "effective_resolution", "adjustment", "provider_adjustment_semantics",
+    "adjustment_confirmed_raw", "provider_repair_enabled", "numeric_encoding", "volume_encoding", "canonical", "point_in_time", "executable", "display_only", "requested_range", "requested_symbols",
+    "returned_symbols", "missing_symbols", "available_at", "fetched_at", "source_observed_at", "request_started_at", "cache_status", "freshness", "coverage", "action_coverage", "actions", "bars", "provenance",
+)
+PAGE_VALUES = {
+    "schema_version": "yfinance-history-bridge-v1", "provider": "yfinance", "source": "Yahoo Finance", "classification_source": "caller_declared", "resolution": "1d", "effective_resolution": "1d",
+    "provider_adjustment_semantics": "unknown_or_provider_native", "adjustment_confirmed_raw": "false", "provider_repair_enabled": "false", "numeric_encoding": "binary_float_projection",
+    "volume_encoding": "integer_exact_or_safe_integer_float", "canonical": "false", "point_in_time": "false", "executable": "false", "display_only": "true",
+}
 BAR = "symbol string, asset_class string, event_ts_utc string, resolution string, adjustment string, open string, high string, low string, close string, adj_close string, volume string, dividends string, stock_splits string"
 
 
@@ -44,6 +56,25 @@ def coverage_mismatch(bars: DataFrame, declared: DataFrame) -> DataFrame:
     return f.join(d, "symbol", "full_outer").where(~same).select("symbol", F.col("f.n").alias("n"), F.col("d.n").alias("declared_n"))
 
 
+def page_rules(page: Column) -> dict[str, Column]:
+    """What a page (JSON text) of a research window fulfils as a whole, by name; its bars have rules of their own."""
+    at = lambda path: F.get_json_object(page, f"$.{path}")
+    texts = lambda path: F.from_json(at(path), "array<string>")
+    n_bars = F.json_array_length(at("bars"))
+    fixed = F.lit(True)
+    for key, value in PAGE_VALUES.items():
+        fixed = fixed & at(key).eqNullSafe(F.lit(value))
+    first, last = parse_rfc3339(at("requested_range.start")), parse_rfc3339(at("requested_range.end"))
+    return {
+        "keys": has_exact_keys(page, list(PAGE_KEYS)),
+        "fixed": fixed,
+        "status": F.coalesce(at("status").isin("ready", "partial") & ((at("status") == "partial") == (F.size(texts("missing_symbols")) > 0)), F.lit(False)),
+        "range": F.coalesce((first < last) & (last - first <= DAYS * DAY) & (at("requested_range.semantics") == "start_inclusive_end_exclusive"), F.lit(False)),
+        "symbols": F.coalesce(F.size(texts("requested_symbols")).between(1, SYMBOLS) & partition_holds(texts("requested_symbols"), texts("returned_symbols"), texts("missing_symbols")), F.lit(False)),
+        "bar_count": F.coalesce((n_bars > 0) & (n_bars <= ROWS) & (at("coverage.bar_count").cast("long") == n_bars), F.lit(False)),
+    }
+
+
 def partition_holds(requested: Column, returned: Column, missing: Column) -> Column:
     """returned and missing are disjoint and together are what was requested."""
     return (F.size(F.array_intersect(returned, missing)) == 0) & (F.array_sort(F.array_union(returned, missing)) == F.array_sort(F.array_distinct(requested)))

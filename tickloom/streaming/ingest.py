@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tickloom import errors
 from tickloom.operators.sequence import gap_ledger
+from tickloom.session import shared_dir
 
 CHECKED = "provider string, feed string, generation long, sequence long, arrival long, decision string, missing_first long, missing_last long"
 CURSOR = "generation long, sequence long"
+#: Sources of one stream.
+MOST_SOURCES = 64
 
 
 def read_events(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 16) -> DataFrame:
@@ -21,27 +27,23 @@ def read_events(spark: SparkSession, path: str, schema: str, files_per_trigger:
 
 
 def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Classify one source's messages in order of arrival, from the cursor that the last batch left."""
-    g, s = state.get if state.exists else (0, 0)
-    rows = pd.concat(list(frames)).sort_values("arrival")
-    out = []
-    for arrival, generation, sequence in zip(rows["arrival"], rows["generation"], rows["sequence"]):
-        first = last = None
-        if g and generation < g:
-            decision = "stale_generation"
-        elif generation > g:
-            decision, g, s = "accept", generation, sequence
-        elif sequence <= s:
-            decision = "duplicate_or_reordered"
-        else:
-            decision = "accept"
-            if sequence > s + 1:
-                decision, first, last = "gap", s + 1, sequence - 1
-            s = sequence
-        out.append((*key, generation, sequence, arrival, decision, first, last))
-    state.update((int(g), int(s)))
-    frame = pd.DataFrame(out, columns=[c.split()[0] for c in CHECKED.split(", ")])
-    yield frame.astype({"missing_first": "Int64", "missing_last": "Int64"})
+    """Classify one source's messages in order of arrival, from the cursor that the last batch left.
+
+    Accepted states only grow, so the state before a message is a running maximum, taken over all at once.
+    """
+    rows = pd.concat(list(frames)).sort_values("arrival", kind="stable")
+    seen = np.concatenate([[state.get if state.exists else (0, 0)], rows[["generation", "sequence"]].to_numpy()]).astype(np.int64)
+    states, rank = np.unique(seen, axis=0, return_inverse=True)
+    top = np.maximum.accumulate(rank.ravel())
+    g, s = states[top[:-1]].T
+    generation, sequence = seen[1:].T
+    decision = np.select([generation < g, generation > g, sequence <= s, sequence > s + 1], ["stale_generation", "accept", "duplicate_or_reordered", "gap"], "accept")
+    gap = pd.Series(decision == "gap")
+    state.update(tuple(int(x) for x in states[top[-1]]))
+    yield pd.DataFrame({
+        "provider": key[0], "feed": key[1], "generation": generation, "sequence": sequence, "arrival": rows["arrival"].to_numpy(), "decision": decision,
+        "missing_first": pd.Series(s + 1, dtype="Int64").where(gap), "missing_last": pd.Series(sequence - 1, dtype="Int64").where(gap),
+    })
 
 
 def classify_stream(events: DataFrame) -> DataFrame:
@@ -77,6 +79,13 @@ def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
         raise query.exception()
 
 
+def collected(stream: DataFrame) -> DataFrame:
+    """What a stream gives when it is run to its end, as a table in the shared folder."""
+    spark, root = stream.sparkSession, f"{shared_dir(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
+    run_to_end(stream, f"{root}/rows", f"{root}/checkpoint")
+    return spark.read.schema(stream.schema).parquet(f"{root}/rows")
+
+
 def persist(checked: DataFrame, root: str, checkpoint: str) -> None:
     """Write a classified stream's batches, ledger first, each under its own epoch.
 
@@ -84,6 +93,9 @@ def persist(checked: DataFrame, root: str, checkpoint: str) -> None:
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
+        sources = batch.select("provider", "feed").distinct().limit(MOST_SOURCES + 1).count()
+        if sources > MOST_SOURCES:
+            raise errors.InputLimit(f"more than {MOST_SOURCES} sources")
         gap_ledger(batch).write.mode("overwrite").parquet(f"{root}/ledger/epoch={epoch}")
         batch.where("decision in ('accept', 'gap')").write.mode("overwrite").parquet(f"{root}/messages/epoch={epoch}")
 
