@@ -517,23 +517,25 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: in
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(fold != 0, F.lit(False)).alias("learned"), F.col(text).alias("text"))
     blocks = stage(rows.mapInArrow(_blocks(block_tokens), BLOCK), "blocks")
     # as many word shards as words ask for: a shard holds every block's entries for its words
-    entries = blocks.agg(F.sum("n_words")).first()[0] or 0
-    shards = max(partitions(spark), math.ceil(entries / SHARD_WORDS))
+    size = blocks.agg(F.count("*").alias("blocks"), F.sum("n_words").alias("entries")).first()
+    shards = max(partitions(spark), math.ceil((size["entries"] or 0) / SHARD_WORDS))
+    # and as many tasks as shards or blocks, so that none reads more as the corpus grows
+    dealt = lambda rows, key, n: rows.repartition(max(partitions(spark), n), key).groupBy(key)
     parts = blocks.mapInPandas(_word_parts(shards), "shard int, block string, words binary, counts binary")
     answered = "block string, shard int, numbers binary, totals binary"
-    words = stage(parts.groupBy("shard").applyInPandas(_number_words(shards), answered + ", tokens long, known long, texts long"), "words")
+    words = stage(dealt(parts, "shard", shards).applyInPandas(_number_words(shards), answered + ", tokens long, known long, texts long"), "words")
     stats = {k: v or 0 for k, v in words.agg(*[F.sum(c).alias(c) for c in ("tokens", "known", "texts")]).first().asDict().items()}
     stats["hot"] = hot
-    size = max(stats["tokens"], (stats["tokens"] * folds) // max(folds - 1, 1))
-    trie_shards = max(shards, math.ceil(size / SHARD_TOKENS))
+    tokens = max(stats["tokens"], (stats["tokens"] * folds) // max(folds - 1, 1))
+    trie_shards = max(shards, math.ceil(tokens / SHARD_TOKENS))
     none = [F.lit(None).cast("int").alias("shard"), F.lit(None).cast("binary").alias("numbers"), F.lit(None).cast("binary").alias("totals")]
     empty = [F.lit(None).cast(t).alias(c) for c, t in (("ids", "array<long>"), ("learned", "array<boolean>"), ("lengths", "binary"), ("codes", "binary"), ("words", "binary"))]
     own = blocks.select(F.lit(0).alias("kind"), "block", "ids", "learned", "lengths", "codes", "words", *none)
     numbered = words.where("block is not null").select(F.lit(1).alias("kind"), "block", *empty, "shard", "numbers", "totals")
-    trigrams = own.union(numbered).groupBy("block").applyInPandas(_trigram_parts(stats, shards, trie_shards), "shard int, block string, hinge binary, u binary, w binary, counts binary")
-    answers = stage(trigrams.groupBy("shard").applyInPandas(_answer_trigrams, answered), "answers")
+    trigrams = dealt(own.union(numbered), "block", size["blocks"]).applyInPandas(_trigram_parts(stats, shards, trie_shards), "shard int, block string, hinge binary, u binary, w binary, counts binary")
+    answers = stage(dealt(trigrams, "shard", trie_shards).applyInPandas(_answer_trigrams, answered), "answers")
     given = answers.select(F.lit(2).alias("kind"), "block", *empty, "shard", "numbers", "totals")
-    scored = own.union(numbered).union(given).groupBy("block").applyInPandas(_scores(stats, shards, trie_shards), "id long, n_tokens long, n_known long, base_score double, score double")
+    scored = dealt(own.union(numbered).union(given), "block", size["blocks"]).applyInPandas(_scores(stats, shards, trie_shards), "id long, n_tokens long, n_known long, base_score double, score double")
     out = stage(scored, "scores")
     unstage(blocks, words, answers)
     held_out = F.coalesce(remainder("id", folds) == 0, F.lit(False)).alias("held_out")
