@@ -374,10 +374,10 @@ def _draw_all(key: bytes):
 
 
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
-    """Distinct (kind, entity) with gender -> with attempt and surrogate; surrogates are distinct and none is an
+    """Distinct (kind, entity) with gender and more -> with attempt and surrogate; surrogates are distinct and none is an
     entity. Ends for any entities: draws get more room as they go on."""
     draw, settled = _draw_all(key), None
-    todo = entities.select("kind", "entity", "gender", F.lit(0).alias("attempt"))
+    todo = entities.withColumn("attempt", F.lit(0))
     while True:
         drawn = todo.withColumn("surrogate", draw("kind", "entity", "attempt", "gender"))
         taken = entities.select("kind", F.col("entity").alias("surrogate"))
@@ -387,9 +387,9 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
         tried = stage(
             drawn.withColumn("first", first).join(taken.distinct().withColumn("used", F.lit(True)), ["kind", "surrogate"], "left").withColumn("ok", F.col("first") & F.col("used").isNull()), "surrogates"
         )
-        won = tried.where("ok").select("kind", "entity", "gender", "attempt", "surrogate")
+        won = tried.where("ok").select(*todo.columns, "surrogate")
         settled = won if settled is None else settled.union(won)
-        todo = tried.where("not ok").select("kind", "entity", "gender", (F.col("attempt") + 1).alias("attempt"))
+        todo = tried.where("not ok").select(*todo.columns).withColumn("attempt", F.col("attempt") + 1)
         if todo.isEmpty():
             return settled
 
@@ -426,8 +426,7 @@ def replace_pii(docs: DataFrame, key: bytes, text: str = "text", count: str | No
     seen = stage(seen, "entities")
     told = F.when(F.sum("m") > F.sum("f"), "m").when(F.sum("m") < F.sum("f"), "f").otherwise(F.min("plain"))
     entities = stage(seen.groupBy("kind", "entity").agg(told.alias("gender"), F.min("plain").alias("plain")), "entities")
-    settled = assign(entities.select("kind", "entity", "gender"), key).join(entities.select("kind", "entity", "plain"), ["kind", "entity"])
-    redrawn = stage(settled.where("attempt > 0 or gender <> plain").select("kind", "entity", "attempt", "gender"), "redrawn")
+    redrawn = stage(assign(entities, key).where("attempt > 0 or gender <> plain").select("kind", "entity", "attempt", "gender"), "redrawn")
     unstage(entities)
     body, again_, hash_, number = (free_name(docs, f"_{n}") for n in ("text", "again", "hash", "number"))
     rest = [c for c in docs.columns if c not in (text, count)]
