@@ -1,7 +1,7 @@
 """Hashed n-gram features of texts, and linear models over them.
 
 Features are sparse rows (indptr, index, value), made from whole texts with numpy over an Arrow batch.
-Models are fitted on the driver, on a sample whose size is a parameter of each operator.
+Models are fitted on a bounded sample, whose size is a parameter of each operator.
 """
 
 from __future__ import annotations
@@ -143,14 +143,12 @@ def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def sampled(rows: DataFrame, label: str, key: str, most: int) -> DataFrame:
     """About most rows of each label, or all if fewer, chosen by a hash of the key: a bounded sample.
 
-    Labels are a handful of values; their counts are all that the driver sees.
+    Counts are joined, not collected, however many labels there are.
     """
-    counts = rows.groupBy(label).agg(F.count("*").alias("n")).collect()
-    chosen = F.lit(False)
-    for r in counts:
-        share = min(1.0, most / r["n"])
-        chosen = F.when(F.col(label) == F.lit(r[label]), F.lit(True) if share >= 1 else F.pmod(F.xxhash64(F.col(key), F.lit(23)), F.lit(1_000_003)) < int(share * 1_000_003)).otherwise(chosen)
-    return rows.where(chosen)
+    share = F.least(F.lit(1.0), F.lit(float(most)) / F.col("_n"))
+    counts = rows.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n"))
+    drawn = F.pmod(F.xxhash64(F.col(key), F.lit(23)), F.lit(1_000_003)) < F.floor(share * 1_000_003)
+    return rows.join(counts, F.col(label) == F.col("_label")).where((F.col("_n") <= most) | drawn).select(*rows.columns)
 
 
 def feature_rows(docs: DataFrame, text: str, **how) -> DataFrame:
@@ -174,10 +172,17 @@ def gathered(rows: DataFrame) -> tuple[dict[str, list], Sparse]:
     others = [c for c in found.column_names if not c.startswith("feature_")]
     if found.num_rows:
         found = found.sort_by([(c, "ascending") for c in others])
-    index, value = found["feature_index"].combine_chunks(), found["feature_value"].combine_chunks()
-    lengths = pc.list_value_length(index).to_numpy(zero_copy_only=False).astype(np.int64) if found.num_rows else np.zeros(0, dtype=np.int64)
-    sparse = (np.concatenate([[0], np.cumsum(lengths)]), index.flatten().to_numpy(zero_copy_only=False), value.flatten().to_numpy(zero_copy_only=False))
-    return {c: found[c].to_pylist() for c in others}, sparse
+    return {c: found[c].to_pylist() for c in others}, sparse_of(found["feature_index"].combine_chunks(), found["feature_value"].combine_chunks())
+
+
+def sparse_of(index: pa.Array, value: pa.Array) -> Sparse:
+    lengths = pc.list_value_length(index).to_numpy(zero_copy_only=False).astype(np.int64) if len(index) else np.zeros(0, dtype=np.int64)
+    return np.concatenate([[0], np.cumsum(lengths)]), index.flatten().to_numpy(zero_copy_only=False), value.flatten().to_numpy(zero_copy_only=False)
+
+
+def one_text_each(rows: DataFrame, key: str, text: str, *others: str) -> DataFrame:
+    """One row for each key, with its smallest text: an id that documents repeat is one example."""
+    return rows.groupBy(key, *others).agg(F.min(text).alias(text))
 
 
 def rows_of(x: Sparse, chosen: np.ndarray) -> Sparse:

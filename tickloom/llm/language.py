@@ -1,9 +1,12 @@
 """Language identification in two steps: the family first, then one-versus-one linear support vector
-machines between the languages of that family."""
+machines between the languages of that family.
+
+Each family and each pair of languages is a model of its own, fitted by a task of its own on the rows of a
+bounded sample that it needs.
+"""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -12,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import remainder
-from tickloom.llm.features import Sparse, dot, feature_rows, fit_linear, gathered, rows_of, sampled, sigmoid, text_features
+from tickloom.llm.common import remainder, stage, unstage
+from tickloom.llm.features import Sparse, dot, feature_rows, fit_linear, one_text_each, rows_of, sampled, sigmoid, sparse_of, text_features
 from tickloom.llm.tokens import in_slices
 
 #: Families of languages that are written alike; any other language is a family of its own.
@@ -30,7 +33,6 @@ FAMILIES = {
     "sinitic": "zh ja ko",
 }
 CHARS, BITS = (1, 2, 3), 13
-LETTER = re.compile(r"[^\W\d_]")
 #: Margins of support vector machines become probabilities at this slope.
 SLOPE = 3.0
 
@@ -40,22 +42,36 @@ def family_of(lang: str) -> str:
     return next((f for f, langs in FAMILIES.items() if code in langs.split()), f"only {lang}")
 
 
+def jobs_of(langs: list[str]) -> tuple[dict[str, list[str]], list[tuple[str, str, str, float, float]]]:
+    """Languages by family, and what is to be fitted: (family or first language, second language, language of the
+    rows, class, share of the rows). Families are told apart on about the rows of one or two languages each."""
+    families: dict[str, list[str]] = {}
+    for lang in sorted(set(langs)):
+        families.setdefault(family_of(lang), []).append(lang)
+    jobs = []
+    if len(families) > 1:
+        jobs += [(f, "", lang, float(lang in families[f]), min(1.0, 2.0 / len(members))) for f in families for members in families.values() for lang in members]
+    for members in families.values():
+        jobs += [(a, b, lang, float(lang == a), 1.0) for a, b in combinations(members, 2) for lang in (a, b)]
+    return families, jobs
+
+
+def _fitted(key: tuple, table: pa.Table) -> pa.Table:
+    """Weights of one family (against all others) or pair of languages."""
+    table = table.combine_chunks().sort_by([("_lang", "ascending"), ("_id", "ascending"), ("_h", "ascending")])
+    x, first = sparse_of(table["feature_index"].combine_chunks(), table["feature_value"].combine_chunks()), table["y"].to_numpy() > 0.5
+    how = ("hinge", 1e-4, 150) if key[1].as_py() else ("logistic", 1e-5, 200)
+    weights = fit_linear(x, first.astype(float), 1 << BITS, *how, _balanced(first))
+    return pa.table({"a": [key[0].as_py()], "b": [key[1].as_py()], "weights": pa.array([weights], pa.list_(pa.float64()))})
+
+
 class Model:
     """Families with one linear separator each, and one per pair of languages of a family."""
 
-    def __init__(self, langs: list[str], x: Sparse):
-        dim, names = 1 << BITS, np.array(langs, dtype=object)
-        self.families: dict[str, list[str]] = {}
-        for lang in sorted(set(langs)):
-            self.families.setdefault(family_of(lang), []).append(lang)
-        of = np.array([family_of(v) for v in langs], dtype=object)
-        self.family_weights = {f: fit_linear(x, (of == f).astype(float), dim, "logistic", 1e-5, 200, _balanced(of == f)) for f in self.families} if len(self.families) > 1 else {}
-        self.pairs = {}
-        for members in self.families.values():
-            for a, b in combinations(members, 2):
-                rows = np.flatnonzero((names == a) | (names == b))
-                first = names[rows] == a
-                self.pairs[a, b] = fit_linear(rows_of(x, rows), first.astype(float), dim, "hinge", 1e-4, 150, _balanced(first))
+    def __init__(self, families: dict[str, list[str]], weights: dict[tuple[str, str], np.ndarray]):
+        self.families = families
+        self.family_weights = {a: w for (a, b), w in weights.items() if not b}
+        self.pairs = {k: w for k, w in weights.items() if k[1]}
 
     def predict(self, x: Sparse) -> tuple[list[str], np.ndarray]:
         n = len(x[0]) - 1
@@ -98,29 +114,42 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
     Fitted on about per_language rows of each language, or all if fewer, from rows with text and language
     whose crc32(id) mod 3 is not 1; a null id is neither held out nor learned from. Null texts and texts
-    without a letter are "und" with score 0, as is everything if nothing can be learned. Whole texts are
-    read, of any length; equal texts get equal predictions.
+    without a letter (Unicode's L, so no ½ or ②) are "und" with score 0, as is everything if nothing can be
+    learned. Whole texts are read, of any length; equal texts get equal predictions. Of an id that several rows
+    have in one language, one text is learned from. An empty table has no rows; other columns are ignored.
     """
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"))
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
     fold = remainder("_id", 3)
-    learn = sampled(rows.where((fold != 1) & F.col("_lang").isNotNull() & F.col("_text").rlike(r"\p{L}")), "_lang", "_id", per_language)
+    learn = sampled(rows.where((fold != 1) & F.col("_lang").isNotNull() & F.col("_letter")), "_lang", "_id", per_language)
     how = {"char_orders": CHARS, "char_bits": BITS, "lower": True}
-    others, x = gathered(feature_rows(learn.select("_lang", "_id", "_text"), "_text", **how))
-    model = Model(others["_lang"], x) if others["_lang"] else None
-    del x
+    model = _learned(one_text_each(learn, "_id", "_text", "_lang"), how)
     schema = rows.select("_id", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, 256):
-            texts = batch.column(1)
-            if model is None:
-                langs, scores = ["und"] * len(texts), np.zeros(len(texts))
-            else:
-                langs, scores = model.predict(text_features(texts, **how))
-                for i, t in enumerate(texts.to_pylist()):
-                    if t is None or not LETTER.search(t):
-                        langs[i], scores[i] = "und", 0.0
+            texts, letter = batch.column(1), batch.column(2).to_pylist()
+            langs, scores = model.predict(text_features(texts, **how)) if model else (["und"] * len(texts), np.zeros(len(texts)))
+            for i in np.flatnonzero(~np.array(letter, dtype=bool)):
+                langs[i], scores[i] = "und", 0.0
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["_id", "lang_pred", "score"])
 
-    out = rows.select("_id", "_text").mapInArrow(run, schema)
+    out = rows.select("_id", "_text", "_letter").mapInArrow(run, schema)
     return out.select(F.col("_id").alias(doc_id), F.coalesce(remainder("_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def _learned(sample: DataFrame, how: dict) -> Model | None:
+    spark = sample.sparkSession
+    made = stage(feature_rows(sample.select("_lang", "_id", F.xxhash64("_text").alias("_h"), "_text"), "_text", **how), "features")
+    families, jobs = jobs_of([r["_lang"] for r in made.select("_lang").distinct().collect()])
+    if not families:
+        return None
+    weights: dict[tuple[str, str], np.ndarray] = {}
+    if jobs:
+        # one row for each model and language of it: it grows with the square of a family's languages, not with data
+        wanted = spark.createDataFrame(jobs, "a string, b string, _lang string, y double, share double")
+        chosen = F.pmod(F.xxhash64("_h", F.lit(31)), F.lit(1_000_003)) < F.col("share") * 1_000_003
+        rows = made.join(F.broadcast(wanted), "_lang").where(chosen).repartition(len({j[:2] for j in jobs}), "a", "b")
+        found = rows.select("a", "b", "_lang", "_id", "_h", "y", "feature_index", "feature_value").groupBy("a", "b").applyInArrow(_fitted, "a string, b string, weights array<double>")
+        weights = {(r["a"], r["b"]): np.array(r["weights"]) for r in found.collect()}
+    unstage(made)
+    return Model(families, weights)

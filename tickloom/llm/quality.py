@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.features import Sparse, dot, feature_rows, fit_linear, gathered, platt, rows_of, sampled, sigmoid, text_features
+from tickloom.llm.features import Sparse, dot, feature_rows, fit_linear, gathered, one_text_each, platt, rows_of, sampled, sigmoid, text_features
 from tickloom.llm.tokens import in_slices, words_of
 
 SYMBOLS = "#*$%&|<>"
@@ -83,9 +83,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
     """A model from about per_class rows of each class; None if a class is missing."""
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("double").alias("_y")).where("_id is not null and _y is not null")
     known = sampled(known.groupBy("_id").agg((F.avg("_y") >= 0.5).cast("int").alias("_y")), "_y", "_id", per_class)
-    # at most about 2 * per_class rows, so broadcasting them is safe whatever the size of labels
+    # at most about 2 * per_class ids, so broadcasting them is safe whatever the size of labels
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(known), "_id")
-    others, x = gathered(feature_rows(rows.select("_id", "_y", "_text"), "_text", **HOW))
+    others, x = gathered(feature_rows(one_text_each(rows, "_id", "_text", "_y").select("_id", "_y", "_text"), "_text", **HOW))
     y = np.array(others["_y"], dtype=float)
     return Model(x, y) if len(set(others["_y"])) == 2 else None
 
@@ -95,7 +95,8 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     kept: not base_failed, and quality at least the fixed threshold. Null texts count as empty and fail.
     Without labels of both classes every text has quality 1. Labels of one id are averaged; null labels
-    and ids are ignored. Equal texts are judged alike.
+    and ids are ignored; of an id that several rows have, one text is learned from. Equal texts are judged alike,
+    every row by itself, whatever its id; texts of any length are read whole; an empty table has no rows.
     """
     model = fit(docs, labels, doc_id, text, label, per_class)
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))

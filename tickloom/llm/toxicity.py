@@ -1,15 +1,18 @@
 """Toxicity by weak supervision.
 
 Voters are lexicons and patterns: a small fixed word list, lexicons and word-stem patterns mined from
-labelled texts of the learning folds, and marks of style. A generative label model with one hidden
-class estimates every voter's accuracy by expectation-maximisation (given labels enter as one more
-voter), and the voters' correlations within a class, by which agreeing copies of one signal are counted
-as one. The posterior class probabilities then train the linear classifier that scores texts.
+labelled texts of the learning folds, and marks of style. They vote on a bounded sample of all documents of the
+learning folds, most of them without a label. A generative label model with one hidden class estimates every
+voter's accuracy on that sample by expectation-maximisation, and the voters' correlations within a class, by
+which agreeing copies of one signal are counted as one. Given labels are one more voter, a sparse one: they tell
+which of the two classes is the toxic one, and their own accuracy is estimated with the others'. The posterior
+class probabilities then train the linear classifier that scores texts.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -19,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import remainder, stage
-from tickloom.llm.features import dot, fit_linear, sampled, sigmoid, word_hashes
+from tickloom.llm.features import dot, fit_linear, one_text_each, sampled, sigmoid, word_hashes
 from tickloom.llm.tokens import in_slices, words_of
 
 #: Insults in several languages: the fixed lexicon.
@@ -30,7 +33,6 @@ INSULTS = (
 LETTERS = re.compile(r"[^\W\d_]+")
 STEMS = (3, 4, 5, 6, 7)
 LEXICONS, PATTERNS = 16, 16
-MOST_ENTRIES = 4096
 #: Sketches by which near copies among the labelled texts are made one.
 COPIES = 4
 
@@ -110,25 +112,41 @@ class Voters:
         return out
 
 
+def first_guess(votes: np.ndarray, given: np.ndarray) -> np.ndarray:
+    """Where expectation-maximisation starts: labelled rows at their labels, the others where voters put them whose
+    rates are those of the labelled rows; without labels, where at least one voter fires."""
+    known, v = ~np.isnan(given), votes.astype(float)
+    if known.any():
+        y = given[known] == 1
+        rate = [(v[known][y == c].sum(axis=0) + 0.5) / ((y == c).sum() + 1.0) for c in (False, True)]
+        logit = v @ np.log(rate[1] / rate[0]) + (1 - v) @ np.log((1 - rate[1]) / (1 - rate[0]))
+        q = sigmoid(logit)
+    else:
+        q = v.any(axis=1).astype(float)
+    return np.where(known, np.nan_to_num(given), q) * 0.98 + 0.01
+
+
 def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Posterior probability of the toxic class for each row, and the estimated parameters.
 
-    votes: rows by voters, 0 or 1. given: a label 0 or 1, or NaN. A label is a voter too, whose accuracy
-    is estimated with the others'. Voters' log-likelihood ratios are divided by their total correlation
-    with all voters, taken within the class, so that repetitions of one signal add up to one vote.
+    votes: rows by voters, 0 or 1. given: a label 0 or 1, or NaN where there is none. A label is a voter too,
+    which mostly abstains; its accuracy is estimated with the others'. Voters' log-likelihood ratios are divided by
+    their total correlation with all voters, taken within the class, so that repetitions of one signal add up to
+    one vote; voters without any correlation above 0.1 make it plain expectation-maximisation.
     """
     known = ~np.isnan(given)
-    q = np.where(known, np.nan_to_num(given), 0.5) * 0.98 + 0.01
-    v = votes.astype(float)
+    q, v = first_guess(votes, given), votes.astype(float)
     for _ in range(rounds):
         mass = np.stack([1 - q, q])
         total = mass.sum(axis=1) + 2.0
         rate = (mass @ v + 1.0) / total[:, None]
         accuracy = np.array([(mass[c][known] * (given[known] == c)).sum() + 9.0 for c in (0, 1)]) / (mass[:, known].sum(axis=1) + 10.0)
-        residual = v - (mass[0][:, None] * rate[0] + mass[1][:, None] * rate[1])
-        spread = residual.std(axis=0) + 1e-9
-        correlation = np.abs((residual / spread).T @ (residual / spread) / max(len(v), 1))
-        share = 1.0 / np.maximum(1.0, np.where(correlation > 0.1, correlation, 0).sum(axis=1))
+        apart = [v - rate[c] for c in (0, 1)]
+        together = sum((apart[c] * mass[c][:, None]).T @ apart[c] for c in (0, 1))
+        spread = np.sqrt(np.diag(together)) + 1e-9
+        correlation = np.abs(together / spread[:, None] / spread)
+        np.fill_diagonal(correlation, 1.0)
+        share = 1.0 / np.where(correlation > 0.1, correlation, 0).sum(axis=1)
         prior = np.log(total[1] / total[0])
         ratio = np.log(rate[1] / rate[0]), np.log((1 - rate[1]) / (1 - rate[0]))
         logit = prior + v @ (share * ratio[0]) + (1 - v) @ (share * ratio[1])
@@ -178,10 +196,10 @@ class Model:
 
 
 def mined(tokens: DataFrame, totals: dict[int, int]) -> list[str]:
-    """Tokens that speak for the toxic class far beyond chance, the strongest MOST_ENTRIES of them.
+    """Tokens that speak for the toxic class far beyond chance, the strongest first.
 
-    tokens: one row per (token, class) occurrence in a distinct text. Chance is judged against the number of
-    tokens tried, so the bar rises with the vocabulary.
+    tokens: one row per (token, class) occurrence in a distinct text of the labelled sample, which bounds them.
+    Chance is judged against the number of tokens tried, so the bar rises with the vocabulary.
     """
     counts = tokens.groupBy("token").agg(F.count_if(F.col("_y") == 1).alias("p"), F.count_if(F.col("_y") == 0).alias("n"))
     counts = stage(counts.where("p >= 4"), "tokens")
@@ -192,15 +210,23 @@ def mined(tokens: DataFrame, totals: dict[int, int]) -> list[str]:
     g = F.col("p") * F.log(share / expected) + F.when(F.col("n") > 0, F.col("n") * F.log((1 - share) / (1 - expected))).otherwise(0.0)
     strength = F.log((F.col("p") + 0.5) / a * b / (F.col("n") + 0.5))
     good = counts.withColumn("g", g).where((strength > 3.0) & (share > expected) & (F.col("g") > F.lit(float(np.log(max(tried, 1)) + 2.3))))
-    return [r["token"] for r in good.orderBy(F.col("g").desc(), "token").limit(MOST_ENTRIES).collect()]
+    return [r["token"] for r in good.orderBy(F.col("g").desc(), "token").collect()]
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, per_class: int) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, per_class: int, unlabelled: int) -> Model | None:
+    """A model from about per_class labelled texts of each class and unlabelled others, all of the learning folds."""
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("double").alias("_y")).where("_id is not null and _y is not null")
     known = known.where(remainder("_id", 3) != 1).groupBy("_id").agg((F.avg("_y") >= 0.5).cast("int").alias("_y"))
     known = sampled(known, "_y", "_id", per_class)
-    # at most about 2 * per_class rows, whatever the size of labels
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).where("_text is not null").join(F.broadcast(known), "_id")
+    # at most about 2 * per_class ids, whatever the size of labels
+    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).where("_text is not null")
+    rows = one_text_each(texts.join(F.broadcast(known), "_id"), "_id", "_text", "_y").select("_id", "_y", "_text")
+    # the same share of all texts, by a hash of the text, so that copies are one
+    others = texts.where(remainder("_id", 3) != 1)
+    share = min(1.0, unlabelled / max(1, others.count()))
+    others = others.withColumn("_h", F.xxhash64("_text", F.lit(29))).where(F.pmod("_h", F.lit(1_000_003)) < math.floor(share * 1_000_003))
+    others = others.groupBy("_h").agg(F.min("_id").alias("_id"), F.min("_text").alias("_text"))
+    rows = rows.union(others.select("_id", F.lit(None).cast("int"), "_text"))
     names = [f"_s{k}" for k in range(COPIES)]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,12 +234,13 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
             found = sketches(batch.column(2))
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(found[:, k]) for k in range(COPIES)]], names=["_id", "_y", "_text", *names])
 
-    # near copies are one example: what a word says of a class must come from different texts
+    # near copies are one example, labelled if one of them is: what a word says of a class must come from different texts
     rows = stage(rows.select("_id", "_y", "_text").mapInArrow(sketch, rows.select("_id", "_y", "_text", *[F.lit(0).cast("long").alias(n) for n in names]).schema), "labelled")
     kept = rows.drop("_text")
     for n in names:
-        kept = kept.groupBy(n).agg(F.min_by(F.struct(*kept.columns), F.struct("_id", "_y")).alias("_row")).select("_row.*")
-    rows = stage(rows.join(F.broadcast(kept.select("_id").distinct()), "_id", "left_semi").select("_id", "_y", "_text"), "labelled")
+        kept = kept.groupBy(n).agg(F.min_by(F.struct(*kept.columns), F.struct(F.col("_y").isNull(), "_id", "_y")).alias("_row")).select("_row.*")
+    ours = kept.select("_id", F.col("_y").alias("_k")).distinct()
+    rows = stage(rows.join(F.broadcast(ours), (rows["_id"] == ours["_id"]) & rows["_y"].eqNullSafe(ours["_k"]), "left_semi").select("_id", "_y", "_text"), "labelled")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, 128):
@@ -221,10 +248,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
             ys = batch.column(0)
             yield pa.RecordBatch.from_arrays([ys, pa.array(found, pa.list_(pa.string()))], names=["_y", "tokens"])
 
-    totals = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count("*").alias("n")).collect()}
+    marked = rows.where("_y is not null")
+    totals = {r["_y"]: r["n"] for r in marked.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return None
-    entries = mined(rows.select("_y", "_text").mapInArrow(run, "_y int, tokens array<string>").select("_y", F.explode("tokens").alias("token")), totals)
+    entries = mined(marked.select("_y", "_text").mapInArrow(run, "_y int, tokens array<string>").select("_y", F.explode("tokens").alias("token")), totals)
     voters = Voters(entries)
     reader = Model.__new__(Model)
     reader.voters, reader.width = voters, len(entries)
@@ -238,18 +266,20 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
             )
 
     seen = rows.mapInArrow(see, rows.select("_id", "_y", F.array().cast("array<int>").alias("hits"), F.lit(True).alias("insult"), F.lit(True).alias("capitals"), F.lit(True).alias("marks")).schema)
-    sample = seen.toArrow().combine_chunks().sort_by("_id").to_pylist()
-    return Model(voters, [(r["hits"], r["insult"], (r["capitals"], r["marks"])) for r in sample], np.array([r["_y"] for r in sample], dtype=float))
+    sample = seen.toArrow().combine_chunks().sort_by([("_id", "ascending"), ("_y", "ascending")]).to_pylist()
+    given = np.array([np.nan if r["_y"] is None else r["_y"] for r in sample], dtype=float)
+    return Model(voters, [(r["hits"], r["insult"], (r["capitals"], r["marks"])) for r in sample], given)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = 6000, score: str = "score") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = 6000, unlabelled: int = 12_000, score: str = "score") -> DataFrame:
     """docs with a double column score (0 to 1) after all others; a column of that name is replaced.
 
-    Labels are learned from rows whose crc32(id) mod 3 is not 1, on about per_class rows of each class.
-    Null and empty texts are scored as texts in which nothing is found; without labels of both classes only
+    Learned from rows whose crc32(id) mod 3 is not 1: about per_class labelled texts of each class and unlabelled
+    others, a bounded sample of all documents; a null id is not learned from. Labels of one id are averaged, and of
+    an id that several rows have, one text is learned from. Texts of any length are read whole. Null and empty texts are scored as texts in which nothing is found; without labels of both classes only
     the fixed lexicon speaks. Equal texts have equal scores; other columns go through untouched.
     """
-    model = fit(docs, labels, doc_id, text, label, per_class)
+    model = fit(docs, labels, doc_id, text, label, per_class, unlabelled)
     rest = [c for c in docs.columns if c != score]
     at = rest.index(text)
     if model is None:
