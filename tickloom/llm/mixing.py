@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import partitions, stage, word_count
+from tickloom.llm.common import free_name, partitions, stage, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -97,14 +97,13 @@ def schedule(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     """One row per document row: id, size, source, source_size, target, finish (of the first pass), lap
     (virtual time of a whole pass of its source) and passes, how often the mix takes it.
 
-    Reruns agree: the shuffle is a hash of id and seed, ties fall by id and size, and rows equal in these
-    are interchangeable. A null source is a source of its own; null ids share one shuffle key; a source
-    without words has target 0 and its documents, all empty, are taken in no pass.
+    Reruns agree: the shuffle is a hash of id, text and seed, ties fall by id and size, and rows equal in these
+    are interchangeable. A null source is a source of its own; only copies of one row share a shuffle key; a
+    source without words has target 0 and its documents, all empty, are taken in no pass. Texts are counted
+    whole, of any length; an empty table has an empty schedule; other columns are ignored.
     """
-    key = F.xxhash64(F.col("id"), F.lit(seed))
-    rows = stage(
-        docs.select(F.col(doc_id).alias("id"), word_count(text).alias("size"), F.col(source).cast("string").alias("source")).withColumn("key", key), "sizes"
-    )
+    key = F.xxhash64(F.col(doc_id), F.xxhash64(text), F.lit(seed))
+    rows = stage(docs.select(F.col(doc_id).alias("id"), word_count(text).alias("size"), F.col(source).cast("string").alias("source"), key.alias("key")), "sizes")
     # buckets of about the root of the rows: ordering one, and adding up all, take tasks of like size
     total = rows.count()
     per_bucket = rows_per_bucket or max(512, math.isqrt(total))
@@ -155,10 +154,11 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
     A document row is matched to its schedule by id, size and source: rows equal in these are taken alike.
     """
-    plan = schedule(docs, doc_id, text, source, seed)
-    plan = plan.where("passes > 0").groupBy("id", "size", "source").agg(F.max("passes").alias("_passes"), F.min("finish").alias("_finish"), F.min("lap").alias("_lap"))
-    sized = docs.withColumn("_size", word_count(text))
-    on = sized[doc_id].eqNullSafe(plan["id"]) & (sized["_size"] == plan["size"]) & sized[source].cast("string").eqNullSafe(plan["source"])
-    repeated = sized.join(plan, on).select(*[sized[c] for c in docs.columns], "_finish", "_lap", F.explode(F.sequence(F.lit(0), F.col("_passes") - 1)).alias("_pass"))
-    at = (F.col("_finish") + F.col("_pass") * F.col("_lap")).alias("_at")
-    return repeated.withColumn("_at", at).repartitionByRange(partitions(docs.sparkSession), "_at", doc_id).sortWithinPartitions("_at", doc_id).select(*docs.columns)
+    plan = schedule(docs, doc_id, text, source, seed).where("passes > 0").groupBy("id", "size", "source").agg(F.max("passes").alias("passes"), F.min("finish").alias("finish"), F.min("lap").alias("lap"))
+    size, finish, lap, passes, nth, at, of, whose = (free_name(docs, f"_{n}") for n in ("size", "finish", "lap", "passes", "nth", "at", "id", "source"))
+    plan = plan.select(F.col("id").alias(of), F.col("size").alias(f"{size}_"), F.col("source").alias(whose), F.col("passes").alias(passes), F.col("finish").alias(finish), F.col("lap").alias(lap))
+    sized = docs.withColumn(size, word_count(text))
+    on = sized[doc_id].eqNullSafe(plan[of]) & (sized[size] == plan[f"{size}_"]) & sized[source].cast("string").eqNullSafe(plan[whose])
+    repeated = sized.join(plan, on).select(*[sized[c] for c in docs.columns], finish, lap, F.explode(F.sequence(F.lit(0), F.col(passes) - 1)).alias(nth))
+    timed = repeated.withColumn(at, F.col(finish) + F.col(nth) * F.col(lap))
+    return timed.repartitionByRange(partitions(docs.sparkSession), at, doc_id).sortWithinPartitions(at, doc_id).select(*docs.columns)

@@ -7,20 +7,34 @@ cluster may enter, and saturating bitmaps of its sources, one plane per document
 Without a compatible bin a new one is opened.
 
 Packing is done in shards of about shard_tokens tokens. A document's shard is a hash of the row, not of
-its source or cluster, so a hot source or a huge cluster is spread over all shards.
+its source or cluster, so a hot source or a huge cluster is spread over all shards. Copies of one row that fill
+a good part of a shard by themselves are dealt out by where they lie; they are interchangeable.
+
+pack tells where each piece goes; sequences gives the packed texts themselves.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import stage, word_count
+from tickloom.llm.common import WORD, stage
+from tickloom.llm.components import connected_components
+from tickloom.llm.simhash import fingerprints, links
+from tickloom.llm.tokens import in_slices
+
+CAPACITY, PER_SOURCE, SHARD_TOKENS = 8192, 8, 4_000_000
+#: Characters of a shard's texts.
+SHARD_CHARS = 6 * SHARD_TOKENS
+WORDS = re.compile(WORD)
 
 
 class Bins:
@@ -62,50 +76,88 @@ class Bins:
         return number, self.capacity - residual
 
 
+def _place(frame: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFrame:
+    """A shard's pieces (id, piece, size, source, cluster, h) with the number of their bin and their offset in it."""
+    # fixed order: largest first, equal ones of a cluster and source together
+    frame = frame.sort_values(["size", "cluster", "source", "id", "piece", "h"], ascending=[False, True, True, True, True, True], na_position="last", kind="stable")
+    sources = pd.factorize(frame["source"], use_na_sentinel=False)[0].tolist()
+    clusters = pd.factorize(frame["cluster"])[0].tolist()
+    bins = Bins(capacity, per_source)
+    placed = [bins.place(n, s, c) for n, s, c in zip(frame["size"].tolist(), sources, clusters)]
+    return frame.assign(number=np.array([p[0] for p in placed], dtype=np.int64), bin_offset=np.array([p[1] for p in placed], dtype=np.int64))
+
+
 def _packer(capacity: int, per_source: int):
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        # fixed order: largest first, equal ones of a cluster and source together
-        frame = frame.sort_values(["size", "cluster", "source", "id", "piece"], ascending=[False, True, True, True, True], na_position="last", kind="stable")
-        sources = pd.factorize(frame["source"], use_na_sentinel=False)[0].tolist()
-        clusters = pd.factorize(frame["cluster"])[0].tolist()
-        bins = Bins(capacity, per_source)
-        placed = [bins.place(n, s, c) for n, s, c in zip(frame["size"].tolist(), sources, clusters)]
-        number = np.array([p[0] for p in placed], dtype=np.int64)
+        placed = _place(frame, capacity, per_source)
+        placed["bin_id"] = int(key[0]) * (1 << 32) + placed["number"]
+        return placed.assign(id=placed["id"].astype("Int64"))[["id", "piece", "size", "source", "bin_id", "bin_offset"]]
+
+    return run
+
+
+def _joiner(capacity: int, per_source: int, separator: str):
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        placed = _place(frame, capacity, per_source).sort_values(["number", "bin_offset"])
+        bins = placed.groupby("number", sort=True)
         return pd.DataFrame({
-            "id": frame["id"].astype("Int64"), "piece": frame["piece"], "size": frame["size"], "source": frame["source"],
-            "bin_id": int(key[0]) * (1 << 32) + number, "bin_offset": np.array([p[1] for p in placed], dtype=np.int64),
+            "bin_id": [int(key[0]) * (1 << 32) + n for n in bins.groups], "n_words": bins["size"].sum().to_numpy(), "doc_ids": bins["id"].agg(lambda x: [None if pd.isna(i) else int(i) for i in x]).to_numpy(),
+            "text": bins["body"].agg(separator.join).to_numpy(),
         })
 
     return run
 
 
-def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", cluster: str | None = None, capacity: int = 8192, per_source: int = 8, shard_tokens: int = 4_000_000) -> DataFrame:
+def _dealt(rows: DataFrame, shards: int, weight: str, most: float) -> DataFrame:
+    """rows (id, h, weight) with a salt that tells their shard apart from other rows': none, but for copies of one
+    row that weigh more than most together."""
+    hot = stage(rows.groupBy("id", "h").agg(F.count("*").alias("n"), F.sum(weight).alias("w")).where((F.col("n") > 1) & (F.col("w") > most)).select(F.col("id").alias("_i"), F.col("h").alias("_h")), "hot")
+    if shards == 1 or hot.isEmpty():
+        return rows.withColumn("salt", F.lit(0).cast("long"))
+    # at most one such row to most of the whole weight
+    on = F.col("id").eqNullSafe(F.col("_i")) & (F.col("h") == F.col("_h"))
+    return rows.join(hot.withColumn("_hot", F.lit(True)), on, "left").withColumn("salt", F.when(F.col("_hot"), F.monotonically_increasing_id()).otherwise(0)).drop("_i", "_h", "_hot")
+
+
+def _shard(shards: int) -> Column:
+    return F.pmod(F.xxhash64("id", "h", "piece", "salt"), F.lit(shards)).alias("shard")
+
+
+def _exact(text: str) -> Column:
+    """A hash of the text after lower-casing and collapsing white space."""
+    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[\x20\x09-\x0D]+", " "))
+    return F.xxhash64(plain)
+
+
+def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", cluster: str | None = None, capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Placements: id, piece, first_word, n_words, source, bin_id, bin_offset; one row per piece of a document row.
 
     Sizes are words. A longer document is cut into pieces of capacity words, which fill bins of their own,
     and a rest that is packed; no word is dropped. A document without words takes no room but has its row,
-    bin_id and bin_offset null. Clusters are given by a column, or else are documents of equal text after
-    lower-casing and collapsing white space; a null cluster conflicts with no other row. Repeated rows are
-    copies of a cluster. At most per_source documents of a source share a bin; null is a source.
+    bin_id and bin_offset null. Duplicate clusters are given by a column, or else are the groups of near
+    duplicates by SimHash, with all copies of equal words among them; a null cluster conflicts with no other row.
+    Repeated rows are copies of a cluster, and equal ones are interchangeable. At most per_source documents of a
+    source share a bin; null is a source. Ties fall by size, cluster, source, id, piece and text, so reruns agree.
+    An empty table gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    group = F.xxhash64(F.trim(F.regexp_replace(low, r"[\x20\x09-\x0D]+", " "))) if cluster is None else F.xxhash64(F.col(cluster))
-    lone = F.xxhash64(F.lit("lone"), F.monotonically_increasing_id())
-    rows = stage(
-        docs.select(
-            F.col(doc_id).cast("long").alias("id"), F.col(source).cast("string").alias("source"), word_count(text).alias("words"),
-            group.alias("cluster") if cluster is None else F.when(F.col(cluster).isNull(), lone).otherwise(group).alias("cluster"),
-        ),
-        "sizes",
+    prints = docs.select(
+        F.col(doc_id).cast("long").alias("id"), F.col(source).cast("string").alias("source"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"),
+        (F.lit(None).cast("long") if cluster is None else F.xxhash64(F.struct(F.col(cluster)))).alias("given"), (F.lit(False) if cluster is None else F.col(cluster).isNull()).alias("lone"), F.col(text).alias("text"),
     )
+    rows = stage(fingerprints(prints, "text", count="words"), "sizes")
+    if cluster is None:
+        distinct = rows.select("fp").distinct()
+        roots = connected_components(links(distinct)).select(F.col("node").alias("fp"), "root")
+        rows = rows.join(roots, "fp", "left").withColumn("cluster", F.coalesce("root", "fp")).drop("root")
+    else:
+        rows = rows.withColumn("cluster", F.when(F.col("lone"), F.xxhash64(F.lit("lone"), F.monotonically_increasing_id())).otherwise(F.col("given")))
+    rows = rows.select("id", "h", "source", "words", "cluster")
     total = rows.agg(F.sum("words")).first()[0] or 0
     shards = max(1, math.ceil(total / shard_tokens))
-    parts = rows.where("words > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), F.ceil(F.col("words") / capacity).cast("int") - 1)))
+    parts = _dealt(rows.where("words > 0"), shards, "words", shard_tokens / 4)
+    parts = parts.withColumn("piece", F.explode(F.sequence(F.lit(0), F.ceil(F.col("words") / capacity).cast("int") - 1)))
     parts = parts.withColumn("size", F.least(F.lit(capacity), F.col("words") - F.col("piece").cast("long") * capacity).cast("long"))
-    # copies of one row have equal hashes of their columns, so the salt is drawn from where a row lies in the staged table
-    parts = parts.withColumn("shard", F.pmod(F.xxhash64("id", "piece", F.monotonically_increasing_id()), F.lit(shards)))
-    placed = parts.select("shard", "id", "piece", "size", "source", "cluster").groupBy("shard").applyInPandas(
+    placed = parts.select(_shard(shards), "id", "piece", "size", "source", "cluster", "h").groupBy("shard").applyInPandas(
         _packer(capacity, per_source), "id long, piece int, size long, source string, bin_id long, bin_offset long"
     )
     none = F.lit(None).cast("long")
@@ -115,12 +167,36 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     )
 
 
-def sequences(docs: DataFrame, placements: DataFrame, doc_id: str = "doc_id", text: str = "text", separator: str = "\n\n") -> DataFrame:
-    """(bin_id, text): the packed sequences' texts, pieces in order of their offsets. Ids must be unique."""
-    words = F.regexp_extract_all(F.col(text), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    joined = placements.where("bin_id is not null").join(docs.select(doc_id, text), doc_id)
-    piece = F.array_join(F.slice(words, (F.col("first_word") + 1).cast("int"), F.col("n_words").cast("int")), " ")
-    ordered = joined.groupBy("bin_id").agg(F.sort_array(F.collect_list(F.struct("bin_offset", piece.alias("piece")))).alias("pieces"))
-    return ordered.select("bin_id", F.array_join(F.transform("pieces", lambda p: p["piece"]), separator).alias("text"))
+def cut(text: str, capacity: int) -> list[tuple[int, str]]:
+    """Pieces of at most capacity words: how many each has, and its text from its first word to its last."""
+    spans = [m.span() for m in WORDS.finditer(text)]
+    return [(len(some), text[some[0][0] : some[-1][1]]) for some in (spans[at : at + capacity] for at in range(0, len(spans), capacity))]
+
 
+def sequences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_chars: int = SHARD_CHARS, separator: str = "\n\n") -> DataFrame:
+    """The packed training sequences: bin_id, n_words, doc_ids (of the pieces, in order) and text.
 
+    Documents are packed as pack does, each row as often as it occurs; their clusters are texts equal after
+    lower-casing and collapsing white space, so copies that a mix repeats never share a sequence. A piece is the
+    text from its first word to its last, layout included; pieces are joined by separator. Documents without words
+    (null, empty, blank) have no piece. Texts are shuffled once, to their shard; a shard's size is in characters,
+    so it stays bounded whatever the words are like, but for a single word longer than that.
+    """
+    low = docs.select(
+        F.col(doc_id).cast("long").alias("id"), F.col(source).cast("string").alias("source"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"), F.length(text).cast("long").alias("chars"),
+        _exact(text).alias("cluster"), F.coalesce(F.col(text), F.lit("")).alias("body"),
+    )
+    total = low.agg(F.sum("chars")).first()[0] or 0
+    shards = max(1, math.ceil(total / shard_chars))
+    rows = _dealt(low, shards, "chars", shard_chars / 4).select("id", "source", "h", "cluster", "salt", "body")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, 256):
+            pieces = [cut(t, capacity) for t in batch.column(5).to_pylist()]
+            at = pa.array(np.repeat(np.arange(len(pieces)), [len(p) for p in pieces]))
+            more = [pa.array([k for p in pieces for k in range(len(p))], pa.int32()), pa.array([n for p in pieces for n, _ in p], pa.int64()), pa.array([t for p in pieces for _, t in p], pa.string())]
+            yield pa.RecordBatch.from_arrays([*[c.take(at) for c in batch.columns[:5]], *more], names=["id", "source", "h", "cluster", "salt", "piece", "size", "body"])
+
+    parts = rows.mapInArrow(run, "id long, source string, h long, cluster long, salt long, piece int, size long, body string")
+    packed = parts.select(_shard(shards), "id", "piece", "size", "source", "cluster", "h", "body").groupBy("shard")
+    return packed.applyInPandas(_joiner(capacity, per_source, separator), "bin_id long, n_words long, doc_ids array<long>, text string")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.blocks import Forest, pieces
-from tickloom.llm.common import stage
+from tickloom.llm.common import free_name, stage
 from tickloom.llm.components import connected_components
 from tickloom.llm.tokens import in_slices, word_bytes, words_of
 
@@ -36,13 +36,15 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True) if n else 0
 
 
-def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3) -> DataFrame:
-    """docs with a long column fp, the SimHash of its lower-cased word shingles; text itself is dropped.
+def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, count: str | None = None) -> DataFrame:
+    """docs with a long column fp, the SimHash of its lower-cased word shingles, and if asked the number of words
+    in a column count; text itself is dropped.
 
     Null, empty and all-blank texts have fingerprint 0; a text with fewer words than a shingle is one shingle.
     """
-    rest = [c for c in docs.columns if c not in (text, "fp")]
-    out = docs.select(*rest, F.lit(0).cast("long").alias("fp")).schema
+    rest = [c for c in docs.columns if c not in (text, "fp", count)]
+    more = [] if count is None else [count]
+    out = docs.select(*rest, *[F.lit(0).cast("long").alias(c) for c in ("fp", *more)]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
@@ -65,7 +67,8 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3) -> DataF
                 else:
                     prints.append(0)
                 at += n
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(prints, pa.int64())], names=[*rest, "fp"])
+            found = [pa.array(prints, pa.int64()), *[pa.array(counts, pa.int64()) for _ in more]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], *found], names=[*rest, "fp", *more])
 
     return docs.select(*rest, text).mapInArrow(run, out)
 
@@ -133,7 +136,8 @@ def hex_of(fp: Column) -> Column:
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
     """docs without near duplicates: of each group of linked documents the one with the smallest id stays.
 
-    A group of null ids only keeps one row too; of rows equal in id and text one stays. Columns are kept.
+    A group of null ids only keeps one row too; of rows equal in id and text one stays. Null, empty and blank
+    texts are one group. Columns are kept, whatever their names; an empty table stays empty.
     """
     known = F.coalesce(F.col("_id").cast("long"), F.lit(2**63 - 1))
     keyed = docs.select(F.struct(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_h")).alias("key"), F.col(text).alias("_text"))
@@ -143,11 +147,13 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     root = F.coalesce("root", "fp")
     stay = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(root.alias("root")).agg(F.min("least").alias("least"))
     stay = stage(stay.select(F.col("least._known").alias("_known"), F.col("least._h").alias("_h")), "stay")
-    marked = docs.withColumn("_h", F.xxhash64(text)).withColumn("_known", F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)))
-    kept = marked.join(stay, ["_known", "_h"], "left_semi")
-    repeated = prints.groupBy(known.alias("_known"), "_h").count().where("count > 1").join(stay, ["_known", "_h"], "left_semi").select("_known", "_h")
-    repeated = stage(repeated, "repeated")
+    k, h = free_name(docs, "_known"), free_name(docs, "_h")
+    named = lambda df: df.select(F.col("_known").alias(k), F.col("_h").alias(h))
+    marked = docs.withColumn(h, F.xxhash64(text)).withColumn(k, F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)))
+    kept = marked.join(named(stay), [k, h], "left_semi")
+    repeated = prints.groupBy(known.alias("_known"), "_h").count().where("count > 1").join(stay, ["_known", "_h"], "left_semi")
+    repeated = stage(named(repeated), "repeated")
     if not repeated.isEmpty():
-        again = kept.join(repeated, ["_known", "_h"], "left_semi").dropDuplicates(["_known", "_h"])
-        kept = kept.join(repeated, ["_known", "_h"], "left_anti").unionByName(again)
+        again = kept.join(repeated, [k, h], "left_semi").dropDuplicates([k, h])
+        kept = kept.join(repeated, [k, h], "left_anti").unionByName(again)
     return kept.select(*docs.columns)
