@@ -203,7 +203,7 @@ def test_label_model_finds_good_voters():
 
 
 def test_label_model_is_plain_em_for_independent_voters():
-    from tickloom.llm.toxicity import first_guess
+    from tickloom.llm.toxicity import LABELS_RIGHT, UNLABELLED, first_guess
 
     rng = np.random.default_rng(5)
     y = rng.random(6000) < 0.25
@@ -218,6 +218,7 @@ def test_label_model_is_plain_em_for_independent_voters():
         said = {(c, k): 9.0 if c == k else 1.0 for c in (0, 1) for k in (0, 1)}
         for p, row, g in zip(q, votes, given):
             for c, m in ((0, 1 - p), (1, p)):
+                m *= 1.0 if g == g else UNLABELLED
                 mass[c] += m
                 for j in range(4):
                     fired[j, c] += m * row[j]
@@ -229,7 +230,8 @@ def test_label_model_is_plain_em_for_independent_voters():
             for c in (0, 1):
                 log[c] = np.log(mass[c]) + sum(np.log(fired[j, c] / mass[c] if row[j] else 1 - fired[j, c] / mass[c]) for j in range(4))
                 if g == g:
-                    log[c] += np.log(said[c, int(g)] / (said[c, 0] + said[c, 1]))
+                    right = min(max(said[c, c] / (said[c, 0] + said[c, 1]), LABELS_RIGHT), 1 - 1e-6)
+                    log[c] += np.log(right if g == c else 1 - right)
             out.append(1 / (1 + np.exp(log[0] - log[1])))
         q = out
     assert np.allclose(got, q, atol=1e-4) and ((got > 0.5) == y).mean() > 0.93
