@@ -33,7 +33,7 @@ from tickloom.llm.tokens import in_slices
 
 CAPACITY, PER_SOURCE, SHARD_TOKENS = 8192, 8, 4_000_000
 #: Characters of a shard's texts.
-SHARD_CHARS = 6 * SHARD_TOKENS
+SHARD_CHARS = 3 * SHARD_TOKENS
 WORDS = re.compile(WORD)
 
 
