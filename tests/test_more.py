@@ -10,7 +10,7 @@ from tickloom import errors
 from tickloom.functions import market
 from tickloom.functions.time import HOUR, MINUTE, SECOND
 from tickloom.operators import pairs, reconcile, sequence
-from tickloom.plans import mapping
+from tickloom.plans import mapping, sessions
 from tickloom.sources import calendar, datasets
 from tickloom.sources.envelopes import synthetic_events
 from tickloom.streaming import ingest
@@ -105,3 +105,67 @@ def test_stream_keeps_messages_once_and_its_ledger(spark, tmp_path):
     assert sorted(r.sequence for r in spark.read.parquet(f"{tmp_path}/out/messages").collect()) == [1, 2, 5, 6, 9]
     ledger = spark.read.parquet(f"{tmp_path}/out/ledger").orderBy("arrival").collect()
     assert [(r.reason, r.missing_start, r.missing_end) for r in ledger] == [("gap", 3, 4), ("duplicate_or_reordered", None, None), ("gap", 7, 8)]
+
+
+def test_provider_bars_are_written_as_one_page(spark, tmp_path):
+    from tickloom.sources.schemas import MARKET_BAR
+
+    base = {"schema_version": 1, "symbol": "QQQ", "asset_class": "etf", "resolution": "1m", "adjustment": "unadjusted", "bar_start_utc": 0, "bar_end_exclusive_utc": MINUTE, "received_at_utc": 0, "available_at_utc": 0, "open": "2", "high": "3", "low": "1", "close": "2", "volume": "0", "provenance_id": "p", "session_instance_id": "s", "validation_state": "validated"}
+    bars = lambda *changes: spark.createDataFrame([tuple((base | c)[f.name] for f in MARKET_BAR.fields) for c in changes], MARKET_BAR)
+    manifest = datasets.write(bars({}, {"bar_start_utc": MINUTE, "bar_end_exclusive_utc": 2 * MINUTE}), f"file://{tmp_path}/good", "market_bar", source={"provider": "alpaca", "feed": "sip"})
+    assert manifest["rows"] == 2 and datasets.manifest_of(spark, f"file://{tmp_path}/good")["source"] == {"provider": "alpaca", "feed": "sip"}
+    assert datasets.read_checked(spark, f"file://{tmp_path}/good", "market_bar").count() == 2
+    for i, (bad, error) in enumerate((({"volume": "-1"}, errors.Contract), ({"high": "1"}, errors.Contract), ({"provenance_id": " "}, errors.Contract), ({"symbol": "SPY"}, errors.MixedProvenance))):
+        with pytest.raises(error):
+            datasets.write(bars({}, bad), f"file://{tmp_path}/bad{i}", "market_bar")
+        assert not (tmp_path / f"bad{i}").exists()
+    with pytest.raises(errors.InputLimit):
+        datasets.write(bars(*[{"bar_start_utc": i} for i in range(1001)]), f"file://{tmp_path}/many", "market_bar")
+
+
+def test_a_chunk_of_frames_and_events_is_published_together(spark, tmp_path):
+    from tickloom.sources.schemas import EVENT_V2, RAW_FRAME_V1
+
+    body = b"frame"
+    frame = lambda n, count: (1, "p", "f", "unknown", None, 1, n, 0, hashlib.sha256(body).hexdigest(), body, count, "market_data", "[]")
+    event = lambda n, k, count: (1, "p", "f", "unknown", "decimal_token", None, None, 1, n, 0, 0, "stock_trade", "QQQ", "1", "1", None, None, None, None, 1, n, k, count)
+    typed = lambda rows, schema: spark.createDataFrame(rows, ", ".join(f"{f.name} {f.dataType.simpleString().replace('decimal(20,0)', 'long')}" for f in schema.fields)).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    frames = typed([frame(1, 2), frame(2, 1)], RAW_FRAME_V1)
+    events = typed([event(1, 0, 2), event(1, 1, 2), event(2, 0, 1)], EVENT_V2)
+    receipt = datasets.publish_pair(frames, events, f"file://{tmp_path}/chunk", 1)
+    assert (receipt["frames"]["rows"], receipt["events"]["rows"]) == (2, 3) and (tmp_path / "chunk" / "receipt").exists()
+    with pytest.raises(errors.Contract):
+        datasets.publish_pair(frames, events.limit(2), f"file://{tmp_path}/short", 1)
+    with pytest.raises(errors.Contract):  # a reference to a frame is given whole or not at all
+        datasets.write(events.withColumn("raw_frame_event_count", F.lit(None).cast("bigint")), f"file://{tmp_path}/partial", "event_v2")
+    with pytest.raises(errors.Contract):
+        datasets.write(frames.withColumn("frame_sha256", F.lit("0" * 64)), f"file://{tmp_path}/hash", "raw_frame_v1")
+    with pytest.raises(errors.Contract):
+        datasets.write(frames.union(frames), f"file://{tmp_path}/twice", "raw_frame_v1")
+
+
+def test_versions_have_one_successor_and_keep_their_authority(spark, tmp_path):
+    root, rows = f"file://{tmp_path}", spark.range(3)
+    datasets.publish_version(rows, root, "k", "v1", 100, False)
+    datasets.publish_version(rows, root, "k", "v2", 100, True)
+    datasets.rollback(spark, root, "k", "v1", 100)
+    assert datasets.current_pointer(spark, root, "k") == {"version": "v1", "expires": 100, "authoritative": False}
+    with pytest.raises(errors.CacheConflict):
+        datasets._point(spark, root, "k", {"version": "v2", "expires": 1, "authoritative": True}, 1)
+
+
+def test_the_next_run_follows_success_and_failure(spark):
+    runs = spark.createDataFrame([(1, "futu"), (2, "alpaca")], "run long, provider string")
+    assert sessions.next_run(runs, None)["provider"] == "futu" and sessions.next_run(runs, 1)["provider"] == "alpaca" and sessions.next_run(runs, 2) is None
+
+
+def test_verified_at_needs_every_row_in_the_cache(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "id int, v string")
+    times = lambda cached: {r.verified_at for r in reconcile.with_verified_at(rows, cached, 7).collect()}
+    assert times(rows.union(rows)) == {7} and times(rows.dropDuplicates()) == {None}
+
+
+def test_stretches_follow_range_and_count(spark):
+    rows = spark.range(1000).select((F.col("id") * 1_000_000_000).alias("arrival"))
+    width = sequence.stretch(rows, "arrival", 100)
+    assert rows.select(F.floor(F.col("arrival") / width)).distinct().count() in (10, 11) and sequence.stretch(rows.limit(0), "arrival") == 1

@@ -34,17 +34,21 @@ def _digest_columns(rows: DataFrame) -> list[Column]:
     return [F.count("*").alias("_rows"), *[F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("string").alias(f"_{i}") for i, h in enumerate(sums)]]
 
 
-def content_digest(rows: DataFrame, name: str | None = None) -> dict:
+def content_digest(rows: DataFrame, name: str | None = None, rules: dict[str, Column] | None = None) -> dict:
     """Row count and an order-independent digest of all rows: sums of two 64-bit hashes, one pass, no sort.
 
     Spark's files differ from run to run, so datasets are compared by content, not by bytes. With a schema's
-    name the same pass counts nulls, and fails if a required column has one.
+    name the same pass counts nulls, and fails if a required column has one; with rules it fails if a row breaks one.
     """
     needed = required(name) if name else []
-    found = rows.agg(*_digest_columns(rows), *[F.count_if(F.col(c).isNull()).alias(c) for c in needed]).first()
+    broken = [F.count_if(~F.coalesce(ok, F.lit(False))).alias(f"rule {n}") for n, ok in (rules or {}).items()]
+    found = rows.agg(*_digest_columns(rows), *[F.count_if(F.col(c).isNull()).alias(c) for c in needed], *broken).first()
     bad = [c for c in needed if found[c]]
     if bad:
         raise errors.Contract(f"{name}: null in {', '.join(bad)}")
+    for rule in sorted(rules or {}):
+        if found[f"rule {rule}"]:
+            raise errors.Contract(f"{found[f'rule {rule}']} rows break {rule}")
     return {"rows": found["_rows"], "digest": f"{found['_0']}/{found['_1']}"}
 
 
@@ -96,19 +100,23 @@ def _put(spark: SparkSession, path: str, text: str) -> None:
 def write(rows: DataFrame, path: str, name: str, codec: str = "zstd", source: dict | None = None) -> dict:
     """Write a dataset that must not exist yet, read it back whole, and return its manifest.
 
-    Rows are checked against their rules before; the manifest, a JSON line beside the files, comes last, so
-    a dataset without one is unfinished. source (provider, feed, ..) of provider bars is kept in the manifest.
+    One pass over what was written checks rules, nulls and content; where it fails, the files are deleted. The
+    manifest, a JSON line beside them, comes last, so a dataset without one is unfinished. source (provider, feed, ..) of provider bars is kept in the manifest.
     """
     ordered = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
-    check_rules(ordered, rules_of(name))
     if name == "market_bar":  # small by contract, so it is checked before anything is written
         check_whole(ordered, name)
     ordered.write.mode("errorifexists").options(**{**WRITER, "compression": codec}).parquet(path)
     back = rows.sparkSession.read.schema(SCHEMAS[name]).parquet(path)
-    manifest = {"schema": name, "fingerprint": fingerprint(name), **content_digest(back, name), "published_at": int(time.time()), **({"source": source} if source else {})}
-    if not manifest["rows"]:
-        raise errors.Contract("empty dataset")
-    check_whole(back, name)
+    try:
+        manifest = {"schema": name, "fingerprint": fingerprint(name), **content_digest(back, name, rules_of(name)), "published_at": int(time.time()), **({"source": source} if source else {})}
+        if not manifest["rows"]:
+            raise errors.Contract("empty dataset")
+        check_whole(back, name)
+    except errors.TickloomError:
+        folder, fs = _hadoop(rows.sparkSession, path)
+        fs.delete(folder, True)
+        raise
     _put(rows.sparkSession, f"{path}.manifest", json.dumps(manifest))
     return manifest
 
