@@ -94,8 +94,8 @@ def _queues(rows: DataFrame, sizes: DataFrame, per_bucket: int) -> DataFrame:
 
 
 def schedule(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17, rows_per_bucket: int | None = None) -> DataFrame:
-    """One row per document row: id, size, source, source_size, target, finish (of the first pass), lap
-    (virtual time of a whole pass of its source) and passes, how often the mix takes it.
+    """One row per document row: id, size, source, source_size, target, h (a hash of its text), finish (of the first
+    pass), lap (virtual time of a whole pass of its source) and passes, how often the mix takes it.
 
     Reruns agree: the shuffle is a hash of id, text and seed, ties fall by id and size, and rows equal in these
     are interchangeable. A null source is a source of its own; only copies of one row share a shuffle key; a
@@ -103,14 +103,14 @@ def schedule(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     whole, of any length; an empty table has an empty schedule; other columns are ignored.
     """
     key = F.xxhash64(F.col(doc_id), F.xxhash64(text), F.lit(seed))
-    rows = stage(docs.select(F.col(doc_id).alias("id"), word_count(text).alias("size"), F.col(source).cast("string").alias("source"), key.alias("key")), "sizes")
+    rows = stage(docs.select(F.col(doc_id).alias("id"), word_count(text).alias("size"), F.col(source).cast("string").alias("source"), key.alias("key"), F.xxhash64(text).alias("h")), "sizes")
     # buckets of about the root of the rows: ordering one, and adding up all, take tasks of like size
     total = rows.count()
     per_bucket = rows_per_bucket or max(512, math.isqrt(total))
     n = max(1, total // per_bucket)
     sizes = targets(rows.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"), F.count("*").alias("n_docs")))
     timed = stage(
-        _queues(rows, sizes, per_bucket).select("id", "size", "source", "source_size", "target", "key", (F.col("total") / F.nullif(F.col("target"), F.lit(0.0))).alias("finish"), (F.col("source_size") / F.nullif(F.col("target"), F.lit(0.0))).alias("lap")),
+        _queues(rows, sizes, per_bucket).select("id", "size", "source", "source_size", "target", "key", "h", (F.col("total") / F.nullif(F.col("target"), F.lit(0.0))).alias("finish"), (F.col("source_size") / F.nullif(F.col("target"), F.lit(0.0))).alias("lap")),
         "timed",
     )
     queued = (
@@ -152,13 +152,14 @@ def _cut(queued: DataFrame, budget: float):
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17) -> DataFrame:
     """The mixed documents themselves, repeats included, globally range-sorted by virtual finish time.
 
-    A document row is matched to its schedule by id, size and source: rows equal in these are taken alike.
+    A document row is matched to its schedule by id, source and text: rows equal in these are taken alike. A document
+    without words counts nothing; it is in the mix if its source has words.
     """
-    plan = schedule(docs, doc_id, text, source, seed).where("passes > 0").groupBy("id", "size", "source").agg(F.max("passes").alias("passes"), F.min("finish").alias("finish"), F.min("lap").alias("lap"))
-    size, finish, lap, passes, nth, at, of, whose = (free_name(docs, f"_{n}") for n in ("size", "finish", "lap", "passes", "nth", "at", "id", "source"))
-    plan = plan.select(F.col("id").alias(of), F.col("size").alias(f"{size}_"), F.col("source").alias(whose), F.col("passes").alias(passes), F.col("finish").alias(finish), F.col("lap").alias(lap))
+    plan = schedule(docs, doc_id, text, source, seed).where("passes > 0").groupBy("id", "size", "source", "h").agg(F.max("passes").alias("passes"), F.min("finish").alias("finish"), F.min("lap").alias("lap"))
+    size, finish, lap, passes, nth, at, of, whose, h = (free_name(docs, f"_{n}") for n in ("size", "finish", "lap", "passes", "nth", "at", "id", "source", "h"))
+    plan = plan.select(F.col("id").alias(of), F.col("size").alias(f"{size}_"), F.col("source").alias(whose), F.col("h").alias(h), F.col("passes").alias(passes), F.col("finish").alias(finish), F.col("lap").alias(lap))
     sized = docs.withColumn(size, word_count(text))
-    on = sized[doc_id].eqNullSafe(plan[of]) & (sized[size] == plan[f"{size}_"]) & sized[source].cast("string").eqNullSafe(plan[whose])
+    on = sized[doc_id].eqNullSafe(plan[of]) & (sized[size] == plan[f"{size}_"]) & sized[source].cast("string").eqNullSafe(plan[whose]) & (F.xxhash64(sized[text]) == plan[h])
     repeated = sized.join(plan, on).select(*[sized[c] for c in docs.columns], finish, lap, F.explode(F.sequence(F.lit(0), F.col(passes) - 1)).alias(nth))
     timed = repeated.withColumn(at, F.col(finish) + F.col(nth) * F.col(lap))
     return timed.repartitionByRange(partitions(docs.sparkSession), at, doc_id).sortWithinPartitions(at, doc_id).select(*docs.columns)
