@@ -49,7 +49,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, in its order; one that it takes twice is there twice.
 
-    Documents without words are in no mix; a null source is a source of its own.
+    A document without words counts nothing; a null source is a source of its own.
     """
     return mix(docs)
 
