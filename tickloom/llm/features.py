@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import stage
 from tickloom.llm.tokens import in_slices, plain_texts, word_bytes, words_of
 
 #: Odd multipliers of the rolling hashes.
@@ -143,10 +144,11 @@ def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def sampled(rows: DataFrame, label: str, key: str, most: int) -> DataFrame:
     """About most rows of each label, or all if fewer, chosen by a hash of the key: a bounded sample.
 
-    Counts are joined, not collected, however many labels there are.
+    Counts are joined, not collected, however many labels there are. They are a table of their own first: Spark then
+    knows their size and, where it is small, sends them to the rows instead of shuffling the rows by label.
     """
     share = F.least(F.lit(1.0), F.lit(float(most)) / F.col("_n"))
-    counts = rows.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n"))
+    counts = stage(rows.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n")), "counts")
     drawn = F.pmod(F.xxhash64(F.col(key), F.lit(23)), F.lit(1_000_003)) < F.floor(share * 1_000_003)
     return rows.join(counts, F.col(label) == F.col("_label")).where((F.col("_n") <= most) | drawn).select(*rows.columns)
 
