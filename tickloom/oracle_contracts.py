@@ -108,7 +108,8 @@ h AS (SELECT c_custkey, string_agg(lpad(lower(hex(strlen(x))), 16, '0') || lower
     "sources_of_bars": f"""WITH f AS (SELECT count(*) AS n_rows, count(DISTINCT c_nationkey) AS n_symbols, min(c_custkey) * {MINUTE} AS source_start, max(c_custkey) * {MINUTE} AS source_end, CAST(0 AS BIGINT) AS missing_times, count(*) = count(DISTINCT c_custkey) AS unique_key,
   count(DISTINCT c_mktsegment) = 1 AS one FROM customer)
 SELECT n_rows, n_symbols, source_start, source_end, missing_times, unique_key, c = 'none' OR one AS single_source, c AS "case" FROM f, (VALUES ('segment'), ('none')) t(c)""",
-    "stream_bars_to_end": f"""WITH {_bars(HOUR)}, m AS (SELECT max(ns) // 1000000 * 1000000 AS top FROM ev WHERE kind = 'trade')
-SELECT symbol AS user_id, bar_start, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, CAST(volume AS DOUBLE) AS volume, trade_count FROM bars, m WHERE bar_start + {HOUR} <= top""",
+    "stream_bars_to_end": f"""WITH {_bars(HOUR)}
+SELECT symbol AS user_id, bar_start, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, CAST(volume AS DOUBLE) AS volume, trade_count FROM bars""",
+    "stream_accounts": "SELECT user_id, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY user_id",
     "stream_sequence": MAIN["sequence_classes"],
 }

@@ -14,7 +14,7 @@ from tickloom.operators import reconcile, sequence
 from tickloom.plans import mapping, sessions
 from tickloom.queries import AS_OF, _bars, _calendar, _events, _parts, _t
 from tickloom.sources import envelopes, research
-from tickloom.streaming import ingest
+from tickloom.streaming import ingest, ordered
 
 MINUTE, HOUR, DAY = time.MINUTE, time.HOUR, time.DAY
 
@@ -288,25 +288,51 @@ def sources_of_bars(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-def stream_bars_to_end(spark: SparkSession, sf: str) -> DataFrame:
-    """The purchases as a stream of files, run to its end: bars whose window the watermark has closed."""
+def _purchases(events: DataFrame) -> DataFrame:
+    return events.where("event_type = 'purchase'").select("user_id", F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("arrival"), F.col("value").cast("decimal(18,4)").alias("price"), F.get_json_object("props", "$.k").cast("decimal(38,18)").alias("size"))
+
+
+def _streamed(spark: SparkSession, sf: str, rows, made, files: int = 16) -> DataFrame:
+    """A stream of the event files, run to its end; rows and made: DataFrame -> DataFrame."""
     schema = T.StructType(spark.read.parquet(f"{sf}/events.parquet").schema.fields)
-    stream = ingest.read_events(spark, f"{sf}/event[s].parquet", schema)
-    rows = stream.where("event_type = 'purchase'").select("user_id", F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("arrival"), F.col("value").cast("decimal(18,4)").alias("price"), F.get_json_object("props", "$.k").cast("decimal(38,18)").alias("size"))
-    made = ingest.collected(ingest.stream_bars(rows, "at", ["user_id"], "1 hour", "0 seconds"))
+    return ordered.run_whole(spark, lambda own: rows(ingest.read_events(own, f"{sf}/event[s].parquet", schema, files)), "at", made)
+
+
+def _seconds(rows: DataFrame) -> int:
+    """The time that rows span: no file can be further behind than that."""
+    span = rows.agg(F.max("at").alias("b"), F.min("at").alias("a")).first()
+    return int((span["b"] - span["a"]).total_seconds()) + 1 if span["b"] else 1
+
+
+def stream_bars_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly bars of the purchases as a stream of files, an hour behind the latest; later rows correct them."""
+    late = 1000 * _seconds(_purchases(_t(spark, sf, "events")))
+    log = _streamed(spark, sf, _purchases, lambda rows: ordered.lasting_bars(rows, ["user_id"], "1 hour", HOUR // 1_000_000, late))
     number = lambda c: F.col(c).cast("double").alias(c)
-    return made.select("user_id", time.ns_of(F.col("bar_start")).alias("bar_start"), number("open"), number("high"), number("low"), number("close"), number("volume"), "trade_count")
+    return ordered.final_bars(log, ["user_id"]).select("user_id", time.ns_of(F.col("bar_start")).alias("bar_start"), number("open"), number("high"), number("low"), number("close"), number("volume"), "trade_count")
 
 
-def stream_sequence(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages of a stream classified from each source's cursor; counted by decision."""
-    schema = T.StructType(spark.read.parquet(f"{sf}/events.parquet").schema.fields)
-    stream = ingest.read_events(spark, f"{sf}/event[s].parquet", schema)
+def stream_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """Purchases of each user in daily bars that wait a day and are corrected for another, and those that came later
+    still: together all, whichever files came last."""
+    log = _streamed(spark, sf, _purchases, lambda rows: ordered.lasting_bars(rows, ["user_id"], "1 day", DAY // 1_000_000, DAY // 1_000_000), 1)
+    kept, late = ordered.final_bars(log, ["user_id"]).select("user_id", "trade_count"), ordered.late_rows(log, ["user_id"]).select("user_id", F.lit(1).alias("trade_count"))
+    return kept.union(late).groupBy("user_id").agg(F.sum("trade_count").alias("n"))
+
+
+def _messages(events: DataFrame) -> DataFrame:
+    """Events as numbered messages: neighbours change places, and every 97th comes 5000 later."""
     k = F.col("event_id")
-    # neighbours change places, and every 97th message comes 5000 later
     at = (k + F.when(k % 97 == 0, 5000).when(k % 2 == 0, 3).otherwise(0)) * 100_000_000 + k
-    rows = stream.select(F.lit("p").alias("provider"), F.col("event_type").alias("feed"), (F.floor(k / 3000) + 1).cast("long").alias("generation"), k.cast("long").alias("sequence"), at.cast("long").alias("arrival"))
-    return ingest.collected(ingest.classify_stream(rows)).groupBy("feed", "decision").agg(F.count("*").alias("n"), F.sum("sequence").alias("sequence_sum"))
+    rows = events.select(F.lit("p").alias("provider"), F.col("event_type").alias("feed"), (F.floor(k / 3000) + 1).cast("long").alias("generation"), k.cast("long").alias("sequence"), at.cast("long").alias("arrival"))
+    return rows.withColumn("at", F.timestamp_micros(F.floor(F.col("arrival") / 1000)))
+
+
+def stream_sequence(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of a stream, held back and classified in order of arrival; counted by decision."""
+    delay = f"{_seconds(_messages(_t(spark, sf, 'events')))} seconds"
+    decided = _streamed(spark, sf, _messages, lambda rows: ordered.classify_in_order(rows, delay))
+    return decided.groupBy("feed", "decision").agg(F.count("*").alias("n"), F.sum("sequence").alias("sequence_sum"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -314,6 +340,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         market_bar_violations, trade_bar_violations, grid_rules, event_rule_violations, batch_violations, envelope_violations, frame_order, chunk_adjacency, session_bounds, evidence_complete, sub_window,
         research_order, research_coverage, research_pages, session_batch, shared_stretch, page_chain, bag_match, plan_groups, plan_runs, provider_policy, null_volume_gaps, scalar_checks, overnight_routes,
-        key_fingerprints, sources_of_bars, stream_bars_to_end, stream_sequence,
+        key_fingerprints, sources_of_bars, stream_bars_to_end, stream_accounts, stream_sequence,
     )
 }

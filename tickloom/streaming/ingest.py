@@ -26,28 +26,35 @@ def read_events(spark: SparkSession, path: str, schema: str, files_per_trigger:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Classify one source's messages in order of arrival, from the cursor that the last batch left.
+def classified_after(key: tuple, rows: pd.DataFrame, cursor: tuple[int, int]) -> tuple[pd.DataFrame, tuple[int, int]]:
+    """Decisions on one source's messages in the order given, from a cursor, and the cursor after them.
 
     Accepted states only grow, so the state before a message is a running maximum, taken over all at once.
     """
-    rows = pd.concat(list(frames)).sort_values("arrival", kind="stable")
-    seen = np.concatenate([[state.get if state.exists else (0, 0)], rows[["generation", "sequence"]].to_numpy()]).astype(np.int64)
+    seen = np.concatenate([[cursor], rows[["generation", "sequence"]].to_numpy()]).astype(np.int64)
     states, rank = np.unique(seen, axis=0, return_inverse=True)
     top = np.maximum.accumulate(rank.ravel())
     g, s = states[top[:-1]].T
     generation, sequence = seen[1:].T
     decision = np.select([generation < g, generation > g, sequence <= s, sequence > s + 1], ["stale_generation", "accept", "duplicate_or_reordered", "gap"], "accept")
     gap = pd.Series(decision == "gap")
-    state.update(tuple(int(x) for x in states[top[-1]]))
-    yield pd.DataFrame({
+    out = pd.DataFrame({
         "provider": key[0], "feed": key[1], "generation": generation, "sequence": sequence, "arrival": rows["arrival"].to_numpy(), "decision": decision,
         "missing_first": pd.Series(s + 1, dtype="Int64").where(gap), "missing_last": pd.Series(sequence - 1, dtype="Int64").where(gap),
     })
+    return out, tuple(int(x) for x in states[top[-1]])
+
+
+def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Classify one source's messages of a micro-batch, from the cursor that the last one left."""
+    out, cursor = classified_after(key, pd.concat(list(frames)).sort_values("arrival", kind="stable"), state.get if state.exists else (0, 0))
+    state.update(cursor)
+    yield out
 
 
 def classify_stream(events: DataFrame) -> DataFrame:
-    """Decisions on a stream of (provider, feed, generation, sequence, arrival); state is one cursor a source."""
+    """Decisions on a stream of (provider, feed, generation, sequence, arrival) as it is delivered: in order of arrival
+    within a micro-batch, not across them (`ordered.classify_in_order` does that). State is one cursor a source."""
     return events.select("provider", "feed", "generation", "sequence", "arrival").groupBy("provider", "feed").applyInPandasWithState(_advance, CHECKED, CURSOR, "append", GroupStateTimeout.NoTimeout)
 
 
