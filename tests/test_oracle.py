@@ -6,9 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from tickloom import oracle, oracle_contracts, queries, queries_contracts
+from tickloom import oracle, oracle_contracts, oracle_plans, queries, queries_contracts, queries_plans
 
-ORACLES, QUERIES = oracle.ORACLES | oracle_contracts.ORACLES, queries.QUERIES | queries_contracts.QUERIES
+ORACLES, QUERIES = oracle.ORACLES | oracle_contracts.ORACLES | oracle_plans.ORACLES, queries.QUERIES | queries_contracts.QUERIES | queries_plans.QUERIES
 
 SF = "/root/testdata/sf0.01"
 TABLES = "region nation customer supplier part orders lineitem events documents conversations".split()

@@ -10,14 +10,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom import errors
-from tickloom.functions.market import MAPPING_PRIORITY, RESOLUTIONS, SCOPES, in_scope
-from tickloom.functions.time import parse_rfc3339
-from tickloom.operators.intervals import normalize_gaps, overlaps, uncovered
-from tickloom.sources.calendar import closed_night_bands, overnight_instances
-
-CUTOFF_DATE, CUTOFF = "2016-01-01", "2016-01-01T05:00:00Z"
-RESEARCH = ("yfinance", "daily")
-MODES = ("auto", "alpaca_only", "futu_only", "research")
+from tickloom.functions.market import RESOLUTIONS, SCOPES, in_scope
+from tickloom.operators.intervals import overlaps
+from tickloom.plans.choice import MODES
+from tickloom.plans.requests import plan_requests, session_slices
+from tickloom.sources.calendar import overnight_instances
 
 
 @dataclass(frozen=True)
@@ -53,76 +50,17 @@ def ranked(instances: DataFrame, as_of: int | Column) -> DataFrame:
     return out.withColumn("rank", F.when(F.col("_a").isNotNull(), opened).otherwise(closed)).withColumn("market_closed", F.col("_a").isNull()).drop("_a", "_c")
 
 
-def choice(mode: Column, trade_date: Column, daily: Column, phase: Column, rank: Column) -> Column:
-    """struct(provider, feed, gap): the first rule that holds decides."""
-
-    def of(provider: str | None, feed: Column | str | None, gap: str | None) -> Column:
-        feed = F.lit(feed) if not isinstance(feed, Column) else feed
-        return F.struct(F.lit(provider).cast("string").alias("provider"), feed.cast("string").alias("feed"), F.lit(gap).cast("string").alias("gap"))
-
-    sip = F.when(phase == "over", "boats").otherwise("sip")
-    early = (trade_date < CUTOFF_DATE) & daily
-    return (
-        F.when(rank.isNull(), of(None, None, "future_session"))
-        .when(early & mode.isin("auto", "research"), of(*RESEARCH, None))
-        .when(early, of(None, None, "source_mode_excludes_required_provider"))
-        .when(mode == "research", of(*RESEARCH, None))
-        .when((mode == "auto") & rank.isin("new", "buffer"), of("futu", None, None))
-        .when(mode == "auto", of("alpaca", sip, None))
-        .when(mode == "futu_only", of("futu", None, None))
-        .when(mode == "alpaca_only", of("alpaca", sip, None))
-    )
-
-
-def with_capability(slices: DataFrame, capabilities: DataFrame, as_of: int | Column) -> DataFrame:
-    """Slices with their capability (first by priority) and the flags that follow from it.
-
-    capabilities: provider, feed, phase, interval, historical, realtime, priority; nulls equal nulls.
-    """
-    now = F.lit(as_of) if isinstance(as_of, int) else as_of
-    keys = ["provider", "feed", "phase", "interval"]
-    first = capabilities.groupBy(*keys).agg(F.min_by(F.struct("historical", "realtime"), "priority").alias("cap"))
-    s, c = slices.alias("s"), first.alias("c")
-    on = F.col("s.provider").eqNullSafe(F.col("c.provider"))
-    for k in keys[1:]:
-        on = on & F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}"))
-    out = s.join(c, on, "left").select("s.*", F.coalesce("c.cap.historical", F.lit(False)).alias("_h"), F.coalesce("c.cap.realtime", F.lit(False)).alias("_r"))
-    live = F.col("active") & (F.col("start") <= now) & (now < F.col("end"))
-    access = F.col("_h") | (live & F.col("_r"))
-    gap = F.coalesce(F.col("choice_gap"), F.when(~access, "missing_provider_capability"))
-    futu = F.coalesce(F.col("provider") == "futu", F.lit(False))
-    return (
-        out.withColumn("gap", gap).withColumn("historical", F.col("_h")).withColumn("realtime", F.col("provider").isNotNull() & gap.isNull() & live & F.col("_r"))
-        .withColumn("provisional", F.coalesce((F.col("market_closed") & (F.col("rank") == "buffer") & futu) | ((F.col("interval") == "1d") & (F.col("rank") == "new") & futu & F.col("active")), F.lit(False)))
-        .drop("_h", "_r", "choice_gap")
-    )
+def _as_table(request: Request, as_of: int, spark) -> DataFrame:
+    schema = "request_id int, symbol string, start long, end long, as_of long, resolution string, scope string, mode string, adjustment string, allow_daily_downgrade boolean"
+    row = (1, request.symbol, request.start, request.end, as_of, request.resolution, request.scope, request.mode, request.adjustment, request.allow_daily_downgrade)
+    return spark.createDataFrame([row], schema)
 
 
 def plan_sessions(request: Request, as_of: int, days: DataFrame, instances: DataFrame, capabilities: DataFrame) -> DataFrame:
-    """Slices of a request, clipped to it, with source, rank, gap and flags, in order.
-
-    Open days in the window without phases leave slices with gap missing_calendar_phase.
-    """
-    start, end = F.lit(request.start), F.lit(request.end)
-    daily = request.resolution == "1d"
-    clipped = ranked(instances, as_of).where(overlaps(F.col("start"), F.col("end"), start, end))
-    if daily:
-        # one slice a day, as of the latest instance of it that has started
-        of_day = ranked(instances, as_of).withColumn("_on", F.col("start") <= F.lit(as_of))
-        latest = of_day.groupBy("trade_date").agg(F.max_by(F.struct("session_instance_id", "session_id", "phase", "rank", "active", "market_closed", "position"), F.when(F.col("_on"), F.col("start"))).alias("i"), F.max("market_closed").alias("closed"))
-        d = days.where("status = 'open'").where(overlaps(F.col("start"), F.col("end"), start, end)).join(latest, "trade_date", "left")
-        clipped = d.select("trade_date", "start", "end", F.coalesce("i.session_id", d["session_id"]).alias("session_id"), "i.session_instance_id", "i.phase", "i.rank", F.coalesce("i.active", F.lit(False)).alias("active"), F.coalesce("closed", F.lit(True)).alias("market_closed"), F.when(F.col("closed").isNull(), "missing_calendar_phase").alias("missing"))
-    else:
-        clipped = clipped.withColumn("missing", F.lit(None).cast("string"))
-    clipped = clipped.withColumn("start", F.greatest("start", start)).withColumn("end", F.least("end", end)).withColumn("interval", F.lit(request.resolution))
-    picked = clipped.withColumn("c", choice(F.lit(request.mode), F.col("trade_date"), F.lit(daily), F.col("phase"), F.col("rank")))
-    picked = picked.withColumn("provider", F.when(F.col("missing").isNull(), F.col("c.provider"))).withColumn("feed", F.when(F.col("missing").isNull(), F.col("c.feed"))).withColumn("choice_gap", F.coalesce("missing", "c.gap")).drop("c", "missing")
-    slices = with_capability(picked, capabilities, as_of)
-    if not daily:
-        bare = days.where("status = 'open'").join(instances, "session_id", "left_anti").where(overlaps(F.col("start"), F.col("end"), start, end))
-        filler = bare.select("trade_date", F.greatest("start", start).alias("start"), F.least("end", end).alias("end"), "session_id", F.lit("missing_calendar_phase").alias("gap"), F.lit(False).alias("historical"), F.lit(False).alias("realtime"), F.lit(False).alias("provisional"), F.lit(False).alias("active"), F.lit(request.resolution).alias("interval"))
-        slices = slices.unionByName(filler, allowMissingColumns=True)
-    return slices.orderBy("start", "trade_date", "phase")
+    """Slices of a request in its own resolution and in every scope, clipped to it, with source, rank, gap and flags, in
+    order (`requests.session_slices` for a table of one)."""
+    work = _as_table(request, as_of, days.sparkSession).withColumnRenamed("resolution", "interval")
+    return session_slices(work, days, instances, capabilities).orderBy("start", "trade_date", "phase")
 
 
 def check_request(request: Request) -> None:
@@ -191,14 +129,6 @@ def attempt_capabilities(request: Request, as_of: int, days: DataFrame, instance
     return capabilities.where("provider <> 'futu'").unionByName(c.join(a, on, "left_semi"))
 
 
-def runs_of_plan(slices: DataFrame) -> DataFrame:
-    """A plan's slices in runs of one source (newest first): a page serves one run."""
-    source = F.struct("provider", "feed", "interval")
-    numbered = slices.withColumn("k", F.lit(1)).withColumn("at", -F.col("start")).withColumn("source", source)
-    found = runs(numbered, ["k"], "at", "source", F.col("gap").isNull())
-    return found.select("run", "source.*", (-F.col("last")).alias("oldest_start"), (-F.col("first")).alias("newest_start"), "n_slices")
-
-
 def next_run(plan_runs: DataFrame, served: int | None) -> dict | None:
     """The cursor of the run after the one just served (None: of the first), whether that succeeded or failed;
     None after the last. It selects the next planned run and authorizes nothing else."""
@@ -207,51 +137,15 @@ def next_run(plan_runs: DataFrame, served: int | None) -> dict | None:
 
 
 def plan_market_bars(request: Request, as_of: int, days: DataFrame, instances: DataFrame, capabilities: DataFrame, candidates: DataFrame | None = None) -> dict[str, DataFrame]:
-    """slices (newest first), groups per source, runs and normalised gaps of a request.
+    """slices (newest first), groups per source, runs and normalised gaps of one request (`requests.plan_requests`).
 
     candidates: capabilities of provider B, of which only those that its policy permits take part.
     """
+    check_request(request)
+    span = days.agg(F.min("start").alias("a"), F.max("end").alias("b")).first()
+    if span["a"] is None or not span["a"] <= as_of < span["b"]:
+        raise errors.Contract("as_of outside the calendar")
     if candidates is not None:
         capabilities = attempt_capabilities(request, as_of, days, instances, capabilities, candidates)
-    spark = days.sparkSession
-    cutoff = spark.range(1).select(parse_rfc3339(F.lit(CUTOFF))).first()[0]
-    intraday, research = request.resolution != "1d", request.mode == "research"
-    early, gaps = [], []
-    work = request
-    if intraday and (research or request.start < cutoff):
-        if request.allow_daily_downgrade:
-            work = Request(**{**request.__dict__, "resolution": "1d"})
-        elif research:
-            early.append((request.start, request.end, "unsupported_resolution"))
-            work = None
-        else:
-            early.append((request.start, min(cutoff, request.end), "unsupported_resolution"))
-            work = Request(**{**request.__dict__, "start": cutoff}) if request.end > cutoff else None
-    if early:
-        gaps.append(spark.createDataFrame(early, "start long, end long, reason string"))
-    span = days.agg(F.min("start").alias("a"), F.max("end").alias("b")).first()
-    outside = [(request.start, min(request.end, span["a"]), "unknown"), (max(request.start, span["b"]), request.end, "unknown")]
-    outside = [g for g in outside if g[0] < g[1]]
-    if outside:
-        gaps.append(spark.createDataFrame(outside, "start long, end long, reason string"))
-    slices = plan_sessions(work or Request(**{**request.__dict__, "end": request.start}), as_of, days, instances, capabilities)
-    if work is not None:
-        if work.resolution == "1d":
-            if work.scope in ("extended", "overnight"):
-                slices = slices.withColumn("provider", F.lit(None).cast("string")).withColumn("gap", F.lit("unsupported_resolution"))
-        else:
-            slices = slices.where(F.col("phase").isNull() | in_scope(F.col("phase"), F.lit(work.scope)))
-            if work.scope in ("all", "overnight"):
-                bands = closed_night_bands(days).where(overlaps(F.col("start"), F.col("end"), F.lit(work.start), F.lit(work.end)))
-                bands = bands.select(F.lit(1).alias("k"), "trade_date", F.greatest("start", F.lit(work.start)).alias("start"), F.least("end", F.lit(work.end)).alias("end"))
-                trusted = slices.where("phase = 'over'").select(F.lit(1).alias("k"), "start", "end")
-                gaps.append(uncovered(bands, trusted, ["k"], ["trade_date"]).select("start", "end", F.lit("unknown").alias("reason")))
-    reason = F.when(F.col("gap") == "missing_provider_capability", "provider_unavailable").when(F.col("gap") == "unsupported_resolution", "unsupported_resolution").otherwise("unknown")
-    gaps.append(slices.where("gap is not null").select("start", "end", reason.alias("reason")))
-    every = gaps[0]
-    for g in gaps[1:]:
-        every = every.unionByName(g)
-    served = slices.where("gap is null").withColumn("adjustment", F.lit(request.adjustment))
-    groups = served.groupBy("provider", "feed", "interval", "adjustment").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_slices")).orderBy(F.col("end").desc(), "provider")
-    normal = normalize_gaps(every.withColumn("k", F.lit(1)), ["k"], MAPPING_PRIORITY).drop("k").orderBy("start")
-    return {"slices": slices.orderBy(F.col("start").desc()), "groups": groups, "runs": runs_of_plan(slices), "gaps": normal}
+    made = plan_requests(_as_table(request, as_of, days.sparkSession), days, instances, capabilities)
+    return {"slices": made["slices"].orderBy(F.col("start").desc()), "groups": made["groups"].orderBy("position"), "runs": made["runs"], "gaps": made["gaps"].orderBy("start")}

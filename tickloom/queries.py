@@ -11,7 +11,7 @@ from tickloom.functions import market, time, values
 from tickloom.operators import bars as B
 from tickloom.operators import intervals as I
 from tickloom.operators import pairs, paging, reconcile, sequence
-from tickloom.plans import mapping, sessions
+from tickloom.plans import choice, mapping, sessions
 from tickloom.sources import calendar, research
 
 HOUR, DAY = time.HOUR, time.DAY
@@ -130,10 +130,10 @@ def route_choice(spark: SparkSession, sf: str) -> DataFrame:
     slices = sessions.ranked(instances, AS_OF["open"]).select("trade_date", "phase", "rank").union(old)
     modes = F.explode(F.array(*[F.lit(m) for m in ("auto", "alpaca_only", "futu_only", "research")])).alias("mode")
     grid = slices.select("*", modes).select("*", F.explode(F.array(F.lit("1m"), F.lit("1d"))).alias("interval"))
-    picked = grid.withColumn("c", sessions.choice(F.col("mode"), F.col("trade_date"), F.col("interval") == "1d", F.col("phase"), F.col("rank")))
+    picked = grid.withColumn("c", choice.choice(F.col("mode"), F.col("trade_date"), F.col("interval") == "1d", F.col("phase"), F.col("rank")))
     caps = spark.createDataFrame([("futu", None, "regular", "1m", True, True, 1), ("futu", None, "regular", "1m", False, False, 2), ("alpaca", "sip", "regular", "1m", True, False, 1), ("alpaca", "sip", "pre", "1m", False, True, 1)], "provider string, feed string, phase string, interval string, historical boolean, realtime boolean, priority int")
     flat = picked.select("trade_date", "phase", "mode", "interval", "rank", F.col("c.provider").alias("provider"), F.col("c.feed").alias("feed"), F.col("c.gap").alias("choice_gap")).withColumns({"start": F.lit(0).cast("long"), "end": F.lit(1).cast("long"), "active": F.lit(False), "market_closed": F.lit(False)})
-    return sessions.with_capability(flat, caps, 5).select("trade_date", "phase", "mode", "interval", "provider", "feed", "gap", "historical")
+    return choice.with_capability(flat, caps, 5).select("trade_date", "phase", "mode", "interval", "provider", "feed", "gap", "historical")
 
 
 

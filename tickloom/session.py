@@ -7,6 +7,7 @@ import os
 import re
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +50,14 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{own}"
 
 
+def staged(df, name: str):
+    """df as a table in the shared folder, read back: what several results are made of is computed once, and a lost
+    executor costs the tasks it ran."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One table of a data directory."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
