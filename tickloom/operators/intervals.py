@@ -97,14 +97,15 @@ def by_day(intervals: DataFrame, start: str = "start", end: str = "end") -> Data
     return intervals.withColumn("_day", F.explode(F.sequence(day_number(F.col(start)), day_number(F.col(end) - 1))))
 
 
-def contained_in_one(rows: DataFrame, slices: DataFrame, keep: list[str]) -> DataFrame:
-    """rows (start, end) with the keep columns of the slice that holds them, null unless exactly one does.
+def contained_in_one(rows: DataFrame, slices: DataFrame, keep: list[str], keys: list[str] | None = None) -> DataFrame:
+    """rows (start, end) with the keep columns of the slice of their keys that holds them, null unless exactly one does.
 
     Slices are gathered per UTC day, and each row looks among those of its day: rows are joined once, by day,
     and never shuffled by themselves where Spark finds the slices small enough to broadcast.
     """
-    of_day = by_day(slices).groupBy("_day").agg(F.collect_list(F.struct(F.col("start").alias("_ss"), F.col("end").alias("_se"), *keep)).alias("_slices"))
-    held = rows.withColumn("_day", day_number(F.col("start"))).join(of_day, "_day", "left")
+    on = [*(keys or []), "_day"]
+    of_day = by_day(slices).groupBy(*on).agg(F.collect_list(F.struct(F.col("start").alias("_ss"), F.col("end").alias("_se"), *keep)).alias("_slices"))
+    held = rows.withColumn("_day", day_number(F.col("start"))).join(of_day, on, "left")
     fits = F.filter("_slices", lambda x: (F.col("start") >= x["_ss"]) & (F.col("end") <= x["_se"]))
     one = held.withColumn("_fit", fits).withColumn("_one", F.when(F.size("_fit") == 1, F.col("_fit")[0]))
     return one.select(*rows.columns, *[F.col(f"_one.{k}").alias(k) for k in keep])

@@ -36,7 +36,7 @@ _GAPS = f"""gaps AS (
   FROM orders)"""
 
 
-def normalized_from(order: tuple[str, ...], name_of_key: str = "key") -> str:
+def normalized_from(order: tuple[str, ...], key: str = "key") -> str:
     """Common table expressions and the query that normalise a table gaps (key, s, e, reason)."""
     rank = " ".join(f"WHEN '{r}' THEN {i}" for i, r in enumerate(order))
     name = " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(order))
@@ -45,7 +45,7 @@ pieces AS (SELECT key, t AS a, lead(t) OVER (PARTITION BY key ORDER BY t) AS b F
 top AS (SELECT p.key, a, b, min(CASE reason {rank} END) AS r FROM pieces p JOIN gaps g ON g.key = p.key AND g.s <= a AND g.e >= b WHERE b IS NOT NULL GROUP BY ALL),
 marked AS (SELECT *, CASE WHEN lag(b) OVER w = a AND lag(r) OVER w = r THEN 0 ELSE 1 END AS fresh FROM top WINDOW w AS (PARTITION BY key ORDER BY a)),
 runs AS (SELECT *, sum(fresh) OVER (PARTITION BY key ORDER BY a) AS run FROM marked)
-SELECT key AS {name_of_key}, min(a) AS "start", max(b) AS "end", CASE min(r) {name} END AS reason FROM runs GROUP BY key, run"""
+SELECT {key}, min(a) AS "start", max(b) AS "end", CASE min(r) {name} END AS reason FROM runs GROUP BY key, run"""
 
 
 def _normalized(order: tuple[str, ...]) -> str:

@@ -45,7 +45,7 @@ fed AS (SELECT *, CASE p WHEN 'yfinance' THEN 'daily' WHEN 'alpaca' THEN CASE WH
 caps(cp, cf, cph, civ, h, r, prio) AS (VALUES {_CAPS}),
 cap AS (SELECT *, coalesce(h, false) AS hh, active AND a <= now AND now < b AND coalesce(r, false) AS live FROM fed LEFT JOIN caps ON p = cp AND f IS NOT DISTINCT FROM cf AND phase IS NOT DISTINCT FROM cph AND iv = civ),
 done AS (SELECT *, CASE WHEN g IS NOT NULL THEN g WHEN NOT hh AND NOT live THEN 'missing_provider_capability' END AS g1 FROM cap),
-sl AS (SELECT id AS request_id, trade_date, phase, a, b, iv, scope, rank, hh AS historical, g1 IS NULL AND live AS realtime,
+sl AS (SELECT id AS request_id, trade_date, phase, 'XNYS:' || (SELECT x.trade_date || ':' || x.phase FROM inst x WHERE x.pos = done.pos) AS instance, a, b, iv, scope, rank, hh AS historical, g1 IS NULL AND live AS realtime,
     coalesce((opened IS NULL AND rank = 'buffer' AND p = 'futu') OR (iv = '1d' AND rank = 'new' AND p = 'futu' AND active), false) AS provisional,
     CASE WHEN iv = '1d' AND scope IN ('extended', 'overnight') THEN NULL ELSE p END AS provider, CASE WHEN iv = '1d' AND scope IN ('extended', 'overnight') THEN NULL ELSE f END AS feed,
     CASE WHEN iv = '1d' AND scope IN ('extended', 'overnight') THEN 'unsupported_resolution' ELSE g1 END AS gap FROM done),
@@ -59,9 +59,25 @@ _PLAN_GAPS = f"""{_NIGHTS}, gaps AS (
     UNION ALL SELECT id, cs, uns, 'unsupported_resolution' FROM q3 WHERE cut AND cs < uns UNION ALL SELECT id, s, e, 'unknown' FROM dark WHERE s < e
     UNION ALL SELECT request_id, a, b, CASE gap WHEN 'missing_provider_capability' THEN 'provider_unavailable' WHEN 'unsupported_resolution' THEN gap ELSE 'unknown' END FROM sl WHERE gap IS NOT NULL)"""
 
+_PAGES = f"""turn AS (SELECT *, CASE WHEN lag(provider) OVER w IS DISTINCT FROM provider OR lag(feed) OVER w IS DISTINCT FROM feed THEN 1 ELSE 0 END AS new FROM ok WINDOW w AS (PARTITION BY request_id ORDER BY a DESC)),
+ranged AS (SELECT *, CAST(sum(new) OVER (PARTITION BY request_id ORDER BY a DESC) AS BIGINT) AS run FROM turn),
+runs1 AS (SELECT DISTINCT request_id, run, provider, iv FROM ranged),
+row0 AS (SELECT id AS request_id, CAST(l_linenumber AS BIGINT) % 3 + 1 AS run, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id, l_partkey AS n, l_suppkey % 10 % 5 AS kind, q.s AS qs, q.e AS qe,
+    q.s + (l_partkey * 37 + l_linenumber * 11) % ((q.e - q.s) // {MINUTE}) * {MINUTE} AS s FROM lineitem JOIN q ON l_orderkey = id),
+row1 AS (SELECT r.*, s + CASE WHEN n % 19 = 0 THEN 90 ELSE 1 END * {MINUTE} AS e FROM row0 r JOIN runs1 USING (request_id, run)),
+row2 AS (SELECT r.*, count(x.a) FILTER (x.a <= s AND e <= x.b) AS n_in, min(instance) FILTER (x.a <= s AND e <= x.b) AS instance, bool_or(provisional) FILTER (x.a <= s AND e <= x.b) AS prov
+    FROM row1 r LEFT JOIN ranged x ON x.request_id = r.request_id AND x.run = r.run AND x.a < e AND s < x.b GROUP BY ALL),
+row3 AS (SELECT *, CASE WHEN n % 17 = 0 THEN 'unknown' WHEN kind = 3 THEN 'validation_conflict' WHEN kind = 4 THEN 'entitlement_limited' WHEN n % 29 = 0 OR n % 23 = 0 THEN 'validation_conflict' WHEN e > qe OR n_in <> 1 OR instance IS NULL THEN 'unknown' END AS reason FROM row2),
+row4 AS (SELECT *, reason IS NULL AND (coalesce(max(e) FILTER (reason IS NULL) OVER (PARTITION BY request_id, run, reason IS NULL ORDER BY s, e, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), s) > s
+    OR coalesce(lead(s) OVER (PARTITION BY request_id, run, reason IS NULL ORDER BY s, e, row_id), e) < e) AS clash FROM row3)"""
+
 ORACLES = {
+    "page_rows": f"""WITH {_PLANS}, {_PAGES} SELECT request_id, run, row_id, s AS "start", e AS "end", instance AS session_instance_id,
+CASE WHEN prov OR kind IN (1, 2) OR n % 7 = 0 OR request_id % 10 = 0 THEN 'provisional' ELSE 'validated' END AS validation_state FROM row4 WHERE reason IS NULL AND NOT clash""",
+    "page_gaps": f"""WITH {_PLANS}, {_PAGES}, gaps AS (SELECT r.request_id * 1000 + r.run AS key, greatest(s, a) AS s, least(e, b) AS e, CASE WHEN clash THEN 'validation_conflict' ELSE reason END AS reason
+    FROM row4 r JOIN ranged x ON x.request_id = r.request_id AND x.run = r.run AND x.a < e AND s < x.b WHERE clash OR reason IS NOT NULL), {normalized_from(_MAP, "key // 1000 AS request_id, key % 1000 AS run")}""",
     "request_slices": f'WITH {_PLANS} SELECT request_id, trade_date, phase, a AS "start", b AS "end", iv AS interval, rank, provider, feed, gap, historical, realtime, provisional FROM sl',
-    "request_gaps": f"WITH {_PLANS}, {_PLAN_GAPS}, {normalized_from(_MAP, "request_id")}",
+    "request_gaps": f"WITH {_PLANS}, {_PLAN_GAPS}, {normalized_from(_MAP, "key AS request_id")}",
     "request_groups": f"""WITH {_PLANS}, g AS (SELECT request_id, provider, feed, iv AS interval, min(a) AS s, max(b) AS e, count(*) AS n_slices FROM ok GROUP BY ALL)
 SELECT request_id, provider, feed, interval, s AS "start", e AS "end", n_slices, row_number() OVER (PARTITION BY request_id ORDER BY e DESC, provider, feed NULLS FIRST) AS position FROM g""",
     "request_runs": f"""WITH {_PLANS}, k AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY a DESC) - row_number() OVER (PARTITION BY request_id, provider, feed ORDER BY a DESC) AS n FROM ok),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import time
-from tickloom.plans import requests
+from tickloom.plans import pages, requests
 from tickloom.queries import _t
 from tickloom.sources import calendar
 
@@ -65,4 +65,32 @@ def request_runs(spark: SparkSession, sf: str) -> DataFrame:
     return _plan(spark, sf)["runs"].select("request_id", "run", "provider", "feed", "interval", "oldest_start", "newest_start", "n_slices")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (request_slices, request_gaps, request_groups, request_runs)}
+def _mapped(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Lineitem as one-minute rows of the pages of its orders' first three runs; sources of five kinds a page."""
+    asked, plan = _requests(spark, sf), _plan(spark, sf)
+    slices = requests.in_runs(plan["slices"]).select(*pages.KEYS, "start", "end", "provider", "feed", "interval", "session_instance_id", "provisional")
+    runs = plan["runs"].select(*pages.KEYS, "provider", "feed")
+    kinds = [("p0", F.col("provider"), "authorized"), ("p1", F.upper("provider"), "delayed"), ("p2", F.lit("unknown"), "authorized"), ("p3", F.lit("other"), "authorized"), ("p4", F.col("provider"), "unauthorized")]
+    kind = F.explode(F.array(*[F.struct(F.lit(i).alias("provenance_id"), p.alias("provider"), F.coalesce("feed", F.lit("own")).alias("feed"), F.lit(e).alias("entitlement")) for i, p, e in kinds]))
+    provenance = runs.select(*pages.KEYS, kind.alias("k")).select(*pages.KEYS, "k.*")
+    part, line = F.col("l_partkey"), F.col("l_linenumber").cast("long")
+    width = F.floor((F.col("end") - F.col("start")) / MINUTE)
+    start = F.col("start") + F.pmod(part * 37 + line * 11, width) * MINUTE
+    rows = _t(spark, sf, "lineitem").join(asked, F.col("l_orderkey") == F.col("request_id")).select(
+        "request_id", (F.pmod(line, F.lit(3)) + 1).alias("run"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_id"), F.when(part % 17 == 0, "none").otherwise(F.concat(F.lit("p"), F.col("l_suppkey") % 10 % 5)).alias("provenance_id"),
+        start.alias("start"), (start + F.when(part % 19 == 0, 90).otherwise(1) * MINUTE).alias("end"), F.when(part % 23 == 0, "OTHER").otherwise(F.col("symbol")).alias("symbol"), F.lit("stock").alias("asset_class"),
+        F.when(F.col("allow_daily_downgrade") & (F.col("resolution") != "1d") & ((F.col("mode") == "research") | (F.col("start") < 1_451_624_400 * time.SECOND)), "1d").otherwise(F.col("resolution")).alias("resolution"), "adjustment", F.when(part % 29 == 0, "conflict").when(part % 7 == 0, "provisional").otherwise("validated").alias("row_state"),
+    )
+    made = runs.select(*pages.KEYS, F.lit("complete").alias("status"), F.lit(False).alias("truncated"), (F.col("request_id") % 10 != 0).alias("calendar_matches"))
+    return pages.map_pages(rows, provenance, slices, asked.withColumn("asset_class", F.lit("stock")), made)
+
+
+def page_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _mapped(spark, sf)["rows"].select("request_id", "run", "row_id", "start", "end", "session_instance_id", "validation_state")
+
+
+def page_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    return _mapped(spark, sf)["gaps"].select("request_id", "run", "start", "end", "reason")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (request_slices, request_gaps, request_groups, request_runs, page_rows, page_gaps)}
