@@ -1,6 +1,6 @@
 """Half-open intervals [start, end) per key: sweeps, complements, containment.
 
-A sweep is one shuffle by key and one sort, never a join of intervals with intervals. Joins of points or
+A sweep goes by key and stretch of time (`stretches`), never by a join of intervals with intervals. Joins of points or
 short rows with intervals go by UTC day, so that they are equi-joins with a range condition.
 """
 
@@ -11,6 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.functions.time import DAY, day_number
+from tickloom.operators.stretches import HELPERS, carried, earlier, stretched, through
+from tickloom.operators.stretches import inside as inside_of
 
 #: Stretch of time by which overlap joins are cut.
 GRAIN = 32 * DAY
@@ -24,12 +26,19 @@ def overlaps(a_start: Column, a_end: Column, b_start: Column, b_end: Column) ->
     return (a_start < b_end) & (b_start < a_end)
 
 
+def _stretch(at: str) -> Column:
+    return F.floor(F.col(at) / GRAIN)
+
+
 def islands(rows: DataFrame, keys: list[str], touching: bool) -> DataFrame:
     """rows with a number island per key: rows whose union is one interval; touching ones join if asked."""
-    order = _window(keys, "start", "end")
-    reached = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    along = inside_of("start", "end")
+    cut = carried(stretched(rows, keys, _stretch("start")), [F.max("end").alias("_end")], lambda w: [F.max("_end").over(earlier(w)).alias("_reach")])
+    reached = F.greatest("_reach", F.max("end").over(earlier(along)))
     apart = F.col("start") > reached if touching else F.col("start") >= reached
-    return rows.withColumn("_new", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("island", F.sum("_new").over(order.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
+    new = cut.withColumn("_new", F.coalesce(apart, F.lit(True)).cast("int")).drop("_reach")
+    known = carried(new, [F.sum("_new").alias("_all")], lambda w: [F.coalesce(F.sum("_all").over(earlier(w)), F.lit(0)).alias("_islands")])
+    return known.withColumn("island", F.col("_islands") + F.sum("_new").over(through(along))).drop("_new", "_islands", *HELPERS)
 
 
 def merge_overlapping(gaps: DataFrame, keys: list[str]) -> DataFrame:
@@ -45,18 +54,22 @@ def merge_overlapping(gaps: DataFrame, keys: list[str]) -> DataFrame:
 def normalize_gaps(gaps: DataFrame, keys: list[str], order: tuple[str, ...]) -> DataFrame:
     """Disjoint gaps: where some overlap the strongest reason holds, and touching equals are one.
 
-    A running count of open gaps per reason is kept along the boundaries, so nothing is joined.
+    A running count of open gaps per reason is kept along the boundaries, in two levels (`stretches`), so nothing is
+    joined with itself and no key is one task. A gap begins where the strongest open reason changes.
     """
     ends = gaps.where("start < end").select(*keys, "reason", F.explode(F.array(F.struct(F.col("start").alias("t"), F.lit(1).alias("d")), F.struct(F.col("end").alias("t"), F.lit(-1).alias("d")))).alias("e"))
-    steps = ends.groupBy(*keys, F.col("e.t").alias("t")).agg(*[F.sum(F.when(F.col("reason") == r, F.col("e.d")).otherwise(0)).alias(f"_{i}") for i, r in enumerate(order)])
-    along = _window(keys, "t")
-    open_now = steps.select(*keys, "t", F.lead("t").over(along).alias("end"), *[F.sum(f"_{i}").over(along.rowsBetween(W.unboundedPreceding, 0)).alias(f"_{i}") for i in range(len(order))])
-    top = F.coalesce(*[F.when(F.col(f"_{i}") > 0, F.lit(r)) for i, r in enumerate(order)])
-    pieces = open_now.select(*keys, F.col("t").alias("start"), "end", top.alias("reason")).where("reason is not null and end is not null")
-    at = _window(keys, "start")
-    goes_on = (F.lag("end").over(at) == F.col("start")) & (F.lag("reason").over(at) == F.col("reason"))
-    runs = pieces.withColumn("_new", (~F.coalesce(goes_on, F.lit(False))).cast("int")).withColumn("_run", F.sum("_new").over(at.rowsBetween(W.unboundedPreceding, 0)))
-    return runs.groupBy(*keys, "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("reason").alias("reason")).drop("_run")
+    ends = stretched(ends.select(*keys, "reason", "e.*"), keys, _stretch("t"))
+    numbers = range(len(order))
+    steps = ends.groupBy("_key", "_cut", "t").agg(*[F.sum(F.when(F.col("reason") == r, F.col("d")).otherwise(0)).alias(f"_{i}") for i, r in enumerate(order)])
+    steps = carried(steps, [F.sum(f"_{i}").alias(f"_{i}") for i in numbers], lambda w: [F.coalesce(F.sum(f"_{i}").over(earlier(w)), F.lit(0)).alias(f"_c{i}") for i in numbers])
+    along = inside_of("t")
+    now = steps.select("_key", "_cut", "t", *[f"_{i}" for i in numbers], *[(F.col(f"_c{i}") + F.sum(f"_{i}").over(through(along))).alias(f"_n{i}") for i in numbers])
+    top = F.coalesce(*[F.when(F.col(f"_n{i}") > 0, F.lit(r)) for i, r in enumerate(order)])
+    was = F.coalesce(*[F.when(F.col(f"_n{i}") - F.col(f"_{i}") > 0, F.lit(r)) for i, r in enumerate(order)])
+    changes = now.select("_key", "_cut", "t", top.alias("reason"), was.alias("_was")).where(~F.col("reason").eqNullSafe(F.col("_was"))).drop("_was")
+    changes = carried(changes, [F.min("t").alias("_first")], lambda w: [F.lead("_first").over(w).alias("_next")])
+    out = changes.withColumn("end", F.coalesce(F.lead("t").over(along), F.col("_next"))).where("reason is not null")
+    return out.select(*[F.col(f"_key.{k}").alias(k) for k in keys], F.col("t").alias("start"), "end", "reason")
 
 
 def overlapping(windows: DataFrame, others: DataFrame, keys: list[str], grain: int = GRAIN) -> DataFrame:
@@ -79,17 +92,21 @@ def uncovered(windows: DataFrame, covers: DataFrame, keys: list[str], ids: list[
         *keys, *ids, F.col("start").alias("ws"), F.col("end").alias("we"), F.greatest("start", "_cs").alias("s"), F.least("end", "_ce").alias("e")
     )
     tail = windows.select(*keys, *ids, F.col("start").alias("ws"), F.col("end").alias("we"), F.col("end").alias("s"), F.col("end").alias("e"))
-    order = _window([*keys, *ids, "ws", "we"], "s", "e").rowsBetween(W.unboundedPreceding, -1)
-    before = F.coalesce(F.max("e").over(order), F.col("ws"))
-    return clipped.union(tail).withColumn("from", before).where("s > from").select(*keys, *ids, F.col("from").alias("start"), F.col("s").alias("end")).distinct()
+    along = inside_of("s", "e")
+    cut = carried(stretched(clipped.union(tail), [*keys, *ids, "ws", "we"], _stretch("s")), [F.max("e").alias("_end")], lambda w: [F.max("_end").over(earlier(w)).alias("_reach")])
+    before = F.coalesce(F.greatest("_reach", F.max("e").over(earlier(along))), F.col("ws"))
+    return cut.withColumn("from", before).where("s > from").select(*keys, *ids, F.col("from").alias("start"), F.col("s").alias("end")).distinct()
 
 
 def conflicts(rows: DataFrame, keys: list[str], tie: str) -> DataFrame:
     """Rows that overlap another row of their keys; all involved, not all but one."""
-    order = _window(keys, "start", "end", tie)
-    earlier = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1)) > F.col("start")
-    later = F.lead("start").over(order) < F.col("end")
-    return rows.withColumn("_bad", F.coalesce(earlier, F.lit(False)) | F.coalesce(later, F.lit(False))).where("_bad").drop("_bad")
+    along = inside_of("start", "end", tie)
+    totals = [F.max("end").alias("_end"), F.min("start").alias("_begin")]
+    cut = carried(stretched(rows, keys, _stretch("start")), totals, lambda w: [F.max("_end").over(earlier(w)).alias("_reach"), F.lead("_begin").over(w).alias("_next")])
+    before = F.greatest("_reach", F.max("end").over(earlier(along))) > F.col("start")
+    after = F.coalesce(F.lead("start").over(along), F.col("_next")) < F.col("end")
+    bad = F.coalesce(before, F.lit(False)) | F.coalesce(after, F.lit(False))
+    return cut.withColumn("_bad", bad).where("_bad").drop("_bad", "_reach", "_next", *HELPERS)
 
 
 def by_day(intervals: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
@@ -146,7 +163,9 @@ def tiling(bars: DataFrame, phases: DataFrame, keys: list[str], step: int) -> Da
     Bars follow one another from the phase's start to its end in steps; only the last may be short.
     """
     order = _window([*keys, "phase_start"], "start")
-    inside = phases.join(bars, keys, "left").where("start is null or (start >= phase_start and start < phase_end)")
+    named = phases.withColumns({"start": F.col("phase_start"), "end": F.col("phase_end")})
+    starts = bars.select(*keys, F.col("start").alias("_cs"), (F.col("start") + 1).alias("_ce"), F.col("end").alias("_end"))
+    inside = overlapping(named, starts, keys).drop("start", "end", "_ce").withColumnsRenamed({"_cs": "start", "_end": "end"})
     lost = phases.join(inside.select(*keys, "phase_start").distinct(), [*keys, "phase_start"], "left_anti")
     inside = inside.unionByName(lost, allowMissingColumns=True)
     due = F.coalesce(F.lag("end").over(order), F.col("phase_start"))

@@ -68,7 +68,8 @@ def verdict(statuses: DataFrame, most_added: int = 0, removed_allowed: bool = Fa
 def session_verdicts(statuses: DataFrame, session: str) -> DataFrame:
     """Per session its conflicts; one conflicting session rejects the whole batch."""
     per = statuses.groupBy(session).agg(F.count_if(F.col("status").isin("conflict", "removed")).alias("conflicts"), F.count("*").alias("compared"))
-    return per.withColumn("batch_rejected", F.max(F.col("conflicts") > 0).over(W.partitionBy()))
+    rejected = statuses.agg(F.coalesce(F.bool_or(F.col("status").isin("conflict", "removed")), F.lit(False))).scalar()
+    return per.withColumn("batch_rejected", rejected)
 
 
 def coverage_overlap(old: DataFrame, new: DataFrame, session: str) -> DataFrame:

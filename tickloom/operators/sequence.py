@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickloom.operators.stretches import with_previous
+
 
 def state_before(rows: DataFrame, keys: list[str], arrival: str, state: Column, width: int) -> DataFrame:
     """rows with column before: the largest state among all earlier arrivals of their keys.
@@ -63,16 +65,19 @@ def contiguity(rows: DataFrame, keys: list[str], number: str) -> DataFrame:
     return per.withColumn("contiguous", (F.col("last") - F.col("first") + 1 == n) & (n == F.col("n_distinct"))).drop("n_distinct")
 
 
-def not_increasing(rows: DataFrame, keys: list[str], arrival: str) -> DataFrame:
-    """Rows whose (generation, sequence) is not above that of the row before."""
-    order = W.partitionBy(*keys).orderBy(arrival)
+def not_increasing(rows: DataFrame, keys: list[str], arrival: str, width: int | None = None) -> DataFrame:
+    """Rows whose (generation, sequence) is not above that of the row before. width None: one pass over the arrival
+    numbers chooses it."""
+    cut = F.floor(F.col(arrival) / (width or stretch(rows, arrival)))
     now = F.struct("generation", "sequence")
-    return rows.withColumn("_bad", F.lag(now).over(order) >= now).where("_bad").drop("_bad")
+    return with_previous(rows, keys, cut, [arrival], now, "_previous").where(F.col("_previous") >= now).drop("_previous")
 
 
-def chunk_breaks(chunks: DataFrame, keys: list[str]) -> DataFrame:
+def chunk_breaks(chunks: DataFrame, keys: list[str], width: int | None = None) -> DataFrame:
     """Chunks (generation, first, last) that do not follow the one before: the next number of a generation,
-    or a later generation."""
-    order = W.partitionBy(*keys).orderBy("generation", "first")
-    g, last = F.lag("generation").over(order), F.lag("last").over(order)
-    return chunks.withColumn("_ok", g.isNull() | (F.col("generation") > g) | (F.col("first") == last + 1)).where("not _ok").drop("_ok")
+    or a later generation. width: numbers of a stretch; None chooses it as not_increasing does."""
+    cut = F.struct("generation", F.floor(F.col("first") / (width or stretch(chunks, "first"))).alias("part"))
+    known = with_previous(chunks, keys, cut, ["generation", "first"], F.struct("generation", "last"), "_previous")
+    g, last = F.col("_previous.generation"), F.col("_previous.last")
+    ok = F.col("_previous").isNull() | (F.col("generation") > g) | (F.col("first") == last + 1)
+    return known.withColumn("_ok", ok).where("not _ok").drop("_ok", "_previous")

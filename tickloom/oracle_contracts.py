@@ -110,6 +110,11 @@ h AS (SELECT c_custkey, string_agg(lpad(lower(hex(strlen(x))), 16, '0') || lower
 SELECT n_rows, n_symbols, source_start, source_end, missing_times, unique_key, c = 'none' OR one AS single_source, c AS "case" FROM f, (VALUES ('segment'), ('none')) t(c)""",
     "stream_bars_to_end": f"""WITH {_bars(HOUR)}
 SELECT symbol AS user_id, bar_start, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, CAST(volume AS DOUBLE) AS volume, trade_count FROM bars""",
+    "capture_rollup": """WITH n AS (SELECT o_custkey AS capture, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i FROM orders),
+c AS (SELECT capture, i, i // 4 + 1 AS g, i % 4 * 10 + 1 + CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END AS a, i % 4 * 10 + 10 AS b, sha256(CAST(o_orderkey AS VARCHAR)) AS digest FROM n),
+l AS (SELECT *, lag(g) OVER w AS pg, lag(b) OVER w AS pb FROM c WINDOW w AS (PARTITION BY capture ORDER BY i))
+SELECT capture, min(g) AS first_generation, arg_min(a, i) AS first_number, max(g) AS last_generation, arg_max(b, i) AS last_number, count(*) AS n_chunks, CAST(count(*) * 10 AS BIGINT) AS n_frames,
+  sha256(string_agg(digest, chr(10) ORDER BY i)) AS digest, CAST(count(*) FILTER (CASE WHEN pg IS NULL THEN a <> 1 WHEN pg = g THEN a <> pb + 1 ELSE a <> 1 END) AS BIGINT) AS broken FROM l GROUP BY capture""",
     "stream_accounts": "SELECT user_id, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY user_id",
     "stream_sequence": MAIN["sequence_classes"],
 }

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tickloom import errors
 from tickloom.functions.market import RESOLUTIONS, SCOPES, in_scope
 from tickloom.operators.intervals import overlaps
+from tickloom.operators.sequence import stretch
+from tickloom.operators.stretches import with_previous, with_running_sum
 from tickloom.plans.choice import MODES
 from tickloom.plans.requests import plan_requests, session_slices
 from tickloom.sources.calendar import overnight_instances
@@ -105,12 +107,15 @@ def overlay(days: DataFrame, instances: DataFrame, signed: DataFrame, now: int)
     return instances.unionByName(trusted.select(*instances.columns))
 
 
-def runs(slices: DataFrame, keys: list[str], order: str, source: str, fetchable: Column) -> DataFrame:
-    """Runs of consecutive fetchable slices with one source; slices that cannot be fetched do not break a run."""
-    along = W.partitionBy(*keys).orderBy(order)
+def runs(slices: DataFrame, keys: list[str], order: str, source: str, fetchable: Column, width: int | None = None) -> DataFrame:
+    """Runs of consecutive fetchable slices with one source; slices that cannot be fetched do not break a run.
+
+    A key of any size goes in stretches of width numbers of its order (None: chosen from the numbers)."""
     kept = slices.where(fetchable)
-    new = F.coalesce(~F.lag(source).over(along).eqNullSafe(F.col(source)), F.lit(True)).cast("int")
-    numbered = kept.withColumn("_new", new).withColumn("run", F.sum("_new").over(along.rowsBetween(W.unboundedPreceding, 0)))
+    cut = F.floor(F.col(order) / (width or stretch(kept, order)))
+    marked = with_previous(kept, keys, cut, [order], F.struct(F.col(source).alias("source")), "_previous")
+    new = F.coalesce(~F.col("_previous.source").eqNullSafe(F.col(source)) | F.col("_previous").isNull(), F.lit(True)).cast("int")
+    numbered = with_running_sum(marked, keys, cut, [order], new, "run")
     return numbered.groupBy(*keys, "run", source).agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n_slices"))
 
 

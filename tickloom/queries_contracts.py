@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions import market, time, values
 from tickloom.operators import bars as B
-from tickloom.operators import reconcile, sequence
+from tickloom.operators import pairs, reconcile, sequence
 from tickloom.plans import mapping, sessions
 from tickloom.queries import AS_OF, _bars, _calendar, _events, _parts, _t
 from tickloom.sources import envelopes, research
@@ -108,6 +109,17 @@ def chunk_adjacency(spark: SparkSession, sf: str) -> DataFrame:
     return sequence.chunk_breaks(bent, ["capture"]).select("capture", "generation", "first", "last")
 
 
+def capture_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Each customer's orders as chunks of a capture, ten numbers each, four to a generation; some begin one too late."""
+    k, i = F.col("o_orderkey"), F.col("i")
+    numbered = _t(spark, sf, "orders").select(F.col("o_custkey").alias("capture"), k, (F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")) - 1).alias("i"))
+    chunks = numbered.select(
+        "capture", (F.floor(i / 4) + 1).alias("generation"), (i % 4 * 10 + 1 + F.when(k % 97 == 0, 1).otherwise(0)).cast("long").alias("first"), (i % 4 * 10 + 10).cast("long").alias("last"),
+        F.lit(10).cast("long").alias("n_frames"), F.sha2(k.cast("string"), 256).alias("digest"),
+    )
+    return pairs.rollup(chunks, ["capture"], ["n_frames"])
+
+
 def _segments(spark: SparkSession, sf: str) -> DataFrame:
     """Four stretches for every customer, some not complete, some not adjacent, some crossed by rows."""
     k, i = F.col("session"), F.col("i")
@@ -338,7 +350,7 @@ def stream_sequence(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        market_bar_violations, trade_bar_violations, grid_rules, event_rule_violations, batch_violations, envelope_violations, frame_order, chunk_adjacency, session_bounds, evidence_complete, sub_window,
+        market_bar_violations, trade_bar_violations, grid_rules, event_rule_violations, batch_violations, envelope_violations, frame_order, chunk_adjacency, capture_rollup, session_bounds, evidence_complete, sub_window,
         research_order, research_coverage, research_pages, session_batch, shared_stretch, page_chain, bag_match, plan_groups, plan_runs, provider_policy, null_volume_gaps, scalar_checks, overnight_routes,
         key_fingerprints, sources_of_bars, stream_bars_to_end, stream_accounts, stream_sequence,
     )

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.functions.time import DAY, parse_rfc3339
 from tickloom.functions.values import DECIMAL_TOKEN, has_exact_keys, is_non_negative, is_positive
+from tickloom.operators.sequence import stretch
+from tickloom.operators.stretches import with_previous
 
 SYMBOLS, DAYS, ROWS = 8, 3650, 24_000
 #: A page's keys, and what some of them must hold.
@@ -42,10 +43,10 @@ def bar_rules() -> dict[str, Column]:
     }
 
 
-def out_of_order(bars: DataFrame, ordinal: str) -> DataFrame:
-    """Bars that do not come after the one before of their symbol."""
-    order = W.partitionBy("symbol").orderBy(ordinal)
-    return bars.withColumn("_bad", F.lag("event_ts_utc").over(order) >= F.col("event_ts_utc")).where("_bad").drop("_bad")
+def out_of_order(bars: DataFrame, ordinal: str, width: int | None = None) -> DataFrame:
+    """Bars that do not come after the one before of their symbol, by their place (ordinal) on the page."""
+    cut = F.floor(F.col(ordinal) / (width or stretch(bars, ordinal)))
+    return with_previous(bars, ["symbol"], cut, [ordinal], F.col("event_ts_utc"), "_previous").where(F.col("_previous") >= F.col("event_ts_utc")).drop("_previous")
 
 
 def coverage_mismatch(bars: DataFrame, declared: DataFrame) -> DataFrame:
