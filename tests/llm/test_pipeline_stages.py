@@ -203,7 +203,7 @@ def test_label_model_finds_good_voters():
 
 
 def test_label_model_is_plain_em_for_independent_voters():
-    from tickloom.llm.toxicity import LABELS_RIGHT, UNLABELLED, first_guess
+    from tickloom.llm.toxicity import PRIOR, UNLABELLED, first_guess
 
     rng = np.random.default_rng(5)
     y = rng.random(6000) < 0.25
@@ -215,7 +215,7 @@ def test_label_model_is_plain_em_for_independent_voters():
     for _ in range(80):  # row by row, with dictionaries
         mass = {0: 2.0, 1: 2.0}
         fired = {(j, c): 1.0 for j in range(4) for c in (0, 1)}
-        said = {(c, k): 9.0 if c == k else 1.0 for c in (0, 1) for k in (0, 1)}
+        said = {True: PRIOR[0], False: PRIOR[1]}
         for p, row, g in zip(q, votes, given):
             for c, m in ((0, 1 - p), (1, p)):
                 m *= 1.0 if g == g else UNLABELLED
@@ -223,14 +223,14 @@ def test_label_model_is_plain_em_for_independent_voters():
                 for j in range(4):
                     fired[j, c] += m * row[j]
                 if g == g:
-                    said[c, int(g)] += m
+                    said[c == g] += m
         out = []
         for row, g in zip(votes, given):
             log = {}
             for c in (0, 1):
                 log[c] = np.log(mass[c]) + sum(np.log(fired[j, c] / mass[c] if row[j] else 1 - fired[j, c] / mass[c]) for j in range(4))
                 if g == g:
-                    right = min(max(said[c, c] / (said[c, 0] + said[c, 1]), LABELS_RIGHT), 1 - 1e-6)
+                    right = max(0.5, said[True] / (said[True] + said[False]))
                     log[c] += np.log(right if g == c else 1 - right)
             out.append(1 / (1 + np.exp(log[0] - log[1])))
         q = out
@@ -378,3 +378,16 @@ def test_near_duplicates_share_no_bin(spark):
     for r in pack(docs).collect():
         bins.setdefault(r.bin_id, []).append(group[r.doc_id])
     assert all(len(v) == len(set(v)) for v in bins.values())
+
+
+@pytest.mark.parametrize("unlabelled", [0, 9000])
+def test_wrong_labels_are_overruled(unlabelled):
+    rng = np.random.default_rng(2)
+    y = rng.random(3000 + unlabelled) < 0.3
+    votes = np.stack([np.where(rng.random(len(y)) < a, y, rng.random(len(y)) < b) for a, b in [(0.8, 0.05), (0.7, 0.1), (0.75, 0.05), (0.6, 0.1), (0.8, 0.1), (0.7, 0.05), (0.65, 0.1), (0.75, 0.1)]], axis=1)
+    given = np.full(len(y), np.nan)
+    flipped = rng.random(3000) < 0.2
+    given[:3000] = y[:3000] ^ flipped
+    q, found = label_model(votes, given)
+    assert abs(found["accuracy"] - 0.8) < 0.05
+    assert ((q[:3000] > 0.5) == y[:3000])[flipped].mean() > 0.8 and ((q > 0.5) == y).mean() > 0.94

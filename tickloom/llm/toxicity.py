@@ -35,8 +35,8 @@ STEMS = (3, 4, 5, 6, 7)
 LEXICONS, PATTERNS = 16, 16
 #: What a row without a label weighs in the estimates, against one with a label.
 UNLABELLED = 0.25
-#: Labels are taken to be right at least this often: they say which class is which.
-LABELS_RIGHT = 0.999
+#: What is known of the labels' accuracy before they are seen: right and wrong labels that count along.
+PRIOR = (19.0, 1.0)
 #: Sketches by which near copies among the labelled texts are made one.
 COPIES = 4
 
@@ -135,28 +135,31 @@ def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 30) -> tuple
     """Posterior probability of the toxic class for each row, and the estimated parameters.
 
     votes: rows by voters, 0 or 1. given: a label 0 or 1, or NaN where there is none. A label is a voter too,
-    which mostly abstains; its accuracy is estimated with the others'. A vote's log-likelihood ratio is divided by
+    which mostly abstains and is right equally often in both classes; how often is estimated with the others', from
+    PRIOR on, and nothing holds it up but that it is at least a half: that labels are right more often than wrong says
+    which class is which. So labels that most voters speak against are overruled. A vote's log-likelihood ratio is divided by
     its total correlation, taken within the class, with the voters that vote alike in the row, so that repetitions of
     one signal add up to one vote; voters without any correlation above 0.1 make it plain expectation-maximisation.
     """
     known = ~np.isnan(given)
     q, v = first_guess(votes, given), votes.astype(float)
-    for _ in range(rounds):
+    for turn in range(rounds):
         mass = np.stack([1 - q, q]) * np.where(known, 1.0, UNLABELLED)
         total = mass.sum(axis=1) + 2.0
         rate = (mass @ v + 1.0) / total[:, None]
-        accuracy = np.array([(mass[c][known] * (given[known] == c)).sum() + 9.0 for c in (0, 1)]) / (mass[:, known].sum(axis=1) + 10.0)
-        accuracy = np.clip(accuracy, LABELS_RIGHT, 1.0 - 1e-6)
+        right = sum((mass[c][known] * (given[known] == c)).sum() for c in (0, 1))
+        accuracy = max(0.5, (right + PRIOR[0]) / (mass[:, known].sum() + sum(PRIOR)))
         apart = [v - rate[c] for c in (0, 1)]
         together = sum((apart[c] * mass[c][:, None]).T @ apart[c] for c in (0, 1))
         spread = np.sqrt(np.diag(together)) + 1e-9
         correlation = np.abs(together / spread[:, None] / spread)
         np.fill_diagonal(correlation, 1.0)
-        copies = np.where(correlation > 0.1, correlation, 0)
+        # until voters have parted the classes, wrong labels would pass for correlation
+        copies = np.where(correlation > 0.1, correlation, 0) if turn >= rounds // 3 else np.eye(len(correlation))
         prior = np.log(total[1] / total[0])
         ratio = np.log(rate[1] / rate[0]), np.log((1 - rate[1]) / (1 - rate[0]))
         logit = prior + (v / np.maximum(v @ copies, 1) * ratio[0]).sum(axis=1) + ((1 - v) / np.maximum((1 - v) @ copies, 1) * ratio[1]).sum(axis=1)
-        said = np.where(given == 1, np.log(accuracy[1] / (1 - accuracy[0])), np.log((1 - accuracy[1]) / accuracy[0]))
+        said = np.where(given == 1, 1.0, -1.0) * math.log(accuracy / (1 - accuracy))
         q = sigmoid(logit + np.where(known, said, 0.0))
     return q, {"rate": rate, "correlation": correlation, "share": 1.0 / copies.sum(axis=1), "accuracy": accuracy}
 
