@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tickloom import errors
 from tickloom.functions.values import row_hash
 from tickloom.operators.intervals import overlapping
+from tickloom.operators.stretches import with_running_sum
 
 
 def duplicates(rows: DataFrame, identity: list[str]) -> DataFrame:
@@ -135,13 +136,13 @@ def sub_window(rows: DataFrame, segments: DataFrame, session: str, start: int, e
 SHARD_SESSIONS, SHARD_BYTES = 64, 256 * 1024
 
 
-def month_shards(sessions: DataFrame, month: str, session: str, size: Column, most: int = SHARD_SESSIONS, most_bytes: int = SHARD_BYTES) -> DataFrame:
+def month_shards(sessions: DataFrame, month: str, session: str, size: Column, most: int = SHARD_SESSIONS, most_bytes: int = SHARD_BYTES, prefix: int = 15) -> DataFrame:
     """sessions with shard_id (month and number, in order of session), and rule where a shard has too many bytes.
 
-    Months are independent; a month's sessions are ordered together.
+    A month's sessions are counted in stretches of equal beginnings (prefix characters), so a large month is many tasks.
     """
-    order = W.partitionBy(month).orderBy(session)
-    numbered = sessions.withColumn("_n", F.floor((F.row_number().over(order) - 1) / most).cast("int")).withColumn("_size", size)
+    counted = with_running_sum(sessions, [month], F.substring(session, 1, prefix), [session], F.lit(1), "_n")
+    numbered = counted.withColumn("_n", F.floor((F.col("_n") - 1) / most).cast("int")).withColumn("_size", size)
     total = F.sum("_size").over(W.partitionBy(month, "_n"))
     shard = F.concat(F.col(month), F.lit("-"), F.lpad(F.col("_n").cast("string"), 4, "0"))
     return numbered.withColumn("shard_id", shard).withColumn("rule", F.when(total > most_bytes, "InputLimit")).drop("_n", "_size")
