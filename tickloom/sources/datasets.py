@@ -16,7 +16,9 @@ from tickloom.sources.envelopes import event_rules
 from tickloom.sources.schemas import DISPOSITIONS, ENTITLEMENTS, SCHEMAS, V2_REFERENCE, V3_REFERENCE, check_schema, fingerprint, required
 
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
-WRITER = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.page.size": str(1 << 20)}
+#: Rows of a row group at most.
+GROUP_ROWS = 10_000
+WRITER = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.page.size": str(1 << 20), "parquet.block.row.count.limit": str(GROUP_ROWS)}
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -145,12 +147,39 @@ def read_checked(spark: SparkSession, path: str, name: str) -> DataFrame:
     return found
 
 
-def check_budget(spark: SparkSession, path: str, most_files: int = 1024, most_bytes: int = 512 << 20) -> None:
-    """Fails before a dataset is decoded if it has more files or bytes than allowed."""
+def row_groups(spark: SparkSession, path: str, most_files: int = 1024) -> list[dict]:
+    """file, rows, uncompressed (bytes that the group declares) and columns (what its columns add up to) of each row
+    group of a dataset, from the files' footers; nothing is decoded. More files than most_files fail."""
     folder, fs = _hadoop(spark, path)
-    sizes = [s.getLen() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".parquet")]
-    if len(sizes) > most_files or sum(sizes) > most_bytes:
-        raise errors.InputLimit(f"{len(sizes)} files of {sum(sizes)} bytes")
+    parts = sorted(s.getPath().toString() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".parquet"))
+    if len(parts) > most_files:
+        raise errors.InputLimit(f"{len(parts)} files")
+    hadoop, out = spark._jvm.org.apache.parquet.hadoop, []
+    for name in parts:
+        reader = hadoop.ParquetFileReader.open(hadoop.util.HadoopInputFile.fromPath(spark._jvm.org.apache.hadoop.fs.Path(name), spark._jsc.hadoopConfiguration()))
+        try:
+            for block in reader.getFooter().getBlocks():
+                out.append({"file": name, "rows": block.getRowCount(), "uncompressed": block.getTotalByteSize(), "columns": sum(c.getTotalUncompressedSize() for c in block.getColumns())})
+        finally:
+            reader.close()
+    return out
+
+
+def check_budget(spark: SparkSession, path: str, most_files: int = 1024, most_bytes: int = 512 << 20, most_groups: int = 1024, most_group_bytes: int = 32 << 20) -> None:
+    """Fails before a dataset is decoded if it has more files, row groups or bytes than allowed.
+
+    Bytes are what decoding will take, not what compressed files have: the sum of all row groups, and each by itself. A
+    group that declares other bytes than its columns breaks the contract.
+    """
+    groups = row_groups(spark, path, most_files)
+    total = sum(g["uncompressed"] for g in groups)
+    if not 1 <= len(groups) <= most_groups or total > most_bytes:
+        raise errors.InputLimit(f"{len(groups)} row groups of {total} bytes")
+    for g in groups:
+        if not 1 <= g["uncompressed"] <= most_group_bytes:
+            raise errors.InputLimit(f"a row group of {g['uncompressed']} bytes")
+        if g["columns"] != g["uncompressed"]:
+            raise errors.Contract("bytes of a row group")
 
 
 def manifest_of(spark: SparkSession, path: str) -> dict:
