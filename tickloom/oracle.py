@@ -20,7 +20,7 @@ def _bars(width: int) -> str:
 
 
 _CALENDAR = f"""days AS (
-  SELECT d FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS d)
+  SELECT d FROM (SELECT unnest(generate_series((SELECT CAST(min(ts) AS DATE) FROM events), (SELECT CAST(max(ts) AS DATE) + 1 FROM events), INTERVAL 1 DAY)) AS d)
   WHERE dayofweek(d) NOT IN (0, 6) AND d NOT IN (DATE '2024-01-01', DATE '2024-01-15')),
 inst AS (
   SELECT 'XNYS:' || strftime(d, '%Y-%m-%d') || ':' || p AS session_instance_id, strftime(d, '%Y-%m-%d') AS trade_date, p AS phase,
@@ -199,15 +199,22 @@ l3 AS (SELECT k2 // 64 AS k3, sha256(string_agg(d, chr(10) ORDER BY k2)) AS d FR
 l4 AS (SELECT k3 // 64 AS k4, sha256(string_agg(d, chr(10) ORDER BY k3)) AS d FROM l3 GROUP BY ALL),
 l5 AS (SELECT sha256(string_agg(d, chr(10) ORDER BY k4)) AS d FROM l4)
 SELECT chunk, n_rows, digest, l5.d AS rollup, (SELECT count(*) FROM c) AS n_chunks FROM c, l5""",
-    "calendar_integrity": """SELECT * FROM (VALUES ('2024-05-06', 'dates_not_contiguous'), ('2024-07-03', 'days_not_adjacent'), ('XNYS:2024-02-05:pre', 'instances_overlap'), ('XNYS:2024-02-05', 'phases'), ('XNYS:2024-02-05:pre', 'id_not_unique')) AS t(subject, rule)""",
+    "calendar_integrity": f"""WITH c AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY ALL),
+a AS (SELECT CAST(d AS DATE) AS d, strftime(d, '%Y-%m-%d') AS name, coalesce(n, 0) AS n, epoch_ns(CAST(d AS TIMESTAMP)) + 5 * {HOUR} AS s, dayofweek(d) NOT IN (0, 6) AND strftime(d, '%Y-%m-%d') <> '2024-01-01' AS is_open
+  FROM (SELECT CAST(unnest(generate_series((SELECT CAST(min(ts) AS DATE) FROM events), (SELECT CAST(max(ts) AS DATE) + 1 FROM events), INTERVAL 1 DAY)) AS DATE) AS d) LEFT JOIN c USING (d)),
+k AS (SELECT *, s + CASE WHEN n % 7 = 5 THEN 25 ELSE 24 END * {HOUR} AS e FROM a WHERE n % 7 <> 3),
+l AS (SELECT *, lead(d) OVER (ORDER BY d) AS d1, lead(s) OVER (ORDER BY d) AS s1 FROM k),
+t AS (SELECT name FROM a WHERE is_open AND n % 5 = 1)
+SELECT name AS subject, CASE WHEN d1 - d <> 1 THEN 'dates_not_contiguous' ELSE 'days_not_adjacent' END AS rule FROM l WHERE d1 - d <> 1 OR s1 <> e
+UNION ALL SELECT 'XNYS:' || name || ':pre', 'instances_overlap' FROM t UNION ALL SELECT 'XNYS:' || name, 'phases' FROM t UNION ALL SELECT 'XNYS:' || name || ':pre', 'id_not_unique' FROM t""",
     "sessions_in_window": f"""WITH {_CALENDAR}, w AS (SELECT 1704985200000000000 - 20 * {HOUR} AS a, 1704985200000000000 + 15 * {HOUR} AS b), m AS (SELECT inst.* FROM inst, w WHERE s < b AND e > a),
-d AS (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS d)
+d AS (SELECT unnest(generate_series((SELECT CAST(min(ts) AS DATE) FROM events), (SELECT CAST(max(ts) AS DATE) + 1 FROM events), INTERVAL 1 DAY)) AS d)
 SELECT session_instance_id AS subject, 'instance' AS kind FROM m
 UNION ALL SELECT strftime(d, '%Y-%m-%d'), 'day' FROM d, w WHERE (epoch_ns(CAST(d AS TIMESTAMP)) + 5 * {HOUR} < b AND epoch_ns(CAST(d AS TIMESTAMP)) + 29 * {HOUR} > a) OR strftime(d, '%Y-%m-%d') IN (SELECT trade_date FROM m)""",
     "edge_windows": f"""WITH {_CALENDAR}, p AS (SELECT trade_date, min(s) AS a, max(e) AS b, epoch_ns(CAST(trade_date AS TIMESTAMP)) + 5 * {HOUR} AS d FROM inst GROUP BY trade_date)
 SELECT trade_date, 'before' AS edge, d AS "start", a AS "end" FROM p UNION ALL SELECT trade_date, 'after', b, d + {DAY} FROM p""",
     "overnight_bands": f"""WITH {_CALENDAR} SELECT 'XNYS:' || strftime(d, '%Y-%m-%d') || ':over' AS session_instance_id, epoch_ns(CAST(d AS TIMESTAMP)) + 1 * {HOUR} AS "start", epoch_ns(CAST(d AS TIMESTAMP)) + 9 * {HOUR} AS "end" FROM days""",
-    "closed_nights": f"""WITH {_CALENDAR}, c AS (SELECT d, epoch_ns(CAST(d AS TIMESTAMP)) + 5 * {HOUR} AS s FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS d) WHERE d NOT IN (SELECT d FROM days))
+    "closed_nights": f"""WITH {_CALENDAR}, c AS (SELECT d, epoch_ns(CAST(d AS TIMESTAMP)) + 5 * {HOUR} AS s FROM (SELECT unnest(generate_series((SELECT CAST(min(ts) AS DATE) FROM events), (SELECT CAST(max(ts) AS DATE) + 1 FROM events), INTERVAL 1 DAY)) AS d) WHERE d NOT IN (SELECT d FROM days))
 SELECT strftime(d, '%Y-%m-%d') AS trade_date, s AS "start", s + 4 * {HOUR} AS "end" FROM c UNION ALL SELECT strftime(d, '%Y-%m-%d'), s + 20 * {HOUR}, s + 24 * {HOUR} FROM c""",
     "coverage_evidence": f"""WITH {_bars(HOUR)}, ses AS (SELECT c_custkey AS session FROM customer UNION SELECT user_id FROM events WHERE user_id IS NOT NULL),
 w AS (SELECT 1704067200000000000 AS base, 7 * {DAY} + {HOUR // 2} AS step),

@@ -91,13 +91,20 @@ def sequence_classes(spark: SparkSession, sf: str) -> DataFrame:
     return sequence.classify(rows, ["feed"], "arrival", 10_000_000_000_000).groupBy("feed", "decision").agg(F.count("*").alias("n"), F.sum("sequence").alias("sequence_sum"))
 
 
-def _calendar(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    days = calendar.civil_days(spark, "2024-01-01", "2024-01-31", ("2024-01-01", "2024-01-15"))
+def _dates(spark: SparkSession, sf: str) -> DataFrame:
+    """From the first day of events to the day after the last."""
+    span = _t(spark, sf, "events").agg(F.min(F.to_date("ts")).alias("a"), F.date_add(F.max(F.to_date("ts")), 1).alias("b"))
+    return span.select(F.explode(F.sequence("a", "b")).alias("d"))
+
+
+def _calendar(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The calendar of the days that events span."""
+    days = calendar.civil_days_of(_dates(spark, sf), ("2024-01-01", "2024-01-15"))
     return days, calendar.phase_instances(days)
 
 
 def phase_assignment(spark: SparkSession, sf: str) -> DataFrame:
-    _, instances = _calendar(spark)
+    _, instances = _calendar(spark, sf)
     rows = _events(spark, sf).select("event_id", F.col("source_ns").alias("start"), (F.col("source_ns") + 60 * time.SECOND).alias("end"))
     return I.contained_in_one(rows, instances, ["session_instance_id"]).select("event_id", "session_instance_id")
 
@@ -106,7 +113,7 @@ AS_OF = {"open": 1_704_985_200 * time.SECOND, "closed": 1_705_190_400 * time.SEC
 
 
 def session_rank(spark: SparkSession, sf: str) -> DataFrame:
-    _, instances = _calendar(spark)
+    _, instances = _calendar(spark, sf)
     parts = [sessions.ranked(instances, at).select(F.lit(case).alias("case"), "session_instance_id", "position", "active", "rank") for case, at in AS_OF.items()]
     return parts[0].union(parts[1])
 
@@ -125,7 +132,7 @@ def provider_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def route_choice(spark: SparkSession, sf: str) -> DataFrame:
-    _, instances = _calendar(spark)
+    _, instances = _calendar(spark, sf)
     old = spark.createDataFrame([("2015-12-31", "regular", "old"), ("2015-12-31", "over", "old"), ("2024-01-11", "over", "new")], "trade_date string, phase string, rank string")
     slices = sessions.ranked(instances, AS_OF["open"]).select("trade_date", "phase", "rank").union(old)
     modes = F.explode(F.array(*[F.lit(m) for m in ("auto", "alpaca_only", "futu_only", "research")])).alias("mode")
@@ -336,32 +343,35 @@ def chunk_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def calendar_integrity(spark: SparkSession, sf: str) -> DataFrame:
-    """A year's calendar with one day lost, one day stretched and one phase twice."""
-    days = calendar.civil_days(spark, "2024-01-01", "2024-12-31", ("2024-01-01",))
+    """The days of events as a calendar, in which the number of a day's events says which days are lost, which are an
+    hour too long and which have their first phase twice."""
+    days = calendar.civil_days_of(_dates(spark, sf), ("2024-01-01",))
     phases = calendar.phase_instances(days)
-    bent = days.where("trade_date <> '2024-05-07'").withColumn("end", F.when(F.col("trade_date") == "2024-07-03", F.col("end") + HOUR).otherwise(F.col("end")))
-    twice = phases.union(phases.where("session_instance_id = 'XNYS:2024-02-05:pre'"))
+    counts = _t(spark, sf, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("trade_date")).agg(F.count("*").alias("n"))
+    of = lambda df: df.join(counts, "trade_date", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    bent = of(days).where("n % 7 <> 3").withColumn("end", F.col("end") + F.when(F.col("n") % 7 == 5, HOUR).otherwise(0)).select(*days.columns)
+    twice = phases.union(of(phases).where("n % 5 = 1 and phase = 'pre'").select(*phases.columns))
     return calendar.calendar_violations(bent, twice)
 
 
 def sessions_in_window(spark: SparkSession, sf: str) -> DataFrame:
-    days, instances = _calendar(spark)
+    days, instances = _calendar(spark, sf)
     kept, met = sessions.sessions_in_window(days, instances, AS_OF["open"] - 20 * HOUR, AS_OF["open"] + 15 * HOUR)
     return kept.select(F.col("trade_date").alias("subject"), F.lit("day").alias("kind")).union(met.select("session_instance_id", F.lit("instance")))
 
 
 def edge_windows(spark: SparkSession, sf: str) -> DataFrame:
-    days, instances = _calendar(spark)
+    days, instances = _calendar(spark, sf)
     return sessions.edge_windows(instances, days)
 
 
 def overnight_bands(spark: SparkSession, sf: str) -> DataFrame:
-    days, _ = _calendar(spark)
+    days, _ = _calendar(spark, sf)
     return calendar.overnight_instances(days).select("session_instance_id", "start", "end")
 
 
 def closed_nights(spark: SparkSession, sf: str) -> DataFrame:
-    days, _ = _calendar(spark)
+    days, _ = _calendar(spark, sf)
     return calendar.closed_night_bands(days)
 
 

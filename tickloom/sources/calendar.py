@@ -13,7 +13,11 @@ PHASES = (("pre", "04:00:00", "09:30:00"), ("regular", "09:30:00", "16:00:00"),
 
 def civil_days(spark: SparkSession, first: str, last: str, holidays: tuple[str, ...] = (), zone: str = "America/New_York") -> DataFrame:
     """trade_date, start, end (UTC, so 23 to 25 hours), status and session_id of each civil day."""
-    days = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(first)), F.to_date(F.lit(last)))).alias("d"))
+    return civil_days_of(spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(first)), F.to_date(F.lit(last)))).alias("d")), holidays, zone)
+
+
+def civil_days_of(days: DataFrame, holidays: tuple[str, ...] = (), zone: str = "America/New_York") -> DataFrame:
+    """civil_days of a table of dates d."""
     closed = F.dayofweek("d").isin(1, 7) | F.date_format("d", "yyyy-MM-dd").isin(*holidays)
     name = F.date_format("d", "yyyy-MM-dd")
     return days.select(
