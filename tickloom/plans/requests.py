@@ -68,7 +68,7 @@ def session_slices(work: DataFrame, days: DataFrame, instances: DataFrame, capab
     Intraday: a slice for each phase that the window meets, and one for each part of an open day that no phase
     covers (missing_calendar_phase). Daily: a slice for each open day, ranked by its latest instance that has started.
     """
-    at = clocks(work, instances)
+    at = staged(clocks(work, instances), "clocks")
     window = lambda a, b: (F.greatest(F.col("start"), a).alias("start"), F.least(F.col("end"), b).alias("end"))
     rest = [c for c in at.columns if c not in ("start", "end")]
     none = F.lit(None).cast("string")
