@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.market import RESOLUTIONS, RESPONSE_PRIORITY, summary_label
 from tickloom.functions.values import same_provider
 from tickloom.operators.intervals import by_day, conflicts, contained_in_one, normalize_gaps, outside, overlaps, uncovered
+from tickloom.session import staged
 
 
 def row_reason(expected: dict[str, Column], request_start: Column, request_end: Column) -> Column:
@@ -58,9 +59,13 @@ def answer(rows: DataFrame, gaps: DataFrame, slices: DataFrame, segments: DataFr
     A bar that touches a gap is dropped, and its whole interval becomes a conflict.
     """
     keyed = lambda df: df.withColumn("k", F.lit(1))
+    # each is used several times below, and is the result of sweeps itself
+    rows, gaps = staged(rows, "rows"), staged(gaps, "gaps")
     kept = outside(keyed(rows), keyed(gaps), ["k"], ["row_id", "start", "end"]).drop("k")
+    kept = staged(kept, "kept")
     lost = rows.join(kept.select("row_id"), "row_id", "left_anti").select("start", "end", F.lit("validation_conflict").alias("reason"))
     normal = normalize_gaps(keyed(gaps.select("start", "end", "reason").unionByName(lost)), ["k"], RESPONSE_PRIORITY)
+    normal = staged(normal, "gaps")
     whole = keyed(segments.where("status = 'complete'"))
     complete = uncovered(whole.select("k", "start", "end"), normal.select("k", "start", "end"), ["k"], []).drop("k")
     bare = uncovered(keyed(slices.select("start", "end")), keyed(complete), ["k"], [])
