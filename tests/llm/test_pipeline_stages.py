@@ -2,10 +2,12 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +124,60 @@ def test_best_fit_equals_a_plain_search():
             assert bins.place(size, source, cluster) == (k, at)
 
 
+def test_best_fit_by_share_equals_a_plain_search():
+    from tickloom.llm.packing import Bins
+
+    rng = random.Random(9)
+    for _ in range(40):
+        # clusters of one row have no bit
+        items = sorted(((rng.randint(1, 20), rng.randint(0, 3), rng.choice([None, None, 0, 1, 2])) for _ in range(150)), key=lambda x: (-x[0], x[2] is None, x[2] or 0, x[1]))
+        limits = {0: 20.0, 1: 30.0, 3: 20.5}  # source 2 is never saturated
+        bins, plain = Bins(40, None, limits), []
+        for size, source, cluster in items:
+            fits = [(b["room"], k) for k, b in enumerate(plain) if b["room"] >= size and (cluster is None or cluster not in b["clusters"]) and b["words"][source] < limits.get(source, 99)]
+            k = min(fits)[1] if fits else len(plain)
+            if not fits:
+                plain.append({"room": 40, "clusters": set(), "words": Counter()})
+            at = 40 - plain[k]["room"]
+            plain[k]["room"] -= size
+            plain[k]["clusters"].add(cluster)
+            plain[k]["words"][source] += size
+            assert bins.place(size, source, cluster) == (k, at)
+
+
+def test_short_documents_fill_their_bins_in_little_time():
+    from tickloom.llm.packing import _place
+
+    rng = np.random.default_rng(1)
+    n = 66_000
+    shares, sizes = [0.34, 0.33, 0.33], rng.integers(40, 81, n)
+    shard = pd.DataFrame({"id": np.arange(n), "piece": 0, "size": sizes, "source": rng.choice(["a", "b", "c"], n, p=shares), "cluster": rng.integers(0, 60_000, n), "h": 0})
+    before = time.process_time()
+    placed = _place(shard, 8192, None, 0.5)
+    assert time.process_time() - before < 20
+    assert sizes.sum() / 8192 / placed["number"].nunique() > 0.95
+    assert placed.groupby("number")["size"].sum().max() <= 8192
+    assert not placed.duplicated(["number", "cluster"]).any()
+    # a source is let in below twice its share: one document may go beyond
+    assert placed.groupby(["number", "source"])["size"].sum().max() < 2 * 0.36 * 8192 + 80
+
+
+def test_packing_with_given_clusters(spark):
+    rows = [(i, "one two three", "en", "a", 1 if i < 4 else None) for i in range(12)]
+    placed = pack(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, c int"), cluster="c", capacity=24).collect()
+    assert len(placed) == 12 and len({r.bin_id for r in placed if r.doc_id < 4}) == 4
+    # rows without a cluster conflict with nothing
+    assert max(Counter(r.bin_id for r in placed).values()) > 2
+
+
+def test_copies_of_one_row_are_dealt_out(spark):
+    rows = [(1, "w " * 40, "en", "a", 0)] * 300 + [(2, "x y", "en", "b", 0)]
+    placed = pack(spark.createDataFrame(rows, DOCS).repartition(7), capacity=64, shard_tokens=1000).collect()
+    assert Counter(r.doc_id for r in placed) == {1: 300, 2: 1}
+    assert len({r.bin_id >> 32 for r in placed}) > 6
+    assert len({r.bin_id for r in placed if r.doc_id == 1}) == 300
+
+
 def test_sequences_hold_the_words(spark):
     docs = spark.createDataFrame([(1, "a b c d e", "en", "s", 0), (2, "f g", "en", "t", 0)], DOCS)
     out = " ".join(r.text for r in sequences(docs, capacity=4).collect())

@@ -3,8 +3,9 @@
 Open bins are kept in order of residual space. For a document, the search starts at the successor of its
 size, the tightest bin that can hold it, and goes on to the next successor while the bin conflicts with
 the document: a bin carries a bitmap of the duplicate clusters it holds, which no second document of a
-cluster may enter, and saturating bitmaps of its sources, one plane per document allowed of a source.
-Without a compatible bin a new one is opened.
+cluster may enter, and a bitmap of its saturated sources, which hold their share of its capacity and enter no more.
+Bins of equal source bitmaps are kept together, so that bins closed to a source are not visited. Without a
+compatible bin a new one is opened.
 
 Packing is done in shards of about shard_tokens tokens. A document's shard is a hash of the row, not of
 its source or cluster, so a hot source or a huge cluster is spread over all shards. Copies of one row that fill
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,74 +32,95 @@ from tickloom.llm.components import connected_components
 from tickloom.llm.simhash import fingerprints, links
 from tickloom.llm.tokens import in_slices
 
-CAPACITY, PER_SOURCE, SHARD_TOKENS = 8192, 8, 4_000_000
+CAPACITY, SHARD_TOKENS = 8192, 4_000_000
+#: Share of a bin at which a source is saturated there.
+SOURCE_SHARE = 0.5
 #: Characters of a shard's texts.
 SHARD_CHARS = 3 * SHARD_TOKENS
 WORDS = re.compile(WORD)
 
 
 class Bins:
-    """Open bins of one shard, in order of (residual, number)."""
+    """Open bins of one shard, in order of (residual, number), one list for each bitmap of saturated sources: a search
+    leaves out whole lists of bins that a document's source may not enter. Clusters of one row need no bit."""
 
-    def __init__(self, capacity: int, per_source: int):
-        self.capacity, self.per_source = capacity, per_source
-        self.open: list[tuple[int, int]] = []
+    def __init__(self, capacity: int, per_source: int | None = None, limits: dict[int, float] | None = None):
+        self.capacity, self.per_source, self.limits = capacity, per_source, limits or {}
+        self.open: dict[int, list[tuple[int, int]]] = {}
         self.clusters: list[int] = []
-        self.planes: list[list[int]] = []
+        self.sources: list[dict[int, list[int]]] = []
         self.last: tuple = ()
         self.reached = (0, 0)
 
-    def place(self, size: int, source: int, cluster: int) -> tuple[int, int]:
+    def place(self, size: int, source: int, cluster: int | None) -> tuple[int, int]:
         """The bin a document goes to and its offset there."""
-        own, bit, top = 1 << cluster, 1 << source, self.per_source - 1
-        # after an equal document the bins it passed over conflict still: only the bin it entered has changed
-        start = max((size, -1), self.reached) if self.last == (size, source, cluster) else (size, -1)
-        at = bisect_left(self.open, start)
-        while at < len(self.open):
-            residual, number = self.open[at]
-            if not self.clusters[number] & own and not self.planes[number][top] & bit:
-                del self.open[at]
-                break
-            at += 1
-        else:
+        own, bit = 0 if cluster is None else 1 << cluster, 1 << source
+        # after an equal document the bins it passed over conflict still, and the bin it entered does now
+        start = max((size, -1), self.reached) if own and self.last == (size, source, cluster) else (size, -1)
+        best, saturated, where = None, 0, 0
+        for mask, bins in self.open.items():
+            if mask & bit:
+                continue
+            at = bisect_left(bins, start)
+            while at < len(bins) and (best is None or bins[at] < best):
+                if not self.clusters[bins[at][1]] & own:
+                    best, saturated, where = bins[at], mask, at
+                    break
+                at += 1
+        if best is None:
             residual, number = self.capacity, len(self.clusters)
             self.clusters.append(0)
-            self.planes.append([0] * self.per_source)
+            self.sources.append({})
+        else:
+            residual, number = best
+            del self.open[saturated][where]
+            if not self.open[saturated]:
+                del self.open[saturated]
         self.last, self.reached = (size, source, cluster), (residual, number)
         self.clusters[number] |= own
-        for i, plane in enumerate(planes := self.planes[number]):
-            if not plane & bit:
-                planes[i] = plane | bit
-                break
+        held = self.sources[number].setdefault(source, [0, 0])
+        held[0] += 1
+        held[1] += size
+        if (self.per_source is not None and held[0] >= self.per_source) or held[1] >= self.limits.get(source, math.inf):
+            saturated |= bit
         if residual > size:
-            entry = (residual - size, number)
-            self.open.insert(bisect_left(self.open, entry), entry)
+            insort(self.open.setdefault(saturated, []), (residual - size, number))
         return number, self.capacity - residual
 
 
-def _place(frame: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFrame:
+def source_limits(sizes: np.ndarray, sources: np.ndarray, capacity: int, source_share: float) -> dict[int, float]:
+    """Words from which on a source is saturated in a bin: source_share of its capacity, or twice the source's share of
+    all words if that is more; a source that is half of everything has no limit."""
+    words = np.bincount(sources, weights=sizes)
+    shares = np.maximum(source_share, 2 * words / max(1, words.sum()))
+    return {i: float(share * capacity) for i, share in enumerate(shares) if share < 1}
+
+
+def _place(frame: pd.DataFrame, capacity: int, per_source: int | None, source_share: float) -> pd.DataFrame:
     """A shard's pieces (id, piece, size, source, cluster, h) with the number of their bin and their offset in it."""
     # fixed order: largest first, equal ones of a cluster and source together
     frame = frame.sort_values(["size", "cluster", "source", "id", "piece", "h"], ascending=[False, True, True, True, True, True], na_position="last", kind="stable")
-    sources = pd.factorize(frame["source"], use_na_sentinel=False)[0].tolist()
-    clusters = pd.factorize(frame["cluster"])[0].tolist()
-    bins = Bins(capacity, per_source)
-    placed = [bins.place(n, s, c) for n, s, c in zip(frame["size"].tolist(), sources, clusters)]
+    sources = pd.factorize(frame["source"], use_na_sentinel=False)[0]
+    # the most frequent clusters get the lowest bits, so that the bitmaps of most bins are short
+    often = frame["cluster"].value_counts()
+    bits = {c: i for i, c in enumerate(often.index[often.to_numpy() > 1])}
+    bins = Bins(capacity, per_source, source_limits(frame["size"].to_numpy(), sources, capacity, source_share))
+    placed = [bins.place(n, s, bits.get(c)) for n, s, c in zip(frame["size"].tolist(), sources.tolist(), frame["cluster"].tolist())]
     return frame.assign(number=np.array([p[0] for p in placed], dtype=np.int64), bin_offset=np.array([p[1] for p in placed], dtype=np.int64))
 
 
-def _packer(capacity: int, per_source: int):
+def _packer(capacity: int, per_source: int | None, source_share: float):
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        placed = _place(frame, capacity, per_source)
+        placed = _place(frame, capacity, per_source, source_share)
         placed["bin_id"] = int(key[0]) * (1 << 32) + placed["number"]
         return placed.assign(id=placed["id"].astype("Int64"))[["id", "piece", "size", "source", "bin_id", "bin_offset"]]
 
     return run
 
 
-def _joiner(capacity: int, per_source: int, separator: str):
+def _joiner(capacity: int, per_source: int | None, source_share: float, separator: str):
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        placed = _place(frame, capacity, per_source).sort_values(["number", "bin_offset"])
+        placed = _place(frame, capacity, per_source, source_share).sort_values(["number", "bin_offset"])
         bins = placed.groupby("number", sort=True)
         return pd.DataFrame({
             "bin_id": [int(key[0]) * (1 << 32) + n for n in bins.groups], "n_words": bins["size"].sum().to_numpy(), "doc_ids": bins["id"].agg(lambda x: [None if pd.isna(i) else int(i) for i in x]).to_numpy(),
@@ -114,9 +136,11 @@ def _dealt(rows: DataFrame, shards: int, weight: str, most: float) -> DataFrame:
     hot = stage(rows.groupBy("id", "h").agg(F.count("*").alias("n"), F.sum(weight).alias("w")).where((F.col("n") > 1) & (F.col("w") > most)).select(F.col("id").alias("_i"), F.col("h").alias("_h")), "hot")
     if shards == 1 or hot.isEmpty():
         return rows.withColumn("salt", F.lit(0).cast("long"))
+    # numbered in a written table: a task that runs again deals its rows out as before
+    rows = stage(rows.withColumn("salt", F.monotonically_increasing_id()), "dealt")
     # at most one such row to most of the whole weight
     on = F.col("id").eqNullSafe(F.col("_i")) & (F.col("h") == F.col("_h"))
-    return rows.join(hot.withColumn("_hot", F.lit(True)), on, "left").withColumn("salt", F.when(F.col("_hot"), F.monotonically_increasing_id()).otherwise(0)).drop("_i", "_h", "_hot")
+    return rows.join(hot.withColumn("_hot", F.lit(True)), on, "left").withColumn("salt", F.when(F.col("_hot"), F.col("salt")).otherwise(0)).drop("_i", "_h", "_hot")
 
 
 def _shard(shards: int) -> Column:
@@ -129,15 +153,16 @@ def _exact(text: str) -> Column:
     return F.xxhash64(plain)
 
 
-def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", cluster: str | None = None, capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", cluster: str | None = None, capacity: int = CAPACITY, per_source: int | None = None, source_share: float = SOURCE_SHARE, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Placements: id, piece, first_word, n_words, source, bin_id, bin_offset; one row per piece of a document row.
 
     Sizes are words. A longer document is cut into pieces of capacity words, which fill bins of their own,
     and a rest that is packed; no word is dropped. A document without words takes no room but has its row,
     bin_id and bin_offset null. Duplicate clusters are given by a column, or else are the groups of near
     duplicates by SimHash, with all copies of equal words among them; a null cluster conflicts with no other row.
-    Repeated rows are copies of a cluster, and equal ones are interchangeable. At most per_source documents of a
-    source share a bin; null is a source. Ties fall by size, cluster, source, id, piece and text, so reruns agree.
+    Repeated rows are copies of a cluster, and equal ones are interchangeable. A source enters a bin until it holds
+    source_share of its capacity there (a source with more than half of that among all words: twice its own share;
+    see source_limits), and per_source documents if that is given; null is a source. Ties fall by size, cluster, source, id, piece and text, so reruns agree.
     An empty table gives no rows; other columns are ignored.
     """
     prints = docs.select(
@@ -158,7 +183,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     parts = parts.withColumn("piece", F.explode(F.sequence(F.lit(0), F.ceil(F.col("words") / capacity).cast("int") - 1)))
     parts = parts.withColumn("size", F.least(F.lit(capacity), F.col("words") - F.col("piece").cast("long") * capacity).cast("long"))
     placed = parts.select(_shard(shards), "id", "piece", "size", "source", "cluster", "h").groupBy("shard").applyInPandas(
-        _packer(capacity, per_source), "id long, piece int, size long, source string, bin_id long, bin_offset long"
+        _packer(capacity, per_source, source_share), "id long, piece int, size long, source string, bin_id long, bin_offset long"
     )
     none = F.lit(None).cast("long")
     empty = rows.where("words = 0").select("id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("size"), "source", none.alias("bin_id"), none.alias("bin_offset"))
@@ -173,7 +198,7 @@ def cut(text: str, capacity: int) -> list[tuple[int, str]]:
     return [(len(some), text[some[0][0] : some[-1][1]]) for some in (spans[at : at + capacity] for at in range(0, len(spans), capacity))]
 
 
-def sequences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_chars: int = SHARD_CHARS, separator: str = "\n\n") -> DataFrame:
+def sequences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", capacity: int = CAPACITY, per_source: int | None = None, source_share: float = SOURCE_SHARE, shard_chars: int = SHARD_CHARS, separator: str = "\n\n") -> DataFrame:
     """The packed training sequences: bin_id, n_words, doc_ids (of the pieces, in order) and text.
 
     Documents are packed as pack does, each row as often as it occurs; their clusters are texts equal after
@@ -199,4 +224,4 @@ def sequences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sourc
 
     parts = rows.mapInArrow(run, "id long, source string, h long, cluster long, salt long, piece int, size long, body string")
     packed = parts.select(_shard(shards), "id", "piece", "size", "source", "cluster", "h", "body").groupBy("shard")
-    return packed.applyInPandas(_joiner(capacity, per_source, separator), "bin_id long, n_words long, doc_ids array<long>, text string")
+    return packed.applyInPandas(_joiner(capacity, per_source, source_share, separator), "bin_id long, n_words long, doc_ids array<long>, text string")
