@@ -10,7 +10,7 @@ import xxhash
 
 from tickloom.llm.blocks import Forest
 from tickloom.llm.components import connected_components
-from tickloom.llm.embeddings import Caps, most_differing, near_vectors, units
+from tickloom.llm.embeddings import Caps, fit_caps, most_differing, near_vectors, units
 from tickloom.llm.simhash import covering_masks, near_duplicates
 
 
@@ -115,6 +115,29 @@ def test_vectors_equal_brute_force(spark, chain):
     assert all(got[n + i] == (0, n + i, True) for i in range(len(bad)))
 
 
+def test_links_do_not_depend_on_how_large_a_group_is(spark):
+    """A chain of vectors just at the threshold: links are exactly the near pairs that share a filter, however sent."""
+    rng, dim = np.random.default_rng(6), 32
+    walk = [rng.standard_normal(dim)]
+    for _ in range(599):
+        x = walk[-1] / np.linalg.norm(walk[-1])
+        z = rng.standard_normal(dim)
+        z -= (z @ x) * x
+        c = rng.uniform(0.949, 0.956)
+        walk.append(c * x + np.sqrt(1 - c * c) * z / np.linalg.norm(z))
+    rows = [(i, [float(e) for e in v]) for i, v in enumerate(walk)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [{r.vec_id: (r.n_links, r.component_id) for r in near_vectors(frame, block=64, chain=chain).collect()} for chain in (4096, 20)]
+    x = units([v for _, v in rows])
+    near = np.triu(x @ x.T >= 0.95, 1)
+    lists = [set(f.tolist()) for f in fit_caps(dim, len(rows), 0.95).lists(x)]
+    share = near & np.array([[bool(a & b) for b in lists] for a in lists])
+    want = groups(len(rows), lambda a, b: share[min(a, b), max(a, b)])
+    for links in got:
+        assert links == {i: (int(share[i].sum() + share[:, i].sum()), want[i]) for i in range(len(rows))}
+    assert share.sum() >= 0.95 * near.sum() > 300
+
+
 def test_vectors_of_null_and_repeated_ids_and_lengths(spark):
     a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [1.0, 0.001, 0.0]
     rows = [(5, a), (5, a), (None, c), (7, b), (None, [2.0, 0.0]), (3, [-0.0, 2.0, 0.0]), (None, None)]

@@ -11,9 +11,10 @@ involved), such that RECALL of such pairs share a filter; closer pairs share one
 
 Verification ships each vector a few times, not once a filter. The join carries ids and sketches of BITS sign
 bits only; pairs in a filter whose sketches are near make groups, by connected components. Every link lies
-inside a group, so the pairs of a group are compared exactly, in double precision, each once. A group too
-large for that (CHAIN, as when loosely similar vectors form a chain) is joined on filters with its vectors
-instead, and a pair counts in the first filter that it shares.
+inside a group, so the pairs of a group are compared exactly, in double precision, each once, and near ones count
+that share a filter. A group too large for that (CHAIN, as when loosely similar vectors form a chain) is joined on
+filters with its vectors instead, and a near pair counts in the first filter that it shares. Either way the same
+pairs are links: CHAIN decides what is sent, not what is found.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ SEED = 11
 OCCUPANCY = 16
 #: Sign bits of a sketch, and how many standard deviations beyond the expectation at the threshold two may differ.
 BITS, SLACK = 256, 5.0
-#: Members of a group up to which all its pairs are compared.
+#: Members of a group up to which its pairs are compared piece by piece; larger ones go by filter. Links are the same.
 CHAIN = 4096
 #: Scores held at once while filters are listed.
 SCORES = 1 << 22
@@ -162,12 +163,14 @@ def _linker(most: int):
     return run
 
 
-def share_a_filter_before(key: int, filters: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Of pairs of members (i, j), whether they share a filter below key, where they have been met already."""
+def share_a_filter(filters: list[np.ndarray], i: np.ndarray, j: np.ndarray, below: int | None = None) -> np.ndarray:
+    """Of pairs of members (i, j) with their sorted filters, whether they share one (below a key, if that is given)."""
     rows, at = np.unique(np.concatenate([i, j]), return_inverse=True)
-    below = [(c := np.asarray(filters[r]))[: np.searchsorted(c, key)] for r in rows.tolist()]
-    owner = np.repeat(np.arange(len(rows)), [len(c) for c in below])
-    _, column, often = np.unique(np.concatenate(below), return_inverse=True, return_counts=True)
+    lists = [np.asarray(filters[r]) for r in rows.tolist()]
+    if below is not None:
+        lists = [c[: np.searchsorted(c, below)] for c in lists]
+    owner = np.repeat(np.arange(len(rows)), [len(c) for c in lists])
+    _, column, often = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     common = often[column] > 1
     owner, column = owner[common], np.unique(column[common], return_inverse=True)[1]
     shared = np.zeros((len(rows), len(rows)), dtype=np.float32)
@@ -180,9 +183,10 @@ def share_a_filter_before(key: int, filters: list[np.ndarray], i: np.ndarray, j:
     return shared[at[: len(i)], at[len(i) :]] > 0
 
 
-def _verifier(cosine: float):
-    """Exact links of the pairs of a piece: per member how many, and a spanning forest. Pieces of a filter
-    (bucket not null) leave out pairs that share an earlier one."""
+def _verifier(cosine: float, caps: dict[int, Caps]):
+    """Exact links of the pairs of a piece: per member how many, and a spanning forest. A pair counts if it shares a
+    filter. Pieces of a filter (bucket not null) leave out pairs that share an earlier one; pieces of a group list
+    the filters of the members of near pairs again."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -195,8 +199,12 @@ def _verifier(cosine: float):
                     near &= block[:, None] != block[None, :]
                 i, j = np.nonzero(near)
                 if len(i) and not pd.isna(key):
-                    first = ~share_a_filter_before(int(key), [m["filters"] for m in members], i, j)
-                    i, j = i[first], j[first]
+                    counts = ~share_a_filter([m["filters"] for m in members], i, j, below=int(key))
+                    i, j = i[counts], j[counts]
+                elif len(i):
+                    some, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+                    counts = share_a_filter(caps[x.shape[1]].lists(x[some]), at[: len(i)], at[len(i) :])
+                    i, j = i[counts], j[counts]
                 copies = np.array([m["copies"] for m in members], dtype=np.int64)
                 links = np.zeros(len(members), dtype=np.int64)
                 np.add.at(links, i, copies[j])
@@ -255,7 +263,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
     inside = pieces(small.select("root", F.col("node").alias("rep")), ["root"], "rep", block).join(member, "rep")
     packed = [F.struct("rep", "copies", "own", "vector", *more) for more in ([], ["filters"])]
     work = inside.groupBy("root", "lo", "hi").agg(F.collect_list(packed[0]).alias("members")).where(F.size("members") > 1)
-    verify, out = _verifier(cosine), "u long, v long, w long"
+    verify, out = _verifier(cosine, caps), "u long, v long, w long"
     found = stage(work.select(F.lit(None).cast("long").alias("bucket"), "lo", "hi", "members").mapInPandas(verify, out), "links")
     if chained:
         lists = grouped.join(large, "root", "left_semi").select(F.col("node").alias("rep")).join(listed.select("rep", "filters"), "rep").join(member, "rep")
