@@ -33,7 +33,7 @@ from tickloom.llm.blocks import Forest, pieces
 from tickloom.llm.common import stage, unstage
 from tickloom.llm.components import connected_components
 
-RECALL = 0.97
+RECALL = 0.99
 SEED = 11
 #: Vectors in a filter, on average.
 OCCUPANCY = 16
