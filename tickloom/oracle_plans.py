@@ -71,7 +71,18 @@ row3 AS (SELECT *, CASE WHEN n % 17 = 0 THEN 'unknown' WHEN kind = 3 THEN 'valid
 row4 AS (SELECT *, reason IS NULL AND (coalesce(max(e) FILTER (reason IS NULL) OVER (PARTITION BY request_id, run, reason IS NULL ORDER BY s, e, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), s) > s
     OR coalesce(lead(s) OVER (PARTITION BY request_id, run, reason IS NULL ORDER BY s, e, row_id), e) < e) AS clash FROM row3)"""
 
+_ANSWERS = f"""{_PAGES}, blocked AS (SELECT key AS request_id, s AS x, e AS y FROM gaps UNION ALL
+    SELECT r.request_id, greatest(s, a), least(e, b) FROM row4 r JOIN ranged x ON x.request_id = r.request_id AND x.run = r.run AND x.a < e AND s < x.b WHERE clash OR reason IS NOT NULL),
+answer AS (SELECT r.*, CASE kind WHEN 0 THEN provider WHEN 1 THEN upper(provider) ELSE 'unknown' END AS source, CASE kind WHEN 1 THEN 'delayed' ELSE 'authorized' END AS entitlement, prov OR kind IN (1, 2) OR n % 7 = 0 OR request_id % 10 = 0 AS unsure
+    FROM row4 r JOIN runs1 USING (request_id, run) WHERE reason IS NULL AND NOT clash AND NOT EXISTS (SELECT 1 FROM blocked k WHERE k.request_id = r.request_id AND k.x < r.e AND r.s < k.y))"""
+
 ORACLES = {
+    "page_sources": f"""WITH {_PLANS}, {_PAGES} SELECT DISTINCT request_id, run, 'p' || kind AS provenance_id, CASE kind WHEN 0 THEN provider WHEN 1 THEN upper(provider) ELSE 'unknown' END AS provider,
+CASE kind WHEN 1 THEN 'delayed' ELSE 'authorized' END AS entitlement FROM row3 JOIN runs1 USING (request_id, run) WHERE reason IS NULL""",
+    "answer_rows": f"""WITH {_PLANS}, {_PLAN_GAPS}, {_ANSWERS} SELECT request_id, run, row_id, s AS "start", e AS "end", CASE WHEN unsure THEN 'provisional' ELSE 'validated' END AS validation_state FROM answer""",
+    "answer_summaries": f"""WITH {_PLANS}, {_PLAN_GAPS}, {_ANSWERS}, label AS (SELECT request_id, count(*) AS n, bool_or(unsure) AS unsure, count(DISTINCT source) AS ns, min(source) AS s1, count(DISTINCT entitlement) AS ne, min(entitlement) AS e1 FROM answer GROUP BY ALL)
+SELECT request_id, coalesce(n, 0) AS n_rows, coalesce(unsure, false) AS provisional, CASE WHEN n IS NULL THEN 'unknown' WHEN ns = 1 THEN s1 ELSE 'mixed' END AS source, CASE WHEN n IS NULL THEN 'unknown' WHEN ne = 1 THEN e1 ELSE 'mixed' END AS entitlement
+FROM (SELECT DISTINCT request_id FROM runs1) LEFT JOIN label USING (request_id)""",
     "page_rows": f"""WITH {_PLANS}, {_PAGES} SELECT request_id, run, row_id, s AS "start", e AS "end", instance AS session_instance_id,
 CASE WHEN prov OR kind IN (1, 2) OR n % 7 = 0 OR request_id % 10 = 0 THEN 'provisional' ELSE 'validated' END AS validation_state FROM row4 WHERE reason IS NULL AND NOT clash""",
     "page_gaps": f"""WITH {_PLANS}, {_PAGES}, gaps AS (SELECT r.request_id * 1000 + r.run AS key, greatest(s, a) AS s, least(e, b) AS e, CASE WHEN clash THEN 'validation_conflict' ELSE reason END AS reason

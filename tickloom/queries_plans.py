@@ -93,4 +93,21 @@ def page_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return _mapped(spark, sf)["gaps"].select("request_id", "run", "start", "end", "reason")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (request_slices, request_gaps, request_groups, request_runs, page_rows, page_gaps)}
+def page_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """The sources that rows of a page come from, of those that it names."""
+    return _mapped(spark, sf)["provenance"].select("request_id", "run", "provenance_id", "provider", "entitlement")
+
+
+def answer_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of all pages that no gap of the plan or of a page touches."""
+    said = pages.answers(_mapped(spark, sf), _plan(spark, sf)["gaps"])
+    return said["rows"].select("request_id", "run", "row_id", "start", "end", "validation_state")
+
+
+def answer_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    """Per request its rows, whether one of them is provisional, and the labels of their sources."""
+    said = pages.answers(_mapped(spark, sf), _plan(spark, sf)["gaps"])
+    return said["summaries"].select("request_id", F.col("n_rows").cast("long").alias("n_rows"), "provisional", "source", "entitlement")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (request_slices, request_gaps, request_groups, request_runs, page_rows, page_gaps, page_sources, answer_rows, answer_summaries)}
