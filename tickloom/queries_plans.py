@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import time
 from tickloom.plans import pages, requests
 from tickloom.queries import _t
+from tickloom.session import staged
 from tickloom.sources import calendar
 
 HOUR, DAY, MINUTE = time.HOUR, time.DAY, time.MINUTE
@@ -65,9 +66,9 @@ def request_runs(spark: SparkSession, sf: str) -> DataFrame:
     return _plan(spark, sf)["runs"].select("request_id", "run", "provider", "feed", "interval", "oldest_start", "newest_start", "n_slices")
 
 
-def _mapped(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def _mapped(spark: SparkSession, sf: str, plan: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Lineitem as one-minute rows of the pages of its orders' first three runs; sources of five kinds a page."""
-    asked, plan = _requests(spark, sf), _plan(spark, sf)
+    asked, plan = _requests(spark, sf), plan or _plan(spark, sf)
     slices = requests.in_runs(plan["slices"]).select(*pages.KEYS, "start", "end", "provider", "feed", "interval", "session_instance_id", "provisional")
     runs = plan["runs"].select(*pages.KEYS, "provider", "feed")
     kinds = [("p0", F.col("provider"), "authorized"), ("p1", F.upper("provider"), "delayed"), ("p2", F.lit("unknown"), "authorized"), ("p3", F.lit("other"), "authorized"), ("p4", F.col("provider"), "unauthorized")]
@@ -98,16 +99,22 @@ def page_sources(spark: SparkSession, sf: str) -> DataFrame:
     return _mapped(spark, sf)["provenance"].select("request_id", "run", "provenance_id", "provider", "entitlement")
 
 
+def _answered(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Answers of all requests; what they read several times is written once."""
+    plan = _plan(spark, sf)
+    mapped = _mapped(spark, sf, plan)
+    mapped |= {name: staged(mapped[name], name) for name in ("rows", "gaps", "provenance")}
+    return pages.answers(mapped, staged(plan["gaps"], "plan-gaps"))
+
+
 def answer_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The rows of all pages that no gap of the plan or of a page touches."""
-    said = pages.answers(_mapped(spark, sf), _plan(spark, sf)["gaps"])
-    return said["rows"].select("request_id", "run", "row_id", "start", "end", "validation_state")
+    return _answered(spark, sf)["rows"].select("request_id", "run", "row_id", "start", "end", "validation_state")
 
 
 def answer_summaries(spark: SparkSession, sf: str) -> DataFrame:
     """Per request its rows, whether one of them is provisional, and the labels of their sources."""
-    said = pages.answers(_mapped(spark, sf), _plan(spark, sf)["gaps"])
-    return said["summaries"].select("request_id", F.col("n_rows").cast("long").alias("n_rows"), "provisional", "source", "entitlement")
+    return _answered(spark, sf)["summaries"].select("request_id", F.col("n_rows").cast("long").alias("n_rows"), "provisional", "source", "entitlement")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (request_slices, request_gaps, request_groups, request_runs, page_rows, page_gaps, page_sources, answer_rows, answer_summaries)}
