@@ -96,3 +96,13 @@ def test_tiling(spark, bars, want):
     phases = spark.createDataFrame([(1, 0, 150)], "key int, phase_start long, phase_end long")
     (row,) = I.tiling(frame, phases, ["key"], 60).collect()
     assert (row.complete, row.n_bars) == (want, len(bars))
+
+
+def test_spread_intervals_are_not_broadcast(spark):
+    # a year is 24 stretches in two rows' worth of estimated size; only small tables without keys may be broadcast
+    years = spark.range(1000).selectExpr("id as key", "0L as start", f"{365 * DAY}L as end")
+    gaps = spark.range(1000).selectExpr("id as key", f"id * {DAY} as start", f"(id + 2) * {DAY} as end", "'unknown' as reason")
+    covers = gaps.withColumnsRenamed({"start": "_cs", "end": "_ce"})
+    for made in (I.overlapping(years, covers, ["key"]), I.clip_to(gaps, years, ["key"]), I.coverage_status(years, gaps, ["key"])):
+        plan = made._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin [key" not in plan

@@ -76,12 +76,14 @@ def overlapping(windows: DataFrame, others: DataFrame, keys: list[str], grain: i
     """Pairs of a window and another interval (_cs, _ce) of its keys that overlap.
 
     An equi-join on keys and on stretches of grain, so that a key with a long history is many small joins;
-    a pair that shares several stretches counts in the one where the later of the two begins.
+    a pair that shares several stretches counts in the one where the later of the two begins. With keys both sides are
+    shuffled: Spark's estimate of a side does not know how many stretches its rows have, and would broadcast them all.
+    Without keys (calendars) the choice is Spark's.
     """
     stretch = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / grain), F.floor((F.col(b) - 1) / grain)))
     w = windows.where("start < end").withColumn("_b", stretch("start", "end"))
     o = others.where("_cs < _ce").withColumn("_b", stretch("_cs", "_ce"))
-    both = w.join(o, [*keys, "_b"]).where(overlaps(F.col("start"), F.col("end"), F.col("_cs"), F.col("_ce")))
+    both = w.join(o.hint("merge") if keys else o, [*keys, "_b"]).where(overlaps(F.col("start"), F.col("end"), F.col("_cs"), F.col("_ce")))
     return both.where(F.floor(F.greatest("start", "_cs") / grain) == F.col("_b")).drop("_b")
 
 
