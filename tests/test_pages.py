@@ -68,3 +68,12 @@ def test_every_state_of_a_page(spark, said, truncated, cover, status):
     requests = table([(1, "QQQ", "etf", "unadjusted", at(0), at(60))], "request_id int, symbol string, asset_class string, adjustment string, start long, end long")
     out = pages.map_pages(table([], ROW), table([(1, 1, "p1", "alpaca", "sip", "authorized")], SOURCE), slices, requests, made, segments)
     assert [r.status for r in out["statuses"].collect()] == [status]
+
+
+def test_rows_meet_their_runs_first_and_are_judged_once(spark, parts, monkeypatch):
+    seen, once = [], []
+    contained, kept = pages.contained_in_one, pages.staged
+    monkeypatch.setattr(pages, "contained_in_one", lambda rows, *a: seen.append(rows.count()) or contained(rows, *a))
+    monkeypatch.setattr(pages, "staged", lambda df, name: once.append(name) or kept(df, name))
+    out = pages.map_pages(*parts)
+    assert seen == [parts[0].count() - out["unplanned"].count()] and once == ["judged-rows"]

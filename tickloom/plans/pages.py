@@ -13,6 +13,7 @@ from tickloom.functions.market import MAPPING_PRIORITY, RESPONSE_PRIORITY, summa
 from tickloom.functions.values import same_provider
 from tickloom.operators.intervals import clip_to, conflicts, contained_in_one, normalize_gaps, outside, overlapping, uncovered
 from tickloom.plans.mapping import row_reason
+from tickloom.session import staged
 
 KEYS = ["request_id", "run"]
 
@@ -41,17 +42,21 @@ def map_pages(rows: DataFrame, provenance: DataFrame, slices: DataFrame, request
     it takes that slice's session. Other rows leave gaps where they touch slices; of overlapping rows none is kept.
     Segments are cut to slices, are unknown without a trusted source, and complete ones lose what gaps touch. Statuses:
     one per page; a page without rows, segments and gaps is unknown. Rows of runs that are not planned are in no slice
-    and leave no gap; they come out as unplanned.
+    and leave no gap; they come out as unplanned. The rows of planned runs are judged once and written.
     """
     planned = slices.select(*KEYS, "provider", "feed", "interval").distinct()
     wanted = requests.select("request_id", *[F.col(c).alias(f"_{c}") for c in ("symbol", "asset_class", "adjustment", "start", "end")])
     source = provenance.select(*KEYS, "provenance_id", F.col("provider").alias("p_provider"), F.col("feed").alias("p_feed"), "entitlement")
     differs, known = _identity()
-    held = contained_in_one(rows.select(*KEYS, "row_id", "provenance_id", "start", "end", "symbol", "asset_class", "resolution", "adjustment", "row_state"), slices.withColumn("slice_provisional", F.col("provisional")), ["session_instance_id", "slice_provisional"], KEYS)
-    full = held.join(source, [*KEYS, "provenance_id"], "left").join(planned, KEYS).join(wanted, "request_id")
+    fields = rows.select(*KEYS, "row_id", "provenance_id", "start", "end", "symbol", "asset_class", "resolution", "adjustment", "row_state")
+    # rows of planned runs first: no other row is moved again
+    asked = fields.join(planned.join(wanted, "request_id"), KEYS)
+    held = contained_in_one(asked, slices.withColumn("slice_provisional", F.col("provisional")), ["session_instance_id", "slice_provisional"], KEYS)
+    full = held.join(source, [*KEYS, "provenance_id"], "left")
     expected = {"provider": F.col("provider"), "feed": F.when(F.col("provider") == "alpaca", F.col("feed")), "symbol": F.col("_symbol"), "asset_class": F.col("_asset_class"), "resolution": F.col("interval"), "adjustment": F.col("_adjustment")}
     reason = F.coalesce(row_reason(expected, F.col("_start"), F.col("_end")), F.when(F.col("session_instance_id").isNull(), "unknown"))
-    judged = full.withColumn("reason", reason).withColumn("_known", known)
+    unsure = F.col("slice_provisional") | (F.col("entitlement") != "authorized") | ~known | (F.col("row_state") == "provisional")
+    judged = staged(full.select(*KEYS, "row_id", "provenance_id", "start", "end", "symbol", "session_instance_id", reason.alias("reason"), unsure.alias("_unsure")), "judged-rows")
     good = judged.where("reason is null")
     clash = conflicts(good.select(*KEYS, "row_id", "start", "end"), KEYS, "row_id")
     refused = judged.where("reason is not null").select(*KEYS, "start", "end", "reason").unionByName(clash.select(*KEYS, "start", "end", F.lit("validation_conflict").alias("reason")))
@@ -63,8 +68,7 @@ def map_pages(rows: DataFrame, provenance: DataFrame, slices: DataFrame, request
     normal = normalize_gaps(clip_to(refused, slices, KEYS), KEYS, MAPPING_PRIORITY)
     flags = pages.select(*KEYS, F.col("calendar_matches").alias("_matches"))
     kept = good.join(clash.select(*KEYS, "row_id"), [*KEYS, "row_id"], "left_anti").join(flags, KEYS, "left")
-    unsure = F.col("slice_provisional") | (F.col("entitlement") != "authorized") | ~F.col("_known") | (F.col("row_state") == "provisional") | ~F.coalesce("_matches", F.lit(True))
-    kept = kept.withColumn("validation_state", F.when(unsure, "provisional").otherwise("validated"))
+    kept = kept.withColumn("validation_state", F.when(F.col("_unsure") | ~F.coalesce("_matches", F.lit(True)), "provisional").otherwise("validated"))
     used = good.select(*KEYS, "provenance_id").union(used_segments.select(*KEYS, "provenance_id")) if used_segments is not None else good.select(*KEYS, "provenance_id")
     used = used.distinct()
     if planned_segments is not None:
@@ -125,10 +129,11 @@ def page_statuses(pages: DataFrame, slices: DataFrame, rows: DataFrame, gaps: Da
 
 
 def answers(mapped: dict[str, DataFrame], plan_gaps: DataFrame) -> dict[str, DataFrame]:
-    """rows, gaps and summaries of all requests: the gaps of a plan and of its pages as one, rows outside them.
+    """rows, gaps, contents and summaries of all requests: the gaps of a plan and of its pages as one, rows outside them.
 
-    A row that touches a gap is dropped and its whole interval becomes a conflict. A summary has the number of rows,
-    the labels of the sources in use, whether a row is provisional, and the page statuses' weakest.
+    A row that touches a gap is dropped and its whole interval becomes a conflict. Contents have the number of rows,
+    the labels of the sources in use and whether a row is provisional; a summary has the number of gaps too, and the
+    page statuses' weakest.
     """
     keys = ["request_id"]
     every = plan_gaps.select(*keys, "start", "end", "reason").unionByName(mapped["gaps"].select(*keys, "start", "end", "reason"))
@@ -143,9 +148,12 @@ def answers(mapped: dict[str, DataFrame], plan_gaps: DataFrame) -> dict[str, Dat
     place = F.array_position(F.array(*map(F.lit, order)), F.col("status"))
     worst = mapped["statuses"].groupBy(*keys).agg(F.min(place).alias("_at"))
     n_gaps = gaps.groupBy(*keys).agg(F.count("*").alias("n_gaps"))
-    out = worst.join(facts, keys, "left").join(labels, keys, "left").join(n_gaps, keys, "left")
+    contents = worst.join(facts, keys, "left").join(labels, keys, "left")
+    given = [F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("provisional", F.lit(False)).alias("provisional"), F.coalesce("source", F.lit("unknown")).alias("source"), F.coalesce("entitlement", F.lit("unknown")).alias("entitlement")]
+    contents = contents.select(*keys, "_at", *given)
+    out = contents.join(n_gaps, keys, "left")
     status = F.element_at(F.array(*map(F.lit, order)), F.col("_at").cast("int"))
-    some = (F.coalesce("n_gaps", F.lit(0)) > 0) | F.coalesce("provisional", F.lit(False))
+    some = (F.coalesce("n_gaps", F.lit(0)) > 0) | F.col("provisional")
     status = F.when((status != "unsupported") & some, "partial").otherwise(status)
-    summary = out.select(*keys, status.alias("status"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_gaps", F.lit(0)).alias("n_gaps"), F.coalesce("provisional", F.lit(False)).alias("provisional"), F.coalesce("source", F.lit("unknown")).alias("source"), F.coalesce("entitlement", F.lit("unknown")).alias("entitlement"))
-    return {"rows": kept, "gaps": gaps, "summaries": summary}
+    summary = out.select(*keys, status.alias("status"), "n_rows", F.coalesce("n_gaps", F.lit(0)).alias("n_gaps"), "provisional", "source", "entitlement")
+    return {"rows": kept, "gaps": gaps, "contents": contents.drop("_at"), "summaries": summary}

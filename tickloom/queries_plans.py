@@ -67,18 +67,23 @@ def request_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mapped(spark: SparkSession, sf: str, plan: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Lineitem as one-minute rows of the pages of its orders' first three runs; sources of five kinds a page."""
-    asked, plan = _requests(spark, sf), plan or _plan(spark, sf)
-    slices = requests.in_runs(plan["slices"]).select(*pages.KEYS, "start", "end", "provider", "feed", "interval", "session_instance_id", "provisional")
-    runs = plan["runs"].select(*pages.KEYS, "provider", "feed")
+    """Lineitem as one-minute rows of the pages of its orders' first three runs; sources of five kinds a page.
+
+    Lines whose order has no such run are no page's rows: they go before they take on their request's fields.
+    """
+    plan = plan or _plan(spark, sf)
+    slices = staged(requests.in_runs(plan["slices"]).select(*pages.KEYS, "start", "end", "provider", "feed", "interval", "session_instance_id", "provisional"), "run-slices")
+    runs = slices.select(*pages.KEYS, "provider", "feed").distinct()
+    asked = staged(_requests(spark, sf).join(slices.select("request_id").distinct(), "request_id", "left_semi"), "asked")
     kinds = [("p0", F.col("provider"), "authorized"), ("p1", F.upper("provider"), "delayed"), ("p2", F.lit("unknown"), "authorized"), ("p3", F.lit("other"), "authorized"), ("p4", F.col("provider"), "unauthorized")]
     kind = F.explode(F.array(*[F.struct(F.lit(i).alias("provenance_id"), p.alias("provider"), F.coalesce("feed", F.lit("own")).alias("feed"), F.lit(e).alias("entitlement")) for i, p, e in kinds]))
     provenance = runs.select(*pages.KEYS, kind.alias("k")).select(*pages.KEYS, "k.*")
     part, line = F.col("l_partkey"), F.col("l_linenumber").cast("long")
     width = F.floor((F.col("end") - F.col("start")) / MINUTE)
     start = F.col("start") + F.pmod(part * 37 + line * 11, width) * MINUTE
-    rows = _t(spark, sf, "lineitem").join(asked, F.col("l_orderkey") == F.col("request_id")).select(
-        "request_id", (F.pmod(line, F.lit(3)) + 1).alias("run"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_id"), F.when(part % 17 == 0, "none").otherwise(F.concat(F.lit("p"), F.col("l_suppkey") % 10 % 5)).alias("provenance_id"),
+    lines = _t(spark, sf, "lineitem").withColumns({"request_id": F.col("l_orderkey"), "run": F.pmod(line, F.lit(3)) + 1}).join(runs.select(*pages.KEYS), pages.KEYS, "left_semi")
+    rows = lines.join(asked, "request_id").select(
+        *pages.KEYS, F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_id"), F.when(part % 17 == 0, "none").otherwise(F.concat(F.lit("p"), F.col("l_suppkey") % 10 % 5)).alias("provenance_id"),
         start.alias("start"), (start + F.when(part % 19 == 0, 90).otherwise(1) * MINUTE).alias("end"), F.when(part % 23 == 0, "OTHER").otherwise(F.col("symbol")).alias("symbol"), F.lit("stock").alias("asset_class"),
         F.when(F.col("allow_daily_downgrade") & (F.col("resolution") != "1d") & ((F.col("mode") == "research") | (F.col("start") < 1_451_624_400 * time.SECOND)), "1d").otherwise(F.col("resolution")).alias("resolution"), "adjustment", F.when(part % 29 == 0, "conflict").when(part % 7 == 0, "provisional").otherwise("validated").alias("row_state"),
     )
@@ -114,7 +119,7 @@ def answer_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def answer_summaries(spark: SparkSession, sf: str) -> DataFrame:
     """Per request its rows, whether one of them is provisional, and the labels of their sources."""
-    return _answered(spark, sf)["summaries"].select("request_id", F.col("n_rows").cast("long").alias("n_rows"), "provisional", "source", "entitlement")
+    return _answered(spark, sf)["contents"].select("request_id", F.col("n_rows").cast("long").alias("n_rows"), "provisional", "source", "entitlement")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (request_slices, request_gaps, request_groups, request_runs, page_rows, page_gaps, page_sources, answer_rows, answer_summaries)}
