@@ -113,3 +113,37 @@ def test_queries_give_the_same_rows_for_one_file_and_for_many(spark, sf, tmp_pat
     written(events, 6, f"{tmp_path}/events.parquet", 8)
     want, got = (Counter(map(tuple, QUERIES[name](spark, d).collect())) for d in (sf, f"file://{tmp_path}"))
     assert want and got == want
+
+
+def test_held_stretches_are_listed_once_a_batch():
+    class Handle:
+        def __init__(self):
+            self.values, self.listed = {}, 0
+
+        def keys(self):
+            self.listed += 1
+            return iter([(s,) for s in self.values])
+
+        def getValue(self, key):
+            return self.values[key[0]]
+
+        def removeKey(self, key):
+            del self.values[key[0]]
+
+        def get(self):
+            return self.values.get("cursor")
+
+        def update(self, value):
+            self.values["cursor"] = value
+
+    class At:
+        def __init__(self, ms):
+            self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: ms
+
+    op = ordered.InOrder(10**9)
+    op.cursor, op.held = Handle(), Handle()
+    op.held.values = {s: ([1, 1], [2 * s + 2, 2 * s + 1], [s * 10**9 + 5, s * 10**9]) for s in range(300)}
+    out = [f for s in range(250) for f in op.handleExpiredTimer(("p", "f"), At(250_000), At((s + 1) * 1000))]
+    got = [(r.sequence, r.decision) for f in out for r in f.itertuples()]
+    assert got == [(i, "accept") for i in range(1, 501)] and op.held.listed == 1
+    assert sorted(op.held.values) == list(range(250, 300)) and op.cursor.get()[2] == 250

@@ -29,6 +29,8 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 END = "9999-12-31 00:00:00"
 ORDERED = CHECKED + ", late boolean"
 MS = 1_000_000
+#: Held messages that are classified at once.
+CHUNK = 50_000
 EXACT = Context(prec=76)
 
 
@@ -96,17 +98,23 @@ class InOrder(StatefulProcessor):
                 self.held.updateValue((int(stretch),), tuple(new))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # a timer stands for its own stretch; earlier ones are released before it, whichever timer comes first
+        # the first timer of a batch releases all that the clock has passed, so the held stretches are listed once a
+        # batch; the other timers find theirs released
         due = expiredTimerInfo.getExpiryTimeInMs() * MS // self.width
         state = self.cursor.get() or (0, 0, -(2**62))
         if due <= state[2]:
             return
-        for stretch in sorted(s for (s,) in self.held.keys() if s < due):
-            frame = pd.DataFrame(dict(zip(("generation", "sequence", "arrival"), self.held.getValue((stretch,)))))
-            out, state = self._decided(key, frame, (*state[:2], stretch + 1), False)
+        passed, held = max(due, timerValues.getCurrentWatermarkInMs() * MS // self.width), []
+        stretches = sorted(s for (s,) in self.held.keys() if s < passed)
+        for stretch in stretches:
+            held.append(self.held.getValue((stretch,)))
             self.held.removeKey((stretch,))
-            yield out
-        self.cursor.update((*state[:2], due))
+            if stretch == stretches[-1] or sum(len(h[0]) for h in held) >= CHUNK:
+                frame = pd.DataFrame({c: np.concatenate([h[i] for h in held]).astype(np.int64) for i, c in enumerate(("generation", "sequence", "arrival"))})
+                out, state = self._decided(key, frame, (*state[:2], stretch + 1), False)
+                held = []
+                yield out
+        self.cursor.update((*state[:2], max(due, state[2])))
 
     def _decided(self, key, frame: pd.DataFrame, state: tuple, late: bool) -> tuple[pd.DataFrame, tuple]:
         # equal arrivals fall by generation and sequence, so the order of delivery does not show
