@@ -169,3 +169,12 @@ def test_stretches_follow_range_and_count(spark):
     rows = spark.range(1000).select((F.col("id") * 1_000_000_000).alias("arrival"))
     width = sequence.stretch(rows, "arrival", 100)
     assert rows.select(F.floor(F.col("arrival") / width)).distinct().count() in (10, 11) and sequence.stretch(rows.limit(0), "arrival") == 1
+
+
+def test_research_pages_are_read_once_and_by_all_cores(spark, sf):
+    from tickloom.queries_contracts import research_pages
+
+    made = research_pages(spark, sf)
+    assert made.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    # the rules judge parts that an earlier step has read
+    assert "get_json_object" not in made._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]

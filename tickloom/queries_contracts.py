@@ -174,8 +174,10 @@ def research_pages(spark: SparkSession, sf: str) -> DataFrame:
     }
     columns = [given.get(k, F.lit(fixed.get(v := research.PAGE_VALUES.get(k, "x"), v))).alias(k) for k in research.PAGE_KEYS]
     page = F.when(n == 1, F.regexp_replace(F.to_json(F.struct(*columns)), '"freshness"', '"stale"')).otherwise(F.to_json(F.struct(*columns)))
-    pages = _t(spark, sf, "part").select("p_partkey", page.alias("page"))
-    return B.broken_rules(pages, research.page_rules(F.col("page"))).select("p_partkey", "rule")
+    # keys are few bytes, their pages much work: dealt to all cores, however small the file
+    parts = _t(spark, sf, "part").select("p_partkey").repartition(4 * spark.sparkContext.defaultParallelism, "p_partkey")
+    pages = parts.select("p_partkey", page.alias("page"))
+    return B.broken_rules(research.with_parts(pages), research.page_rules()).select("p_partkey", "rule")
 
 
 def session_batch(spark: SparkSession, sf: str) -> DataFrame:

@@ -57,22 +57,35 @@ def coverage_mismatch(bars: DataFrame, declared: DataFrame) -> DataFrame:
     return f.join(d, "symbol", "full_outer").where(~same).select("symbol", F.col("f.n").alias("n"), F.col("d.n").alias("declared_n"))
 
 
-def page_rules(page: Column) -> dict[str, Column]:
-    """What a page (JSON text) of a research window fulfils as a whole, by name; its bars have rules of their own."""
-    at = lambda path: F.get_json_object(page, f"$.{path}")
-    texts = lambda path: F.from_json(at(path), "array<string>")
-    n_bars = F.json_array_length(at("bars"))
+#: The parts of a page that its rules look at.
+PAGE_PARTS = (*PAGE_VALUES, "status", "requested_range.start", "requested_range.end", "requested_range.semantics", "requested_symbols", "returned_symbols", "missing_symbols", "coverage.bar_count", "bars")
+
+
+def with_parts(pages: DataFrame, page: str = "page", name: str = "parts") -> DataFrame:
+    """pages with a struct of the texts, numbers and times that `page_rules` judges; each is read from its page once."""
+    flat = lambda path: path.replace(".", "_")
+    found = pages.withColumn(name, F.struct(*[F.get_json_object(page, f"$.{p}").alias(flat(p)) for p in PAGE_PARTS]))
+    part = lambda path: F.col(f"{name}.{flat(path)}")
+    symbols = {f"{c}_symbols": F.from_json(part(f"{c}_symbols"), "array<string>") for c in ("requested", "returned", "missing")}
+    made = {"first": parse_rfc3339(part("requested_range.start")), "last": parse_rfc3339(part("requested_range.end")), "n_bars": F.json_array_length(part("bars"))}
+    rest = [part(p).alias(flat(p)) for p in PAGE_PARTS if p not in (*symbols, "bars", "requested_range.start", "requested_range.end")]
+    return found.withColumn(name, F.struct(*rest, *[c.alias(k) for k, c in {**symbols, **made}.items()]))
+
+
+def page_rules(page: str = "page", name: str = "parts") -> dict[str, Column]:
+    """What a page (JSON text) of a research window fulfils as a whole, by name; its bars have rules of their own. The
+    table has its parts (`with_parts`)."""
+    at = lambda part: F.col(f"{name}.{part}")
     fixed = F.lit(True)
     for key, value in PAGE_VALUES.items():
         fixed = fixed & at(key).eqNullSafe(F.lit(value))
-    first, last = parse_rfc3339(at("requested_range.start")), parse_rfc3339(at("requested_range.end"))
     return {
-        "keys": has_exact_keys(page, list(PAGE_KEYS)),
+        "keys": has_exact_keys(F.col(page), list(PAGE_KEYS)),
         "fixed": fixed,
-        "status": F.coalesce(at("status").isin("ready", "partial") & ((at("status") == "partial") == (F.size(texts("missing_symbols")) > 0)), F.lit(False)),
-        "range": F.coalesce((first < last) & (last - first <= DAYS * DAY) & (at("requested_range.semantics") == "start_inclusive_end_exclusive"), F.lit(False)),
-        "symbols": F.coalesce(F.size(texts("requested_symbols")).between(1, SYMBOLS) & partition_holds(texts("requested_symbols"), texts("returned_symbols"), texts("missing_symbols")), F.lit(False)),
-        "bar_count": F.coalesce((n_bars > 0) & (n_bars <= ROWS) & (at("coverage.bar_count").cast("long") == n_bars), F.lit(False)),
+        "status": F.coalesce(at("status").isin("ready", "partial") & ((at("status") == "partial") == (F.size(at("missing_symbols")) > 0)), F.lit(False)),
+        "range": F.coalesce((at("first") < at("last")) & (at("last") - at("first") <= DAYS * DAY) & (at("requested_range_semantics") == "start_inclusive_end_exclusive"), F.lit(False)),
+        "symbols": F.coalesce(F.size(at("requested_symbols")).between(1, SYMBOLS) & partition_holds(at("requested_symbols"), at("returned_symbols"), at("missing_symbols")), F.lit(False)),
+        "bar_count": F.coalesce((at("n_bars") > 0) & (at("n_bars") <= ROWS) & (at("coverage_bar_count").cast("long") == at("n_bars")), F.lit(False)),
     }
 
 
