@@ -106,3 +106,13 @@ def test_spread_intervals_are_not_broadcast(spark):
     for made in (I.overlapping(years, covers, ["key"]), I.clip_to(gaps, years, ["key"]), I.coverage_status(years, gaps, ["key"])):
         plan = made._jdf.queryExecution().sparkPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin [key" not in plan
+
+
+def test_normalize_sorts_boundaries_once_and_joins_nothing(spark):
+    # open counts of earlier stretches come ahead of a stretch's boundaries as rows; a join sorted all boundaries three times over in one task
+    gaps = spark.createDataFrame([(1, 1, 0, 400 * DAY, "unknown"), (1, 2, 40 * DAY, 41 * DAY, "source_gap"), (1, 3, 400 * DAY, 401 * DAY, "unknown"), (1, 4, 5, 9, None), (2, 5, 7, 7, "unknown")], SCHEMA.replace("int", "long"))
+    made = I.normalize_gaps(gaps, ["key"], MAPPING_PRIORITY)
+    plan = made._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan
+    got = sorted((r.key, r.start, r.end, r.reason) for r in made.collect())
+    assert got == [(1, 0, 40 * DAY, "unknown"), (1, 40 * DAY, 41 * DAY, "source_gap"), (1, 41 * DAY, 401 * DAY, "unknown")]

@@ -55,21 +55,29 @@ def normalize_gaps(gaps: DataFrame, keys: list[str], order: tuple[str, ...]) ->
     """Disjoint gaps: where some overlap the strongest reason holds, and touching equals are one.
 
     A running count of open gaps per reason is kept along the boundaries, in two levels (`stretches`), so nothing is
-    joined with itself and no key is one task. A gap begins where the strongest open reason changes.
+    joined with itself and no key is one task. A gap begins where the strongest open reason changes. What earlier
+    stretches leave open goes ahead of a stretch's boundaries as rows of its own, so each boundary is sorted once here
+    and, if it is a change, once more for where the next one is.
     """
-    ends = gaps.where("start < end").select(*keys, "reason", F.explode(F.array(F.struct(F.col("start").alias("t"), F.lit(1).alias("d")), F.struct(F.col("end").alias("t"), F.lit(-1).alias("d")))).alias("e"))
-    ends = stretched(ends.select(*keys, "reason", "e.*"), keys, _stretch("t"))
-    numbers = range(len(order))
-    steps = ends.groupBy("_key", "_cut", "t").agg(*[F.sum(F.when(F.col("reason") == r, F.col("d")).otherwise(0)).alias(f"_{i}") for i, r in enumerate(order)])
-    steps = carried(steps, [F.sum(f"_{i}").alias(f"_{i}") for i in numbers], lambda w: [F.coalesce(F.sum(f"_{i}").over(earlier(w)), F.lit(0)).alias(f"_c{i}") for i in numbers])
+    number = F.coalesce(*[F.when(F.col("reason") == r, F.lit(i)) for i, r in enumerate(order)])
+    ends = F.explode(F.array(F.struct(F.col("start").alias("t"), F.lit(1).cast("long").alias("d")), F.struct(F.col("end").alias("t"), F.lit(-1).cast("long").alias("d"))))
+    key = F.struct(*keys) if keys else F.struct(F.lit(0))
+    rows = gaps.where("start < end").select(key.alias("_key"), number.alias("r"), ends.alias("e")).where("r is not null").select("_key", _stretch("e.t").alias("_cut"), "e.t", "r", "e.d")
+    of = lambda i: F.sum(F.when(F.col("r") == i, F.col("d")))
+    totals = rows.groupBy("_key", "_cut").agg(*[F.coalesce(of(i), F.lit(0)).alias(f"_{i}") for i in range(len(order))])
+    before = earlier(W.partitionBy("_key").orderBy("_cut"))
+    still = totals.select("_key", "_cut", F.array(*[F.struct(F.lit(i).alias("r"), F.sum(f"_{i}").over(before).alias("d")) for i in range(len(order))]).alias("e"))
+    still = still.select("_key", "_cut", F.explode("e").alias("e")).where("e.d > 0").select("_key", "_cut", F.lit(None).cast("long").alias("t"), "e.r", "e.d")
     along = inside_of("t")
-    now = steps.select("_key", "_cut", "t", *[f"_{i}" for i in numbers], *[(F.col(f"_c{i}") + F.sum(f"_{i}").over(through(along))).alias(f"_n{i}") for i in numbers])
-    top = F.coalesce(*[F.when(F.col(f"_n{i}") > 0, F.lit(r)) for i, r in enumerate(order)])
-    was = F.coalesce(*[F.when(F.col(f"_n{i}") - F.col(f"_{i}") > 0, F.lit(r)) for i, r in enumerate(order)])
-    changes = now.select("_key", "_cut", "t", top.alias("reason"), was.alias("_was")).where(~F.col("reason").eqNullSafe(F.col("_was"))).drop("_was")
-    changes = carried(changes, [F.min("t").alias("_first")], lambda w: [F.lead("_first").over(w).alias("_next")])
-    out = changes.withColumn("end", F.coalesce(F.lead("t").over(along), F.col("_next"))).where("reason is not null")
-    return out.select(*[F.col(f"_key.{k}").alias(k) for k in keys], F.col("t").alias("start"), "end", "reason")
+    upto = along.rangeBetween(W.unboundedPreceding, W.currentRow)
+    now = rows.union(still).select("_key", "_cut", "t", F.coalesce(*[F.when(of(i).over(upto) > 0, F.lit(i)) for i in range(len(order))]).alias("r"))
+    # of equal times the first row alone follows another state
+    changes = now.withColumn("_was", F.lag("r").over(along)).where("t is not null and not (r <=> _was)").drop("_was")
+    # the first and the last change of each stretch of a key are ordered together, the others stay among themselves
+    edge = F.lag("t").over(along).isNull() | F.lead("t").over(along).isNull()
+    dealt = changes.select("_key", F.when(~edge, F.col("_cut")).alias("_cut"), "t", "r", F.lead("t").over(along).alias("_next"))
+    out = dealt.withColumn("end", F.coalesce("_next", F.lead("t").over(along))).where("r is not null")
+    return out.select(*[F.col(f"_key.{k}").alias(k) for k in keys], F.col("t").alias("start"), "end", F.element_at(F.array(*[F.lit(r) for r in order]), F.col("r") + 1).alias("reason"))
 
 
 def overlapping(windows: DataFrame, others: DataFrame, keys: list[str], grain: int = GRAIN) -> DataFrame:
