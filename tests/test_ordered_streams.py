@@ -147,3 +147,50 @@ def test_held_stretches_are_listed_once_a_batch():
     got = [(r.sequence, r.decision) for f in out for r in f.itertuples()]
     assert got == [(i, "accept") for i in range(1, 501)] and op.held.listed == 1
     assert sorted(op.held.values) == list(range(250, 300)) and op.cursor.get()[2] == 250
+
+
+def test_state_of_many_bars_is_read_and_written_once_a_batch():
+    class Held:
+        value, gets, puts, timers = None, 0, 0, ()
+
+        def get(self):
+            self.gets += 1
+            return self.value
+
+        def update(self, value):
+            self.value, self.puts = value, self.puts + 1
+
+        def clear(self):
+            self.value = None
+
+        def registerTimer(self, at):
+            self.timers = (*self.timers, at)
+
+        def deleteTimer(self, at):
+            self.timers = tuple(t for t in self.timers if t != at)
+
+    class At:
+        def __init__(self, ms, now=None):
+            self.getExpiryTimeInMs, self.getCurrentWatermarkInMs = lambda: ms, lambda: ms if now is None else now
+
+    class Trade(dict):
+        __getattr__ = dict.__getitem__
+
+    trade = lambda i, at: Trade(symbol=f"s{i % 50}", bar_start_ms=at // 1000 * 1000, at_us=at * 1000, arrival=i, price=Decimal(i), size=Decimal(1))
+    op = ordered.LastingBars(["symbol"], ["string"], 1000, 5000)
+    op.held = op.handle = state = Held()
+    assert list(op.handleInputRows((0, 0), iter([trade(i, 1000 * (i % 4) + 10) for i in range(400)]), At(0))) == []
+    assert (state.gets, state.puts, state.timers) == (1, 1, (1000,))
+    state.timers = ()
+    first = list(op.handleExpiredTimer((0, 0), At(2000), At(1000)))
+    # 100 bars of 4 rows, half of them of the even symbols' two starts; the next one is due at 3000
+    assert {(r.kind, r.revision, r.trade_count) for r in first} == {("bar", 0, 4)} and {r.bar_start_ms for r in first} == {0, 1000}
+    assert (state.gets, state.puts, state.timers) == (2, 2, (3000,))
+    corrected = list(op.handleInputRows((0, 0), iter([trade(0, 10), trade(2, 2010)]), At(2000)))
+    assert [(r.symbol, r.bar_start_ms, r.revision, r.trade_count) for r in corrected] == [("s0", 0, 1, 5)] and state.timers == (3000,)
+    state.timers = ()
+    last = list(op.handleExpiredTimer((0, 0), At(9000), At(3000)))
+    assert {r.bar_start_ms for r in last} == {2000, 3000} and sum(r.trade_count for r in first + last) == 401
+    assert state.value is None and state.timers == ()
+    late = list(op.handleInputRows((0, 0), iter([trade(7, 10)]), At(9000)))
+    assert [(r.kind, r.symbol, r.first_arrival) for r in late] == [("late", "s7", 7)] and state.value is None

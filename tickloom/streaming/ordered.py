@@ -32,6 +32,9 @@ MS = 1_000_000
 #: Held messages that are classified at once.
 CHUNK = 50_000
 EXACT = Context(prec=76)
+#: Bars whose state is kept together: those of so many bar starts in a row, and of keys of one of so many hash buckets.
+#: Both are part of a checkpoint's state: a stream goes on only with the numbers it began with.
+SPAN, BUCKETS = 32, 128
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
@@ -136,48 +139,65 @@ def classify_in_order(events: DataFrame, delay: str, stretch_ns: int = MINUTE) -
 
 
 class LastingBars(StatefulProcessor):
-    """One bar: built while it is open, published when the clock passes its end, corrected until `lateness` later.
+    """The bars of one group of keys over one span of time: each is built while it is open, published when the clock
+    passes its end, corrected until `lateness` later.
 
-    Rows that come after that are no part of any bar: they are given back one by one, as kind "late".
+    Rows that come after that are no part of any bar: they are given back one by one, as kind "late". State is one
+    value, the group's bars field by field, read and written once a micro-batch; one timer at a time is set, for the
+    bar that is due first.
     """
 
-    def __init__(self, keys: list[str], width_ms: int, lateness_ms: int):
-        self.keys, self.width, self.lateness = keys, width_ms, lateness_ms
+    def __init__(self, keys: list[str], types: list[str], width_ms: int, lateness_ms: int):
+        self.keys, self.types, self.width, self.lateness = keys, types, width_ms, lateness_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        number = "decimal(38,18)"
-        first, last = (f"{n}_us long, {n}_arrival long, {n} {number}" for n in ("open", "close"))
-        self.bar = handle.getValueState("bar", f"{first}, high {number}, low {number}, {last}, volume {number}, trade_count long, revision long")
+        number = "array<decimal(38,18)>"
+        first, last = (f"{n}_us array<long>, {n}_arrival array<long>, {n} {number}" for n in ("open", "close"))
+        names = "".join(f"k{i} array<{t}>, " for i, t in enumerate(self.types))
+        self.held = handle.getValueState("held", f"timer long, {names}start array<long>, {first}, high {number}, low {number}, {last}, volume {number}, trade_count array<long>, revision array<long>")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        end = key[-1] + self.width
         now = timerValues.getCurrentWatermarkInMs()
-        if now >= end + self.lateness:
-            for r in rows:
-                yield self._row(key, "late", r.at_us, r.arrival, (r.price, r.price, r.price, r.price, r.size, 1), 0)
-            return
-        bar = self.bar.get()
-        if bar is None:
-            for at in {end, end + self.lateness}:
-                self.handle.registerTimer(at)
+        (timer, bars), touched = self._read(), set()
         for r in rows:
-            bar = self._with(bar, r)
-        if now >= end:  # its time to be published has passed: a correction, or a bar that only now has rows
-            bar = (*bar[:-1], bar[-1] + 1)
-            yield self._published(key, bar)
-        self.bar.update(bar)
+            at = (*(r[k] for k in self.keys), r.bar_start_ms)
+            if now >= at[-1] + self.width + self.lateness:
+                yield self._row(at, "late", r.at_us, r.arrival, (r.price, r.price, r.price, r.price, r.size, 1), 0)
+                continue
+            bars[at] = self._with(bars.get(at), r)
+            touched.add(at)
+        for at in touched:
+            if now >= at[-1] + self.width:  # its time to be published has passed: a correction, or a bar that only now has rows
+                bars[at] = (*bars[at][:-1], bars[at][-1] + 1)
+                yield self._published(at, bars[at])
+        if touched:
+            self._write(timer, bars)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        bar = self.bar.get()
-        if bar is None:
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        _, bars = self._read()
+        for at, bar in bars.items():
+            if bar[-1] < 0 and now >= at[-1] + self.width:
+                bars[at] = (*bar[:-1], 0)
+                yield self._published(at, bars[at])
+        self._write(None, {at: bar for at, bar in bars.items() if now < at[-1] + self.width + self.lateness})
+
+    def _read(self) -> tuple[int | None, dict]:
+        held, n = self.held.get(), len(self.keys) + 1
+        return (None, {}) if held is None else (held[0], {f[:n]: f[n:] for f in zip(*held[1:])})
+
+    def _write(self, timer: int | None, bars: dict) -> None:
+        if not bars:
+            self.held.clear()
             return
-        if bar[-1] < 0:
-            bar = (*bar[:-1], 0)
-            yield self._published(key, bar)
-            self.bar.update(bar)
-        if expiredTimerInfo.getExpiryTimeInMs() >= key[-1] + self.width + self.lateness:
-            self.bar.clear()
+        due = min(at[-1] + self.width + (self.lateness if bar[-1] >= 0 else 0) for at, bar in bars.items())
+        if timer is None or due < timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
+            timer = due
+        self.held.update((timer, *map(list, zip(*((*at, *bar) for at, bar in bars.items())))))
 
     @staticmethod
     def _with(bar: tuple | None, r: Row) -> tuple:
@@ -202,15 +222,18 @@ def lasting_bars(events: DataFrame, keys: list[str], delay: str, width_ms: int =
     lateness_ms after that; kind "late" for each row that comes later still.
 
     The last revisions' trade_count and the late rows account for every input row (`final_bars`, `late_rows`), however
-    the input is cut into files and batches. State is a bar's numbers, kept until its lateness has passed; a busy key
-    is as many groups as it has bars. Prices and sizes are decimals, null rows break the contract.
+    the input is cut into files and batches. State is a bar's numbers, kept until its lateness has passed, for SPAN bar
+    starts and a bucket of keys together: what a group costs beyond its rows does not grow with the number of bars.
+    Prices and sizes are decimals, null rows break the contract.
     """
     number = "decimal(38,18)"
     start = F.floor(F.unix_millis("at") / width_ms) * width_ms
     rows = clocked(events.select("at", *keys, "arrival", "price", "size"), "at", delay).select(*keys, start.cast("long").alias("bar_start_ms"), F.unix_micros("at").alias("at_us"), "arrival", F.col("price").cast(number).alias("price"), F.col("size").cast(number).alias("size"))
-    fields = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
+    types = [rows.schema[k].dataType.simpleString() for k in keys]
+    fields = ", ".join(f"{k} {t}" for k, t in zip(keys, types))
     made = f"{fields}, bar_start_ms long, kind string, revision long, first_us long, first_arrival long, open {number}, high {number}, low {number}, close {number}, volume {number}, trade_count long"
-    return rows.groupBy(*keys, "bar_start_ms").transformWithState(LastingBars(keys, width_ms, lateness_ms), made, "append", "eventTime")
+    grouped = rows.withColumns({"_span": F.floor(F.col("bar_start_ms") / (width_ms * SPAN)), "_bucket": F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))}).groupBy("_span", "_bucket")
+    return grouped.transformWithState(LastingBars(keys, types, width_ms, lateness_ms), made, "append", "eventTime")
 
 
 def _start() -> Column:
