@@ -116,3 +116,16 @@ def test_normalize_sorts_boundaries_once_and_joins_nothing(spark):
     assert "Join" not in plan
     got = sorted((r.key, r.start, r.end, r.reason) for r in made.collect())
     assert got == [(1, 0, 40 * DAY, "unknown"), (1, 40 * DAY, 41 * DAY, "source_gap"), (1, 41 * DAY, 401 * DAY, "unknown")]
+
+
+def test_normalize_takes_more_tasks_for_more_gaps(spark, monkeypatch):
+    # the number of tasks was the session's, so a task's memory grew with the gaps
+    from tickloom import session
+
+    monkeypatch.setattr(session, "ROWS_A_TASK", 40, raising=False)
+    rows = random_intervals(7, 400)
+    made = {n: I.normalize_gaps(spark.createDataFrame(rows[:n], SCHEMA), ["key"], MAPPING_PRIORITY) for n in (200, 400)}
+    held = {n: 2 * sum(r[2] < r[3] for r in rows[:n]) for n in made}
+    assert {n: m.rdd.getNumPartitions() for n, m in made.items()} == {n: -(-h // 40) for n, h in held.items()}
+    monkeypatch.undo()
+    assert sorted(map(tuple, made[400].collect())) == sorted(map(tuple, I.normalize_gaps(spark.createDataFrame(rows, SCHEMA), ["key"], MAPPING_PRIORITY).collect()))

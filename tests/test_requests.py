@@ -178,3 +178,19 @@ def test_requests_with_a_problem_are_not_planned(spark, world):
     assert {r.request_id for r in plan["gaps"].collect()} == {1}
     empty = R.plan_requests(spark.createDataFrame([], SCHEMA), *world, spark.createDataFrame(capabilities(), CAPABILITY))
     assert all(part.count() == 0 for part in empty.values())
+
+
+def test_requests_are_not_sorted_by_their_times(spark, world):
+    # requests met a table of their own distinct times, which grows with them, and so were shuffled and sorted by as_of in the session's few tasks
+    first = world[0].first().start
+    many = spark.range(10**9).selectExpr("id as request_id", f"{first} + id * {MINUTE} as as_of")
+    plan = R.clocks(many, world[1])._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin [_day" in plan
+
+
+def test_times_at_the_edges_of_instances(spark, world):
+    order = sorted(world[1].collect(), key=lambda i: (i.start, i.trade_date, i.phase))
+    times = sorted({t + d for i in order for t in (i.start, i.end) for d in (-1, 0, 1)} | {order[0].start - 400 * HOUR, order[-1].end + 4000 * HOUR})
+    got = {r.as_of: (r.opened, r.done) for r in R.clocks(spark.createDataFrame([(t,) for t in [*times, *times]], "as_of long"), world[1]).collect()}
+    last = lambda on: max((k for k, i in enumerate(order, 1) if on(i)), default=None)
+    assert got == {t: (last(lambda i: i.start <= t < i.end), last(lambda i: i.end <= t)) for t in times}

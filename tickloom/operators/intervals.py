@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.time import DAY, day_number
 from tickloom.operators.stretches import HELPERS, carried, earlier, stretched, through
 from tickloom.operators.stretches import inside as inside_of
+from tickloom.session import spread, staged
 
 #: Stretch of time by which overlap joins are cut.
 GRAIN = 32 * DAY
@@ -57,26 +58,32 @@ def normalize_gaps(gaps: DataFrame, keys: list[str], order: tuple[str, ...]) ->
     A running count of open gaps per reason is kept along the boundaries, in two levels (`stretches`), so nothing is
     joined with itself and no key is one task. A gap begins where the strongest open reason changes. What earlier
     stretches leave open goes ahead of a stretch's boundaries as rows of its own, so each boundary is sorted once here
-    and, if it is a change, once more for where the next one is.
+    and, if it is a change, once more for where the next one is. Gaps are written and counted first: tasks are as many
+    as their number asks for, so none takes more when there are more gaps.
     """
     number = F.coalesce(*[F.when(F.col("reason") == r, F.lit(i)) for i, r in enumerate(order)])
-    ends = F.explode(F.array(F.struct(F.col("start").alias("t"), F.lit(1).cast("long").alias("d")), F.struct(F.col("end").alias("t"), F.lit(-1).cast("long").alias("d"))))
     key = F.struct(*keys) if keys else F.struct(F.lit(0))
-    rows = gaps.where("start < end").select(key.alias("_key"), number.alias("r"), ends.alias("e")).where("r is not null").select("_key", _stretch("e.t").alias("_cut"), "e.t", "r", "e.d")
+    known = staged(gaps.where("start < end").select(key.alias("_key"), number.alias("r"), "start", "end").where("r is not null"), "gaps")
+    n = 2 * known.count()
+    bound = lambda t, d: F.struct(_stretch(t).alias("_cut"), F.col(t).alias("t"), F.lit(d).cast("long").alias("d"))
+    both = F.array(bound("start", 1), bound("end", -1))
+    rows = known.select("_key", "r", F.explode(both).alias("e")).select("_key", "e._cut", "e.t", "r", "e.d")
+    # a gap that ends in its stretch leaves nothing open: one row says that the stretch is there
+    left = known.select("_key", "r", F.explode(F.when(_stretch("start") == _stretch("end"), F.array(bound("start", 0))).otherwise(both)).alias("e"))
     of = lambda i: F.sum(F.when(F.col("r") == i, F.col("d")))
-    totals = rows.groupBy("_key", "_cut").agg(*[F.coalesce(of(i), F.lit(0)).alias(f"_{i}") for i in range(len(order))])
+    totals = spread(left.select("_key", "e._cut", "r", "e.d"), n, "_key", "_cut").groupBy("_key", "_cut").agg(*[F.coalesce(of(i), F.lit(0)).alias(f"_{i}") for i in range(len(order))])
     before = earlier(W.partitionBy("_key").orderBy("_cut"))
-    still = totals.select("_key", "_cut", F.array(*[F.struct(F.lit(i).alias("r"), F.sum(f"_{i}").over(before).alias("d")) for i in range(len(order))]).alias("e"))
+    still = spread(totals, n, "_key").select("_key", "_cut", F.array(*[F.struct(F.lit(i).alias("r"), F.sum(f"_{i}").over(before).alias("d")) for i in range(len(order))]).alias("e"))
     still = still.select("_key", "_cut", F.explode("e").alias("e")).where("e.d > 0").select("_key", "_cut", F.lit(None).cast("long").alias("t"), "e.r", "e.d")
     along = inside_of("t")
     upto = along.rangeBetween(W.unboundedPreceding, W.currentRow)
-    now = rows.union(still).select("_key", "_cut", "t", F.coalesce(*[F.when(of(i).over(upto) > 0, F.lit(i)) for i in range(len(order))]).alias("r"))
+    now = spread(rows.union(still), n, "_key", "_cut").select("_key", "_cut", "t", F.coalesce(*[F.when(of(i).over(upto) > 0, F.lit(i)) for i in range(len(order))]).alias("r"))
     # of equal times the first row alone follows another state
     changes = now.withColumn("_was", F.lag("r").over(along)).where("t is not null and not (r <=> _was)").drop("_was")
     # the first and the last change of each stretch of a key are ordered together, the others stay among themselves
     edge = F.lag("t").over(along).isNull() | F.lead("t").over(along).isNull()
     dealt = changes.select("_key", F.when(~edge, F.col("_cut")).alias("_cut"), "t", "r", F.lead("t").over(along).alias("_next"))
-    out = dealt.withColumn("end", F.coalesce("_next", F.lead("t").over(along))).where("r is not null")
+    out = spread(dealt, n, "_key", "_cut").withColumn("end", F.coalesce("_next", F.lead("t").over(along))).where("r is not null")
     return out.select(*[F.col(f"_key.{k}").alias(k) for k in keys], F.col("t").alias("start"), "end", F.element_at(F.array(*[F.lit(r) for r in order]), F.col("r") + 1).alias("reason"))
 
 

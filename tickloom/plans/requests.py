@@ -1,7 +1,7 @@
 """Plans for a table of requests: which source serves which slice of each, as joins with one calendar.
 
 requests: request_id, symbol, start, end, as_of (ns), resolution, scope, mode, adjustment, allow_daily_downgrade.
-Nothing is collected to the driver; slices, of which all else is made, are written once. Requests meet the calendar in stretches of time, so a month that many ask for is many
+Nothing is collected to the driver; judged requests and slices, of which all else is made, are written once. Requests meet the calendar in stretches of time, so a month that many ask for is many
 tasks where Spark splits skewed joins, and all that is kept per request lies in groups of request_id.
 """
 
@@ -42,16 +42,21 @@ def positioned(instances: DataFrame) -> DataFrame:
 
 def clocks(requests: DataFrame, instances: DataFrame) -> DataFrame:
     """requests with opened, the position of the instance that is active at as_of, and done, that of the last one
-    completed by then; null if there is none."""
+    completed by then; null if there is none.
+
+    Both change only where an instance starts or ends, so they are found for those moments, which are written: Spark
+    knows how few they are and sends them to the requests, which are neither sorted nor shuffled by their times.
+    """
     placed = positioned(instances)
-    marks = requests.select("as_of").distinct()
+    marks = placed.select(F.explode(F.array("start", "end")).alias("as_of")).distinct()
     at_day = by_day(placed.select(F.col("start").alias("_s"), F.col("end").alias("_e"), F.col("position").alias("_p")), "_s", "_e")
     m = by_day(marks.withColumn("_to", F.col("as_of") + 1), "as_of", "_to").drop("_to")
     active = m.join(at_day, "_day").where((F.col("_s") <= F.col("as_of")) & (F.col("as_of") < F.col("_e"))).groupBy("as_of").agg(F.max("_p").alias("opened"))
     ends = placed.groupBy(F.col("end").alias("start")).agg(F.max("position").alias("p"))
     ends = ends.select("start", F.max("p").over(W.orderBy("start")).alias("done"))
     marks = latest_before(marks, ends, "as_of", ["done"]).join(active, "as_of", "left")
-    return requests.join(marks, "as_of")
+    moments = staged(marks.select(F.col("as_of").alias("start"), "opened", "done"), "moments")
+    return latest_before(requests, moments, "as_of", ["opened", "done"])
 
 
 def rank_of(position: Column) -> Column:
@@ -108,7 +113,7 @@ def plan_requests(requests: DataFrame, days: DataFrame, instances: DataFrame, ca
     first, last = days.select(F.min("start")).scalar(), days.select(F.max("end")).scalar()
     cutoff = parse_rfc3339(F.lit(CUTOFF))
     judged = requests.select(*REQUEST).withColumn("_a", first).withColumn("_b", last)
-    judged = judged.withColumn("problem", problem_of((F.col("as_of") >= F.col("_a")) & (F.col("as_of") < F.col("_b"))))
+    judged = staged(judged.withColumn("problem", problem_of((F.col("as_of") >= F.col("_a")) & (F.col("as_of") < F.col("_b")))), "judged")
     intraday, research = F.col("resolution") != "1d", F.col("mode") == "research"
     early = intraday & (research | (F.col("start") < cutoff))
     sound = (
@@ -123,7 +128,8 @@ def plan_requests(requests: DataFrame, days: DataFrame, instances: DataFrame, ca
         F.when(F.col("_cut"), gap(F.col("_cs"), unsupported_to, "unsupported_resolution")).otherwise(gap(F.col("start"), F.col("start"), "unknown")),
     )
     gaps = sound.select("request_id", F.explode(outside).alias("g")).select("request_id", "g.*").where("start < end")
-    work = sound.withColumn("start", F.greatest("_cs", work_from)).withColumn("end", F.col("_ce")).where("start < end").select("request_id", "symbol", "start", "end", "as_of", "interval", "mode", "scope", "adjustment")
+    sound = sound.withColumn("_from", work_from)
+    work = sound.withColumn("start", F.greatest("_cs", "_from")).withColumn("end", F.col("_ce")).where("start < end").select("request_id", "symbol", "start", "end", "as_of", "interval", "mode", "scope", "adjustment")
     slices = session_slices(work, days, instances, capabilities)
     bounds = instances.groupBy("trade_date").agg(F.min("start").alias("_first"), F.max("end").alias("_last"))
     slices = slices.join(bounds, "trade_date", "left")
@@ -136,18 +142,27 @@ def plan_requests(requests: DataFrame, days: DataFrame, instances: DataFrame, ca
     slices = staged(slices, "slices")
     reason = F.when(F.col("gap") == "missing_provider_capability", "provider_unavailable").when(F.col("gap") == "unsupported_resolution", "unsupported_resolution").otherwise("unknown")
     gaps = gaps.unionByName(slices.where("gap is not null").select("request_id", "start", "end", reason.alias("reason")))
-    gaps = gaps.unionByName(_closed_nights(sound, days, slices))
+    gaps = gaps.unionByName(_closed_nights(sound, days, instances))
     gaps = normalize_gaps(gaps, ["request_id"], MAPPING_PRIORITY)
     return _whole_plans(judged, sound, slices, gaps)
 
 
-def _closed_nights(sound: DataFrame, days: DataFrame, slices: DataFrame) -> DataFrame:
-    """Unknown gaps: nights of closed days that no trusted night session covers."""
-    asked = sound.where("interval <> '1d' and scope in ('all', 'overnight')").select("request_id", "start", "end")
-    bands = overlapping(asked, closed_night_bands(days).withColumnsRenamed({"start": "_cs", "end": "_ce"}), [])
-    bands = bands.select("request_id", "trade_date", F.greatest("start", "_cs").alias("start"), F.least("end", "_ce").alias("end"))
-    trusted = slices.where("phase = 'over' and session_instance_id is not null").select("request_id", "start", "end")
-    return uncovered(bands, trusted, ["request_id"], ["trade_date"]).select("request_id", "start", "end", F.lit("unknown").alias("reason"))
+def _closed_nights(sound: DataFrame, days: DataFrame, instances: DataFrame) -> DataFrame:
+    """Unknown gaps: nights of closed days that no trusted night session covers.
+
+    A request has slices of all night sessions from _from on, and of none before. So the sessions are taken from the
+    nights in the calendar, and requests meet what is left, or before _from whole nights: no slices are needed here.
+    """
+    asked = sound.where("interval <> '1d' and scope in ('all', 'overnight')")
+    nights = closed_night_bands(days)
+    trusted = instances.where("phase = 'over' and session_instance_id is not null").select("start", "end")
+    left = staged(uncovered(nights, trusted, [], ["trade_date"]), "nights")
+
+    def met(start: Column, end: Column, bands: DataFrame) -> DataFrame:
+        both = overlapping(asked.select("request_id", start.alias("start"), end.alias("end")), bands.select(F.col("start").alias("_cs"), F.col("end").alias("_ce")), [])
+        return both.select("request_id", F.greatest("start", "_cs").alias("start"), F.least("end", "_ce").alias("end"), F.lit("unknown").alias("reason"))
+
+    return met(F.col("start"), F.least("end", "_from"), nights).unionByName(met(F.greatest("start", "_from"), F.col("end"), left))
 
 
 def _whole_plans(judged: DataFrame, sound: DataFrame, slices: DataFrame, gaps: DataFrame) -> dict[str, DataFrame]:

@@ -19,6 +19,9 @@ SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+#: Rows that one task of a sweep sorts; 1,000,000 boundaries of gaps took about 150 MB.
+ROWS_A_TASK = 1_000_000
+
 
 def local_session(cores: int | None = None, partitions: int | None = None) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
@@ -58,6 +61,15 @@ def staged(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df, rows: int, *keys: str):
+    """df shuffled by keys to tasks of about ROWS_A_TASK of its rows; where the session's tasks are enough for that,
+    Spark deals them."""
+    spark = df.sparkSession
+    own = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    n = -(-rows // ROWS_A_TASK)
+    return df.repartition(n, *keys) if n > own else df.repartition(*keys)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One table of a data directory."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
