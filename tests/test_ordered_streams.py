@@ -5,6 +5,7 @@ import random
 from collections import Counter
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,3 +195,56 @@ def test_state_of_many_bars_is_read_and_written_once_a_batch():
     assert state.value is None and state.timers == ()
     late = list(op.handleInputRows((0, 0), iter([trade(7, 10)]), At(9000)))
     assert [(r.kind, r.symbol, r.first_arrival) for r in late] == [("late", "s7", 7)] and state.value is None
+
+
+def test_rows_and_bars_of_a_group_pass_as_frames():
+    # fields of rows were converted one at a time, and those of the state's bars by Spark's rows, which took most of a large batch's time
+    class Held:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+        def registerTimer(self, at):
+            self.timer = at
+
+        def deleteTimer(self, at):
+            self.timer = None
+
+    class At:
+        def __init__(self, ms):
+            self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: ms
+
+    op = ordered.LastingBarFrames(["symbol"], ["string"], 1000, 5000)
+    op.held = op.handle = state = Held()
+    n, half = 6000, Decimal("0.5").quantize(Decimal(1).scaleb(-18))
+    frame = pd.DataFrame({"symbol": [None if i % 100 == 99 else f"s{i % 100}" for i in range(n)], "bar_start_ms": [i // 200 * 1000 for i in range(n)], "at_us": [i * 5000 for i in range(n)], "arrival": range(n), "price": [Decimal(i) for i in range(n)], "size": [half] * n})
+    assert list(op.handleInputRows((0, 0), iter([frame[:4000], frame[4000:]]), At(0))) == []
+    timer, bars = state.value
+    assert timer == 1000 and isinstance(bars, bytes) and len(bars) < 3000 * 200  # 3,000 bars of two rows
+    (made,) = op.handleExpiredTimer((0, 0), At(12_000), At(12_000))
+    assert len(made) == 12 * 100 and set(zip(made["kind"], made["revision"], made["trade_count"], made["volume"])) == {("bar", 0, 2, Decimal(1))}
+    assert made["symbol"].isna().sum() == 12 and state.timer == 13_000  # bars of 7000 to 11000 are kept for corrections, the first of them until then
+    late, corrected = (list(op.handleInputRows((0, 0), iter([frame[i : i + 1]]), At(12_000))) for i in (0, 2200))
+    assert [f["kind"].tolist() for f in late] == [["late"]] and [(f["revision"][0], f["trade_count"][0]) for f in corrected] == [(1, 3)]
+    with pytest.raises(ValueError):
+        list(op.handleInputRows((0, 0), iter([frame[:2].assign(arrival=[1, None])]), At(0)))
+
+
+def test_keys_of_bars_come_back_as_they_were(spark, tmp_path):
+    keys = {"n": "bigint", "b": "binary", "t": "timestamp", "d": "decimal(38,18)", "f": "double"}
+    rows = spark.range(40).selectExpr(
+        "if(id % 4 = 0, null, 9007199254740993 + id % 4) as n", "if(id % 4 = 1, null, unhex(concat('FF0', id % 4))) as b", "timestamp_micros(1700000000123456 + id % 4) as t", "cast(id % 4 as decimal(38,18)) / 7 as q", "0.1D + id % 4 as f",
+        "timestamp_micros(1700000000000000 + id * 1000000) as at", "id as arrival", "cast(id as decimal(18,4)) as price", "cast(1 as decimal(38,18)) as size",
+    ).withColumn("d", F.col("q").cast("decimal(38,18)")).drop("q")
+    folder = written(rows, 2, f"{tmp_path}/in", 4)
+    log = ordered.run_whole(spark, lambda own: read_events(own, folder, rows.schema, 1), "at", lambda r: ordered.lasting_bars(r, list(keys), "1 hour", 3_600_000, 3_600_000), f"{tmp_path}/run")
+    assert {k: log.schema[k].dataType.simpleString() for k in keys} == keys
+    got = {tuple(r)[:-1]: r.trade_count for r in ordered.final_bars(log, list(keys)).select(*keys, "trade_count").collect()}
+    assert got == {tuple(r): 10 for r in rows.select(*keys).distinct().collect()}

@@ -12,9 +12,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from decimal import Context
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -32,8 +34,10 @@ MS = 1_000_000
 #: Held messages that are classified at once.
 CHUNK = 50_000
 EXACT = Context(prec=76)
+#: What a log says of a bar or a late row, after its keys.
+ENTRY = ("bar_start_ms", "kind", "revision", "first_us", "first_arrival", "open", "high", "low", "close", "volume", "trade_count")
 #: Bars whose state is kept together: those of so many bar starts in a row, and of keys of one of so many hash buckets.
-#: Both are part of a checkpoint's state: a stream goes on only with the numbers it began with.
+#: Both, and the form of `LastingBars`' state, are part of a checkpoint: a stream goes on only with those it began with.
 SPAN, BUCKETS = 32, 128
 
 
@@ -143,29 +147,29 @@ class LastingBars(StatefulProcessor):
     passes its end, corrected until `lateness` later.
 
     Rows that come after that are no part of any bar: they are given back one by one, as kind "late". State is one
-    value, the group's bars field by field, read and written once a micro-batch; one timer at a time is set, for the
-    bar that is due first.
+    value, the group's bars as an Arrow stream that only this class reads, read and written once a micro-batch; one
+    timer at a time is set, for the bar that is due first. Keys are texts or what else types says.
     """
 
     def __init__(self, keys: list[str], types: list[str], width_ms: int, lateness_ms: int):
         self.keys, self.types, self.width, self.lateness = keys, types, width_ms, lateness_ms
+        self.entry = Row(*keys, *ENTRY)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        number = "array<decimal(38,18)>"
-        first, last = (f"{n}_us array<long>, {n}_arrival array<long>, {n} {number}" for n in ("open", "close"))
-        names = "".join(f"k{i} array<{t}>, " for i, t in enumerate(self.types))
-        self.held = handle.getValueState("held", f"timer long, {names}start array<long>, {first}, high {number}, low {number}, {last}, volume {number}, trade_count array<long>, revision array<long>")
+        self.held = handle.getValueState("held", "timer long, bars binary")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        return self._taken((((*(r[k] for k in self.keys), r.bar_start_ms), r.at_us, r.arrival, r.price, r.size) for r in rows), timerValues)
+
+    def _taken(self, rows: Iterator[tuple], timerValues) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
         (timer, bars), touched = self._read(), set()
-        for r in rows:
-            at = (*(r[k] for k in self.keys), r.bar_start_ms)
+        for at, us, arrival, price, size in rows:
             if now >= at[-1] + self.width + self.lateness:
-                yield self._row(at, "late", r.at_us, r.arrival, (r.price, r.price, r.price, r.price, r.size, 1), 0)
+                yield self._row(at, "late", us, arrival, (price, price, price, price, size, 1), 0)
                 continue
-            bars[at] = self._with(bars.get(at), r)
+            bars[at] = self._with(bars.get(at), us, arrival, price, size)
             touched.add(at)
         for at in touched:
             if now >= at[-1] + self.width:  # its time to be published has passed: a correction, or a bar that only now has rows
@@ -185,7 +189,10 @@ class LastingBars(StatefulProcessor):
 
     def _read(self) -> tuple[int | None, dict]:
         held, n = self.held.get(), len(self.keys) + 1
-        return (None, {}) if held is None else (held[0], {f[:n]: f[n:] for f in zip(*held[1:])})
+        if held is None:
+            return None, {}
+        columns = [c.to_pylist() for c in pa.ipc.open_stream(held[1]).read_all().columns]
+        return held[0], {f[:n]: f[n:] for f in zip(*columns)}
 
     def _write(self, timer: int | None, bars: dict) -> None:
         if not bars:
@@ -197,23 +204,59 @@ class LastingBars(StatefulProcessor):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(due)
             timer = due
-        self.held.update((timer, *map(list, zip(*((*at, *bar) for at, bar in bars.items())))))
+        long, number = pa.int64(), pa.decimal128(38, 18)
+        types = [pa.string() if t == "string" else None for t in self.types] + [long, long, long, number, number, number, long, long, number, number, long, long]
+        columns = zip(*((*at, *bar) for at, bar in bars.items()))
+        table = pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=[str(i) for i in range(len(types))])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        self.held.update((timer, sink.getvalue().to_pybytes()))
 
     @staticmethod
-    def _with(bar: tuple | None, r: Row) -> tuple:
-        at = (r.at_us, r.arrival)
+    def _with(bar: tuple | None, us: int, arrival: int, price, size) -> tuple:
+        at = (us, arrival)
         if bar is None:
-            return (*at, r.price, r.price, r.price, *at, r.price, r.size, 1, -1)
-        first = bar[:3] if bar[:2] <= at else (*at, r.price)
-        last = bar[5:8] if bar[5:7] > at else (*at, r.price)
-        return (*first, max(bar[3], r.price), min(bar[4], r.price), *last, EXACT.add(bar[8], r.size), bar[9] + 1, bar[10])
+            return (*at, price, price, price, *at, price, size, 1, -1)
+        first = bar[:3] if bar[:2] <= at else (*at, price)
+        last = bar[5:8] if bar[5:7] > at else (*at, price)
+        return (*first, max(bar[3], price), min(bar[4], price), *last, EXACT.add(bar[8], size), bar[9] + 1, bar[10])
 
     def _published(self, key, bar: tuple) -> Row:
         return self._row(key, "bar", bar[0], bar[1], (bar[2], bar[3], bar[4], bar[7], bar[8], bar[9]), bar[10])
 
     def _row(self, key, kind: str, at_us: int, arrival: int, values: tuple, revision: int) -> Row:
-        names = ("open", "high", "low", "close", "volume", "trade_count")
-        return Row(**dict(zip(self.keys, key[:-1])), bar_start_ms=key[-1], kind=kind, revision=revision, first_us=at_us, first_arrival=arrival, **dict(zip(names, values)))
+        return self.entry(*key, kind, revision, at_us, arrival, *values)
+
+
+class LastingBarFrames(LastingBars):
+    """LastingBars whose rows come and go as frames: a column is converted at once, not a field of a row at a time."""
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        return self._frames(self._taken((row for frame in rows for row in self._tuples(frame)), timerValues))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        return self._frames(super().handleExpiredTimer(key, timerValues, expiredTimerInfo))
+
+    def _tuples(self, frame: pd.DataFrame) -> Iterator[tuple]:
+        # a null would have made the column one of floats: it fails here
+        start, us, arrival = (frame[c].astype("int64").tolist() for c in ("bar_start_ms", "at_us", "arrival"))
+        return zip(zip(*(frame[k].tolist() for k in self.keys), start), us, arrival, frame["price"].tolist(), frame["size"].tolist())
+
+    def _frames(self, entries: Iterator[Row]) -> Iterator[pd.DataFrame]:
+        while part := list(islice(entries, CHUNK)):
+            yield pd.DataFrame(part, columns=[*self.keys, *ENTRY])
+
+
+def _as_text(key: str, kind: str) -> Column:
+    """A key as a text that `_of_text` turns back exactly; frames have no integers beside nulls."""
+    k = F.col(key)
+    return (F.hex(k) if kind == "binary" else F.unix_micros(k).cast("string") if kind == "timestamp" else k.cast("string")).alias(key)
+
+
+def _of_text(key: str, kind: str) -> Column:
+    k = F.col(key)
+    return (F.unhex(k) if kind == "binary" else F.timestamp_micros(k.cast("long")) if kind == "timestamp" else k.cast(kind)).alias(key)
 
 
 def lasting_bars(events: DataFrame, keys: list[str], delay: str, width_ms: int = 60_000, lateness_ms: int = 600_000) -> DataFrame:
@@ -230,10 +273,13 @@ def lasting_bars(events: DataFrame, keys: list[str], delay: str, width_ms: int =
     start = F.floor(F.unix_millis("at") / width_ms) * width_ms
     rows = clocked(events.select("at", *keys, "arrival", "price", "size"), "at", delay).select(*keys, start.cast("long").alias("bar_start_ms"), F.unix_micros("at").alias("at_us"), "arrival", F.col("price").cast(number).alias("price"), F.col("size").cast(number).alias("size"))
     types = [rows.schema[k].dataType.simpleString() for k in keys]
-    fields = ", ".join(f"{k} {t}" for k, t in zip(keys, types))
-    made = f"{fields}, bar_start_ms long, kind string, revision long, first_us long, first_arrival long, open {number}, high {number}, low {number}, close {number}, volume {number}, trade_count long"
-    grouped = rows.withColumns({"_span": F.floor(F.col("bar_start_ms") / (width_ms * SPAN)), "_bucket": F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))}).groupBy("_span", "_bucket")
-    return grouped.transformWithState(LastingBars(keys, types, width_ms, lateness_ms), made, "append", "eventTime")
+    fields = "".join(f"{k} string, " for k in keys)
+    made = f"{fields}bar_start_ms long, kind string, revision long, first_us long, first_arrival long, open {number}, high {number}, low {number}, close {number}, volume {number}, trade_count long"
+    texts = [_as_text(k, t) for k, t in zip(keys, types)]
+    span, bucket = F.floor(F.col("bar_start_ms") / (width_ms * SPAN)).alias("_span"), F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).alias("_bucket")
+    grouped = rows.select(*texts, "bar_start_ms", "at_us", "arrival", "price", "size", span, bucket).groupBy("_span", "_bucket")
+    log = grouped.transformWithStateInPandas(LastingBarFrames(keys, ["string"] * len(keys), width_ms, lateness_ms), made, "append", "eventTime")
+    return log.select(*[_of_text(k, t) for k, t in zip(keys, types)], *ENTRY)
 
 
 def _start() -> Column:
